@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,11 @@ _LOCAL: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A named table. Python workers also look for this package where the driver
+    found it, whatever folder the driver was started in."""
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if root not in environment.get("PYTHONPATH", "").split(":"):
+        environment["PYTHONPATH"] = ":".join(filter(None, [environment.get("PYTHONPATH", ""), root]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
