@@ -5,17 +5,21 @@ from __future__ import annotations
 from .decontaminate import OP4_SQL, op4_benchmark_decontamination
 from .packing import op7_best_fit_packing
 from .quality import op5_quality_classifier
+from .secrets import op1_secret_scan
 from .simhash import op2_simhash_near_dedup
 from .token_counts import op8_token_counts
+from .topk import OP6_SQL, op6_exact_topk
 from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_exact_topk": op6_exact_topk,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_counts": op8_token_counts,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {"op4_benchmark_decontamination": OP4_SQL}
+ORACLES: dict[str, str] = {"op4_benchmark_decontamination": OP4_SQL, "op6_exact_topk": OP6_SQL}
