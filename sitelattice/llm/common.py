@@ -58,9 +58,11 @@ def persist_table(df: DataFrame, name: str, path: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dict_rows(df: DataFrame) -> list[dict]:
-    """Rows of a table whose size the caller has bounded."""
-    return [r.asDict() for r in df.collect()]
+def fresh(name: str, df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:

@@ -190,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, id_col: str = "d
 def score(docs: DataFrame, labels: DataFrame, keep: list[str], most: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", name: str = "score") -> DataFrame:
     """``keep`` of ``docs`` with the score in the column ``name``."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most, id_col, text_col))
-    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("_scored_text"))
+    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias(common.fresh("text", docs)))
 
     def run(batches):
         vectors, network = shared.value
@@ -205,6 +205,12 @@ def score(docs: DataFrame, labels: DataFrame, keep: list[str], most: int = SAMPL
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField(name, T.DoubleType())]))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that score below the threshold."""
+    name = common.fresh("score", docs)
+    return score(docs, labels, docs.columns, id_col=id_col, text_col=text_col, name=name).where(F.col(name) >= threshold).drop(name)
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = score(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"), ["doc_id"])
     return found.select(

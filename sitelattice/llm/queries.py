@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from .decontaminate import OP4_SQL, op4_benchmark_decontamination
+from .licenses import OP9_SQL, op9_license_scan
 from .packing import op7_best_fit_packing
+from .pii import op3_pii_surrogates
 from .quality import op5_quality_classifier
 from .secrets import op1_secret_scan
 from .simhash import op2_simhash_near_dedup
@@ -14,12 +16,14 @@ from .toxicity import op10_toxicity
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_exact_topk": op6_exact_topk,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_counts": op8_token_counts,
+    "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {"op4_benchmark_decontamination": OP4_SQL, "op6_exact_topk": OP6_SQL}
+ORACLES: dict[str, str] = {"op4_benchmark_decontamination": OP4_SQL, "op6_exact_topk": OP6_SQL, "op9_license_scan": OP9_SQL}

@@ -39,6 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -71,15 +72,18 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fingerprints as signed 64-bit numbers."""
+def fingerprints(docs: DataFrame, text_col: str = "text", size: int = SHINGLE) -> DataFrame:
+    """(row, fp): each row of ``docs`` as a struct, and its fingerprint as a signed
+    64-bit number."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
 
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t, size) for t in b.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            row = b.column("row")
+            fp = np.array([fingerprint(t.as_py(), size) for t in row.field(text_col)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([row, pa.array(fp.view(np.int64))], ["row", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("fp", T.LongType())]))
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -195,16 +199,33 @@ def links(fps: DataFrame, blocks: int = BLOCKS, radius: int = RADIUS, large: int
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """(doc_id, fp, component_id) per row."""
-    rows = common.persist_table(fingerprints(docs, id_col, text_col, size), "fingerprints")
+def components(rows: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """(fp, component, component_id) of the distinct fingerprints in ``rows`` (doc_id,
+    fp): the component as its least fingerprint, and the least id of its documents."""
     classes = common.persist_table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     edges = common.persist_table(links(classes.select("fp"), blocks, radius), "links")
     found = common.connected_components(edges, "a", "b").select(F.col("node").alias("fp"), "component")
     of = classes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     names = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = of.join(names, "component").select("fp", "component_id")
-    return rows.join(named, "fp")
+    return of.join(names, "component").select("fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """(doc_id, fp, component_id) per row."""
+    rows = fingerprints(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), size=size)
+    rows = common.persist_table(rows.select("row.doc_id", "fp"), "fingerprints")
+    return rows.join(components(rows, radius, blocks).select("fp", "component_id"), "fp")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """``docs`` with one row of each component: that of the least id, and of rows with
+    that id any one."""
+    rows = fingerprints(docs, text_col, size).withColumn("at", F.monotonically_increasing_id())
+    rows = common.persist_table(rows, "fingerprints")  # from here on a row's number is fixed
+    short = rows.select(F.col("row")[id_col].cast("long").alias("doc_id"), "fp", "at")
+    of = short.join(components(short, radius, blocks).select("fp", "component"), "fp")
+    first = of.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("first")).select("first.at")
+    return rows.join(first, "at", "left_semi").select("row.*")
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
