@@ -58,6 +58,12 @@ def persist_table(df: DataFrame, name: str, path: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches of whole texts for this session: bounded by bytes, since a text's
+    length is not."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def fresh(name: str, df: DataFrame) -> str:
     """A column name that ``df`` does not have."""
     while name.lower() in {c.lower() for c in df.columns}:

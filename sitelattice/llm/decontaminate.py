@@ -31,7 +31,7 @@ from . import common
 
 SIZE = 13
 BLOCK_BYTES = 64 << 20
-CHUNK_WORDS = 1 << 20
+CHUNK_WORDS = 1 << 17
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # of UTF-8 bytes: all that is not ASCII belongs to words
 _BASE = 0x9E3779B97F4A7C15
 
@@ -138,6 +138,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str =
     """``keep`` of ``docs``, with n_words, hit_spans (of words, merged, half-open)
     and hit_items of every row."""
     spark = docs.sparkSession
+    common.bounded_batches(spark)
     carried = list(dict.fromkeys(keep))
     reserved = {f.name for f in FOUND} | {"_text"}
     hidden = {c: f"_kept_{c}" if c in reserved else c for c in carried}  # columns may bear our names

@@ -66,6 +66,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
+    common.bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
 
 

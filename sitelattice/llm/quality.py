@@ -190,6 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, id_col: str = "d
 def score(docs: DataFrame, labels: DataFrame, keep: list[str], most: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", name: str = "score") -> DataFrame:
     """``keep`` of ``docs`` with the score in the column ``name``."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most, id_col, text_col))
+    common.bounded_batches(docs.sparkSession)
     rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias(common.fresh("text", docs)))
 
     def run(batches):

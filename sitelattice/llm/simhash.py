@@ -75,6 +75,7 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """(row, fp): each row of ``docs`` as a struct, and its fingerprint as a signed
     64-bit number."""
+    common.bounded_batches(docs.sparkSession)
     rows = docs.select(F.struct(*docs.columns).alias("row"))
 
     def run(batches):

@@ -46,6 +46,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc
     before this returns.
     """
     spark = docs.sparkSession
+    common.bounded_batches(spark)
     version = encoding.version(tokenizer)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))

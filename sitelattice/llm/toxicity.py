@@ -262,6 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> tuple[Lexicon
 
 
 def score(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    common.bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
 
     def run(batches):
