@@ -72,11 +72,11 @@ def sequence_scalars(spark, sf_dir):
     )
 
 
-@query(o.with_(o.RAW, o.select("sequence pattern positional:d mutation:d alike", f"select distinct sequence, pattern, {o.positional('sequence', 'pattern')} as positional, {o.mutation('sequence', 'pattern')} as mutation, cast(abs({o.gc('sequence')} - {o.gc('pattern')}) < 0.2e0 and cast(least(length(sequence), length(pattern)) as double) / greatest(length(sequence), length(pattern)) > 0.8e0 as int) as alike from raw")))
+@query(o.with_(o.RAW, o.select("sequence pattern positional_score:d mutation:d alike", f"select distinct sequence, pattern, {o.positional('sequence', 'pattern')} as positional_score, {o.mutation('sequence', 'pattern')} as mutation, cast(abs({o.gc('sequence')} - {o.gc('pattern')}) < 0.2e0 and cast(least(length(sequence), length(pattern)) as double) / greatest(length(sequence), length(pattern)) > 0.8e0 as int) as alike from raw")))
 def sequence_pattern_scores(spark, sf_dir):
     s, p = F.col("sequence"), F.col("pattern")
     pairs = raw(spark, sf_dir).select("sequence", "pattern").distinct()
-    return pairs.select(s, p, seq.positional_similarity(s, p).alias("positional"), seq.mutation_share(s, p).alias("mutation"), seq.alike(s, p).cast("int").alias("alike"))
+    return pairs.select(s, p, seq.positional_similarity(s, p).alias("positional_score"), seq.mutation_share(s, p).alias("mutation"), seq.alike(s, p).cast("int").alias("alike"))
 
 
 def _aligned_sql(a: str, b: str) -> str:
