@@ -17,7 +17,8 @@ against the stated queries, which grows with both; memory does not.
 Nulls: vectors that are null or hold null or non-finite components take no part, nor
 do rows without an id. Rows alike in id and vector count once; a query's own are all
 rows of its id. Only vectors of the same length are compared. Ties go to the smaller
-id, also among equal vectors. An empty table gives an empty result. Other columns are
+id, also among equal vectors. Scores beyond a long are shown as the largest or smallest
+one. An empty table gives an empty result. Other columns are
 not read.
 """
 
@@ -62,7 +63,7 @@ def best(queries: np.ndarray, own: np.ndarray, x: np.ndarray, ids: np.ndarray, k
         for i in range(len(queries)):
             s = x_ @ queries_[i] if x.shape[1] else np.zeros(n, object)
             top = [j for j in sorted(range(n), key=lambda j: (-s[j], ids[j])) if ids[j] != own[i]][:k]
-            out.append((np.full(len(top), i), np.array(top, np.int64), np.array([int(s[j]) for j in top], np.int64)))
+            out.append((np.full(len(top), i), np.array(top, np.int64), np.array([max(-(1 << 63), min((1 << 63) - 1, int(s[j]))) for j in top], np.int64)))
         return tuple(np.concatenate(c) for c in zip(*out, strict=True))
     lists = np.sort(x, axis=0).astype(float)  # each column is a list; its end is the large one
     low, high, xf = lists[0], lists[-1], x.astype(float)
