@@ -28,7 +28,7 @@ def profile(long: DataFrame) -> DataFrame:
     e = F.col("expression")
     return long.agg(
         F.count(e).alias("n"), F.min(e).alias("least"), F.max(e).alias("most"), F.avg(e).alias("mean"), F.stddev_pop(e).alias("std_population"), F.stddev_samp(e).alias("std_sample"),
-        (F.count_if(e == 0) / F.count(e)).alias("zero_share"),
+        F.try_divide(F.count_if(e == 0), F.count(e)).alias("zero_share"),
     )
 
 

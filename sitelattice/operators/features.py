@@ -229,7 +229,9 @@ def correlations(values: DataFrame, target: DataFrame) -> DataFrame:
     """Absolute Pearson correlation of each feature with ``expression``; constant ones
     have none."""
     joined = values.join(target.where(F.col("expression").isNotNull()), ["gene_id", "line"])
-    return joined.groupBy("feature").agg(F.abs(F.corr("value", "expression")).alias("correlation")).where(F.col("correlation").isNotNull() & ~F.isnan("correlation"))
+    spread = F.stddev_pop("value") * F.stddev_pop("expression")
+    # corr() itself divides by zero for a constant.
+    return joined.groupBy("feature").agg(F.abs(F.try_divide(F.covar_pop("value", "expression"), spread)).alias("correlation")).where(F.col("correlation").isNotNull())
 
 
 def centred(values: DataFrame, column: str = "value", by: str = "gene_id") -> DataFrame:

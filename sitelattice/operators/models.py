@@ -251,17 +251,19 @@ def gene_by_gene(data: DataFrame, features: list[str], most: int = 10, least: in
     rows for the columns, or no spread, are left out. A gene has a row a line."""
     used = features[:most]
 
+    def found(**columns) -> pd.DataFrame:
+        return pd.DataFrame(columns).astype({"gene_id": str, "r2": float, "n_obs": int, "n_lines": int, "important": int})
+
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("line")
         y, lines = rows["y"].to_numpy(), sorted(set(rows["line"]))
         x = np.column_stack((np.stack(rows["x"].to_numpy())[:, : len(used)], *[(rows["line"] == v).to_numpy(float) for v in lines[1:]]))
-        empty = pd.DataFrame({"gene_id": [], "r2": [], "n_obs": [], "n_lines": [], "important": []})
         if len(y) < max(least, x.shape[1] + 1) or y.var() == 0:
-            return empty
+            return found(gene_id=[], r2=[], n_obs=[], n_lines=[], important=[])
         a = np.column_stack((np.ones(len(y)), x))
         b = np.linalg.lstsq(a, y, rcond=None)[0]
         r2 = 1 - float(((y - a @ b) ** 2).sum() / ((y - y.mean()) ** 2).sum())
-        return pd.DataFrame({"gene_id": [rows["gene_id"].iloc[0]], "r2": [r2], "n_obs": [len(y)], "n_lines": [len(lines)], "important": [int((np.abs(b[1 : 1 + len(used)]) > 0.01).sum())]})
+        return found(gene_id=[rows["gene_id"].iloc[0]], r2=[r2], n_obs=[len(y)], n_lines=[len(lines)], important=[int((np.abs(b[1 : 1 + len(used)]) > 0.01).sum())])
 
     return data.select("gene_id", "line", "y", "x").groupBy("gene_id").applyInPandas(fit, "gene_id string, r2 double, n_obs long, n_lines long, important long")
 

@@ -19,8 +19,10 @@ def write_sites(sites: DataFrame, path: str) -> None:
 
 
 def write_features(long: DataFrame, columns: list[str], motifs: list[str], path: str, expression: DataFrame | None = None) -> None:
-    """The wide matrix, columns sorted, missing features 0, missing expression empty."""
-    wide = features.matrix(long, columns, motifs)
+    """The wide matrix, a row for every gene in every line, columns sorted, missing features 0, missing expression empty."""
+    lines = sorted(r[0] for r in long.select("line").distinct().collect())  # a row a line
+    cells = long.select("gene_id").distinct().withColumn("line", F.explode(F.array(*[F.lit(x) for x in lines]) if lines else F.array().cast("array<string>")))
+    wide = cells.join(features.matrix(long, columns, motifs), ["gene_id", "line"], "left").na.fill(0)
     names = sorted(c for c in wide.columns if c not in ("gene_id", "line"))
     out = wide.select("line", F.col("gene_id").alias("gene"), F.concat_ws("_", "gene_id", "line").alias("gene_line_id"), *[F.col(f"`{c}`") for c in names])
     if expression is not None:
