@@ -155,13 +155,11 @@ def gene_specific(spark, a) -> None:
     genes = [r[0] for r in files.read_genes(spark, a.gene_file, a.genes).collect()]
     table = features.gene_features(files.read_consolidated(spark, a.sites), genes)
     long = files.read_expression(spark, a.expression).where(F.col("gene_id").isin(genes))
-    columns = ["present", "count", "position_mean", "score_mean", "gc_content_mean"]
     if a.type == "relative":
-        padded = table.withColumns({"proximal_density": F.lit(0.0), "sequence_diversity": F.lit(0.0)})
-        values = features.long_values(features.relative_features(padded, a.reference_line), list(features.DIFFERENCES))
+        values = features.long_values(features.gene_differences(table, a.reference_line), [f"{c}_diff" for c in features.GENE])
         target, label = expression.difference(long, a.reference_line), "expression_difference"
     else:
-        values, target, label = features.long_values(table, columns), long, "expression"
+        values, target, label = features.long_values(table, features.GENE), long, "expression"
     values = persist_table(values, "values")
     names = sorted(r[0] for r in features.varying(values).select("feature").collect())
     data = models.design(values, target, names, label)
@@ -207,6 +205,10 @@ def catalog(spark, a) -> None:
     placed = persist_table(cluster.cluster(records, a.threshold, "consensus", lambda n: F.format_string("MOTIF_%03d", n)).withColumnRenamed(M, "cluster_id"), "catalog")
     sinks.write_table(encode.occurrences(placed), f"{a.output}/catalog")
     sinks.write_table(placed.select("line", "motif_id", "consensus", "evalue", "n_sites", "width", "cluster_id"), f"{a.output}/line_map")
+    found = encode.occurrences(placed)
+    marked = placed.join(found.select("cluster_id", "is_common"), "cluster_id")
+    sinks.write_catalog(found, encode.regulatory_map(marked), encode.cluster_strings(placed), f"{a.output}/maps")
+    sinks.write_pair_report(records, encode.similar_line_pairs(records), f"{a.output}/pairs")
     sinks.write_fasta(encode.consensus_list(records), f"{a.output}/strings")
 
 

@@ -156,3 +156,10 @@ def similar_line_pairs(motifs: DataFrame) -> DataFrame:
     b = m.where("side = 1").select("pair_no", F.col("line").alias("line_2"), F.col("motif_id").alias("motif_2"), F.col("e").alias("e2"), "w")
     near = F.abs(F.col("e1") - F.col("e2")) / F.greatest("e1", "e2", F.lit(1e-10)) < F.lit(0.5)
     return a.join(b, ["pair_no", "w"]).where(near).select("pair_no", "line_1", "motif_1", "line_2", "motif_2")
+
+
+def pair_groups(pairs: DataFrame, motif_ids: list[str]) -> DataFrame:
+    """Group of each pair: every pair that is alike goes to the first motif, which is all
+    that the test of likeness can tell; the others, and all without motifs, are orphans."""
+    first = F.lit(motif_ids[0] if motif_ids else "orphan")
+    return pairs.select("pair_no", "first_id", "second_id", F.when(F.col("kind") == "similar_pair", first).otherwise("orphan").alias("motif_group"))

@@ -253,3 +253,19 @@ def interactions(presence_: DataFrame, scores: DataFrame, motifs: list[str]) ->
     return a.select("gene_id", "line", "a", F.explode(F.filter("c", lambda b: b["k"] > F.col("a.k"))).alias("b")).select(
         "gene_id", "line", F.col("a.m").alias("motif_1"), F.col("b.m").alias("motif_2"), F.lit(1).alias("presence_product"), F.col("a.s").alias("score_product")
     )
+
+
+GENE = ["present", "count", "position_mean", "position_std", "position_min", "position_max", "score_mean", "score_max", "gc_content_mean"]
+
+
+def gene_differences(table: DataFrame, reference: str) -> DataFrame:
+    """All nine gene features of each line less the reference line's, absent ones as 0.
+    ``table`` is dense over a gene's lines and motifs (``gene_features``)."""
+    base = table.where(F.col("line") == reference).select("gene_id", MOTIF, F.struct(*GENE).alias("r"))
+    rows = table.where(F.col("line") != reference).join(base, ["gene_id", MOTIF], "left")
+    return rows.select(*KEYS, *[(F.col(c) - F.coalesce(F.col("r")[c], F.lit(0))).alias(f"{c}_diff") for c in GENE])
+
+
+def dummies(table: DataFrame, column: str, values: list[str]) -> DataFrame:
+    """A 0 or 1 column for each value but the first in order."""
+    return table.withColumns({f"{column}_{v}": (F.col(column) == v).cast("int") for v in sorted(values)[1:]})

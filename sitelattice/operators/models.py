@@ -329,3 +329,9 @@ def pooled_r2(data: DataFrame, alpha: float = 0.0) -> float:
         b = ridge(np.delete(full, i, 0).T @ np.delete(full, i, 0), alpha)
         errors.append(y[i] - a[i] @ b)
     return 1 - float(np.square(errors).sum() / np.square(y - y.mean()).sum())
+
+
+def top_importances(found: DataFrame, n: int = 10) -> DataFrame:
+    """The n most important features of each model."""
+    rank = F.row_number().over(Window.partitionBy("model").orderBy(F.desc("importance"), "feature"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= n)

@@ -256,6 +256,15 @@ def gene_features(spark, sf_dir):
     return features.gene_features(consolidated(spark, sf_dir), _GENES)
 
 
+_GENE_CTES = f"chosen as (select * from sites where gene_id in ({', '.join(repr(g) for g in _GENES)})), found as (select {o.K}, 1 as present, count(*) as count, avg(start_pos) as position_mean, stddev_pop(start_pos) as position_std, min(start_pos) as position_min, max(start_pos) as position_max, avg(score) as score_mean, max(score) as score_max, avg({o.gc('sequence')}) as gc_content_mean from chosen group by 1, 2, 3), cells as (select gene_id, line, {M} from (select distinct gene_id, {M} from found) a join (select distinct gene_id, line from found) b using (gene_id))"
+_GENE_INTS = ("present", "count", "position_min", "position_max")
+
+
+@query(o.over_sites(o.select("gene_id line consolidated_motif_id " + " ".join(f"{c}_diff" + ("" if c in _GENE_INTS else ":d") for c in features.GENE), f"select c.gene_id, c.line, c.{M}, " + ", ".join(f"coalesce(f.{c}, 0) - coalesce(r.{c}, 0) as {c}_diff" for c in features.GENE) + f" from cells c left join found f using (gene_id, line, {M}) left join found r on r.gene_id = c.gene_id and r.{M} = c.{M} and r.line = '{REF}' where c.line <> '{REF}'"), _GENE_CTES))
+def gene_differences(spark, sf_dir):
+    return features.gene_differences(features.gene_features(consolidated(spark, sf_dir), _GENES), REF)
+
+
 def _dense(spark, sf_dir, table=None):
     s = table or consolidated(spark, sf_dir)
     p = features.presence(s)
@@ -514,6 +523,12 @@ def adjacent_pairs(spark, sf_dir):
     return encode.adjacent_pairs(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "doc_id", "text")
 
 
+@query("select row_number() over (order by a) as pair_no, a as first_id, b as second_id, case when b is not null and kind then 'M1' else 'orphan' end as motif_group from (select a, b, abs(" + o.gc("ta") + " - " + o.gc("tb") + ") < 0.2e0 and cast(least(length(ta), length(tb)) as double) / greatest(length(ta), length(tb)) > 0.8e0 as kind from (select max(case when n % 2 = 0 then doc_id end) as a, max(case when n % 2 = 1 then doc_id end) as b, max(case when n % 2 = 0 then text end) as ta, max(case when n % 2 = 1 then text end) as tb from (select doc_id, text, row_number() over (order by doc_id) - 1 as n from documents) x group by n // 2) y) z")
+def pair_groups(spark, sf_dir):
+    pairs = encode.adjacent_pairs(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "doc_id", "text")
+    return encode.pair_groups(pairs, ["M1", "M2"])
+
+
 @query(o.with_(f"{o.RAW},{o.RECORDS},lp as (select line, row_number() over (order by line) - 1 as k from (select distinct line from records) t), mp as (select r.*, cast(k // 2 + 1 as int) as pair_no, k % 2 as side from records r join lp using (line))", "select a.pair_no, a.line as line_1, a.motif_id as motif_1, b.line as line_2, b.motif_id as motif_2 from mp a join mp b on a.pair_no = b.pair_no and a.side = 0 and b.side = 1 and abs(a.width - b.width) <= 2 and abs(a.evalue - b.evalue) / greatest(a.evalue, b.evalue, 1e-10) < 0.5e0"))
 def similar_line_pairs(spark, sf_dir):
     return encode.similar_line_pairs(sites.persist_table(records(spark, sf_dir), "records"))

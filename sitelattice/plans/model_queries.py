@@ -43,6 +43,12 @@ def linear_importances(spark, sf_dir):
     return mean.orderBy(F.desc("mean_importance"), "feature").limit(10)
 
 
+@query()
+def top_importances(spark, sf_dir):
+    data, names, _, _ = _relative(spark, sf_dir)
+    return models.top_importances(models.importances(spark, models.linear_models(models.gather(data, names)), names))
+
+
 @query()
 def best_predictions(spark, sf_dir):
     """Predictions and residuals of the best linear model."""
@@ -123,8 +129,7 @@ def diagnostic_advice(spark, sf_dir):
 def gene_specific_cv(spark, sf_dir):
     """Differences of all gene features, for chosen genes."""
     table = features.gene_features(consolidated(spark, sf_dir), ["G0001", "G0002", "G0003"])
-    rel = features.relative_features(table.withColumns({"proximal_density": F.lit(0.0), "sequence_diversity": F.lit(0.0)}), REF, OTHERS)
-    values = features.long_values(rel, ["presence_diff", "count_diff", "position_mean_diff"])
+    values = features.long_values(features.gene_differences(table, REF), [f"{c}_diff" for c in features.GENE])
     names = sorted(r[0] for r in values.select("feature").distinct().collect())[:6]
     target = expression.difference(views.expression_long(spark, sf_dir), REF)
     data = sites.persist_table(models.row_folds(models.design(values, target.where(F.col("gene_id").isin("G0001", "G0002", "G0003")), names, "expression_difference")), "design")

@@ -89,3 +89,44 @@ def chart_data(importances: DataFrame, n: int = 20) -> DataFrame:
     top = importances.groupBy("feature").agg(F.avg("importance").alias("mean_importance")).orderBy(F.desc("mean_importance"), "feature").limit(n)
     models = sorted(r[0] for r in importances.select("model").distinct().collect())
     return importances.join(F.broadcast(top), "feature").groupBy("feature", "mean_importance").pivot("model", models).agg(F.first("importance"))
+
+
+def histogram(table: DataFrame, column: str, bins: int = 20) -> DataFrame:
+    """What a histogram shows: (bin, low, high, n) over the column's range."""
+    low, high = table.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
+    if low is None:
+        return table.sparkSession.createDataFrame([], "bin int, low double, high double, n long")
+    width = (high - low) / bins or 1.0
+    at = F.least(F.lit(bins - 1), F.floor((F.col(column) - F.lit(low)) / F.lit(width)).cast("int"))
+    counts = table.where(F.col(column).isNotNull()).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
+    return counts.select("bin", (F.lit(low) + F.col("bin") * width).alias("low"), (F.lit(low) + (F.col("bin") + 1) * width).alias("high"), "n")
+
+
+def box_data(table: DataFrame, value: str, by: str) -> DataFrame:
+    """What a box plot shows: quartiles, extremes and count of each group."""
+    q = lambda p: F.expr(f"percentile(`{value}`, {p}D)")
+    return table.groupBy(by).agg(F.min(value).alias("least"), q(0.25).alias("q1"), q(0.5).alias("median"), q(0.75).alias("q3"), F.max(value).alias("most"), F.count(value).alias("n"))
+
+
+def write_pair_report(motifs: DataFrame, pairs: DataFrame, path: str) -> None:
+    """A text line for each motif and each similar pair of paired lines, in order."""
+    show = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("N/A"))
+    listed = motifs.select(F.lit(0).alias("part"), F.col("line").alias("a"), F.col("motif_id").alias("b"), F.concat_ws(" ", F.lit("line"), "line", F.lit("motif"), "motif_id", F.lit("E"), show("evalue"), F.lit("sites"), show("n_sites"), F.lit("width"), show("width")).alias("value"))
+    found = pairs.select(F.lit(1).alias("part"), F.lpad(F.col("pair_no").cast("string"), 8, "0").alias("a"), F.col("motif_1").alias("b"), F.concat_ws(" ", F.lit("pair"), F.col("pair_no").cast("string"), "motif_1", F.concat(F.lit("("), "line_1", F.lit(")")), F.lit("~"), "motif_2", F.concat(F.lit("("), "line_2", F.lit(")"))).alias("value"))
+    listed.unionByName(found).orderBy("part", "a", "b").select("value").write.mode("overwrite").text(path)
+
+
+def write_group_report(pairs: DataFrame, path: str) -> None:
+    """A text line for each pair of sequences, with its kind, GC contents and lengths."""
+    number = lambda c: F.format_string("%.3f", F.col(c))
+    line = F.concat_ws("\t", F.concat(F.lit("pair_"), F.col("pair_no").cast("string")), "kind", F.col("first_id").cast("string"), F.col("second_id").cast("string"), number("gc_first"), F.when(F.col("gc_second").isNotNull(), number("gc_second")), F.col("length_first").cast("string"), F.col("length_second").cast("string"))
+    pairs.orderBy("pair_no").select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def write_catalog(catalog: DataFrame, maps: DataFrame, strings: DataFrame, path: str) -> None:
+    """Catalog and strings as tables, the regulatory maps as JSON, the strings as FASTA."""
+    write_table(catalog, f"{path}/catalog")
+    write_json(maps, f"{path}/maps")
+    write_table(strings, f"{path}/strings")
+    for c in strings.columns[1:]:
+        write_fasta(strings, f"{path}/fasta_{c}", strings.columns[0], c)

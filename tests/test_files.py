@@ -123,3 +123,17 @@ def test_fasta_header(spark):
     rows = spark.createDataFrame([("L", "ACG", 5, 3, "+", "a"), ("L", "TTT", 9, 3, "-", "b")], "line string, consensus string, position int, width int, strand string, src_ord string")
     assert sinks.fasta_header("spaced", rows).first()["header"] == "L mode=spaced motifs=2 consensuses=ACG,TTT positions=5,9"
     assert encode.spaced_string(rows).first()["encoded"] == "ACGNTTT" and encode.positional_string(rows).first()["encoded"] == "P000ACGNNP1000[TTT]"
+
+
+def test_chart_and_report_sinks(spark, tmp_path):
+    table = spark.createDataFrame([(float(i), "a" if i % 2 else "b") for i in range(11)], "v double, k string")
+    rows = sinks.histogram(table, "v", 5).orderBy("bin").collect()
+    assert [r["n"] for r in rows] == [2, 2, 2, 2, 3] and rows[0]["low"] == 0.0 and rows[-1]["high"] == 10.0
+    assert sinks.histogram(table.where("false"), "v").count() == 0
+    assert {r["k"]: r["median"] for r in sinks.box_data(table, "v", "k").collect()} == {"a": 5.0, "b": 5.0}
+    docs = spark.createDataFrame([(1, "GGCC"), (2, "GGCA"), (3, "A")], "n int, t string")
+    pairs = encode.adjacent_pairs(docs, "n", "n", "t")
+    assert [(r["kind"], r["second_id"]) for r in pairs.orderBy("pair_no").collect()] == [("dissimilar_pair", 2), ("single_remaining", None)]
+    sinks.write_group_report(pairs, str(tmp_path / "groups"))
+    assert spark.read.text(str(tmp_path / "groups")).count() == 2
+    assert [r["motif_group"] for r in encode.pair_groups(pairs, ["m"]).collect()] == ["orphan", "orphan"]
