@@ -11,6 +11,11 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session (tests) gets a temporary folder and a cluster
+    a folder in the warehouse, which its executors share.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
@@ -20,9 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
 
 
-def persist_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet and read it back: lineage ends here, and a lost executor
-    costs a reread."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def persist_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here,
+    and a lost executor costs a reread, not a recomputation."""
+    path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
