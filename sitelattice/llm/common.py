@@ -3,14 +3,12 @@ intermediate tables and distributed connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL: dict[str, str] = {}
+from sitelattice.plans.tables import new_path, persist_table, shared_dir  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,22 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``.
-
-    Where it is unset, a local session (tests) gets a temporary folder and a
-    cluster the warehouse, which its executors share.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        if "dir" not in _LOCAL:
-            _LOCAL["dir"] = tempfile.mkdtemp(prefix="sitelattice-")
-        return f"file://{_LOCAL['dir']}"
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
-
-
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through Hadoop's file system, wherever it lies."""
     jvm = spark.sparkContext._jvm
@@ -45,19 +27,6 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def persist_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet in the shared folder and read it
-    back. A lost executor then costs a reread, not a recomputation."""
-    spark = df.sparkSession
-    path = path or new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
     """Arrow batches of whole texts for this session: bounded by bytes, since a text's
     length is not."""
