@@ -54,7 +54,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- scans and scalars ----
 
 
-@query(o.with_(o.RAW, o.select("gene_id line original_motif_id start_pos end_pos strand score:d sequence src_ord", "select * from sites_raw")))
+@query(o.with_(o.RAW, o.select("gene_id line original_motif_id start_pos end_pos:i strand score:d sequence src_ord", "select * from sites_raw")))
 def site_scan(spark, sf_dir):
     return views.sites_raw(spark, sf_dir)
 
@@ -123,7 +123,7 @@ def motif_clusters(spark, sf_dir):
     return sites.motif_clusters(raw(spark, sf_dir)).select("pattern", "true_consensus", M, "motif_consensus", "cluster_size")
 
 
-@query(o.over_sites(o.select(f"gene_id line strand {M} start_pos end_pos score:d sequence merged_count length", "select * exclude (merged_count, length), cast(merged_count as int) as merged_count, cast(length as int) as length from merged")))
+@query(o.over_sites(o.select(f"gene_id line strand {M} start_pos end_pos:i score:d sequence merged_count length", "select * exclude (merged_count, length), cast(merged_count as int) as merged_count, cast(length as int) as length from merged")))
 def overlap_merge(spark, sf_dir):
     placed = sites.assign_clusters(views.sites_raw(spark, sf_dir))
     return sites.merge_overlaps(placed).select(*sites.GROUP, "start_pos", "end_pos", "score", "sequence", "merged_count", "length")
@@ -134,7 +134,7 @@ def rank_in_gene(spark, sf_dir):
     return sites.rank_in_gene(views.sites_raw(spark, sf_dir)).select("src_ord", "gene_id", "line", "relative_position", "total_motifs_in_gene", "relative_position_fraction")
 
 
-_SITE_COLUMNS = f"{M} original_motif_id motif_consensus original_streme_consensus line gene_id start_pos end_pos strand score:d sequence relative_position total_motifs_in_gene relative_position_fraction:d cluster_size merged_count length"
+_SITE_COLUMNS = f"{M} original_motif_id motif_consensus original_streme_consensus line gene_id start_pos end_pos:i strand score:d sequence relative_position total_motifs_in_gene relative_position_fraction:d cluster_size merged_count length"
 _SITE_SQL = "select * exclude (relative_position, total_motifs_in_gene, cluster_size, merged_count, length), cast(relative_position as int) as relative_position, cast(total_motifs_in_gene as int) as total_motifs_in_gene, cast(relative_position as double) / total_motifs_in_gene as relative_position_fraction, cast(cluster_size as int) as cluster_size, cast(merged_count as int) as merged_count, cast(length as int) as length from sites"
 
 

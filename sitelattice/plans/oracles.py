@@ -124,8 +124,9 @@ def over_sites(body: str, *more: str) -> str:
 
 
 def rounded(names: str) -> str:
-    """``a b:d`` -> columns, those marked :d rounded."""
-    return ", ".join(f"round(cast({n[:-2]} as double), 6) + 0e0 as {n[:-2]}" if n.endswith(":d") else n for n in names.split())
+    """``a b:d c:i`` -> columns, those marked :d rounded, :i as int."""
+    shape = {"d": "round(cast({0} as double), 6) + 0e0 as {0}", "i": "cast({0} as int) as {0}", "": "{0}"}
+    return ", ".join(shape[kind].format(name) for name, _, kind in (n.partition(":") for n in names.split()))
 
 
 def select(names: str, body: str) -> str:
