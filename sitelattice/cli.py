@@ -74,12 +74,12 @@ def make_features(spark, a, table: DataFrame | None = None) -> None:
     sinks.write_text(sinks.feature_summary(names, long.select("gene_id", "line").distinct().count()), table, f"{a.output}/feature_summary")
 
 
-def _model_outputs(spark, data: DataFrame, names: list[str], output: str, title: str, kind: str) -> None:
+def _model_outputs(spark, data: DataFrame, names: list[str], output: str, title: str, kind: str, trees: int) -> None:
     data = persist_table(data, "design")
     found = models.linear_models(models.gather(data, names))
-    found["random_forest"] = models.tree_model(data, models.forest())
+    found["random_forest"] = models.tree_model(data, models.forest(trees))
     if kind == "relative":
-        found["gradient_boosting"] = models.tree_model(data, models.boosted())
+        found["gradient_boosting"] = models.tree_model(data, models.boosted(trees))
     metrics = models.metrics_table(spark, found)
     sinks.write_table(models.importances(spark, found, names), f"{output}/importances")
     sinks.write_table(sinks.chart_data(models.importances(spark, found, names)), f"{output}/importance_chart")
@@ -102,7 +102,7 @@ def relative(spark, a, table: DataFrame | None = None) -> None:
     values = persist_table(features.long_values(rel, RELATIVE), "values")
     sinks.write_table(rel, f"{a.output}/relative_features")
     names = sorted(r[0] for r in features.varying(values).select("feature").collect())
-    _model_outputs(spark, models.group_folds(models.design(values, target, names)), names, a.output, "Relative analysis", "relative")
+    _model_outputs(spark, models.group_folds(models.design(values, target, names)), names, a.output, "Relative analysis", "relative", a.trees)
 
 
 def absolute(spark, a) -> None:
@@ -113,7 +113,7 @@ def absolute(spark, a) -> None:
     values = wide.unpivot(["gene_id", "line"], names, "feature", "value")
     spread = features.varying(values).orderBy(F.desc("variance"), "feature")
     names = sorted(r[0] for r in (spread.limit(a.top_motifs) if a.top_motifs else spread).select("feature").collect())
-    _model_outputs(spark, models.group_folds(models.design(values, target, names)), names, a.output, "Absolute analysis", "absolute")
+    _model_outputs(spark, models.group_folds(models.design(values, target, names)), names, a.output, "Absolute analysis", "absolute", a.trees)
 
 
 LAYERS = {
@@ -135,7 +135,7 @@ def comprehensive(spark, a) -> None:
         names = sorted(r[0] for r in top.select("feature").collect())
         parts.append(values.where(F.col("feature").isin(names)))
         used[layer] = names
-        found[layer] = models.tree_model(persist_table(models.group_folds(models.design(values, target, names)), "design"), models.forest())
+        found[layer] = models.tree_model(persist_table(models.group_folds(models.design(values, target, names)), "design"), models.forest(a.trees))
     if a.interactions:
         motifs = [r[0] for r in sites.top_motifs(table, 10).select(M).collect()]
         pairs = features.interactions(features.presence(table), features.position_layer(table), motifs)
@@ -145,7 +145,7 @@ def comprehensive(spark, a) -> None:
         everything = everything.unionByName(p)
     names = sorted(n for ns in used.values() for n in ns)
     data = persist_table(models.group_folds(models.design(everything, target, names)), "design")
-    found["combined"] = models.tree_model(data, models.forest(200))
+    found["combined"] = models.tree_model(data, models.forest(2 * a.trees))
     sinks.write_table(models.importances(spark, {"combined": found["combined"]}, names), f"{a.output}/importances")
     metrics = models.metrics_table(spark, found)
     sinks.write_text(sinks.report(metrics, "Layers", "absolute"), metrics, f"{a.output}/report")
@@ -167,7 +167,7 @@ def gene_specific(spark, a) -> None:
     if n <= 10:
         sinks.write_text([f"leave-one-out R2: {models.pooled_r2(data):.4f}" if n >= 2 else "too few rows"], data, f"{a.output}/report")
     else:
-        _model_outputs(spark, models.row_folds(data, min(5, n)), names, a.output, "Gene-specific analysis", "gene")
+        _model_outputs(spark, models.row_folds(data, min(5, n)), names, a.output, "Gene-specific analysis", "gene", a.trees)
 
 
 def mixed(spark, a) -> None:
@@ -244,6 +244,9 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--top-motifs", type=int, default=top)
         c.add_argument("--min-sites", type=int, default=10)
 
+    def growing(c: argparse.ArgumentParser) -> None:
+        c.add_argument("--trees", type=int, default=100, help="trees of a forest, rounds of boosting")
+
     merging(command("consolidate", consolidate, "folder"))
     command("validate", validate, "sites")
     c = command("features", make_features, "sites")
@@ -251,17 +254,21 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--simple", action="store_true")
     selecting(c)
     c = command("relative", relative, "sites", "expression")
+    growing(c)
     c.add_argument("--reference-line", default=REFERENCE)
     c.add_argument("--selection-method", choices=("variance", "frequency", "expression_corr"), default="variance")
     selecting(c, 100)
     c = command("absolute", absolute, "features", "expression")
+    growing(c)
     c.add_argument("--detailed", action="store_true")
     c.add_argument("--top-motifs", type=int)
     c = command("comprehensive", comprehensive, "sites", "expression")
+    growing(c)
     c.add_argument("--layers", default=",".join(LAYERS))
     c.add_argument("--interactions", action="store_true")
     c.add_argument("--top-motifs", type=int, default=50)
     c = command("gene-specific", gene_specific, "sites", "expression")
+    growing(c)
     c.add_argument("--genes")
     c.add_argument("--gene-file")
     c.add_argument("--type", choices=("relative", "absolute"), default="relative")
@@ -273,6 +280,7 @@ def parser() -> argparse.ArgumentParser:
     c = command("catalog", catalog, "folder")
     c.add_argument("--threshold", type=float, default=0.75)
     c = command("full", full, "folder")
+    growing(c)
     merging(c)
     c.add_argument("--expression")
     c.add_argument("--simple", action="store_true")

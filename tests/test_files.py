@@ -107,16 +107,16 @@ def test_commands(spark, folder, tmp_path):
     assert cli.main(["features", f"{out}/sites", "--min-sites", "1", "--expression", f"{folder}/long.tsv", "--output", out]) == 0
     wide = files.read_features(spark, f"{out}/features")
     assert wide.count() == 6 and "MOTIF_001_present" in wide.columns and dict(wide.dtypes)["MOTIF_001_position_mean"] == "double"
-    assert cli.main(["relative", f"{out}/sites", f"{folder}/wide.tsv", "--min-sites", "1", "--output", f"{out}/rel"]) == 0
+    assert cli.main(["relative", "--trees", "3", f"{out}/sites", f"{folder}/wide.tsv", "--min-sites", "1", "--output", f"{out}/rel"]) == 0
     assert "Best: " in "\n".join(r[0] for r in spark.read.text(f"{out}/rel/report").collect())
-    assert cli.main(["gene-specific", f"{out}/sites", f"{folder}/wide.tsv", "--genes", "g1,g2", "--output", f"{out}/gene"]) == 0
+    assert cli.main(["gene-specific", "--trees", "3", f"{out}/sites", f"{folder}/wide.tsv", "--genes", "g1,g2", "--output", f"{out}/gene"]) == 0
     assert cli.main(["catalog", folder, "--output", f"{out}/cat"]) == 0
     assert spark.read.csv(f"{out}/cat/catalog", sep="\t", header=True).count() == 6  # consensus under 3 letters never matches
     assert cli.main(["diagnostic", f"{out}/sites", f"{folder}/wide.tsv", "--output", f"{out}/diag"]) == 0
     assert cli.main(["mixed", f"{out}/features", f"{folder}/wide.tsv", "--output", f"{out}/mixed"]) == 0
-    assert cli.main(["comprehensive", f"{out}/sites", f"{folder}/wide.tsv", "--interactions", "--top-motifs", "5", "--output", f"{out}/comp"]) == 0
-    assert cli.main(["absolute", f"{out}/features", f"{folder}/wide.tsv", "--detailed", "--output", f"{out}/abs"]) == 0
-    assert cli.main(["full", folder, "--expression", f"{folder}/wide.tsv", "--min-sites", "1", "--output", f"{out}/full"]) == 0
+    assert cli.main(["comprehensive", "--trees", "3", f"{out}/sites", f"{folder}/wide.tsv", "--interactions", "--top-motifs", "5", "--output", f"{out}/comp"]) == 0
+    assert cli.main(["absolute", "--trees", "3", f"{out}/features", f"{folder}/wide.tsv", "--detailed", "--output", f"{out}/abs"]) == 0
+    assert cli.main(["full", "--trees", "3", folder, "--expression", f"{folder}/wide.tsv", "--min-sites", "1", "--output", f"{out}/full"]) == 0
 
 
 def test_fasta_header(spark):
