@@ -26,10 +26,11 @@ def _parent(path: Column) -> Column:
 
 
 def _lines(spark: SparkSession, pattern: str) -> DataFrame:
-    """(path, n, text): the lines of whole files, numbered. A file is one run's table;
-    files are the unit of work."""
-    files = spark.read.text(pattern, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
-    return files.select("path", F.posexplode(F.split("value", "\r?\n")).alias("n", "text"))
+    """(path, n, text): lines with a key that orders them within their file: where the
+    block they were read from begins, then their place among the rows read. Large files
+    are split as usual."""
+    place = F.concat_ws("-", F.lpad(F.col("_metadata.file_block_start").cast("string"), 15, "0"), F.lpad(F.monotonically_increasing_id().cast("string"), 19, "0"))
+    return spark.read.text(pattern).select(F.col("_metadata.file_path").alias("path"), place.alias("n"), F.col("value").alias("text"))
 
 
 def read_sites(spark: SparkSession, folder: str, lines: list[str] | None = None) -> DataFrame:
@@ -37,7 +38,7 @@ def read_sites(spark: SparkSession, folder: str, lines: list[str] | None = None)
 
     Columns are found by name in each file's header; a file that lacks one is left out.
     Blank and ``#`` lines go, as do rows with too few fields, a missing value or a
-    number that is none. ``src_ord`` is the directory and line number.
+    number that is none. ``src_ord`` orders by directory, then line.
     """
     text = _lines(spark, f"{folder.rstrip('/')}/streme_*/sites.tsv").withColumn("dir", _parent(F.col("path"))).withColumn("line", line_name(F.col("dir")))
     if lines:
@@ -49,7 +50,7 @@ def read_sites(spark: SparkSession, folder: str, lines: list[str] | None = None)
     good = first.where(F.forall(F.array(*[F.lit(c) for c in REQUIRED]), lambda c: F.array_contains(header, c)))
     rows = text.join(good.select("path", "header_n", *[(F.array_position(header, F.lit(c)) - 1).cast("int").alias(f"at_{c}") for c in REQUIRED]), "path").where(F.col("n") > F.col("header_n"))
     value = lambda c: F.trim(F.get(fields, F.col(f"at_{c}")))
-    rows = rows.where(F.size(fields) >= len(REQUIRED)).select("line", F.concat_ws("|", "dir", F.lpad(F.col("n").cast("string"), 12, "0")).alias("src_ord"), *[value(c).alias(c) for c in REQUIRED])
+    rows = rows.where(F.size(fields) >= len(REQUIRED)).select("line", F.concat_ws("|", "dir", "n").alias("src_ord"), *[value(c).alias(c) for c in REQUIRED])
     kept = rows.where(F.forall(F.array("site_Start", "site_End", "site_Score", "site_Sequence", "motif_ID"), lambda v: v.isNotNull() & ~v.isin(*MISSING)))
     whole = lambda c: F.expr(f"try_cast(try_cast({c} as double) as int)")
     return kept.select(

@@ -137,3 +137,17 @@ def test_chart_and_report_sinks(spark, tmp_path):
     sinks.write_group_report(pairs, str(tmp_path / "groups"))
     assert spark.read.text(str(tmp_path / "groups")).count() == 2
     assert [r["motif_group"] for r in encode.pair_groups(pairs, ["m"]).collect()] == ["orphan", "orphan"]
+
+
+def test_split_files_keep_their_order(spark, folder):
+    """The same hits in the same order, however the files are cut into splits."""
+    key = "spark.sql.files.maxPartitionBytes"
+    whole = [tuple(r)[:-1] for r in files.read_sites(spark, folder).orderBy("src_ord").collect()]
+    spark.conf.set(key, "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        cut = files.read_sites(spark, folder)
+        assert files._lines(spark, f"{folder}/streme_*/sites.tsv").rdd.getNumPartitions() > 5 and [tuple(r)[:-1] for r in cut.orderBy("src_ord").collect()] == whole
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
