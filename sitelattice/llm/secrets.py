@@ -38,7 +38,8 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 PATTERNS = (ASSIGN, r"AKIA[A-Z0-9]+", r"[0-9a-f]+")
 LEAST = (8, 16, 32)
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}"
+#: A run may follow "=" (KEY=value); padding is not the sign between a name and its value.
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:={1,2}(?![A-Za-z0-9+/_-]))?"
 FDR = 0.01
 NOT_RANDOM = 1e-4
 CLASSES = (32, 64, 128)

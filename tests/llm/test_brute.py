@@ -76,6 +76,19 @@ def test_secrets_battery(spark):
     assert all([tuple(s) for s in rows[i]] in ([], [(2, len(made[i]) - 2)]) for i in range(100))
 
 
+def test_secrets_battery_after_equals_sign(spark):
+    rng = random.Random(6)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    heads = ["AWS_SECRET_ACCESS_KEY=", "GET /blob?sig=", "x=1&signature_of_the_request=", "export DB_PASS_PHRASE=="]
+    values = ["".join(rng.choice(alphabet) for _ in range(40)) + "=" * (i % 3) for i in range(100)]
+    made = [heads[i % 4] + v + " e" for i, v in enumerate(values)]
+    plain = ["path=thequickbrownfoxjumpsoverthelazydogandthenrunsaway", "a_very_long_identifier_name_for_some_function=another_long_identifier_name_in_code"]
+    docs = spark.createDataFrame(list(enumerate(made + plain * 50)), "doc_id long, text string")
+    rows = {r["doc_id"]: [tuple(s) for s in r["random"]] for r in secrets.scan(docs).collect()}
+    assert sum(bool(rows[i]) for i in range(100)) >= 97 and not any(rows[i] for i in range(100, len(rows)))
+    assert all(rows[i] in ([], [(len(heads[i % 4]), len(made[i]) - 2)]) for i in range(100))
+
+
 def plain_fingerprint(text):
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
     shingles = [" ".join(words[i : i + 4]) for i in range(len(words) - 3)] or ([" ".join(words)] if words else [])
