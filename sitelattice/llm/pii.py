@@ -17,7 +17,9 @@ spacing:
 
 Distinctness is checked over all documents: distinct entities whose surrogates clash,
 or whose surrogate is itself an entity of the corpus, are drawn again with the next
-attempt number, all but the first of them, until none clashes. Those later draws are
+attempt number, all but the first of them, until none clashes. After ``SAME_SHAPE``
+draws the surrogate grows by a digit, letter or syllable an attempt, so a shape whose
+values are all taken does not hold the rest up. Those later draws are
 a table that is joined to the entities of the documents concerned; documents whose
 entities all kept their first draw (nearly all) are rewritten without any shuffle.
 Only built-in expressions are used.
@@ -36,6 +38,8 @@ from . import common
 from .native import between, let, matches
 
 KEY = "surrogate-key-1"
+#: Draws again that keep the shape; later ones widen it.
+SAME_SHAPE = 3
 # Forms of address.
 MALE = "Mr Mister Sir Herr Herrn Señor Sr Monsieur M Don Господин Г-н Κύριος".split()
 FEMALE = "Mrs Ms Miss Madam Frau Fräulein Señora Señorita Sra Srta Madame Mme Mademoiselle Mlle Doña Госпожа Г-жа Κυρία".split()
@@ -125,11 +129,11 @@ def _luhn_rest(digits: Column) -> Column:
     return F.pmod(F.aggregate(values, F.lit(0), lambda a, v: a + v), F.lit(10))
 
 
-def _account(s: Column, digest: Column) -> Column:
-    """Luhn-valid if the original is."""
+def _account(s: Column, digest: Column, like: Column) -> Column:
+    """Luhn-valid if ``like``, the original, is."""
 
     def made(x: Column) -> Column:
-        new, old = x["new"], F.regexp_replace(s, "[^0-9]", "")
+        new, old = x["new"], F.regexp_replace(like, "[^0-9]", "")
         rest = _luhn_rest(F.regexp_replace(new, "[^0-9]", ""))
         last = F.length(new)
         fixed = F.pmod(F.substr(new, last, F.lit(1)).cast("int") - rest, F.lit(10)).cast("string")  # the last digit counts once
@@ -151,16 +155,18 @@ def _given(digest: Column, gender: Column, script: Column) -> Column:
     return out
 
 
-def _family(digest: Column, script: Column) -> Column:
-    """Four syllables: some forty million names a script."""
+def _family(digest: Column, script: Column, more: Column) -> Column:
+    """Four syllables, some forty million names a script, and ``more``."""
 
     def of(name: str) -> Column:
         first, second = SYLLABLES[name]
-        parts = []
-        for i in range(4):
-            n = _byte(digest, F.lit(2 * i + 1))
-            parts += [F.substr(F.lit(first), F.pmod(n, F.lit(len(first))).cast("int") + 1, F.lit(1)), F.substr(F.lit(second), F.pmod((n / 16).cast("int"), F.lit(len(second))).cast("int") + 1, F.lit(1))]
-        return F.initcap(F.concat(*parts))
+
+        def syllable(i: Column) -> Column:
+            n = _byte(digest, 2 * i + 1)
+            return F.concat(F.substr(F.lit(first), F.pmod(n, F.lit(len(first))).cast("int") + 1, F.lit(1)), F.substr(F.lit(second), F.pmod((n / 16).cast("int"), F.lit(len(second))).cast("int") + 1, F.lit(1)))
+
+        longer = F.when(more > 0, F.array_join(F.transform(F.sequence(F.lit(4), more + 3), syllable), "")).otherwise("")
+        return F.initcap(F.concat(*[syllable(F.lit(i)) for i in range(4)], longer))
 
     return F.when(script == "cyrillic", of("cyrillic")).when(script == "greek", of("greek")).otherwise(of("latin"))
 
@@ -171,22 +177,26 @@ def _cased(s: Column, like: Column) -> Column:
 
 def surrogate(kind: Column, s: Column, attempt: Column, key: str) -> Column:
     """The surrogate of one unit: an entity, or one word of a name (kinds ``given_m``,
-    ``given_f``, ``family``). Later attempts of a first name add a family name's
-    syllables, since the pools are small."""
+    ``given_f``, ``family``). Later attempts of a first name take a family name's
+    syllables, since the pools are small. Addresses of IPv4 cannot widen."""
 
     def made(d: Column) -> Column:
         script = _script(s)
-        given = F.when(attempt == 0, _given(d["d"], F.substr(kind, F.lit(7), F.lit(1)), script)).otherwise(_family(d["d"], script))
-        code = F.length(F.regexp_extract(s, r"^\+[0-9]{1,3}", 0))
-        mail = F.regexp_extract(s, r"^(.*)(\.\p{L}+)$", 1)
+        more = F.greatest(attempt - SAME_SHAPE, F.lit(0))
+        family = _family(d["d"], script, more)
+        given = F.when(attempt == 0, _given(d["d"], F.substr(kind, F.lit(7), F.lit(1)), script)).otherwise(family)
+        # Without a separator the code is a guess: it leaves six digits to be drawn where there are as many.
+        code = F.length(F.regexp_extract(s, r"^\+[0-9]{1,3}(?=[^0-9]|[0-9](?:[^0-9]*[0-9]){5})", 0))
+        mail = F.concat(F.repeat(F.lit("a"), more), F.regexp_extract(s, r"^(.*)(\.\p{L}+)$", 1))
+        longer = F.concat(s, F.repeat(F.lit("0"), more))
         return (
             F.when(kind == "email", F.concat(_shaped(mail, d["d"], F.lit(0)), F.regexp_extract(s, r"(\.\p{L}+)$", 1)))
             .when(kind == "ip", _ip(d["d"]))
-            .when(kind == "account", _account(s, d["d"]))
-            .when(kind == "phone", _shaped(s, d["d"], code))
-            .when(kind == "iban", _shaped(s, d["d"], F.lit(2)))
-            .when(kind == "ssn", _shaped(s, d["d"], F.lit(0)))
-            .when(kind == "family", _cased(_family(d["d"], script), s))
+            .when(kind == "account", _account(longer, d["d"], s))
+            .when(kind == "phone", _shaped(longer, d["d"], code))
+            .when(kind == "iban", _shaped(longer, d["d"], F.lit(2)))
+            .when(kind == "ssn", _shaped(longer, d["d"], F.lit(0)))
+            .when(kind == "family", _cased(family, s))
             .otherwise(_cased(given, s))
         )
 

@@ -348,6 +348,17 @@ def test_pii_distinct(spark):
     assert len(set(new)) == len(new) == len(set(names)) > 24
 
 
+def test_pii_full_shapes(spark):
+    """Shapes whose values are (nearly) all entities of the corpus: the rest widen."""
+    phones = [f"+123{i}" for i in range(10)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.de" for a in letters for b in letters][:500]
+    docs = spark.createDataFrame([(i, f"to {e} now") for i, e in enumerate(phones + mails)], "doc_id long, text string")
+    new = [r["text"].split(" ")[1] for r in pii.surrogates(docs).orderBy("doc_id").collect()]
+    assert len(set(new)) == len(new) == 510 and not set(new) & {*phones, *mails}
+    assert all(re.fullmatch(r"\+[0-9]{4,}", p) for p in new[:10]) and all(re.fullmatch(r"[a-z]+@[a-z]\.de", m) for m in new[10:])
+
+
 def test_license_table_has_anchors():
     assert all(re.search(licenses.ANCHOR, s) for s in licenses.SENTENCES.values())
     assert all(i in licenses.SENTENCES for _, ids in licenses.RULES for i in ids)
