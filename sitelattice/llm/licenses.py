@@ -3,7 +3,10 @@
 Texts are cut into sentences at line ends and at closing punctuation before white
 space; sentences are normalised (ASCII lower case, runs of anything but letters and
 digits to one blank). A normalised sentence that a licence text is known to hold maps
-to its identifier. Licence rules are sequences of identifiers: a rule matches where its
+to its identifier. Known sentences are also found wrapped: over several lines, with or
+without comment marks, no blank line or full stop between (a semicolon or colon may be).
+Such a sentence takes the place of its first line; lines that are known sentences by
+themselves stay so. Licence rules are sequences of identifiers: a rule matches where its
 sentences stand in order with no other known sentence between them. Rules are tried in
 their written order, longest texts first, and what one has matched is used up; a known
 sentence that no rule takes is reported as a fragment.
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .native import let
+from .native import between, let, matches
 
 SPLIT = r"[\r\n]+|[.!?;:]+(?:[ \t]+|$)"
 ANCHOR = r"(?i)licen[cs]e|rights reserved|copyright|permission|warrant|redistribution|free software|public domain|liab|provided by the"
@@ -96,16 +99,45 @@ def normalised(s: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(s, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " "))
 
 
+#: In a text of sentences "|" is a cut that a known sentence cannot span, "/" one that it can.
+#: Sentences by themselves come before wrapped ones, longer before shorter.
+_LONGEST = sorted(SENTENCES.values(), key=len, reverse=True)
+KNOWN = rf"(?<=[|/])(?:{'|'.join(_LONGEST)}|{'|'.join(s.replace(' ', '[ /]') for s in _LONGEST)})(?=[|/])"
+
+
+def marked(text: Column) -> Column:
+    """The normalised sentences, blank ones left out, each with the mark of the cut
+    after it; a mark before all."""
+
+    def part(s: Column, i: Column, cuts: Column) -> Column:
+        cut = F.coalesce(F.get(cuts, i), F.lit("."))
+        hard = cut.rlike(r"[.!?]|\n\r?\n|\r\r") | s.rlike(r"[.!?][^A-Za-z0-9]*$")
+        return let(normalised(s), lambda n: F.when(n == "", "|").otherwise(F.concat(n, F.when(hard, "|").otherwise("/"))))
+
+    parts = F.array_join(let(matches(text, SPLIT), lambda cuts: F.transform(F.split(text, SPLIT, -1), lambda s, i: part(s, i, cuts))), "")
+    # A blank sentence (a blank line, or comment marks alone) makes the cut before it hard.
+    joined = F.regexp_replace(F.concat(F.lit("|"), parts), r"[|/]*\|[|/]*", "|")
+    return F.regexp_replace(joined, r"(?<=[|/])(?:dnl|rem) ", "")
+
+
 def known_sentences(text: Column) -> Column:
     """array<struct<sentence, id>>: place (from 0, blank ones not counted) and
     identifier of the known sentences."""
     table = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (s, i)])
-    # Only sentences of a known length are looked up.
-    lengths = [F.lit(n) for n in sorted({len(s) for s in SENTENCES.values()})]
-    sentences = F.filter(F.transform(F.split(text, SPLIT, -1), normalised), lambda s: s != "")
-    ids = F.transform(sentences, lambda s, i: F.struct(i.alias("sentence"), F.when(F.length(s).isin(*lengths), F.try_element_at(table, s)).alias("id")))
     none = F.array().cast("array<struct<sentence:int,id:int>>")
-    return F.when(text.rlike(ANCHOR), F.filter(ids, lambda x: x["id"].isNotNull())).otherwise(none)
+    cuts = lambda s: F.length(s) - F.length(F.translate(s, "|/", ""))
+
+    def placed(x: Column) -> Column:
+        def step(a: Column, i: Column) -> Column:
+            s, at = F.get(x["found"], i), a["at"] + cuts(F.get(x["gaps"], i))
+            hit = F.struct((at - 1).alias("sentence"), F.try_element_at(table, F.translate(s, "/", " ")).alias("id"))
+            return F.struct((at + cuts(s)).alias("at"), F.array_append(a["all"], hit).alias("all"))
+
+        zero = F.struct(F.lit(0).alias("at"), none.alias("all"))
+        return F.when(F.size(x["found"]) > 0, F.aggregate(F.sequence(F.lit(0), F.size(x["found"]) - 1), zero, step, lambda a: a["all"])).otherwise(none)
+
+    found = let(marked(text), lambda m: let(F.struct(matches(m, KNOWN).alias("found"), between(m, KNOWN).alias("gaps")), placed))
+    return F.when(text.rlike(ANCHOR), found).otherwise(none)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -375,6 +376,27 @@ def test_license_rules(spark):
     assert rows[3]["known"] == []
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details."""
+
+
+def test_license_wrapped(spark):
+    wrap = lambda t, mark, end="\n": end.join(mark + line for p in t.split("\n") for line in textwrap.wrap(p, 78 - len(mark)) or [""])
+    made = [wrap(t, mark, end) for t in (MIT, GPL) for mark, end in (("", "\n"), (" * ", "\n"), ("# ", "\r\n"), ("dnl ", "\n"))]
+    apart = licenses.SENTENCES[4].replace("notice shall", "notice\n\nshall")
+    docs = spark.createDataFrame(list(enumerate([*made, apart, "one\nall rights reserved\ntwo"])), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    assert all(rows[i]["licences"] == [("MIT", "GPL-3.0-or-later")[i // 4]] and rows[i]["fragments"] == [] for i in range(8))
+    assert [k["id"] for k in rows[0]["known"]] == [3, 4, 5, 6] and [k["id"] for k in rows[4]["known"]] == [24, 25, 22, 23]
+    assert rows[8]["known"] == [] and [tuple(k) for k in rows[9]["known"]] == [(1, 70)]
+
+
 def test_pipeline(spark):
     import corpus_pipeline as pipeline
 
