@@ -3,9 +3,12 @@
 The lexicon is learned: words, and stems with several endings, that labelled toxic
 documents use and others do not. It is held as a trie. A word of a document is run
 against it by intersecting the trie with the word's Levenshtein automaton, whose
-states are kept as bit sets, so a misspelled term (one edit from ``FUZZY_FROM``
-letters on, two from twice that) is caught without listing spellings. A stem ends
-the walk wherever the word goes on.
+states are kept as bit sets, so a misspelled term (one edit from ``SHORT_FROM``
+letters on, two from twice ``FUZZY_FROM``) is caught without listing spellings. A stem
+of ``FUZZY_FROM`` letters or more ends the walk wherever the word goes on, and the
+words that a stem was learned from are in the trie themselves. Terms under
+``FUZZY_FROM`` letters have many clean words near them: their misspellings begin with
+the same letter or a digit, and are no word of the other labelled documents.
 
 Each hit is then judged by the words around it: quotation marks open before and
 closed after it, or reporting verbs, make it a quotation, words of address near it
@@ -39,6 +42,7 @@ from . import common, quality
 SAMPLE = 6000
 TERMS = 2000
 FUZZY_FROM = 6
+SHORT_FROM = 4
 STEM = 4
 CONTEXT = 6
 THRESHOLD = 0.7
@@ -55,19 +59,26 @@ def words(text: str | None) -> list[str]:
 
 class Lexicon:
     """Trie of terms and stems. ``find`` gives (kind, weight): 0 exact, 1 stem,
-    2 misspelled; None if no term is near."""
+    2 misspelled; None if no term is near. ``inflected`` are words of stems, held for
+    their misspellings; ``clean`` are words that are no misspelling."""
 
-    def __init__(self, terms: dict[str, float], stems: dict[str, float]):
-        self.terms, self.stems = terms, stems
+    def __init__(self, terms: dict[str, float], stems: dict[str, float], inflected: dict[str, float] | None = None, clean: set[str] | None = None):
+        self.terms, self.stems, self.inflected, self.clean = terms, stems, inflected or {}, clean or set()
         self.root: dict = {}
-        for term in terms:
-            node = self.root
-            for c in term:
-                node = node.setdefault(c, {})
-            node[""] = term
+        # A word ends at the key "", a stem at None.
+        for entries, end in ((terms, ""), (self.inflected, ""), ([s for s in stems if len(s) >= FUZZY_FROM], None)):
+            for term in entries:
+                node = self.root
+                for c in term:
+                    node = node.setdefault(c, {})
+                node[end] = term
         self.stem_lengths = sorted({len(s) for s in stems})
         # With one edit the first or the last half of a term is left as it was, with two the first, middle or last third.
-        self.parts = {(k, part) for term in terms if len(term) >= FUZZY_FROM for k, part in self._parts(term)}
+        own = (*terms, *self.inflected)
+        self.parts = {p for term in own if len(term) >= FUZZY_FROM for p in self._parts(term)}
+        self.short_parts = {p for term in own if SHORT_FROM <= len(term) < FUZZY_FROM for p in self._parts(term)}
+        # What follows a stem moves its end into the word's body.
+        self.stem_parts = {("body" if k == "tail" else k, part) for stem in stems if len(stem) >= FUZZY_FROM for k, part in self._parts(stem)}
         self.known: dict[str, tuple[int, float] | None] = {}
 
     @staticmethod
@@ -95,22 +106,33 @@ class Lexicon:
         for n in self.stem_lengths:
             if word[:n] in self.stems and len(word) >= n:
                 return 1, self.stems[word[:n]]
-        if len(word) < FUZZY_FROM - 1 or not self._near(word):
+        if len(word) < SHORT_FROM - 1 or word in self.clean:
             return None
-        found = self.intersect(word)
-        return (2, max(self.terms[t] for t in found)) if found else None
+        found = self.misspelled(word)
+        return (2, max(found)) if found else None
+
+    def misspelled(self, word: str) -> list[float]:
+        """Weights of the terms and stems that ``word`` may be a misspelling of."""
+        long_enough = lambda t: len(t) >= FUZZY_FROM or word[0] == t[0] or word[0].isdigit()
+        found = []
+        if (len(word) >= FUZZY_FROM - 1 and self._near(word, self.parts)) or (len(word) <= FUZZY_FROM and self._near(word, self.short_parts)):
+            found = [self.terms.get(t, self.inflected.get(t)) for t in self.intersect(word) if long_enough(t)]
+        if len(word) >= FUZZY_FROM - 1 and self._near(word, self.stem_parts):
+            found += [self.stems[s] for s in self.intersect(word, stems=True)]
+        return found
 
-    def _near(self, word: str) -> bool:
-        parts = self.parts
+    @staticmethod
+    def _near(word: str, parts: set) -> bool:
         return ("head", word[:2]) in parts or ("tail", word[-2:]) in parts or any(("body", word[i : i + 2]) in parts for i in range(len(word) - 1))
 
     @staticmethod
     def edits(length: int) -> int:
-        return 0 if length < FUZZY_FROM else 1 if length < 2 * FUZZY_FROM else 2
+        return 0 if length < SHORT_FROM else 1 if length < 2 * FUZZY_FROM else 2
 
-    def intersect(self, word: str) -> list[str]:
+    def intersect(self, word: str, stems: bool = False) -> list[str]:
         """Terms that the Levenshtein automaton of ``word`` accepts within the edits
-        their own length allows. Bit i of a set: the first i letters are read."""
+        their own length allows; with ``stems``, stems that it accepts after any part of
+        the word. Bit i of a set: the first i letters are read."""
         n, most = len(word), 2
         full = (1 << (n + 1)) - 1
         at: dict[str, int] = {}
@@ -123,9 +145,9 @@ class Lexicon:
         while stack:
             node, sets = stack.pop()
             for c, below in node.items():
-                if c == "":
-                    e = self.edits(len(below))
-                    if sets[e] >> n & 1:
+                if not c:
+                    at_end = sets[self.edits(len(below))]
+                    if stems == (c is None) and (at_end if stems else at_end >> n & 1):
                         found.append(below)
                     continue
                 match = at.get(c, 0)
@@ -223,8 +245,15 @@ def learn_lexicon(texts: list[str], y: np.ndarray, terms: int = TERMS) -> Lexico
                 longer = next((t for t in (s + c for c in {w[len(s)] for w in heads if w.startswith(s) and len(w) == len(s) + 1}) if heads[t][1] >= 0.95 * heads[s][1]), None)
                 s = longer or s
             stems[s] = weight(heads[s])
-    best = sorted((w for w in found if not any(w.startswith(s) for s in stems)), key=lambda w: (-found[w], w))[:terms]
-    return Lexicon({w: found[w] for w in best}, stems)
+    of_stem = {w for w in found if any(w.startswith(s) for s in stems)}
+    best = sorted((w for w in found if w not in of_stem), key=lambda w: (-found[w], w))[:terms]
+    lexicon = Lexicon({w: found[w] for w in best}, stems, {w: found[w] for w in of_stem})
+    # Words of other documents that look like misspellings and are no more common in toxic ones.
+    for w, i in vocabulary.items():
+        if counts[i, 0] and counts[i, 1] / total[1] <= 2 * counts[i, 0] / total[0] and lexicon.find(w) is not None and lexicon.find(w)[0] == 2:
+            lexicon.clean.add(w)
+    lexicon.known.clear()
+    return lexicon
 
 
 class Model:

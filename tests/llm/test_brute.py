@@ -238,6 +238,16 @@ def test_toxicity_misspelled_and_quoted():
     assert not toxicity.hits(lexicon, "nothing of that kind").any()
 
 
+def test_toxicity_short_terms_and_stems_misspelled():
+    lexicon = toxicity.Lexicon({"clown": 5.0, "idiot": 5.0, "loser": 5.0}, {"lostra": 4.0, "brak": 4.0}, {"brakomi": 4.5}, {"lower"})
+    for w in ("cl0wn", "idiott", "1diot", "losr", "lstraeu", "lozstraeu", "l0strauma", "bralomi"):
+        assert toxicity.hits(lexicon, f"you {w} there")[4] == 1, w
+    assert toxicity.hits(lexicon, "lostraeu")[2] == 1 and toxicity.hits(lexicon, "brakomi")[2] == 1
+    assert not toxicity.hits(lexicon, "the lower closer brown frown last strata").any()
+    learned = toxicity.learn_lexicon([f"{a} clown {b}" for a in "abcdefghij" for b in "klmnopqrst"] + [f"{a} crown {b}" for a in "abcdefghij" for b in "klmnopqrst"], np.array([1] * 100 + [0] * 100))
+    assert "clown" in learned.terms and learned.find("cl0wn")[0] == 2 and learned.find("crown") is None
+
+
 def test_topk_bounds():
     rng = np.random.default_rng(0)
     for n in (1, 3, 5, 6, 40, 3000):
