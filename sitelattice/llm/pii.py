@@ -2,31 +2,42 @@
 
 Entities are found by one Java pattern with an alternative per kind: e-mail
 addresses, telephone numbers, IPv4 addresses, account numbers (13 to 19 digits), IBANs,
-social security numbers, and names after a form of address. Each is replaced by a
-surrogate that a keyed digest of its kind and normalised form determines, so the same
-entity gets the same surrogate in every document (coreference), whatever its case or
-spacing:
-
-* digits stay digits and separators stay, a country code stays, IPv4 octets stay valid,
-  an account number that passes the Luhn test gets one that does;
-* letters become letters of the same case and script (Latin, Greek or Cyrillic), the
-  last label of a mail domain stays;
-* a name's words are replaced one by one, a first name by one of the gender that the
-  form of address shows and of the same script, a family name by syllables of its
-  script; the form of address stays, so "Mr A B" and "Mr B" share their B.
+social security numbers, and names after a form of address (names that stand without
+one are not looked for). Each is replaced by a surrogate that a key, its kind and its
+normalised form determine, so the same entity gets the same surrogate in every document
+(coreference), whatever its case or spacing.
+
+Numbers and addresses pass through a keyed permutation of all values of their shape
+(``_permuted``): distinct entities of a shape have distinct surrogates by construction,
+none its own. Digits stay digits, letters stay letters of their case and script,
+separators stay; a telephone number keeps its country code, an IBAN its country and
+whether its check digits are right, an account number what the Luhn sum leaves, a mail
+address its last label, an IPv4 address its octets of 0 and 255.
+
+A name's words are replaced one by one; the form of address stays, so "Mr A B" and
+"Mr B" share their B. A family name becomes syllables of its script. A first name
+becomes syllables with an ending of its gender: some 10^8 names a gender and script.
+The gender is that of the form of address; after Dr and the like it is that of the
+name: from the list of known names, else from the forms of address it has elsewhere in
+the corpus (the more frequent gender), else from its ending.
 
 Distinctness is checked over all documents: distinct entities whose surrogates clash,
-or whose surrogate is itself an entity of the corpus, are drawn again with the next
-attempt number, all but the first of them, until none clashes. After ``SAME_SHAPE``
-draws the surrogate grows by a digit, letter or syllable an attempt, so a shape whose
-values are all taken does not hold the rest up. Those later draws are
-a table that is joined to the entities of the documents concerned; documents whose
-entities all kept their first draw (nearly all) are rewritten without any shuffle.
+or whose surrogate is itself an entity of the corpus (IPv4 addresses apart: their space
+cannot widen, and is one to one as it is), are drawn again with the next attempt number,
+all but the first of them, until none clashes. After ``SAME_SHAPE`` draws the surrogate
+grows by a digit, letter or syllable an attempt, so a shape whose values are all taken
+does not hold the rest up, and the drawing always ends.
+
+Texts are scanned twice: for the entities (kept by the text's digest), and to rewrite
+them. Texts that hold a later draw are found by digest; of 2^20 digest buckets those
+concerned go to the second scan as a broadcast of bounded size, and only texts in them
+are joined to their draws. All others are rewritten without a shuffle.
 Only built-in expressions are used.
 
 Nulls: a null text stays null and has no entities. A null doc_id stays null. Repeated
 rows each give a row. An empty table gives an empty result. Other columns are kept by
 ``surrogates`` and not read by the query; a column named like a working column is kept.
+A mail domain has 126 labels and an ending at most, as the rules of the net say.
 """
 
 from __future__ import annotations
@@ -54,13 +65,27 @@ FIRST = {
     ("f", "greek"): "Άννα Βασιλική Γεωργία Δήμητρα Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Νίκη Σοφία Χαρά".split(),
 }
 # Alphabets of the letters that replace letters, and of syllables.
-LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+LETTERS = {
+    "latin": "abcdefghijklmnopqrstuvwxyz", "accented": "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœšžß",
+    "cyrillic": "абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψωςάέήίόύώ",
+}
 SYLLABLES = {"latin": ("bdfghklmnprstvwz", "aeiou"), "cyrillic": ("бвгдзклмнпрстфхц", "аеиоу"), "greek": ("βγδζθκλμνπρστφχψ", "αεηιο")}
+#: Endings of first names; those of women end in one of the letters in ``FEMALE_END``, those of men never.
+ENDINGS = {
+    ("m", "latin"): "o us an er ik on ard el im ert".split(), ("f", "latin"): "a ia ina ella ana ora ela ita isa ika".split(),
+    ("m", "cyrillic"): "ий ан ор ей ин ар ет ом ил ак".split(), ("f", "cyrillic"): "а ия ина ана ея ела ора ика ета ира".split(),
+    ("m", "greek"): "ος ιος ης ας ων ανος ιδης ευς ινος ιας".split(), ("f", "greek"): "α ια η ινα ανη ελα ουλα ιδα ηνη ισσα".split(),
+}
+FEMALE_END = "[aаяαη]$"
+# Country codes of one and two digits; all others have three.
+COUNTRY = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+BUCKETS = 1 << 20
 
 _WORDC = r"\p{L}\p{N}"
 NAME = rf"(?<![{_WORDC}])(?:{'|'.join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True))})\.?\x20\p{{Lu}}[\p{{L}}'’-]+(?:\x20\p{{Lu}}[\p{{L}}'’-]+){{0,2}}"
 KINDS = {
-    "email": rf"(?<![{_WORDC}._%+-])[{_WORDC}._%+-]++@(?:[{_WORDC}-]+\.)+\p{{L}}{{2,24}}",
+    # A bounded number of labels: Java's matcher recurses once a label.
+    "email": rf"(?<![{_WORDC}._%+-])[{_WORDC}._%+-]++@(?:[{_WORDC}-]++\.){{1,126}}\p{{L}}{{2,24}}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -82,8 +107,8 @@ def kind_of(s: Column) -> Column:
 
 
 def normal_form(kind: Column, s: Column) -> Column:
-    compact = F.regexp_replace(s, r"[\s().+-]", "")
-    return F.when(kind.isin("iban", "ssn", "account", "phone"), F.upper(compact)).otherwise(F.lower(s))
+    compact = F.upper(F.regexp_replace(s, r"[\s().-]", ""))
+    return F.when(kind.isin("iban", "ssn", "account", "phone"), compact).otherwise(F.lower(s))
 
 
 def _digest(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
@@ -101,26 +126,46 @@ def _script(c: Column) -> Column:
     return F.when(c.rlike(r"\p{IsCyrillic}"), "cyrillic").when(c.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
-def _letter(c: Column, n: Column) -> Column:
-    pick = lambda name: F.substr(F.lit(LETTERS[name]), F.pmod(n, F.lit(len(LETTERS[name]))).cast("int") + 1, F.lit(1))
-    script = _script(c)
-    low = F.when(script == "cyrillic", pick("cyrillic")).when(script == "greek", pick("greek")).otherwise(pick("latin"))
-    return F.when(c.rlike(r"\p{Lu}"), F.upper(low)).otherwise(low)
+def _cell(c: Column) -> Column:
+    """A character as struct<v, r, a>: its place in its alphabet, the alphabet's size and
+    the alphabet. Other characters have size 1 and stay."""
+    out = F.when(c.rlike("^[0-9]$"), F.struct(c.cast("int").alias("v"), F.lit(10).alias("r"), F.lit("0123456789").alias("a")))
+    for letters in LETTERS.values():
+        out = out.when(F.contains(F.lit(letters), c), F.struct((F.instr(F.lit(letters), c) - 1).alias("v"), F.lit(len(letters)).alias("r"), F.lit(letters).alias("a")))
+    rest = LETTERS["latin"]  # letters of other scripts: not one to one, so their tweak is their own
+    out = out.when(c.rlike(r"^\p{L}"), F.struct(F.pmod(F.ascii(c), F.lit(len(rest))).alias("v"), F.lit(len(rest)).alias("r"), F.lit(rest).alias("a")))
+    return out.otherwise(F.struct(F.lit(0).alias("v"), F.lit(1).alias("r"), F.lit("").alias("a")))
+
+
+def _octet(o: Column) -> Column:
+    n = o.cast("int")
+    return F.when(n.between(1, 254), F.struct((n - 1).alias("v"), F.lit(254).alias("r"), F.lit("ip").alias("a"))).otherwise(F.struct(F.lit(0).alias("v"), F.lit(1).alias("r"), F.lit("").alias("a")))
+
 
+def _permuted(cells: Column, tweak: Column) -> Column:
+    """A keyed permutation, without fixed points, of all cells of the same sizes.
 
-def _shaped(s: Column, digest: Column, fixed: Column) -> Column:
-    """Letter for letter, digit for digit; the first ``fixed`` characters and all
-    others stay."""
-    chars = F.split(s, "")
-    return F.array_join(
-        F.transform(
-            chars,
-            lambda c, i: F.when((i >= fixed) & c.rlike("[0-9]"), F.pmod(_byte(digest, i), F.lit(10)).cast("string"))
-            .when((i >= fixed) & c.rlike(r"\p{L}"), _letter(c, _byte(digest, i)))
-            .otherwise(c),
-        ),
-        "",
-    )
+    Cells in even and in odd places take turns: each adds, modulo its size, a number that
+    a digest of the others gives. Between those two rounds and the same undone stands one
+    shift of the first cell that has a choice, so the whole is that shift seen through
+    another bijection.
+    """
+
+    def turn(x: Column, even: Column, name: str, sign: int) -> Column:
+        others = F.array_join(F.transform(x, lambda c, i: F.when((i % 2 == 0) == even, F.lit("")).otherwise(c["v"].cast("string"))), ",")
+        digest = F.sha2(F.concat_ws("\u001f", tweak, F.lit(name), others), 256)
+        moved = lambda c, i, d: F.when((i % 2 == 0) == even, F.pmod(c["v"] + sign * _byte(d, i), c["r"]).cast("int")).otherwise(c["v"])
+        return let(digest, lambda d: F.transform(x, lambda c, i: F.struct(moved(c, i, d).alias("v"), c["r"].alias("r"), c["a"].alias("a"))))
+
+    def all_turns(x: Column) -> Column:
+        at, start = x["at"], x["at"] % 2 == 0
+        amount = lambda r: 1 + F.pmod(_byte(F.sha2(F.concat_ws("\u001f", tweak, F.lit("shift")), 256), F.lit(0)), r - 1)
+        shift = lambda y: F.transform(y, lambda c, i: F.struct(F.when(i == at, F.pmod(c["v"] + amount(c["r"]), c["r"]).cast("int")).otherwise(c["v"]).alias("v"), c["r"].alias("r"), c["a"].alias("a")))
+        done = let(turn(x["cells"], start, "one", 1), lambda y: let(turn(y, ~start, "two", 1), lambda z: let(shift(z), lambda u: let(turn(u, ~start, "two", -1), lambda w: turn(w, start, "one", -1)))))
+        return F.when(at < 0, x["cells"]).otherwise(done)
+
+    first = F.array_position(F.transform(cells, lambda c: c["r"] > 1), True).cast("int") - 1
+    return let(F.struct(cells.alias("cells"), first.alias("at")), all_turns)
 
 
 def _luhn_rest(digits: Column) -> Column:
@@ -129,78 +174,119 @@ def _luhn_rest(digits: Column) -> Column:
     return F.pmod(F.aggregate(values, F.lit(0), lambda a, v: a + v), F.lit(10))
 
 
-def _account(s: Column, digest: Column, like: Column) -> Column:
-    """Luhn-valid if ``like``, the original, is."""
+def _rest97(s: Column) -> Column:
+    """The number that an IBAN's digits and letters (10 to 35) spell, mod 97."""
+    step = lambda a, c: F.when(c.rlike("[0-9]"), a * 10 + c.cast("int")).otherwise(a * 100 + F.ascii(c) - 55) % 97
+    return F.aggregate(F.split(s, ""), F.lit(0), step)
 
-    def made(x: Column) -> Column:
-        new, old = x["new"], F.regexp_replace(like, "[^0-9]", "")
-        rest = _luhn_rest(F.regexp_replace(new, "[^0-9]", ""))
-        last = F.length(new)
-        fixed = F.pmod(F.substr(new, last, F.lit(1)).cast("int") - rest, F.lit(10)).cast("string")  # the last digit counts once
-        return F.when(_luhn_rest(old) == 0, F.concat(F.substr(new, F.lit(1), last - 1), fixed)).otherwise(new)
 
-    return let(F.struct(_shaped(s, digest, F.lit(0)).alias("new")), made)
+def _spread(new: Column, s: Column) -> Column:
+    """The characters of ``new`` in the places of those of ``s`` that are no separators."""
+    before = lambda i: F.length(F.regexp_replace(F.substr(s, F.lit(1), i), r"[\s().-]", ""))
+    return F.array_join(F.transform(F.split(s, ""), lambda c, i: F.when(c.rlike(r"[\s().-]"), c).otherwise(F.substr(new, before(i) + 1, F.lit(1)))), "")
 
 
-def _ip(digest: Column) -> Column:
-    return F.concat_ws(".", *[(F.pmod(_byte(digest, F.lit(i)), F.lit(254)) + 1).cast("int").cast("string") for i in range(4)])
+def _shaped(kind: Column, s: Column, attempt: Column, key: str) -> Column:
+    """The surrogate of a number or address: the permutation of what is free in it."""
+    more = F.greatest(attempt - SAME_SHAPE, F.lit(0))
+    tail = F.regexp_extract(s, r"(\.\p{L}+)$", 1)
 
+    def parts(x: Column) -> Column:
+        longer, compact = x["longer"], x["compact"]
+        fixed = F.when(kind == "phone", F.regexp_extract(compact, COUNTRY, 0)).when(kind == "iban", F.substr(compact, F.lit(1), F.lit(2))).when(kind == "email", F.lower(tail)).otherwise("")
+        body = (
+            F.when(kind == "email", F.concat(F.repeat(F.lit("a"), more), F.substr(s, F.lit(1), F.length(s) - F.length(tail))))
+            .when(kind == "account", F.substr(compact, F.lit(1), F.length(compact) - 1))
+            .when(kind == "iban", F.substr(compact, F.lit(5)))
+            .when(kind == "phone", F.substr(compact, F.length(fixed) + 1))
+            .otherwise(compact)
+        )
+        pieces = F.when(kind == "ip", F.split(s, r"\.")).otherwise(F.split(body, ""))
+        own = F.when(F.lower(s).rlike(rf"[\p{{L}}&&[^a-zA-Z{''.join(LETTERS.values())}]]"), F.lower(s)).otherwise("")
+        tweak = F.concat_ws("\u001f", F.lit(key), kind, attempt.cast("string"), fixed, own)
+        return F.struct(longer.alias("longer"), compact.alias("compact"), fixed.alias("fixed"), pieces.alias("pieces"), tweak.alias("tweak"))
 
-def _given(digest: Column, gender: Column, script: Column) -> Column:
-    out = None
-    for (g, name), pool in FIRST.items():
-        chosen = F.element_at(F.array(*[F.lit(n) for n in pool]), F.pmod(_byte(digest, F.lit(0)), F.lit(len(pool))).cast("int") + 1)
-        when = (gender == g) & (script == name)
-        out = F.when(when, chosen) if out is None else out.when(when, chosen)
-    return out
+    def written(x: Column) -> Column:
+        cells = F.when(kind == "ip", F.transform(x["pieces"], _octet)).otherwise(F.transform(x["pieces"], lambda c: _cell(F.lower(c))))
+
+        def piece(old: Column, new: Column) -> Column:
+            letter = F.substr(new["a"], new["v"] + 1, F.lit(1))
+            return F.when(new["r"] == 1, old).when(new["a"] == "ip", (new["v"] + 1).cast("string")).when(old.rlike(r"^\p{Lu}"), F.upper(letter)).otherwise(letter)
+
+        return let(F.zip_with(x["pieces"], _permuted(cells, x["tweak"]), piece), lambda made: finished(x, made))
+
+    def finished(x: Column, made: Column) -> Column:
+        joined = F.array_join(made, "")
+        luhn = F.pmod(_luhn_rest(F.regexp_replace(s, "[^0-9]", "")) - _luhn_rest(F.concat(joined, F.lit("0"))), F.lit(10))
+        rest = F.pmod(_rest97(F.concat(F.substr(normal_form(kind, s), F.lit(5)), F.substr(normal_form(kind, s), F.lit(1), F.lit(4)))) - _rest97(F.concat(joined, x["fixed"], F.lit("00"))) - 2, F.lit(97)) + 2
+        return (
+            F.when(kind == "ip", F.array_join(made, "."))
+            .when(kind == "email", F.concat(joined, tail))
+            .when(kind == "account", _spread(F.concat(joined, luhn.cast("string")), x["longer"]))
+            .when(kind == "iban", _spread(F.concat(x["fixed"], F.lpad(rest.cast("string"), 2, "0"), joined), x["longer"]))
+            .otherwise(_spread(F.concat(x["fixed"], joined), x["longer"]))
+        )
 
+    # A mail address has no separators to be left out, and is not spread.
+    longer = F.concat(s, F.repeat(F.lit("0"), more))
+    both = F.struct(longer.alias("longer"), F.when(kind.isin("email", "ip"), s).otherwise(F.upper(F.regexp_replace(longer, r"[\s().-]", ""))).alias("compact"))
+    return let(both, lambda x: let(parts(x), written))
 
-def _family(digest: Column, script: Column, more: Column) -> Column:
-    """Four syllables, some forty million names a script, and ``more``."""
+
+def _syllables(digest: Column, script: Column, n: Column) -> Column:
+    """``n`` syllables of a script, two bytes of the digest each."""
 
     def of(name: str) -> Column:
         first, second = SYLLABLES[name]
 
         def syllable(i: Column) -> Column:
-            n = _byte(digest, 2 * i + 1)
-            return F.concat(F.substr(F.lit(first), F.pmod(n, F.lit(len(first))).cast("int") + 1, F.lit(1)), F.substr(F.lit(second), F.pmod((n / 16).cast("int"), F.lit(len(second))).cast("int") + 1, F.lit(1)))
+            b = _byte(digest, 2 * i + 1)
+            return F.concat(F.substr(F.lit(first), F.pmod(b, F.lit(len(first))).cast("int") + 1, F.lit(1)), F.substr(F.lit(second), F.pmod((b / 16).cast("int"), F.lit(len(second))).cast("int") + 1, F.lit(1)))
 
-        longer = F.when(more > 0, F.array_join(F.transform(F.sequence(F.lit(4), more + 3), syllable), "")).otherwise("")
-        return F.initcap(F.concat(*[syllable(F.lit(i)) for i in range(4)], longer))
+        return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), syllable), "")
 
     return F.when(script == "cyrillic", of("cyrillic")).when(script == "greek", of("greek")).otherwise(of("latin"))
 
 
+def _given(digest: Column, gender: Column, script: Column, more: Column) -> Column:
+    """Three syllables and ``more``, a consonant and an ending of the gender."""
+    out = None
+    for (g, name), endings in ENDINGS.items():
+        pick = lambda values, at: F.element_at(F.array(*[F.lit(v) for v in values]), F.pmod(_byte(digest, F.lit(at)), F.lit(len(values))).cast("int") + 1)
+        chosen = F.concat(pick(SYLLABLES[name][0], 0), pick(endings, 2))
+        when = (gender == g) & (script == name)
+        out = F.when(when, chosen) if out is None else out.when(when, chosen)
+    return F.initcap(F.concat(_syllables(digest, script, more + 3), out))
+
+
 def _cased(s: Column, like: Column) -> Column:
     return F.when((F.length(like) > 1) & (F.upper(like) == like), F.upper(s)).otherwise(s)
 
 
 def surrogate(kind: Column, s: Column, attempt: Column, key: str) -> Column:
     """The surrogate of one unit: an entity, or one word of a name (kinds ``given_m``,
-    ``given_f``, ``family``). Later attempts of a first name take a family name's
-    syllables, since the pools are small. Addresses of IPv4 cannot widen."""
-
-    def made(d: Column) -> Column:
-        script = _script(s)
-        more = F.greatest(attempt - SAME_SHAPE, F.lit(0))
-        family = _family(d["d"], script, more)
-        given = F.when(attempt == 0, _given(d["d"], F.substr(kind, F.lit(7), F.lit(1)), script)).otherwise(family)
-        # Without a separator the code is a guess: it leaves six digits to be drawn where there are as many.
-        code = F.length(F.regexp_extract(s, r"^\+[0-9]{1,3}(?=[^0-9]|[0-9](?:[^0-9]*[0-9]){5})", 0))
-        mail = F.concat(F.repeat(F.lit("a"), more), F.regexp_extract(s, r"^(.*)(\.\p{L}+)$", 1))
-        longer = F.concat(s, F.repeat(F.lit("0"), more))
-        return (
-            F.when(kind == "email", F.concat(_shaped(mail, d["d"], F.lit(0)), F.regexp_extract(s, r"(\.\p{L}+)$", 1)))
-            .when(kind == "ip", _ip(d["d"]))
-            .when(kind == "account", _account(longer, d["d"], s))
-            .when(kind == "phone", _shaped(longer, d["d"], code))
-            .when(kind == "iban", _shaped(longer, d["d"], F.lit(2)))
-            .when(kind == "ssn", _shaped(longer, d["d"], F.lit(0)))
-            .when(kind == "family", _cased(family, s))
-            .otherwise(_cased(given, s))
-        )
+    ``given_f``, ``given_n``, ``family``)."""
+
+    def named(d: Column) -> Column:
+        script, more = _script(s), F.greatest(attempt - SAME_SHAPE, F.lit(0))
+        gender = F.substr(gendered(kind, s), F.lit(7), F.lit(1))
+        name = F.when(kind == "family", F.initcap(_syllables(d["d"], script, more + 4))).otherwise(_given(d["d"], gender, script, more))
+        return _cased(name, s)
 
-    return let(F.struct(_digest(key, kind, normal_form(kind, s), attempt).alias("d")), made)
+    digest = F.struct(_digest(key, gendered(kind, s), normal_form(kind, s), attempt).alias("d"))
+    return F.when((kind == "family") | kind.startswith("given"), let(digest, named)).otherwise(_shaped(kind, s, attempt, key))
+
+
+def _known(word: Column) -> Column:
+    """Gender of a known first name, else null."""
+    names = {g: [n for (x, _), pool in FIRST.items() if x == g for n in pool] for g in "mf"}
+    proper = F.initcap(F.lower(word))
+    return F.when(proper.isin(*names["f"]), "f").when(proper.isin(*names["m"]), "m")
+
+
+def gendered(kind: Column, s: Column) -> Column:
+    """``kind``, where a first name's gender is not shown by anything else, by its ending."""
+    return F.when(kind == "given_n", F.when(F.lower(s).rlike(FEMALE_END), "given_f").otherwise("given_m")).otherwise(kind)
 
 
 UNIT = "struct<kind:string,s:string>"
@@ -214,9 +300,9 @@ def units(found: Column) -> Column:
     def of(s: Column) -> Column:
         def parts(x: Column) -> Column:
             bare = F.regexp_replace(F.regexp_extract(s, address, 1), r"\.$", "")
-            gender = F.when(bare.isin(*FEMALE), "given_f").when(bare.isin(*MALE), "given_m").otherwise(F.when(F.pmod(F.xxhash64(F.lower(F.element_at(x["w"], 2))), F.lit(2)) == 0, "given_m").otherwise("given_f"))
+            given = lambda w: F.when(bare.isin(*FEMALE), "given_f").when(bare.isin(*MALE), "given_m").otherwise(F.concat(F.lit("given_"), F.coalesce(_known(w), F.lit("n"))))
             n = F.size(x["w"])
-            split = F.transform(x["w"], lambda w, i: F.struct(F.when(i == 0, "title").when(i == n - 1, "family").otherwise(gender).alias("kind"), w.alias("s")))
+            split = F.transform(x["w"], lambda w, i: F.struct(F.when(i == 0, "title").when(i == n - 1, "family").otherwise(given(w)).alias("kind"), w.alias("s")))
             return F.when(x["k"] == "name", split).otherwise(F.array(F.struct(x["k"].alias("kind"), s.alias("s"))))
 
         return let(F.struct(F.split(s, "\x20").alias("w"), kind_of(s).alias("k")), parts).cast(f"array<{UNIT}>")
@@ -231,70 +317,100 @@ def _clashing(entities: DataFrame) -> DataFrame:
     e = entities.withColumn("family", family)
     first = e.groupBy("family", "shown").agg(F.min(F.struct("attempt", "kind", "norm")).alias("first"))
     shared = e.join(first, ["family", "shown"]).where((F.col("first.kind") != F.col("kind")) | (F.col("first.norm") != F.col("norm"))).select("kind", "norm")
-    real = e.select("family", F.col("norm").alias("shown")).distinct()
+    real = e.where("kind <> 'ip'").select("family", F.col("norm").alias("shown")).distinct()
     return shared.unionAll(e.join(real, ["family", "shown"], "left_semi").select("kind", "norm")).distinct()
 
 
-def redraws(found: DataFrame, key: str, rounds: int = 24) -> DataFrame | None:
-    """(kind, norm, attempt) of entities that do not keep their first draw; None if all
-    do. ``found`` holds ``kind`` and ``s`` of all units."""
-    sample = found.withColumn("norm", normal_form(F.col("kind"), F.col("s"))).groupBy("kind", "norm").agg(F.min("s").alias("s"))
+def resolved(found: DataFrame) -> DataFrame:
+    """(kind, norm, s, as): each unit, and the kind it is drawn as: a first name of
+    unshown gender as that which its forms of address elsewhere show more often."""
+    each = found.withColumn("norm", normal_form(F.col("kind"), F.col("s"))).groupBy("kind", "norm").agg(F.min("s").alias("s"), F.count("*").alias("n"))
+    shown = each.where("kind in ('given_m', 'given_f')").groupBy("norm").agg(F.sum(F.when(F.col("kind") == "given_f", F.col("n")).otherwise(-F.col("n"))).alias("f"))
+    unshown = each.where("kind = 'given_n'").join(shown, "norm", "left")
+    by_use = F.when(F.col("f") > 0, "given_f").when(F.col("f") < 0, "given_m").otherwise(gendered(F.col("kind"), F.col("s")))
+    return each.where("kind <> 'given_n'").select("kind", "norm", "s", F.col("kind").alias("as")).unionAll(unshown.select("kind", "norm", "s", by_use.alias("as")))
+
+
+def redraws(found: DataFrame, key: str) -> DataFrame | None:
+    """(kind, norm, as, attempt) of units that do not keep their first draw or are drawn
+    as another kind than ``gendered`` says; None if there are none. ``found`` holds
+    ``kind`` and ``s`` of all units, a row a mention."""
+    spark = found.sparkSession
+    units_at = common.new_path(spark, "pii-resolved")
+    each = common.persist_table(resolved(found), "pii-resolved", units_at)
     # Compared in normal form: surrogates that differ in case alone clash.
     drawn = lambda attempt: normal_form(F.col("kind"), surrogate(F.col("kind"), F.col("s"), attempt, key))
-    entities = common.persist_table(sample.select("kind", "norm", "s", F.lit(0).alias("attempt"), drawn(F.lit(0)).alias("shown")), "entities")
-    changed = False
-    for _ in range(rounds):
-        again = common.persist_table(_clashing(entities), "clashes")
+    sample = each.groupBy(F.col("as").alias("kind"), "norm").agg(F.min("s").alias("s"))
+    at = common.new_path(spark, "entities")
+    entities = common.persist_table(sample.select("kind", "norm", "s", F.lit(0).alias("attempt"), drawn(F.lit(0)).alias("shown")), "entities", at)
+    while True:
+        again_at = common.new_path(spark, "clashes")
+        again = common.persist_table(_clashing(entities), "clashes", again_at)
         if not again.take(1):
             break
-        changed = True
         marked = entities.join(again.withColumn("again", F.lit(True)), ["kind", "norm"], "left")
         attempt = F.when(F.col("again"), F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt")
+        new_at = common.new_path(spark, "entities")
         entities = common.persist_table(
-            marked.select("kind", "norm", "s", attempt, F.col("again"), F.col("shown")).select("kind", "norm", "s", "attempt", F.when(F.col("again"), drawn(F.col("attempt"))).otherwise(F.col("shown")).alias("shown")), "entities"
+            marked.select("kind", "norm", "s", attempt, F.col("again"), F.col("shown")).select("kind", "norm", "s", "attempt", F.when(F.col("again"), drawn(F.col("attempt"))).otherwise(F.col("shown")).alias("shown")), "entities", new_at
         )
-    else:
-        raise RuntimeError(f"surrogates still clash after {rounds} draws: the space of a kind is too small for its entities")
-    return entities.where("attempt > 0").select("kind", "norm", "attempt") if changed else None
+        common.drop_path(spark, at)
+        common.drop_path(spark, again_at)
+        at = new_at
+    drawn_as = entities.select(F.col("kind").alias("as"), "norm", "attempt")
+    other = each.join(drawn_as, ["as", "norm"]).where((F.col("attempt") > 0) | (F.col("as") != gendered(F.col("kind"), F.col("s"))))
+    other = common.persist_table(other.select("kind", "norm", "as", "attempt"), "pii-draws")
+    for path in (at, units_at):
+        common.drop_path(spark, path)
+    return other if other.take(1) else None
 
 
 def surrogates(docs: DataFrame, key: str = KEY, text_col: str = "text", entities_col: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text_col``; with ``entities_col``, that column is
     added: the kinds of what was replaced, in order."""
-    names = docs.columns
+    names, text = docs.columns, F.col("_text")
     rows = docs.select(F.struct(*names).alias("_row"), F.col(text_col).alias("_text"))
-    found = rows.select(matches(F.col("_text"), ANY).alias("f")).where(F.size("f") > 0)
-    of_all = common.persist_table(found.select(F.explode(F.flatten(units(F.col("f")))).alias("u")).select("u.kind", "u.s").where("kind <> 'title'").distinct(), "pii-units")
-    again = redraws(of_all, key)
+    digest = F.unhex(F.sha2(text, 256))
+    found = rows.select(digest.alias("digest"), matches(text, ANY).alias("f")).where(F.size("f") > 0)
+    found = found.select("digest", F.explode(F.flatten(units(F.col("f")))).alias("u")).select("digest", "u.kind", "u.s").where("kind <> 'title'")
+    mentions = common.persist_table(found, "pii-units")
+    again = redraws(mentions.select("kind", "s"), key)
 
-    def rewritten(rows: DataFrame, attempts: Column | None) -> DataFrame:
-        def unit(u: Column) -> Column:
-            attempt = F.lit(0) if attempts is None else F.coalesce(F.try_element_at(attempts, F.concat_ws("\u001f", u["kind"], normal_form(u["kind"], u["s"]))), F.lit(0))
-            return F.when(u["kind"] == "title", u["s"]).otherwise(surrogate(u["kind"], u["s"], attempt, key))
+    def name(u: Column) -> Column:
+        return F.concat_ws("\u001f", u["kind"], normal_form(u["kind"], u["s"]))
 
-        text = F.col("_text")
+    def rewritten(rows: DataFrame, draws: Column | None) -> DataFrame:
+        def unit(u: Column) -> Column:
+            plain = lambda: surrogate(u["kind"], u["s"], F.lit(0), key)
+            if draws is None:
+                new = plain()
+            else:
+                new = let(F.try_element_at(draws, name(u)), lambda d: surrogate(F.coalesce(d["as"], u["kind"]), u["s"], F.coalesce(d["attempt"], F.lit(0)), key))
+            return F.when(u["kind"] == "title", u["s"]).otherwise(new)
 
         def apply(f: Column) -> Column:
             new = F.transform(units(f), lambda us: F.array_join(F.transform(us, unit), " "))
             return F.array_join(F.zip_with(between(text, ANY), F.array_append(new, F.lit("")), lambda a, b: F.concat(a, b)), "")
 
+        rows = rows.withColumn("_found", matches(text, ANY))
         done = F.when(F.size("_found") > 0, let(F.col("_found"), apply)).otherwise(text)
         own = [done.cast("string").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names]
         if entities_col:
             own.append(F.coalesce(F.transform("_found", kind_of), F.array().cast("array<string>")).alias(entities_col))
         return rows.select(*own)
 
-    rows = rows.withColumn("_found", matches(F.col("_text"), ANY))
     if again is None:
         return rewritten(rows, None)
-    # Which texts hold an entity drawn again, by digest: only those rows are joined.
-    digest = F.sha2("_text", 256)
-    own = rows.where(F.size("_found") > 0).select(digest.alias("_digest"), F.explode(F.flatten(units(F.col("_found")))).alias("u")).select("_digest", F.col("u.kind").alias("kind"), normal_form(F.col("u.kind"), F.col("u.s")).alias("norm")).distinct()
-    entry = F.struct(F.concat_ws("\u001f", "kind", "norm"), "attempt")
-    maps = common.persist_table(own.join(again, ["kind", "norm"]).groupBy("_digest").agg(F.map_from_entries(F.collect_set(entry)).alias("_attempts")), "pii-redraws")
-    with_some = rows.where(F.size("_found") > 0).withColumn("_digest", digest).join(maps, "_digest", "left")
-    rest = rows.where(F.coalesce(F.size("_found"), F.lit(0)) <= 0)
-    return rewritten(with_some, F.coalesce(F.col("_attempts"), F.create_map().cast("map<string,int>"))).unionAll(rewritten(rest, None))
+    of_text = mentions.select("digest", F.col("kind"), normal_form(F.col("kind"), F.col("s")).alias("norm")).distinct().join(again, ["kind", "norm"])
+    entry = F.struct(F.concat_ws("\u001f", "kind", "norm").alias("key"), F.struct("as", "attempt").alias("value"))
+    maps = common.persist_table(of_text.groupBy("digest").agg(F.map_from_entries(F.collect_set(entry)).alias("_draws")), "pii-redraws")
+    # At most BUCKETS rows, whatever the input.
+    bucket = lambda d: F.pmod(F.xxhash64(d), F.lit(BUCKETS)).cast("int")
+    concerned = common.persist_table(maps.select(bucket(F.col("digest")).alias("_bucket")).distinct(), "pii-buckets")
+    rows = rows.withColumn("_digest", digest).withColumn("_bucket", F.coalesce(bucket(F.col("_digest")), F.lit(-1)))
+    some = rows.join(F.broadcast(concerned), "_bucket", "left_semi").join(maps.withColumnRenamed("digest", "_digest"), "_digest", "left")
+    rest = rows.join(F.broadcast(concerned), "_bucket", "left_anti")
+    return rewritten(some, F.coalesce(F.col("_draws"), F.create_map().cast("map<string,struct<as:string,attempt:int>>"))).unionAll(rewritten(rest, None))
 
 
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
