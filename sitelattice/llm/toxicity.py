@@ -73,23 +73,36 @@ class Lexicon:
                     node = node.setdefault(c, {})
                 node[end] = term
         self.stem_lengths = sorted({len(s) for s in stems})
-        # With one edit the first or the last half of a term is left as it was, with two the first, middle or last third.
-        own = (*terms, *self.inflected)
-        self.parts = {p for term in own if len(term) >= FUZZY_FROM for p in self._parts(term)}
-        self.short_parts = {p for term in own if SHORT_FROM <= len(term) < FUZZY_FROM for p in self._parts(term)}
-        # What follows a stem moves its end into the word's body.
-        self.stem_parts = {("body" if k == "tail" else k, part) for stem in stems if len(stem) >= FUZZY_FROM for k, part in self._parts(stem)}
+        # Some part of a term is left as it was, one more than there are edits: a word is near only
+        # if it begins or ends with such a part, or holds it, and its length is within the edits.
+        self.heads: dict[int, dict[str, int]] = {}  # length of the part -> part -> bits of the words' lengths
+        self.tails: dict[int, dict[str, int]] = {}
+        self.bodies: dict[int, dict[str, int]] = {}
+        self.stem_heads: dict[int, set[str]] = {}
+        self.stem_bodies: dict[tuple[int, int], set[str]] = {}  # (place, length) -> parts
+        for term in (*terms, *self.inflected):
+            edits = self.edits(len(term))
+            if edits:
+                lengths = sum(1 << n for n in range(len(term) - edits, len(term) + edits + 1))
+                parts = self._parts(term)
+                for index, (_, part) in ((self.heads, parts[0]), (self.tails, parts[-1]), *((self.bodies, p) for p in parts[1:-1])):
+                    known = index.setdefault(len(part), {})
+                    known[part] = known.get(part, 0) | lengths
+        for stem in stems:
+            if len(stem) >= FUZZY_FROM:
+                edits, parts = self.edits(len(stem)), self._parts(stem)
+                self.stem_heads.setdefault(len(parts[0][1]), set()).add(parts[0][1])
+                for at, part in parts[1:]:
+                    for place in range(at - edits, at + edits + 1):
+                        self.stem_bodies.setdefault((place, len(part)), set()).add(part)
         self.known: dict[str, tuple[int, float] | None] = {}
 
-    @staticmethod
-    def _parts(term: str):
-        n = 2 if len(term) < 2 * FUZZY_FROM else 3
-        size = len(term) // n
-        yield "head", term[:2]
-        yield "tail", term[-2:]
-        if n == 3:
-            for i in range(size, 2 * size + 1):
-                yield "body", term[i : i + 2]
+    @classmethod
+    def _parts(cls, term: str) -> list[tuple[int, str]]:
+        """(place, part): one part more than there are edits."""
+        n = cls.edits(len(term)) + 1
+        cuts = [len(term) * i // n for i in range(n + 1)]
+        return [(a, term[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def find(self, word: str) -> tuple[int, float] | None:
         try:
@@ -115,15 +128,30 @@ class Lexicon:
         """Weights of the terms and stems that ``word`` may be a misspelling of."""
         long_enough = lambda t: len(t) >= FUZZY_FROM or word[0] == t[0] or word[0].isdigit()
         found = []
-        if (len(word) >= FUZZY_FROM - 1 and self._near(word, self.parts)) or (len(word) <= FUZZY_FROM and self._near(word, self.short_parts)):
+        if self._near_term(word):
             found = [self.terms.get(t, self.inflected.get(t)) for t in self.intersect(word) if long_enough(t)]
-        if len(word) >= FUZZY_FROM - 1 and self._near(word, self.stem_parts):
+        if len(word) >= FUZZY_FROM - 1 and self._near_stem(word):
             found += [self.stems[s] for s in self.intersect(word, stems=True)]
         return found
 
-    @staticmethod
-    def _near(word: str, parts: set) -> bool:
-        return ("head", word[:2]) in parts or ("tail", word[-2:]) in parts or any(("body", word[i : i + 2]) in parts for i in range(len(word) - 1))
+    def _near_term(self, word: str) -> bool:
+        n = len(word)
+        for k, known in self.heads.items():
+            if known.get(word[:k], 0) >> n & 1:
+                return True
+        for k, known in self.tails.items():
+            if known.get(word[-k:], 0) >> n & 1:
+                return True
+        return any(known.get(word[i : i + k], 0) >> n & 1 for k, known in self.bodies.items() for i in range(n - k + 1))
+
+    def _near_stem(self, word: str) -> bool:
+        for k, known in self.stem_heads.items():
+            if word[:k] in known:
+                return True
+        for (at, k), known in self.stem_bodies.items():
+            if word[at : at + k] in known:
+                return True
+        return False
 
     @staticmethod
     def edits(length: int) -> int:
