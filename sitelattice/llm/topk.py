@@ -1,25 +1,27 @@
 """Operator 6 - exact top-k inner products by no-random-access aggregation.
 
-Every component of the vectors is a list of candidates sorted by it, read from its
-large end for a query whose own component is positive and from its small end for a
-negative one. At a depth t of all lists, what a list has not shown of a candidate
-lies between the list's last value and the value read at t; the candidate's score
-lies between the sums of what was seen and those limits. Reading stops when at most
-a few candidates' upper bounds reach the k-th best lower bound; their scores are then
-resolved. (In matrix form the bound at depth t is an inner product with the components
-clipped at the value read there, so a whole block of queries reads on at once.)
-
-Queries and candidates are dealt into blocks of ``QUERIES`` and ``CANDIDATES`` rows
-by a hash, and each pair of blocks is one bounded cogroup; the cells' winners meet in
-a rank whose limit Spark applies before the shuffle. The work is that of all rows
-against the stated queries, which grows with both; memory does not.
+Every component of the vectors is a list of candidates sorted by it. The lists are
+read on step by step, to the same depth each, from the large end for a query whose own
+component is positive and from the small end for a negative one. Of a candidate only
+the entries already read count; what a list has not shown of it lies between the list's
+last value and the value read last, so its score lies between two bounds. Whoever's
+upper bound is below the k-th best lower bound is out. A query stops on its own, as soon
+as few candidates are left; only their scores are then resolved. Queries that are never
+left with few read their lists to the end, where the bounds are the scores.
+
+Candidates are read where they lie, in blocks of ``CELLS`` numbers a task; a query
+carries its k best from block to block, so later blocks begin with a bar. Queries are
+broadcast in blocks of ``QUERY_BYTES`` at most, one alive at a time, each a pass over the
+candidates; a pass writes each task's k best a query, which meet in a rank whose limit
+Spark applies before the shuffle. Of equal vectors in a block only the k + 1 smallest
+ids are looked at. The work is that of all rows against the stated queries, which grows
+with both; memory does not.
 
 Nulls: vectors that are null or hold null or non-finite components take no part, nor
 do rows without an id. Rows alike in id and vector count once; a query's own are all
 rows of its id. Only vectors of the same length are compared. Ties go to the smaller
-id, also among equal vectors. Scores beyond a long are shown as the largest or smallest
-one. An empty table gives an empty result. Other columns are
-not read.
+id, also among equal vectors. Scores beyond a long count as the largest or smallest
+one. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,11 +35,15 @@ from . import common
 
 K = 5
 SCALE = 256
-QUERIES = 4096
-CANDIDATES = 2048
-DEPTHS = (0.125, 0.5, 0.875)
-FEW = 1 / 32
+QUERY_BYTES = 32 << 20
+CELLS = 1 << 19
+DEPTHS = (0.25, 0.5, 0.7, 0.8, 0.875, 0.93, 0.97)
+FEW = 1 / 64
 _CHUNK = 256
+_SLICE = 1 << 16
+_LEAST, _MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+_EDGE = 2.0**63 * (1 - 2.0**-50)
+CELL = "query_id long, qkey long, vec_id long, score long"
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -51,92 +57,186 @@ def quantised(vectors: DataFrame, scale: int = SCALE, id_col: str = "vec_id", ve
     )
 
 
-def best(queries: np.ndarray, own: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, candidate row, score) of each query's k best; ``ids`` ascend."""
-    n = len(x)
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    if not n or not len(queries):
-        return tuple(np.empty(0, np.int64) for _ in range(3))
-    limit = int(np.abs(queries).max(initial=0)) * int(np.abs(x).max(initial=0)) * max(1, x.shape[1])
-    if limit * 2 * n >= 1 << 52:  # beyond exact doubles: whole numbers of any size
-        queries_, x_ = queries.astype(object), x.astype(object)
-        for i in range(len(queries)):
-            s = x_ @ queries_[i] if x.shape[1] else np.zeros(n, object)
-            top = [j for j in sorted(range(n), key=lambda j: (-s[j], ids[j])) if ids[j] != own[i]][:k]
-            out.append((np.full(len(top), i), np.array(top, np.int64), np.array([max(-(1 << 63), min((1 << 63) - 1, int(s[j]))) for j in top], np.int64)))
-        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
-    lists = np.sort(x, axis=0).astype(float)  # each column is a list; its end is the large one
-    low, high, xf = lists[0], lists[-1], x.astype(float)
-    alive_at = max(4 * k, int(FEW * n))
-    for a in range(0, len(queries), _CHUNK):
-        q = queries[a : a + _CHUNK].astype(float)
-        up, down = np.maximum(q, 0), np.minimum(q, 0)
-        self_ = own[a : a + _CHUNK][:, None] == ids[None, :]
-        alive = None
-        for depth in DEPTHS:
-            t = max(1, int(depth * n))
-            if t >= n:
-                break
-            large, small = lists[n - t], lists[t - 1]  # the values read at depth t from either end
-            upper = up @ np.where(xf >= large, xf, large).T + down @ np.where(xf <= small, xf, small).T
-            lower = up @ np.where(xf >= large, xf, low).T + down @ np.where(xf <= small, xf, high).T
-            lower[self_] = -np.inf
-            floor = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(q), -np.inf)
-            alive = (upper >= floor[:, None]) & ~self_
-            if alive.sum(axis=1).max() <= alive_at:
+class Lists:
+    """The sorted lists of a block of candidates, read from both ends in step."""
+
+    def __init__(self, x: np.ndarray):
+        self.n, d = x.shape
+        self.order = np.argsort(x, axis=0, kind="stable")
+        self.values = np.take_along_axis(x, self.order, axis=0).astype(float)
+        self.depth, self.column = 0, np.arange(d)[None, :]
+        #: What has been read, from the large and from the small ends.
+        self.seen = [np.zeros(x.shape, bool) for _ in range(2)]
+        self.known = [np.zeros(x.shape) for _ in range(2)]
+
+    def read_to(self, depth: int) -> None:
+        for end, part in enumerate((slice(self.n - depth, self.n - self.depth), slice(self.depth, depth))):
+            rows = self.order[part]
+            self.known[end][rows, self.column] = self.values[part]
+            self.seen[end][rows, self.column] = True
+        self.depth = depth
+
+    def bounds(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Per end: the best and the worst value that each entry can have."""
+        last, far = (self.values[self.n - self.depth], self.values[self.depth - 1]), (self.values[0], self.values[-1])
+        best, worst = ([np.where(s, k, v) for s, k, v in zip(self.seen, self.known, limit, strict=True)] for limit in (last, far))
+        return best, worst
+
+
+class Search:
+    """The k best candidates of each query among the blocks added so far."""
+
+    def __init__(self, queries: np.ndarray, own: np.ndarray, k: int = K):
+        self.q, self.own, self.k = queries.astype(np.int64), own, k
+        f = queries.astype(float)
+        self.size, self.up, self.down = np.abs(f), np.maximum(f, 0), np.minimum(f, 0)
+        m = len(queries)
+        self.score, self.id, self.found = np.full((m, k), _LEAST), np.full((m, k), _MOST), np.zeros(m, np.int64)
+        self.read, self.entries = np.zeros(m, np.int64), 0  # entries of the lists: read by each query, and all
+
+    def add(self, x: np.ndarray, ids: np.ndarray) -> None:
+        x, ids = _few_of_equal(x, ids, self.k + 1)
+        n, d = x.shape
+        if not n or not len(self.q):
+            return
+        lists, open_ = Lists(x), np.arange(len(self.q))
+        margin = (d + 4) * 2.0**-52 * (self.size @ np.abs(x.astype(float)).max(axis=0, initial=0))  # of rounding, in large numbers
+        few = max(4 * self.k, int(FEW * n))
+        self.entries += n * d
+        for depth in sorted({max(1, int(f * n)) for f in DEPTHS} | {n}):
+            lists.read_to(depth)
+            best, worst = lists.bounds()
+            rest = []
+            for a in range(0, len(open_), _CHUNK):
+                at = open_[a : a + _CHUNK]
+                upper = self.up[at] @ best[0].T + self.down[at] @ best[1].T
+                lower = self.up[at] @ worst[0].T + self.down[at] @ worst[1].T
+                mine = self.own[at][:, None] == ids[None, :]
+                lower[mine] = -np.inf
+                last = self.score[at, -1].astype(float)
+                bar = np.where(self.found[at] >= self.k, last - np.abs(last) * 2.0**-52, -np.inf)
+                if n > self.k:
+                    bar = np.maximum(bar, np.partition(lower, n - self.k, axis=1)[:, n - self.k] - margin[at])
+                # Scores beyond a long are one score: no bar lies among them.
+                bar = np.where(bar <= -_EDGE, -np.inf, np.minimum(bar, _EDGE))
+                alive = (upper + margin[at][:, None] >= bar[:, None]) & ~mine
+                done = (alive.sum(axis=1) <= few) | (depth == n)
+                self.read[at[done]] += depth * d
+                i, j = np.nonzero(alive & done[:, None])
+                self._take(at[i], j, x, ids)
+                rest.append(at[~done])
+            open_ = np.concatenate(rest)
+            if not len(open_):
                 break
-            alive = None  # outsiders may still qualify: read on
-        if alive is None:
-            scores = np.rint(q @ xf.T).astype(np.int64)
-            alive = ~self_
-        else:
-            scores = np.zeros(alive.shape, np.int64)
-            i, j = np.nonzero(alive)
-            scores[i, j] = np.einsum("ij,ij->i", queries[a + i].astype(np.int64), x[j].astype(np.int64))
-        keys = np.where(alive, scores * n + (n - 1 - np.arange(n)), np.iinfo(np.int64).min)  # ties to the smaller id
-        m = min(k, n)
-        top = np.argpartition(keys, n - m, axis=1)[:, n - m :]
-        i, c = np.nonzero(np.take_along_axis(alive, top, axis=1))
-        j = top[i, c]
-        out.append((a + i, j, scores[i, j]))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
-
-
-def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+
+    def _take(self, rows: np.ndarray, j: np.ndarray, x: np.ndarray, ids: np.ndarray) -> None:
+        """Resolve the scores of the pairs and keep each query's k best."""
+        if not len(rows):
+            return
+        scores = np.concatenate([_scores(self.q[rows[a : a + _SLICE]], x[j[a : a + _SLICE]]) for a in range(0, len(rows), _SLICE)])
+        touched = np.unique(rows)
+        had = np.arange(self.k)[None, :] < self.found[touched][:, None]
+        row = np.concatenate((rows, np.repeat(touched, self.found[touched])))
+        score = np.concatenate((scores, self.score[touched][had]))
+        id_ = np.concatenate((ids[j], self.id[touched][had]))
+        order = np.lexsort((id_, ~score, row))
+        row, score, id_ = row[order], score[order], id_[order]
+        first = np.concatenate(([True], row[1:] != row[:-1]))
+        rank = np.arange(len(row)) - np.maximum.accumulate(np.where(first, np.arange(len(row)), 0))
+        kept = rank < self.k
+        self.score[row[kept], rank[kept]], self.id[row[kept], rank[kept]] = score[kept], id_[kept]
+        np.maximum.at(self.found, row[kept], rank[kept] + 1)
+
+    def results(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query row, candidate id, score)."""
+        i, r = np.nonzero(np.arange(self.k)[None, :] < self.found[:, None])
+        return i, self.id[i, r], self.score[i, r]
+
+
+def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products row by row; those that a long may not hold, in numbers of any size."""
+    out = np.einsum("ij,ij->i", q, x)
+    reach = np.abs(q.astype(float)).max(axis=1, initial=0) * np.abs(x.astype(float)).max(axis=1, initial=0) * max(1, q.shape[1])
+    for i in np.flatnonzero(reach >= 2.0**62):
+        out[i] = max(_LEAST, min(_MOST, sum(a * b for a, b in zip(q[i].tolist(), x[i].tolist(), strict=True))))
+    return out
+
+
+def _few_of_equal(x: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows with equal vectors, those of the ``most`` smallest ids."""
+    if not x.shape[1] or not len(x):
+        kept = np.argsort(ids, kind="stable")[:most]
+        return x[kept], ids[kept]
+    same = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.itemsize * x.shape[1]))).ravel(), return_inverse=True)[1]
+    order = np.lexsort((ids, same))
+    group = same[order]
+    first = np.concatenate(([True], group[1:] != group[:-1]))
+    place = np.arange(len(group)) - np.maximum.accumulate(np.where(first, np.arange(len(group)), 0))
+    kept = order[place < most]
+    return x[kept], ids[kept]
+
+
+def _matrices(column) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Per vector length: (length, places of the rows, their values)."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.int64()))
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes)
+    return [(int(d), (at := np.flatnonzero(sizes == d)), flat[(ends[at] - d)[:, None] + np.arange(d)[None, :]].astype(np.int64)) for d in np.unique(sizes)]
+
+
+def _pass(candidates: DataFrame, block: pa.Table, first_key: int, k: int) -> tuple[DataFrame, object]:
+    """One block of queries over all candidates: each task's k best a query."""
+    ids = block.column("id").to_numpy()
+    shared = candidates.sparkSession.sparkContext.broadcast([(d, ids[at], first_key + at, q) for d, at, q in _matrices(block.column("q"))])
+
+    def run(batches):
+        searches = {d: (Search(q, own, k), own, keys) for d, own, keys, q in shared.value}
+        held: dict[int, list] = {d: [] for d in searches}
+
+        def add(d: int) -> None:
+            if held[d]:
+                searches[d][0].add(np.concatenate([x for x, _ in held[d]]), np.concatenate([i for _, i in held[d]]))
+                held[d] = []
+
+        for b in batches:
+            theirs = b.column("id").to_numpy()
+            for d, at, x in _matrices(b.column("q")):
+                step = max(64, CELLS // max(1, d))
+                for a in range(0, len(at) if d in held else 0, step):
+                    held[d].append((x[a : a + step], theirs[at[a : a + step]]))
+                    if sum(len(i) for _, i in held[d]) >= step:
+                        add(d)
+        for d, (search, own, keys) in searches.items():
+            add(d)
+            i, found, score = search.results()
+            for a in range(0, len(i), _SLICE):
+                part = slice(a, a + _SLICE)
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (own[i[part]], keys[i[part]], found[part], score[part])], ["query_id", "qkey", "vec_id", "score"])
+
+    return candidates.mapInArrow(run, CELL), shared
+
+
+def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding", query_bytes: int = QUERY_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows that the condition ``is_query``,
     a column over ``id``, names."""
     spark = vectors.sparkSession
+    common.bounded_batches(spark)
     rows = common.persist_table(quantised(vectors, scale, id_col, vector_col), "vectors")
-    n, nq = rows.agg(F.count("*"), F.count_if(is_query)).first()
-    c, g = max(1, -(-n // CANDIDATES)), max(1, -(-nq // QUERIES))
-    deal = lambda blocks: F.pmod(F.xxhash64("id", "q"), F.lit(blocks)).cast("int")
-    candidates = rows.select("id", "q", deal(c).alias("c"), F.explode(F.sequence(F.lit(0), F.lit(g - 1))).alias("g"))
-    queries = rows.where(is_query).select("id", "q", F.xxhash64("q").alias("qkey"), deal(g).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(c - 1))).alias("c"))
-    # Sizes of the cells are set above; the session's partition count may be smaller, never a cell larger.
-
-    def matrix(column) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Rows of each vector length: (their places, their values)."""
-        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-        sizes = column.value_lengths().to_numpy(zero_copy_only=False)
-        flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes)
-        return {int(d): (at := np.flatnonzero(sizes == d), flat[(ends[at] - d)[:, None] + np.arange(d)[None, :]]) for d in np.unique(sizes)}
-
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
-        theirs, ours = matrix(left.column("q")), matrix(right.column("q"))
-        ids, own, qkey = left.column("id").to_numpy(), right.column("id").to_numpy(), right.column("qkey").to_numpy()
-        for d, (at, q) in ours.items():
-            if d in theirs:
-                where, x = theirs[d]
-                order = np.argsort(ids[where], kind="stable")
-                where, x = where[order], x[order]
-                i, j, s = best(q, own[at], x, ids[where], k)
-                found.append((own[at][i], qkey[at][i], ids[where][j], s))
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 4
-        return pa.table({name: pa.array(v, pa.int64()) for name, v in zip(("query_id", "qkey", "vec_id", "score"), columns, strict=True)})
-
-    cells = candidates.groupBy("g", "c").cogroup(queries.groupBy("g", "c")).applyInArrow(cell, "query_id long, qkey long, vec_id long, score long")
+    queries = rows.where(is_query)
+    total = queries.agg(F.sum(F.size("q").cast("long") * 8 + 64)).first()[0] or 0
+    blocks = -(-total // query_bytes)
+    path, key = common.new_path(spark, "topk-cells"), 0
+    spark.createDataFrame([], CELL).write.parquet(path)
+    for b in range(blocks):
+        block = queries.where(F.pmod(F.xxhash64("id", "q"), F.lit(blocks)) == b).toArrow()
+        found, shared = _pass(rows, block, key, k)
+        found.write.mode("append").parquet(path)
+        shared.destroy()
+        key += block.num_rows
     order = Window.partitionBy("query_id", "qkey").orderBy(F.desc("score"), "vec_id")
+    cells = spark.read.schema(CELL).parquet(path)
     return cells.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -248,19 +248,54 @@ def test_toxicity_short_terms_and_stems_misspelled():
     assert "clown" in learned.terms and learned.find("cl0wn")[0] == 2 and learned.find("crown") is None
 
 
-def test_topk_bounds():
+def plain_topk(q, own, x, ids, k):
+    clip = lambda v: max(-(1 << 63), min((1 << 63) - 1, v))
+    return [sorted((-clip(sum(int(a) * int(b) for a, b in zip(r, v, strict=True))), int(i)) for v, i in zip(x, ids, strict=True) if i != o)[:k] for r, o in zip(q, own, strict=True)]
+
+
+def test_topk_search():
+    """Blocks in any order against plain scoring; ties, equal vectors, large numbers."""
     rng = np.random.default_rng(0)
-    for n in (1, 3, 5, 6, 40, 3000):
-        for scale in (3, 1000, 10**9):
-            x, q = rng.integers(-scale, scale, (n, 8)), rng.integers(-scale, scale, (20, 8))
-            if scale < 10**9:
-                x[:, 0] *= 50
+    for n, d in ((1, 8), (3, 8), (5, 1), (6, 8), (40, 0), (900, 8)):
+        for scale in (3, 1000, 10**9, 1 << 62):
+            x, q = rng.integers(-scale, scale, (n, d)), rng.integers(-scale, scale, (12, d))
+            if scale == 1000 and d == 8:
+                x[::2, 0] *= 50
                 q[:, 0] *= 20
-            ids, own = np.arange(n) * 3, rng.integers(0, 3 * n, 20)
-            i, j, s = topk.best(q, own, x, ids, 5)
-            for r in range(20):
-                want = sorted((-int(a), int(d)) for a, d in zip(x.astype(object) @ q[r].astype(object), ids, strict=True) if d != own[r])[:5]
-                assert sorted((-int(a), int(ids[b])) for a, b in zip(s[i == r], j[i == r], strict=True)) == want
+                x[n // 2 :] = x[0]
+            ids, own = np.arange(n) * 3, rng.integers(0, 3 * n, 12)
+            search = topk.Search(q, own, 5)
+            for part in np.array_split(rng.permutation(n), 3):
+                search.add(x[part], ids[part])
+            rows, found, score = search.results()
+            for r, want in enumerate(plain_topk(q, own, x, ids, 5)):
+                assert [(-int(s), int(i)) for s, i in zip(score[rows == r], found[rows == r], strict=True)] == want
+
+
+def test_topk_stops_early():
+    """On the test table every query stops before the ends of the lists."""
+    rows = duckdb.sql("select vec_id, embedding from '/root/testdata/sf0.1/embeddings.parquet'").fetchall()
+    ids, x = np.array([r[0] for r in rows]), np.floor(256 * np.array([r[1] for r in rows], dtype=float)).astype(np.int64)
+    at = np.flatnonzero(ids % 50 == 0)
+    search = topk.Search(x[at], ids[at], 5)
+    search.add(x, ids)
+    share = search.read / search.entries
+    assert share.max() < 1 and share.mean() < 0.9, (share.max(), share.mean())
+
+
+def test_topk_query_blocks(spark):
+    """Many blocks of queries, vectors of two lengths, an id with two vectors, equal rows."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=6 if i % 3 else 4).tolist()) for i in range(300)] + [(10, [1.0] * 6), (10, [1.0] * 6), (20, None), (None, [1.0] * 4), (30, [float("nan")] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    one, many = (sorted(map(tuple, topk.top_k(df, F.col("id") % 10 == 0, query_bytes=size).collect())) for size in (1 << 20, 300))
+    fine = sorted({(i, tuple(int(np.floor(256 * c)) for c in v)) for i, v in rows if i is not None and v is not None and np.isfinite(v).all()})
+    want = []
+    for i, v in fine:
+        if i % 10 == 0:
+            same = [(j, w) for j, w in fine if len(w) == len(v)]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(plain_topk([v], [i], [w for _, w in same], [j for j, _ in same], 5)[0])]
+    assert one == many == sorted(want)
 
 
 def test_topk_many_equal(spark):
