@@ -2,13 +2,16 @@
 
 Benchmark items become windows of ``size`` consecutive normalised words (an item
 of fewer words is one window). The windows' hashes are broadcast; documents are
-scanned once, all windows of a batch at a time, and hash hits are verified word by
-word before they count.
+scanned, all windows of a batch at a time, and hash hits are verified word by word
+before they count.
 
-What is broadcast is a block of the benchmark of at most ``block_bytes`` of text,
-checked by summing the text first. A larger benchmark is cut into several blocks
-and the documents pass through one scan for each in the same stage, which hands on
-the hit spans found so far; nothing is left out and no text is shuffled.
+What is broadcast is a block of the benchmark: at most ``block_windows`` windows and
+``block_bytes`` of text, long items being cut into overlapping parts. A window
+costs 16 bytes (hash, part, place) in flat arrays beside the text; there are no
+dictionaries of words or windows. A benchmark of one block is one scan of the documents.
+Of a larger one, one block is alive at a time: the rows are numbered in a written table,
+each block is a pass over it that writes the hits only, and the hits are joined back by
+row number. Nothing is left out either way.
 
 Nulls: a null text (of a document or an item) has no words. A null item_id hits
 words but cannot be listed. Repeated item_ids are listed once; repeated documents
@@ -19,10 +22,10 @@ hits. Other columns are not read unless they are named in ``keep``.
 from __future__ import annotations
 
 import re
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +33,9 @@ from pyspark.sql import types as T
 from . import common
 
 SIZE = 13
-BLOCK_BYTES = 64 << 20
+BLOCK_WINDOWS = 1 << 22
+BLOCK_BYTES = 32 << 20
+PART = 4096
 CHUNK_WORDS = 1 << 17
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # of UTF-8 bytes: all that is not ASCII belongs to words
 _BASE = 0x9E3779B97F4A7C15
@@ -49,46 +54,80 @@ def rolling(ids: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
+def hashed(found: list[bytes]) -> np.ndarray:
+    """One number a word, never 0."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)) | np.uint64(1)
+
+
 class Windows:
-    """The windows of one benchmark block."""
+    """The windows of one benchmark block, in flat arrays sorted by hash."""
+
+    #: Verified windows whose items are remembered.
+    most = 1 << 14
 
     def __init__(self, items: list[tuple[int | None, str | None]], size: int = SIZE):
-        self.vocabulary: dict[bytes, int] = {}
-        self.items: dict[tuple, set] = {}  # window -> ids of the items that hold it
+        self.size, self.ids, self.texts = size, [], []
+        parts = []
         for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
-            n = min(size, len(ids))
-            for i in range(len(ids) - n + 1 if n else 0):
-                self.items.setdefault(tuple(ids[i : i + n]), set()).add(item)
-        self.hashes: dict[int, np.ndarray] = {}
-        for n in {len(w) for w in self.items}:
-            own = np.array([w for w in self.items if len(w) == n], dtype=np.uint64)
-            self.hashes[n] = np.unique(np.concatenate([rolling(w, n) for w in own]))
+            h = hashed(words(text))
+            if len(h):
+                n = min(size, len(h))
+                rolled = rolling(h, n)
+                parts.append((np.full(len(rolled), n, np.uint8), rolled, np.full(len(rolled), len(self.ids), np.uint32), np.arange(len(rolled), dtype=np.uint32)))
+                self.ids.append(item)
+                self.texts.append(text)
+        #: Per number of words: hashes in order, and the part and the place of each.
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        if parts:
+            sizes, hashes, owner, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+            for n in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == n)
+                at = at[np.argsort(hashes[at], kind="stable")]
+                self.tables[n] = (hashes[at], owner[at], place[at])
+        self.verified: dict[tuple[bytes, ...], frozenset] = {}
+        self.words: dict[int, list[bytes]] = {}
+
+    def _words(self, part: int) -> list[bytes]:
+        if part not in self.words:
+            if len(self.words) >= 64:
+                self.words.clear()
+            self.words[part] = words(self.texts[part])
+        return self.words[part]
+
+    def items_of(self, window: tuple[bytes, ...], table, low: int, high: int) -> frozenset:
+        """Items that hold the window, among the entries of its hash; empty if it only
+        has the hash."""
+        if (found := self.verified.get(window)) is None:
+            if len(self.verified) >= self.most:
+                self.verified.clear()
+            n, (_, owner, place) = len(window), table
+            own = ((int(owner[k]), int(place[k])) for k in range(low, high))
+            found = self.verified[window] = frozenset(p for p, at in own if tuple(self._words(p)[at : at + n]) == window)
+        return found
 
     def scan(self, documents: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set]]:
         """Per document: merged spans of hit words and the items hit."""
-        get, found = self.vocabulary.get, [([], set()) for _ in documents]
-        lengths = [len(d) for d in documents]
-        ids = np.zeros(sum(lengths) + len(lengths), np.uint64)  # a 0, no benchmark word, after each document
-        starts, at = [], 0
-        for d, n in zip(documents, lengths, strict=True):
-            ids[at : at + n] = np.fromiter(map(get, d, repeat(0)), np.uint64, n)
-            starts.append(at)
-            at += n + 1
-        known = np.concatenate(([0], np.cumsum(ids > 0)))
+        found: list[tuple[list, set]] = [([], set()) for _ in documents]
+        lengths = np.array([len(d) for d in documents], np.int64)
+        starts = np.concatenate(([0], np.cumsum(lengths)))
+        h = hashed([w for d in documents for w in d])
         hits: dict[int, list[tuple[int, int]]] = {}
-        for n, hashes in self.hashes.items():
-            h = rolling(ids, n)
-            if not len(h):
+        for n, table in self.tables.items():
+            rolled = rolling(h, n)
+            if not len(rolled):
                 continue
-            i = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            for p in np.flatnonzero((hashes[i] == h) & (known[n:] - known[:-n] == n)).tolist():
-                if (items := self.items.get(tuple(ids[p : p + n].tolist()))) is not None:
-                    k = int(np.searchsorted(starts, p, side="right")) - 1
-                    hits.setdefault(k, []).append((p - starts[k], p - starts[k] + n))
-                    found[k][1].update(items)
-        for k, spans in hits.items():
-            found[k][0].extend(merge(spans))
+            i = np.minimum(np.searchsorted(table[0], rolled), len(table[0]) - 1)
+            near = np.flatnonzero(table[0][i] == rolled)
+            k = np.searchsorted(starts, near, side="right") - 1
+            inside = near + n <= starts[k + 1]
+            near, k = near[inside], k[inside]
+            high = np.searchsorted(table[0], rolled[near], side="right")
+            for p, d, low, end in zip((near - starts[k]).tolist(), k.tolist(), i[near].tolist(), high.tolist(), strict=True):
+                if owners := self.items_of(tuple(documents[d][p : p + n]), table, low, end):
+                    hits.setdefault(d, []).append((p, p + n))
+                    found[d][1].update(self.ids[o] for o in owners)
+        for d, spans in hits.items():
+            found[d][0].extend(merge(spans))
         return found
 
 
@@ -103,14 +142,37 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str = "item_id", text_col: str = "text"):
-    """Item lists of about ``block_bytes`` of text at most, one at a time."""
+def item_parts(item, text: str | None, size: int, most: int = PART):
+    """The item's text, or overlapping parts of it with at most ``most`` windows each;
+    together they have its windows and no others."""
+    raw = (text or "").encode()
+    marks = [m.span() for m in _WORD.finditer(raw.lower())] if len(raw) > most else []
+    if len(marks) < size + most:
+        yield item, text
+        return
+    for first in range(0, len(marks) - size + 1, most):
+        last = min(len(marks), first + size - 1 + most)
+        yield item, raw[marks[first][0] : marks[last - 1][1]].decode()
+
+
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str = "item_id", text_col: str = "text", size: int = SIZE, block_windows: int = BLOCK_WINDOWS):
+    """Lists of items (or parts of items) within the bounds, one at a time. The rows are
+    streamed to the driver a partition at a time; partitions are cut to the bound first."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long") + 64), F.lit(0))).first()[0]
-    n = -(-total // block_bytes)
-    for k in range(n):
-        block = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
-        yield [(r["item"], r["text"]) for r in block.collect()]
+    if total > block_bytes:
+        rows = rows.repartition(-(-total // block_bytes) * 2)  # round robin: equal rows do not meet
+    block, held, windows = [], 0, 0
+    for r in rows.toLocalIterator():
+        for item, text in item_parts(r["item"], r["text"], size, min(block_windows, PART)):
+            size_, most = len((text or "").encode()), len(text or "") // 2 + 1  # a window a word, a word two characters at least
+            if block and (held + size_ > block_bytes or windows + most > block_windows):
+                yield block
+                block, held, windows = [], 0, 0
+            block.append((item, text))
+            held, windows = held + size_, windows + most
+    if block:
+        yield block
 
 
 FOUND = [
@@ -134,47 +196,64 @@ def _chunks(batch, text_at: int):
         yield first, held
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _pass(rows: DataFrame, shared, hits_only: bool) -> DataFrame:
+    """``rows`` (last column ``_text``) without the text, with FOUND; with ``hits_only``
+    only rows that are hit."""
+
+    def run(batches):
+        windows = shared.value
+        for b in batches:
+            n = b.num_columns - 1
+            for at, documents in _chunks(b, n):
+                part = b.slice(at, len(documents))
+                found = windows.scan(documents)
+                counts = pa.array([len(d) for d in documents], pa.int64())
+                if hits_only:
+                    hit = [i for i, f in enumerate(found) if f[0]]
+                    part, found, counts = part.take(pa.array(hit, pa.int64())), [found[i] for i in hit], counts.take(pa.array(hit, pa.int64()))
+                spans = pa.array([[{"start": s, "stop": e} for s, e in f[0]] for f in found], _ARROW["hit_spans"])
+                items = pa.array([sorted(x for x in f[1] if x is not None) for f in found], _ARROW["hit_items"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:n], counts, spans, items], [*b.schema.names[:n], *_ARROW])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], *FOUND]))
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """``keep`` of ``docs``, with n_words, hit_spans (of words, merged, half-open)
     and hit_items of every row."""
     spark = docs.sparkSession
     common.bounded_batches(spark)
     carried = list(dict.fromkeys(keep))
-    reserved = {f.name for f in FOUND} | {"_text"}
+    reserved = {f.name for f in FOUND} | {"_text", "_row"}
     hidden = {c: f"_kept_{c}" if c in reserved else c for c in carried}  # columns may bear our names
     rows = docs.select(*[F.col(c).alias(hidden[c]) for c in carried], F.col(text_col).alias("_text"))
-    schema = T.StructType([*rows.schema.fields[:-1]])
-    blocks = list(benchmark_blocks(benchmark, block_bytes)) if not isinstance(benchmark, list) else [benchmark]
-    for k, items in enumerate(blocks or [[]]):
-        shared = spark.sparkContext.broadcast(Windows(items, size))
-        last = k + 1 >= len(blocks)
-
-        def run(batches, shared=shared, first=k == 0, last=last, n=len(carried)):
-            windows = shared.value
-            for b in batches:
-                text_at = b.schema.get_field_index("_text")
-                for at, documents in _chunks(b, text_at):
-                    part = b.slice(at, len(documents))
-                    found = windows.scan(documents)
-                    spans, items = [f[0] for f in found], [sorted(x for x in f[1] if x is not None) for f in found]
-                    if not first:
-                        old_spans, old_items = part.column("hit_spans").to_pylist(), part.column("hit_items").to_pylist()
-                        spans = [merge(s + [(x["start"], x["stop"]) for x in o]) for s, o in zip(spans, old_spans, strict=True)]
-                        items = [sorted({*i, *o}) for i, o in zip(items, old_items, strict=True)]
-                    out = {
-                        "n_words": pa.array([len(d) for d in documents], pa.int64()),
-                        "hit_spans": pa.array([[{"start": s, "stop": e} for s, e in x] for x in spans], _ARROW["hit_spans"]),
-                        "hit_items": pa.array(items, _ARROW["hit_items"]),
-                    }
-                    columns = [part.column(i) for i in range(n)] + list(out.values())
-                    names = list(b.schema.names[:n]) + list(out)
-                    if not last:
-                        columns, names = columns + [part.column(text_at)], names + ["_text"]
-                    yield pa.RecordBatch.from_arrays(columns, names)
-
-        text = [] if last else [T.StructField("_text", T.StringType())]
-        rows = rows.mapInArrow(run, T.StructType([*schema.fields, *FOUND, *text]))
-    return rows.select(*[F.col(hidden[c]).alias(c if c not in reserved else hidden[c]) for c in carried], *[f.name for f in FOUND])
+    blocks = benchmark_blocks(benchmark, block_bytes, size=size, block_windows=block_windows)
+    block, following = next(blocks, []), next(blocks, None)
+    share = lambda items: spark.sparkContext.broadcast(Windows(items, size))
+    if following is None:
+        return _pass(rows, share(block), False)
+    rows = common.persist_table(rows.select(*rows.columns[:-1], F.monotonically_increasing_id().alias("_row"), "_text"), "decontaminate-rows")
+    path = common.new_path(spark, "decontaminate-hits")
+    while block is not None:
+        shared = share(block)
+        _pass(rows.select("_row", "_text"), shared, True).drop("n_words").write.mode("append").parquet(path)
+        shared.destroy()
+        block, following = following, next(blocks, None)
+    hits = spark.read.parquet(path)
+    found = hits.groupBy("_row").agg(F.flatten(F.collect_list("hit_spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_items")))).alias("items"))
+
+    def merged(batches):  # a row's spans of all blocks
+        for b in batches:
+            spans = [[{"start": s, "stop": e} for s, e in merge([(x["start"], x["stop"]) for x in row])] for row in b.column("spans").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(spans, _ARROW["hit_spans"]), b.column("items")], ["_row", "spans", "items"])
+
+    found = found.mapInArrow(merged, T.StructType([T.StructField("_row", T.LongType()), T.StructField("spans", FOUND[1].dataType), T.StructField("items", FOUND[2].dataType)]))
+    none = share([])
+    empty = [F.array().cast(f.dataType) for f in FOUND[1:]]
+    counted = _pass(rows, none, False).drop("hit_spans", "hit_items").join(found, "_row", "left")
+    return counted.select(
+        *[F.col(hidden[c]) for c in carried], "n_words", F.coalesce("spans", empty[0]).alias("hit_spans"), F.coalesce("items", empty[1]).alias("hit_items")
+    )
 
 
 def n_hit():
@@ -189,7 +268,7 @@ def is_contaminated():
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", size: int = SIZE) -> DataFrame:
     """``docs`` without its contaminated rows, columns unchanged."""
     found = scan(docs, benchmark, docs.columns, text_col, size)
-    reserved = {f.name for f in FOUND} | {"_text"}
+    reserved = {f.name for f in FOUND} | {"_text", "_row"}
     return found.where(~is_contaminated()).select(*[F.col(f"_kept_{c}" if c in reserved else c).alias(c) for c in docs.columns])
 
 
@@ -197,7 +276,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """``docs`` with the hit words, and what stands between hit words of a span, cut
     out of the text."""
     found = scan(docs, benchmark, docs.columns, text_col, size)
-    reserved = {f.name for f in FOUND} | {"_text"}
+    reserved = {f.name for f in FOUND} | {"_text", "_row"}
     named = {c: f"_kept_{c}" if c in reserved else c for c in docs.columns}
     at = named[text_col]
 

@@ -187,8 +187,37 @@ def test_decontamination_plain(spark):
                         found.add(item)
         return len(w), len(hit), sorted(found)
 
-    rows = decontaminate.scan(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), ["doc_id"]).withColumn("n", decontaminate.n_hit()).collect()
-    assert {r["doc_id"]: (r["n_words"], r["n"], r["hit_items"]) for r in rows} == {i: plain(t) for i, t in docs}
+    docs_, items_ = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {i: plain(t) for i, t in docs}
+    for bounds in ({}, {"block_windows": 60}, {"block_bytes": 60}):
+        rows = decontaminate.scan(docs_, items_, ["doc_id"], **bounds).withColumn("n", decontaminate.n_hit()).collect()
+        assert {r["doc_id"]: (r["n_words"], r["n"], r["hit_items"]) for r in rows} == want
+        assert all(a["stop"] < b["start"] for r in rows for a, b in zip(r["hit_spans"], r["hit_spans"][1:], strict=False))
+    assert sum(1 for _ in decontaminate.benchmark_blocks(items_, block_windows=60)) > 5
+
+
+def test_decontamination_long_items():
+    """Parts of a long item have its windows and no others; equal hashes are told apart."""
+    rng = random.Random(7)
+    w = [rng.choice("abcdefgh") for _ in range(500)]
+    windows = lambda v: {tuple(v[i : i + 13]) for i in range(len(v) - 12)}
+    for most in (1, 7, 100, 487, 488, 1000):
+        parts = [t.split() for _, t in decontaminate.item_parts(1, " ".join(w), 13, most)]
+        assert set().union(*map(windows, parts)) == windows(w) and all(len(p) < most + 13 or len(parts) == 1 for p in parts)
+    found = decontaminate.Windows([(1, "a b"), (2, "c d")], 2)
+    (hashes, owner, place) = found.tables[2]
+    found.tables[2] = (np.full(2, hashes[0]), owner, place)
+    assert found.scan([[b"a", b"b"]])[0][1] <= {1} and found.scan([[b"c", b"d"]])[0][1] <= {2} and found.scan([[b"a", b"d"], [b"a"], [b"b"]]) == [([], set())] * 3
+
+
+def test_decontamination_memory():
+    """A block's windows take a bounded multiple of its text."""
+    import pickle
+
+    rng = random.Random(3)
+    text = [(i, " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(3000))) for i in range(100)]
+    size = sum(len(t) for _, t in text)
+    assert len(pickle.dumps(decontaminate.Windows(text))) < 5 * size
 
 
 def heldout(spark, name, label):
