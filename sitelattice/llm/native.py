@@ -25,6 +25,21 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def running(values: Column, join=lambda a, b: a + b) -> Column:
+    """What ``join``, an associative function, makes of each element and all before it.
+
+    Each pass joins what stands 1, 2, 4, ... places before, so n elements take n log n
+    steps; a fold that appends to its list would take n squared.
+    """
+
+    def passed(a: Column, k: Column) -> Column:
+        far = F.pow(F.lit(2), k).cast("int")
+        return F.transform(a, lambda x, i: F.when(i >= far, join(F.get(a, i - far), x)).otherwise(x))
+
+    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values).cast("double"))).cast("int") - 1)
+    return F.when(F.size(values) > 1, F.aggregate(passes, values, passed)).otherwise(values)
+
+
 SPANS = "array<struct<start:bigint,stop:bigint>>"
 
 
@@ -33,19 +48,38 @@ def spans(text: Column, pattern: str, found: Column) -> Column:
     code points. Texts without a match are not split."""
 
     def placed(x: Column) -> Column:
-        def step(a: Column, i: Column) -> Column:
-            start = a["at"] + F.get(x["gaps"], i)
-            stop = start + F.get(x["sizes"], i)
-            return F.struct(stop.alias("at"), F.array_append(a["all"], F.struct(start.alias("start"), stop.alias("stop"))).alias("all"))
-
-        zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPANS).alias("all"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(x["sizes"]) - 1), zero, step, lambda a: a["all"])
+        ends = let(F.zip_with(F.slice(x["gaps"], 1, F.size(x["sizes"])), x["sizes"], lambda a, b: a + b), lambda v: running(v))
+        return F.zip_with(ends, x["sizes"], lambda e, n: F.struct((e - n).alias("start"), e.alias("stop")))
 
     lengths = lambda texts: F.transform(texts, lambda t: F.length(t).cast("bigint"))
     both = F.struct(lengths(between(text, pattern)).alias("gaps"), lengths(found).alias("sizes"))
     return F.when(F.size(found) > 0, let(both, placed)).otherwise(F.array().cast(SPANS))
 
 
+def untouched(runs: Column, others: Column) -> Column:
+    """Those of ``runs`` (structs with start and stop) that none of the spans ``others``
+    overlaps: the largest end among the spans that begin before a run's end is no more
+    than its start."""
+
+    def apart(x: Column) -> Column:
+        nothing = F.lit(None).cast("bigint")
+        marks = F.concat(
+            F.transform(x["runs"], lambda r, i: F.struct(r["stop"].alias("at"), F.lit(0).alias("kind"), nothing.alias("end"), i.cast("bigint").alias("run"))),
+            F.transform(x["others"], lambda o: F.struct(o["start"].alias("at"), F.lit(1).alias("kind"), o["stop"].alias("end"), nothing.alias("run"))),
+        )
+
+        def judged(m: Column) -> Column:
+            reached = let(F.transform(m, lambda e: e["end"]), lambda ends: running(ends, F.greatest))
+            free = lambda e, top: F.when((e["kind"] == 0) & (F.coalesce(top, F.lit(0)) <= F.get(x["runs"], e["run"].cast("int"))["start"]), e["run"])
+            kept = F.filter(F.zip_with(m, reached, free), lambda i: i.isNotNull())
+            return F.transform(kept, lambda i: F.get(x["runs"], i.cast("int")))
+
+        return let(F.array_sort(marks), judged)
+
+    both = F.struct(runs.alias("runs"), others.alias("others"))
+    return F.when((F.size(runs) > 0) & (F.size(others) > 0), let(both, apart)).otherwise(runs)
+
+
 def normal_tail(z: Column) -> Column:
     """P(Z > z) of a standard normal (Abramowitz and Stegun 26.2.17)."""
     a = F.abs(z)

@@ -10,9 +10,13 @@ base 32, else base 64) and tested against it:
 * serial correlation of neighbouring symbols,
 
 joined by Fisher's method into one probability that a random string looks like this.
-Ordinary words fail uniformity the more clearly the longer they are: the chi-squared
-value is also set against its (noncentral) law for ordinary text of that length and
-alphabet. These probabilities go through Benjamini-Hochberg control within classes of
+Ordinary names fail uniformity the more clearly the longer they are. How likely an
+ordinary name is to look as random as a run does is joined, by Fisher's method again,
+from its chi-squared value (by its noncentral law for text), its share of common letters
+and its turns between small letters, capitals and digits; shares of names are set on the
+safe side, since the first two are not independent, and a test counts the false
+discoveries. Hexadecimal needs none of these: text hardly ever stays within sixteen
+characters (``HEX_SHARE`` a character at most). These probabilities go through Benjamini-Hochberg control within classes of
 length, over all runs of all documents; the step-up runs over a histogram of
 probabilities of fixed size, so the driver sees four thresholds and no rows. A run is
 reported if it is discovered there and the battery does not reject it as random.
@@ -32,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .native import let, matches, normal_tail, spans, two_sided
+from .native import let, matches, normal_tail, spans, two_sided, untouched
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -46,11 +50,19 @@ CLASSES = (32, 64, 128)
 #: Alphabets in value order, and the excess of ordinary text's chi-squared a character:
 #: size * (sum of squared shares) - 1, with 0.066 for letters and 0.1 for digits.
 ALPHABETS = {
-    "hex": ("0123456789abcdef", 16 * 0.1 - 1),
+    "hex": ("0123456789abcdef", 0.0),  # see HEX_SHARE
     "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32 * 0.066 - 1),
     "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 64 * 0.066 - 1),
 }
 BINS = 400
+#: Turns from small to capital letters, and between letters and digits; how often ordinary names have them at most.
+TURNS = "(?<=[a-z])(?=[A-Z])|(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])"
+TURN_SHARE = {64: 0.2, 32: 0.08}
+#: Letters that make up over three quarters of ordinary text, and how much of names at least, with their signs
+#: and digits; of random strings they are three eighths.
+COMMON, COMMON_SHARE = "ETAOINSRHDLU", {64: 0.66, 32: 0.74}
+#: Share of hexadecimal characters in ordinary text (a to f are 0.32 of English letters).
+HEX_SHARE = 0.4
 
 
 def base_spans(text: Column, kind: int) -> Column:
@@ -104,8 +116,15 @@ def _tests(s: Column, alphabet: str, excess: float) -> Column:
         z_serial = F.when(y["variance"] > 0, y["covariance"] / y["variance"] * F.sqrt(n)).otherwise(F.lit(20.0))
         half = F.struct((-(F.log(normal_tail(z_chi)) + F.log(two_sided(z_runs)) + F.log(two_sided(z_serial)))).alias("h"))
         z_text = (chi - (df + n * excess)) / F.sqrt(2 * df + 4 * n * excess)
-        fisher = let(half, lambda x: F.exp(-x["h"]) * (1 + x["h"] + x["h"] * x["h"] / 2))  # six degrees of freedom
-        return F.struct(fisher.alias("p_random"), normal_tail(-z_text).alias("p_text"))
+        joint = lambda x: F.exp(-x["h"]) * (1 + x["h"] + x["h"] * x["h"] / 2)  # noqa: E731  Fisher's method, six degrees of freedom
+        fisher = let(half, joint)
+        if k == 16:
+            return F.struct(fisher.alias("p_random"), F.pow(F.lit(HEX_SHARE), n).alias("p_text"))
+        changed = normal_tail((F.regexp_count(s, F.lit(TURNS)) - 0.5 - n * TURN_SHARE[k]) / F.sqrt(n * TURN_SHARE[k] * (1 - TURN_SHARE[k])))
+        common = n - F.length(F.translate(F.upper(s), COMMON, ""))
+        letters = normal_tail((n * COMMON_SHARE[k] - common - 0.5) / F.sqrt(n * COMMON_SHARE[k] * (1 - COMMON_SHARE[k])))
+        h = F.struct((-F.log(normal_tail(-z_text)) - F.log(letters) - F.log(changed)).alias("h"))
+        return F.struct(fisher.alias("p_random"), let(h, joint).alias("p_text"))
 
     symbols = F.transform(F.split(s, ""), lambda c: (F.instr(F.lit(alphabet), c) - 1).cast("double"))
     squares = F.aggregate(F.split(F.lit(alphabet), ""), F.lit(0.0), lambda a, c: a + F.pow((F.length(s) - F.length(F.replace(s, c, F.lit("")))).cast("double"), F.lit(2.0)))
@@ -158,8 +177,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
     rows = rows.select("id", *[base_spans(text, i).alias(k) for i, k in enumerate(KINDS[:3])], candidates(text).alias("runs"))
     rows = common.persist_table(rows, "secret-spans")
     base = F.concat(*KINDS[:3])
-    free = F.filter("runs", lambda r: ~F.exists(base, lambda b: (b["start"] < r["stop"]) & (r["start"] < b["stop"])))
-    limits = thresholds(rows.where(F.size("runs") > 0).select(F.explode(free).alias("r")).select("r.*"), fdr)
+    rows = rows.withColumn("free", untouched(F.col("runs"), base))
+    limits = thresholds(rows.where(F.size("runs") > 0).select(F.explode("free").alias("r")).select("r.*"), fdr)
     def accepted(r: Column) -> Column:
         out = F.lit(False)
         for band, limit in enumerate(limits):
@@ -167,7 +186,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
                 out = out | ((r["band"] == band) & (_bin(r["p_text"]) >= limit))
         return out & (r["p_random"] >= NOT_RANDOM)
 
-    kept = F.transform(F.filter(free, accepted), lambda r: F.struct(r["start"].alias("start"), r["stop"].alias("stop")))
+    kept = F.transform(F.filter("free", accepted), lambda r: F.struct(r["start"].alias("start"), r["stop"].alias("stop")))
     return rows.select(F.col("id").alias(id_col), *KINDS[:3], kept.alias("random"))
 
 

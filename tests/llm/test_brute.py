@@ -90,6 +90,46 @@ def test_secrets_battery_after_equals_sign(spark):
     assert all(rows[i] in ([], [(len(heads[i % 4]), len(made[i]) - 2)]) for i in range(100))
 
 
+WORDS = "get set user name value list table index count read write file path open close the of and in result error value default config server client update delete insert stream buffer parse token state handler manager service".split()
+ENCODINGS = {
+    "hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+}
+
+
+def test_secrets_recall_and_false_discoveries(spark):
+    """Random keys of every encoding at 20 to 128 characters among ordinary names and paths."""
+    rng = random.Random(21)
+    keys = [(e, n, "k " + "".join(rng.choice(a) for _ in range(n)) + " e") for e, a in ENCODINGS.items() for n in (20, 24, 31, 48, 64, 128) if (e, n > 31) != ("hex", True) for _ in range(40)]
+
+    def name(i):
+        parts = [rng.choice(WORDS) for _ in range(rng.randint(4, 14))]
+        text = ["_".join(parts), "-".join(parts), "/".join(parts), parts[0] + "".join(p.capitalize() for p in parts[1:]), "".join(parts), "_".join(parts).upper()][i % 6]
+        return f"see {text}{rng.randint(0, 9999) if i % 4 == 0 else ''} there"
+
+    plain = [name(i) for i in range(6000)]
+    docs = spark.createDataFrame(list(enumerate([t for _, _, t in keys] + plain)), "doc_id long, text string")
+    rows = {r["doc_id"]: [tuple(s) for s in r["random"]] for r in secrets.scan(docs).collect()}
+    caught = Counter((e, n) for i, (e, n, t) in enumerate(keys) if rows[i] == [(2, len(t) - 2)])
+    wrong = sum(bool(rows[len(keys) + i]) for i in range(len(plain)))
+    assert all(caught[e, n] >= (36 if n == 20 else 38) for e, n, _ in keys) and wrong <= 0.01 * (wrong + sum(caught.values())), (wrong, caught)
+
+
+def test_secrets_many_matches(spark):
+    """A text of very many matches takes n log n steps, and the same places."""
+    rng = random.Random(2)
+    pieces = [rng.choice(["token=abcdefgh12", "AKIA" + "A" * 14, "".join(rng.choice("0123456789abcdef") for _ in range(33)), "".join(rng.choice(ENCODINGS["base64"]) for _ in range(24)), "é"]) for _ in range(60_000)]
+    text = " ".join(pieces)
+    r = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).select(secrets.joined(secrets.KINDS[:3]).alias("s"), "random", *[F.size(k).alias(k) for k in secrets.KINDS[:3]]).first()
+    spans, counts = plain_secrets(text)
+    assert (r["s"], [r[k] for k in secrets.KINDS[:3]]) == (spans, counts)
+    taken = [tuple(map(int, x.split(":")[1:])) for x in spans.split(",")]
+    ends = np.array([b for _, b in taken])
+    for a, b in r["random"]:
+        i = int(np.searchsorted(ends, a, side="right"))
+        assert i == len(taken) or taken[i][0] >= b
+
+
 def plain_fingerprint(text):
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
     shingles = [" ".join(words[i : i + 4]) for i in range(len(words) - 3)] or ([" ".join(words)] if words else [])
