@@ -7,12 +7,13 @@ to its identifier. Known sentences are also found wrapped: over several lines, w
 without comment marks, no blank line or full stop between (a semicolon or colon may be).
 Such a sentence takes the place of its first line; lines that are known sentences by
 themselves stay so. Licence rules are sequences of identifiers: a rule matches where its
-sentences stand in order with no other known sentence between them. Rules are tried in
-their written order, longest texts first, and what one has matched is used up; a known
-sentence that no rule takes is reported as a fragment.
+sentences stand in order with no other known sentence between them. Longer rules are
+tried first, and what one has matched is used up; then sentences that name a licence by
+themselves are looked up, and what is left is reported as fragments. "All rights
+reserved" makes a text proprietary only where it names no licence.
 
 Only built-in expressions are used, in one pass without a shuffle. The sentence table
-is a literal of a few dozen entries. Texts without any of the words that every known
+is a literal of some hundred entries, most made from a name and a version. Texts without any of the words that every known
 sentence has one of (``ANCHOR``; a test holds the table to it) skip the cutting.
 
 Nulls: a null text has no sentences. A null doc_id stays null. Repeated rows each give
@@ -25,10 +26,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .native import between, let, matches
+from .native import between, let, matches, running
 
 SPLIT = r"[\r\n]+|[.!?;:]+(?:[ \t]+|$)"
-ANCHOR = r"(?i)licen[cs]e|rights reserved|copyright|permission|warrant|redistribution|free software|public domain|liab|provided by the"
+ANCHOR = r"(?i)licen[cs]e|rights reserved|copyright|permission|warrant|redistribution|free software|public domain|liab|provided by the|this software|this program|misrepresented|advertising materials|this (?:library|file)|[al]?gpl"
 
 #: Normalised sentences of public licence texts and notices, with identifiers.
 SENTENCES = {
@@ -63,36 +64,123 @@ SENTENCES = {
     44: "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
     50: "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     60: "this is free and unencumbered software released into the public domain",
+    45: "the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission",
+    46: "all advertising materials mentioning features or use of this software must display the following acknowledgement",
+    51: "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    52: "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    53: "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
     70: "all rights reserved",
+    80: "this software is provided as is without any express or implied warranty",
+    81: "in no event will the authors be held liable for any damages arising from the use of this software",
+    82: "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    83: "the origin of this software must not be misrepresented you must not claim that you wrote the original software",
+    84: "if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not required",
+    85: "altered source versions must be plainly marked as such and must not be misrepresented as being the original software",
+    86: "distributed under the boost software license version 1 0",
+    87: "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",
+    90: "this source code form is subject to the terms of the mozilla public license v",
+    91: "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    92: "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    93: "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    94: "all rights reserved this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html",
+    95: "to the extent possible under law the author has dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
+    96: "to the extent possible under law the person who associated cc0 with this work has waived all copyright and related or neighboring rights to this work",
+    97: "this software is distributed without any warranty",
+    98: "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed",
 }
-#: Licences by their sentences in order; the first rule that matches wins.
-RULES = (
-    ("MIT", (3, 4, 5, 6)),
-    ("MIT", (3, 4, 5)),
-    ("MIT", (3, 4)),
-    ("Apache-2.0", (11, 12, 13, 14, 15)),
-    ("Apache-2.0", (10, 12, 13, 14, 15)),
-    ("GPL-3.0-or-later", (21, 22, 23)),
-    ("GPL-3.0-or-later", (24, 25, 22, 23)),
-    ("BSD-3-Clause", (40, 41, 42, 43, 44)),
-    ("BSD-2-Clause", (40, 41, 42, 44)),
-    ("GPL-3.0-or-later", (24, 25)),
-    ("GPL-3.0-or-later", (21,)),
-    ("MIT", (1,)),
-    ("MIT", (2,)),
-    ("Apache-2.0", (11,)),
-    ("Apache-2.0", (10,)),
-    ("GPL-3.0", (20,)),
-    ("CC-BY-NC-4.0", (30,)),
-    ("CC-BY-4.0", (31,)),
-    ("CC-BY-SA-4.0", (32,)),
-    ("CC-BY-4.0", (33,)),
-    ("CC-BY-NC-4.0", (34,)),
-    ("CC-BY-SA-4.0", (35,)),
-    ("ISC", (50,)),
-    ("Unlicense", (60,)),
-    ("Proprietary", (70,)),
+#: The end of a BSD licence, for whoever it names.
+_DAMAGES = (
+    "in no event shall the {} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data "
+    "or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this "
+    "software even if advised of the possibility of such damage"
 )
+_WHO = ("copyright holder or contributors", "copyright holders or contributors", "copyright owner or contributors", "author", "regents or contributors")
+DAMAGES = {110 + i: _DAMAGES.format(who) for i, who in enumerate(_WHO)}
+DISCLAIMED = {120 + i: SENTENCES[44].replace("copyright holders and contributors", who) for i, who in enumerate(("author", "regents and contributors", "copyright holder and contributors"))}
+#: The GNU licences, their short names and versions, and the heads of their full texts.
+GNU = (
+    ("gnu general public license", "gpl", "GPL", (("2", "june 1991"), ("3", "29 june 2007"))),
+    ("gnu lesser general public license", "lgpl", "LGPL", (("2.1", "february 1999"), ("3", "29 june 2007"))),
+    ("gnu library general public license", "lgpl", "LGPL", (("2", "june 1991"),)),
+    ("gnu affero general public license", "agpl", "AGPL", (("3", "19 november 2007"),)),
+)
+#: Names under which texts name other licences.
+NAMED = {
+    "apache license version 2 0": "Apache-2.0", "apache license 2 0": "Apache-2.0", "mit license": "MIT", "bsd 2 clause license": "BSD-2-Clause", "bsd 3 clause license": "BSD-3-Clause",
+    "isc license": "ISC", "mozilla public license version 2 0": "MPL-2.0", "mozilla public license 2 0": "MPL-2.0", "eclipse public license 2 0": "EPL-2.0", "boost software license version 1 0": "BSL-1.0",
+}
+CC = {"": "BY", " noncommercial": "BY-NC", " sharealike": "BY-SA", " noderivatives": "BY-ND", " noncommercial sharealike": "BY-NC-SA", " noncommercial noderivatives": "BY-NC-ND"}
+LEADS = ("licensed under the ", "released under the ", "distributed under the ", "this work is licensed under the ", "this software is licensed under the ", "this program is licensed under the ")
+
+
+def _generated() -> tuple[dict[int, str], list[tuple[str, tuple[int, ...]]], dict[int, str]]:
+    """Sentences that differ in a name or a version, from 200 on: (sentences, rules of
+    several, licence of those that are one alone)."""
+    said, rules, alone = {}, [], {}
+    known = {s: i for i, s in SENTENCES.items()}
+
+    def add(sentence: str, licence: str | None) -> int:
+        i = known.setdefault(sentence, 200 + len(said))
+        if i >= 200:
+            said[i] = sentence
+        if licence and i not in _ALONE:
+            alone.setdefault(i, licence)
+        return i
+
+    for name, short, spdx, versions in GNU:
+        for version, date in versions:
+            v, full = version.replace(".", " "), f"{spdx}-{version if '.' in version else version + '.0'}"
+            grant = f"you can redistribute it and or modify it under the terms of the {name} as published by the free software foundation either version {v} of the license or at your option any later version"
+            later, only = f"{full}-or-later", f"{full}-only"
+            one = add(grant, later)
+            for thing in ("program", "library", "file", "software"):
+                free = add(f"this {thing} is free software", None)
+                whole = add(f"this {thing} is free software {grant}", later)
+                hope = add(f"this {thing} is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose", None)
+                see = add(f"see the {name} for more details", None)
+                rules += [(later, (whole, hope, see)), (later, (free, one, hope, see)), (later, (free, one))]
+            add(f"you can redistribute it and or modify it under the terms of the {name} version {v} as published by the free software foundation", only)
+            add(f"you can redistribute it and or modify it under the terms of version {v} of the {name} as published by the free software foundation", only)
+            add(f"{name} version {v} {date}", full)
+            for called in (f"{name} version {v}", f"{name} v{v}", f"{short} version {v}", f"{short} v{v}", f"{short}v{v}"):
+                for lead in ("", *LEADS[:4]):
+                    add(lead + called, full)
+                    add(f"{lead}{called} or later", later)
+    for name, licence in NAMED.items():
+        for lead in (*LEADS, "", "the "):
+            add(lead + name, licence)
+    for rest, short in CC.items():
+        for version, kind in (("4 0", "international"), ("3 0", "unported")):
+            add(f"this work is licensed under a creative commons attribution{rest} {version} {kind} license", f"CC-{short}-{version.replace(' ', '.')}")
+        for lead in ("", "this work is "):
+            add(f"{lead}licensed under cc {short.lower().replace('-', ' ')} 4 0", f"CC-{short}-4.0")
+    for licence in sorted({*alone.values(), *_ALONE.values(), "0BSD", "Zlib", "CC0-1.0", "EPL-2.0", "BSD-2-Clause"} - {"Proprietary"}):
+        add("spdx license identifier " + licence.lower().replace("-", " ").replace(".", " "), licence)
+    return said, rules, alone
+
+
+#: Sentences that are a licence by themselves.
+_ALONE = {
+    1: "MIT", 2: "MIT", 11: "Apache-2.0", 10: "Apache-2.0", 20: "GPL-3.0", 21: "GPL-3.0-or-later", 30: "CC-BY-NC-4.0", 31: "CC-BY-4.0", 32: "CC-BY-SA-4.0", 33: "CC-BY-4.0", 34: "CC-BY-NC-4.0", 35: "CC-BY-SA-4.0",
+    50: "ISC", 53: "0BSD", 60: "Unlicense", 70: "Proprietary", 82: "Zlib", 86: "BSL-1.0", 87: "BSL-1.0", 91: "MPL-2.0", 92: "MPL-2.0", 93: "EPL-2.0", 94: "EPL-1.0", 95: "CC0-1.0", 96: "CC0-1.0", 98: "WTFPL",
+}
+_SAID, _GNU_RULES, _NAMES = _generated()
+SENTENCES |= DAMAGES | DISCLAIMED | _SAID
+ALONE = _ALONE | _NAMES
+_BSD = [(name, (*head, end, *tail)) for name, head in (("BSD-4-Clause", (40, 41, 42, 46, 43)), ("BSD-3-Clause", (40, 41, 42, 43)), ("BSD-3-Clause", (40, 41, 42, 45)), ("BSD-2-Clause", (40, 41, 42))) for end in (44, *DISCLAIMED) for tail in (*((d,) for d in DAMAGES), ())]
+#: Licences by their sentences in order; the first rule that matches wins, longer ones
+#: are tried first, and what a sentence is alone (``ALONE``) last.
+RULES = tuple(
+    sorted(
+        [
+            ("MIT", (3, 4, 5, 6)), ("MIT", (3, 4, 5)), ("MIT", (3, 4)), ("Apache-2.0", (11, 12, 13, 14, 15)), ("Apache-2.0", (10, 12, 13, 14, 15)), ("GPL-3.0-or-later", (21, 22, 23)),
+            ("ISC", (50, 51, 52)), ("0BSD", (53, 51, 52)), ("Zlib", (80, 81, 82, 83, 84, 85)), ("Zlib", (82, 83, 84, 85)), ("MPL-2.0", (90, 91)), ("MPL-2.0", (90, 92)), ("CC0-1.0", (95, 97)), *_BSD, *_GNU_RULES,
+        ],
+        key=lambda r: -len(r[1]),
+    )
+)
+#: "All rights reserved" says nothing where a licence follows.
+UNLESS = "Proprietary"
 
 
 def normalised(s: Column) -> Column:
@@ -128,13 +216,11 @@ def known_sentences(text: Column) -> Column:
     cuts = lambda s: F.length(s) - F.length(F.translate(s, "|/", ""))
 
     def placed(x: Column) -> Column:
-        def step(a: Column, i: Column) -> Column:
-            s, at = F.get(x["found"], i), a["at"] + cuts(F.get(x["gaps"], i))
-            hit = F.struct((at - 1).alias("sentence"), F.try_element_at(table, F.translate(s, "/", " ")).alias("id"))
-            return F.struct((at + cuts(s)).alias("at"), F.array_append(a["all"], hit).alias("all"))
-
-        zero = F.struct(F.lit(0).alias("at"), none.alias("all"))
-        return F.when(F.size(x["found"]) > 0, F.aggregate(F.sequence(F.lit(0), F.size(x["found"]) - 1), zero, step, lambda a: a["all"])).otherwise(none)
+        gaps, sizes = F.transform(F.slice(x["gaps"], 1, F.size(x["found"])), cuts), F.transform(x["found"], cuts)
+        both = F.struct(gaps.alias("g"), sizes.alias("n"), F.transform(F.zip_with(gaps, sizes, lambda g, n: (g + n).cast("bigint")), lambda c: c).alias("both"))
+        at = let(both, lambda y: F.zip_with(running(y["both"]), y["n"], lambda end, n: end - n))  # cuts before the sentence
+        hit = lambda s, a: F.struct((a - 1).cast("int").alias("sentence"), F.try_element_at(table, F.translate(s, "/", " ")).alias("id"))
+        return F.when(F.size(x["found"]) > 0, F.zip_with(x["found"], at, hit)).otherwise(none)
 
     found = let(marked(text), lambda m: let(F.struct(matches(m, KNOWN).alias("found"), between(m, KNOWN).alias("gaps")), placed))
     return F.when(text.rlike(ANCHOR), found).otherwise(none)
@@ -145,6 +231,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     (distinct, sorted), identifiers that no rule took."""
     known = known_sentences(F.coalesce(F.col(text_col), F.lit("")))
 
+    table = F.create_map(*[F.lit(x) for i, name in sorted(ALONE.items()) for x in (str(i), name)])
+
     def judged(k: Column) -> Column:
         joined = F.array_join(F.transform(k, lambda x: F.concat(F.lit("|"), x["id"].cast("string"), F.lit("|"))), "")
         state = F.struct(joined.alias("left"), F.array().cast("array<string>").alias("licences"))
@@ -157,8 +245,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 F.when(hit, F.array_append(a["licences"], r["name"])).otherwise(a["licences"]).alias("licences"),
             )
 
-        end = F.when(F.size(k) > 0, F.aggregate(rules, state, step)).otherwise(state)
-        return let(end, lambda e: F.struct(k.alias("known"), F.array_sort(F.array_distinct(e["licences"])).alias("licences"), F.regexp_extract_all(e["left"], F.lit("[0-9]+"), F.lit(0)).alias("fragments")))
+        def finished(e: Column) -> Column:
+            left = F.regexp_extract_all(e["left"], F.lit("[0-9]+"), F.lit(0))
+            own = F.filter(F.transform(left, lambda i: F.try_element_at(table, i)), lambda x: x.isNotNull())
+            every = F.array_sort(F.array_distinct(F.concat(e["licences"], own)))
+            licences = F.when(F.size(every) > 1, F.array_remove(every, UNLESS)).otherwise(every)
+            return F.struct(k.alias("known"), licences.alias("licences"), F.filter(left, lambda i: F.try_element_at(table, i).isNull()).alias("fragments"))
+
+        end = F.when(F.size(k) > 1, F.aggregate(rules, state, step)).otherwise(state)
+        return let(end, finished)
 
     return docs.select(F.col(id_col).alias(id_col), let(known, judged).alias("r")).select(id_col, "r.known", "r.licences", "r.fragments")
 
@@ -177,12 +272,8 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def oracle() -> str:
     """The same rules in DuckDB SQL."""
     table = ", ".join(f"({i}, '{s}')" for i, s in SENTENCES.items())
-    eaten, names, last = [], [], "joined"
-    for n, (name, ids) in enumerate(RULES):
-        text = "".join(f"|{i}|" for i in ids)
-        eaten.append(f"r{n} as (select *, replace({last}, '{text}', '|*|') as s{n}, case when contains({last}, '{text}') then '{name}' end as l{n} from {f'r{n - 1}' if n else 'seq'})")
-        names.append(f"l{n}")
-        last = f"s{n}"
+    alone = ", ".join(f"('{i}', '{name}')" for i, name in sorted(ALONE.items()))
+    rules = ", ".join(f"({n}, '{name}', '{''.join(f'|{i}|' for i in ids)}')" for n, (name, ids) in enumerate(RULES))
     return f"""
 with known(id, s) as (values {table}),
 d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
@@ -192,11 +283,20 @@ placed as (select r, s, row_number() over (partition by r order by p) - 1 as sen
 hits as (select r, sentence, id from placed join known using (s)),
 seq as (select r, count(*) as n, string_agg(concat(sentence, ':', id), ',' order by sentence) as sentences,
           string_agg(concat('|', id, '|'), '' order by sentence) as joined from hits group by r),
-{", ".join(eaten)}
+rules(n, name, ids) as (values {rules}),
+alone(id, name) as (values {alone}),
+eaten as (with recursive e(r, n, left_, names) as (
+    select r, 0, joined, [] :: varchar[] from seq
+    union all
+    select e.r, e.n + 1, replace(e.left_, k.ids, '|*|'), case when contains(e.left_, k.ids) then list_append(e.names, k.name) else e.names end from e join rules k on k.n = e.n)
+  select * from e where n = {len(RULES)}),
+rest as (select r, unnest(regexp_extract_all(left_, '[0-9]+')) as id, unnest(range(len(regexp_extract_all(left_, '[0-9]+')))) as p from eaten),
+own as (select r, list(alone.name) filter (alone.name is not null) as names, string_agg(rest.id, ',' order by p) filter (alone.name is null) as fragments from rest left join alone using (id) group by r),
+every as (select eaten.r, list_sort(list_distinct(list_concat(eaten.names, coalesce(own.names, [])))) as names, coalesce(own.fragments, '') as fragments from eaten left join own using (r))
 select doc_id, coalesce(n, 0) as n_sentences, coalesce(sentences, '') as sentences,
-  coalesce(array_to_string(list_sort(list_distinct(list_filter([{", ".join(names)}], lambda x: x is not null))), ','), '') as licenses,
-  coalesce(array_to_string(regexp_extract_all({last}, '[0-9]+'), ','), '') as fragments
-from d left join r{len(RULES) - 1} using (r)
+  coalesce(array_to_string(case when len(names) > 1 then list_filter(names, lambda x: x <> '{UNLESS}') else names end, ','), '') as licenses,
+  coalesce(fragments, '') as fragments
+from d left join seq using (r) left join every using (r)
 """
 
 

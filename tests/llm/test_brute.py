@@ -658,6 +658,67 @@ def test_license_wrapped(spark):
     assert rows[8]["known"] == [] and [tuple(k) for k in rows[9]["known"]] == [(1, 70)]
 
 
+#: Notices and texts as published, and the licence that each is of.
+PUBLISHED = {
+    "Apache-2.0": """Copyright 2019 Some Body
+
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    "BSD-3-Clause": """Copyright (c) 2019, Some Body. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU Lesser General Public License for more details.""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU Affero General Public License for more details.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.""",
+    "MIT": MIT,
+}
+PUBLISHED["BSD-2-Clause"] = "\n\n".join(p for p in PUBLISHED["BSD-3-Clause"].split("\n\n") if not p.startswith("3."))
+LINES = {
+    "GPL version 2 or later": "GPL-2.0-or-later", "Licensed under the GPLv3": "GPL-3.0", "// SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1-or-later", "Released under the Apache License, Version 2.0.": "Apache-2.0",
+    "GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991": "GPL-2.0", "All rights reserved.": "Proprietary", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "CC-BY-NC-SA-4.0",
+}
+
+
+def test_license_published(spark):
+    wrap = lambda t, mark: "\n".join(mark + line for p in t.split("\n") for line in textwrap.wrap(p, 78 - len(mark)) or [""])
+    made = [(name, wrap(t, mark)) for name, t in PUBLISHED.items() for mark in ("", "# ", " * ", "// ")] + [(name, t) for t, name in LINES.items()]
+    docs = spark.createDataFrame([(i, "some head\n\n" + t + "\n\nand a body") for i, (_, t) in enumerate(made)], "doc_id long, text string")
+    rows = {r["doc_id"]: r["licences"] for r in licenses.scan(docs).collect()}
+    assert [(name, rows[i]) for i, (name, _) in enumerate(made)] == [(name, [name]) for name, _ in made]
+
+
+def test_license_very_long(spark):
+    text = "Released under the MIT License.\n" * 100_000
+    r = licenses.scan(spark.createDataFrame([(1, text), (2, "x " * 500_000 + "license")], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert len(r[0]["known"]) == 100_000 and r[0]["licences"] == ["MIT"] and r[0]["known"][99_999]["sentence"] == 99_999 and r[1]["known"] == []
+
+
 def test_pipeline(spark):
     import corpus_pipeline as pipeline
 
