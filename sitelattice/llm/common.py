@@ -40,6 +40,29 @@ def fresh(name: str, df: DataFrame) -> str:
     return name
 
 
+#: Keys that hold more than one row in ``HEAVY`` are at most this many.
+HEAVY = 50_000
+
+
+def join_unique(left: DataFrame, right: DataFrame, key: str, counted: DataFrame | None = None, least: int = 1000) -> DataFrame:
+    """``left`` joined to ``right`` on ``key``, which is unique in ``right``; keys with very
+    many rows are no single task's work.
+
+    Keys that hold over one row in ``HEAVY`` (and over ``least``) number at most ``HEAVY``,
+    so their rows of ``right`` are broadcast, whatever the input. ``counted`` (key, n) may
+    be given; both sides are read twice and should be tables.
+    """
+    spark = left.sparkSession
+    counted = left.groupBy(key).agg(F.count("*").alias("n")) if counted is None else counted
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    heavy = persist_table(counted.where(F.col("n") > max(least, total // HEAVY)).select(key), "heavy")
+    if not heavy.take(1):
+        return left.join(right, key)
+    few = persist_table(right.join(F.broadcast(heavy), key, "left_semi"), "heavy-rows")
+    hot = left.join(F.broadcast(few), key)
+    return left.join(F.broadcast(heavy), key, "left_anti").join(right, key).unionByName(hot)
+
+
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node in ``edges``; component is the smallest
     node reachable.

@@ -22,7 +22,8 @@ have it:
   one below: linked members share a cell, so nothing is lost.
 
 Components of the edges come from ``common.connected_components``. Only
-fingerprints and ids are shuffled, never texts.
+fingerprints and ids are shuffled, never texts. Large components and fingerprints of
+very many rows get their names by a broadcast of bounded size (``common.join_unique``).
 
 Nulls: a null text has no words (fingerprint zero, which links like any other). A
 null doc_id is kept and is never a component's id; a component of null ids only has a
@@ -200,22 +201,26 @@ def links(fps: DataFrame, blocks: int = BLOCKS, radius: int = RADIUS, large: int
     )
 
 
-def components(rows: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def components(rows: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame]:
     """(fp, component, component_id) of the distinct fingerprints in ``rows`` (doc_id,
-    fp): the component as its least fingerprint, and the least id of its documents."""
-    classes = common.persist_table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    fp): the component as its least fingerprint, and the least id of its documents; and
+    (fp, n), the rows of each fingerprint."""
+    classes = common.persist_table(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "classes")
     edges = common.persist_table(links(classes.select("fp"), blocks, radius), "links")
     found = common.connected_components(edges, "a", "b").select(F.col("node").alias("fp"), "component")
-    of = classes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    names = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    return of.join(names, "component").select("fp", "component", "component_id")
+    linked = common.persist_table(classes.join(found, "fp"), "linked")
+    sizes = common.persist_table(linked.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("n")), "components")
+    named = common.join_unique(linked.select("fp", "component"), sizes.select("component", "component_id"), "component", sizes.select("component", "n"))
+    alone = classes.join(linked.select("fp"), "fp", "left_anti").select("fp", F.col("fp").alias("component"), F.col("least").alias("component_id"))
+    return named.select("fp", "component", "component_id").unionAll(alone), classes.select("fp", "n")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """(doc_id, fp, component_id) per row."""
     rows = fingerprints(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), size=size)
     rows = common.persist_table(rows.select("row.doc_id", "fp"), "fingerprints")
-    return rows.join(components(rows, radius, blocks).select("fp", "component_id"), "fp")
+    found, counted = components(rows, radius, blocks)
+    return common.join_unique(rows, common.persist_table(found.select("fp", "component_id"), "named"), "fp", counted)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
@@ -224,7 +229,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     rows = fingerprints(docs, text_col, size).withColumn("at", F.monotonically_increasing_id())
     rows = common.persist_table(rows, "fingerprints")  # from here on a row's number is fixed
     short = rows.select(F.col("row")[id_col].cast("long").alias("doc_id"), "fp", "at")
-    of = short.join(components(short, radius, blocks).select("fp", "component"), "fp")
+    found, counted = components(short, radius, blocks)
+    of = common.join_unique(short, common.persist_table(found.select("fp", "component"), "named"), "fp", counted)
     first = of.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("first")).select("first.at")
     return rows.join(first, "at", "left_semi").select("row.*")
 
