@@ -14,8 +14,9 @@ Piece lengths are whole numbers up to the capacity, so a histogram of lengths
 Bins of equal content are one run with a multiplicity, so driver memory depends on
 the capacity and the number of groups, not on the number of documents. The plan is
 a list of placements (length, ranks, sequences); each piece finds its own by its
-length and its rank among the pieces of that length. Ranks are counted in hashed
-buckets and offset by the bucket totals, so no length is one task's work.
+length and its rank among the pieces of that length. Ranks are counted in
+buckets and offset by the bucket totals, so neither a length nor a row that repeats is
+one task's work.
 
 Nulls: a null text is empty, that is its end token alone. A null doc_id stays
 null. Repeated rows are packed each. An empty table gives an empty result. Other
@@ -207,9 +208,15 @@ class Plan:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = 192) -> DataFrame:
-    """``pieces`` (at least ``length`` and the columns of PIECES) with
-    ``sequence_id`` and ``offset``. ``pieces`` is read twice and should be a table."""
+    """``pieces`` (at least the columns of PIECES) with ``sequence_id`` and ``offset``.
+
+    The pieces are written out with a bucket each, drawn from their place in the input
+    beside their content, so rows that repeat are dealt out as well."""
     spark = pieces.sparkSession
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    place = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(buckets))
+    pieces = common.persist_table(pieces.select(*names, place.cast("int").alias("bucket")), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = Plan(histogram, capacity, groups)
     # At most capacity lengths, each with the runs it was placed in: no function of the number of rows.
@@ -218,14 +225,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = 192) -> Data
     base, per, offset = (np.array([p[i] for p in places], dtype=np.int64) for i in (3, 4, 5))
     shared = spark.sparkContext.broadcast((keys, base, per, offset))
 
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    dealt = pieces.select(*names).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(buckets)))
-    totals = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
+    totals = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = dealt.withColumn("rank", F.row_number().over(inside) - 1).join(totals, ["length", "bucket"]).select(*names, (F.col("first") + F.col("rank")).alias("rank"))
+    ranked = pieces.withColumn("rank", F.row_number().over(inside) - 1).join(totals, ["length", "bucket"]).select(*names, (F.col("first") + F.col("rank")).alias("rank"))
 
     def place(batches):
         keys, base, per, offset = shared.value
@@ -242,7 +246,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = 192) -> Data
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return pack(common.persist_table(tokenized_pieces(docs, tokenizer, capacity, end, id_col, text_col), "pieces"), capacity)
+    return pack(tokenized_pieces(docs, tokenizer, capacity, end, id_col, text_col), capacity)
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
