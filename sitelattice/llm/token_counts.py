@@ -1,7 +1,7 @@
 """Operator 8 - token counts through a digest cache.
 
 Every text is named by the SHA-256 of its content, every tokenizer by the
-SHA-256 of its file. Counts already stored under both digests are joined in; each
+SHA-256 of its file and its library's version. Counts already stored under both digests are joined in; each
 distinct remaining text is encoded once and appended to the cache.
 
 Texts are moved once: distinct texts are gathered by digest with a map-side
