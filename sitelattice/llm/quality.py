@@ -155,9 +155,10 @@ def remainder(id_col: str, folds: int):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, label) of at most ``most`` labelled documents outside the fold ``held``.
+    """(id, text, label) of at most ``most`` labelled documents outside the fold ``held``.
 
-    Ids are chosen first; that bounded list is then broadcast to the documents.
+    Ids are chosen first; that bounded list is then broadcast to the documents. Of rows
+    that share an id one stays, that of the text of the least digest.
     """
     chosen = (
         labels.select(F.col(id_col).alias("id"), F.col(label).cast("double").alias("y")).dropna()
@@ -165,7 +166,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
         .groupBy("id").agg(F.avg("y").alias("y")).where("y <> 0.5")
         .select("id", (F.col("y") > 0.5).cast("int").alias("y"))
     )
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(_first(chosen, most)), "id").select("id", "text", "y")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(_first(chosen, most)), "id")
+    least = F.min(F.struct(F.sha2("text", 256).alias("digest"), "text"))  # per map task first, so one id's rows do not meet
+    return rows.groupBy("id", "y").agg(least.alias("least")).select("id", "least.text", "y")
 
 
 def _first(chosen: DataFrame, most: int) -> DataFrame:

@@ -383,6 +383,22 @@ def test_encoder_agrees_with_library():
         assert encoder.ids(t).tolist() == library_ids(t)
 
 
+def test_encoder_agrees_on_all_pairs():
+    """The characters that the fast path takes: each, all pairs, and runs of all classes."""
+    encoder = encoding.encoder(encoding.default_path())
+    own = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and not encoding._OTHER.search(chr(c))]
+    assert 600 < len(own) < 800
+    rng = random.Random(17)
+    # A class each of white space, marks, digits, letters and signs, and what the pattern names.
+    few = [" ", "\n", "\r", "\t", "\u00a0", "\u2028", "'", "s", "S", "l", "é", "ǅ", "1", "²", "½", "_", ".", "\u00ad", "\x00", "\x85", "–", "€", "<", "|", ">"]
+    made = own + [a + b for a in own for b in own] + [a + b + c for a in few for b in few for c in few]
+    made += ["".join(rng.choice(few if rng.random() < 0.7 else own) for _ in range(rng.randint(4, 30))) for _ in range(20_000)]
+    for i in range(0, len(made), 50_000):
+        part = made[i : i + 50_000]
+        want = [e.ids for e in encoder.library.encode_batch_fast(part, add_special_tokens=False)]
+        assert [encoder.ids(t).tolist() for t in part] == want
+
+
 def test_token_counts_query(spark, texts):
     for r in queries.QUERIES["op8_token_counts"](spark, SF).collect():
         t = texts[r["doc_id"]]
@@ -413,6 +429,35 @@ def test_packing_query(spark, texts):
     assert len(bins) <= least * 1.02 + 2
 
 
+def test_packing_repeated_rows(spark):
+    """Rows that repeat are dealt to all buckets, and packed each."""
+    docs = spark.createDataFrame([(1, "same text")] * 4000 + [(None, None)] * 1000, "doc_id long, text string").repartition(3)
+    pieces = packing.tokenized_pieces(docs, encoding.default_path())
+    rows = packing.pack(pieces).collect()
+    assert len(rows) == 5000 == len({(r["sequence_id"], r["offset"]) for r in rows})
+    place = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(4))
+    shares = [r["count"] for r in pieces.groupBy(place.alias("b")).count().collect()]
+    assert len(shares) == 4 and max(shares) < 2000
+
+
+def test_join_unique(spark):
+    left = spark.createDataFrame([(7, i) for i in range(3000)] + [(i % 50, i) for i in range(500)] + [(None, 1), (99, 1)], "k long, v long").repartition(3)
+    right = spark.createDataFrame([(i, f"n{i}") for i in range(60)], "k long, name string")
+    want = sorted(map(tuple, left.join(right, "k").collect()))
+    assert sorted(map(tuple, common.join_unique(left, right, "k", least=10).select("k", "v", "name").collect())) == want
+    assert sorted(map(tuple, common.join_unique(left, right, "k", least=10_000).select("k", "v", "name").collect())) == want
+
+
+def test_sample_of_repeated_ids(spark):
+    """An id that very many rows repeat gives one row to the sample."""
+    from sitelattice.llm import quality
+
+    docs = spark.createDataFrame([(1, f"t{i % 3}") for i in range(2000)] + [(i, "x") for i in range(2, 40)] + [(5, None)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    sample = quality.labelled_sample(docs, labels, "quality", 4, 2, 20).collect()
+    assert len(sample) == len({r["id"] for r in sample}) <= 20
+
+
 def test_packing_plans():
     rng = random.Random(1)
     cases = [{}, {1024: 5}, {1: 3000}, {600: 10, 500: 3}, {1: 1, 1024: 1, 512: 2}]
