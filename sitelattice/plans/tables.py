@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+#: Paths of the tables written by ``persist_table`` in this process and not dropped since.
+_WRITTEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,4 +36,25 @@ def persist_table(df: DataFrame, name: str, path: str | None = None) -> DataFram
     and a lost executor costs a reread, not a recomputation."""
     path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's file system, wherever it lies."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+
+
+def written() -> list[str]:
+    """The tables that stand now: what is in a later list and not in this one was made between."""
+    return list(_WRITTEN)
+
+
+def drop_written(spark: SparkSession, before: list[str] = (), keep: tuple[str, ...] = ()) -> None:
+    """Delete the tables written since ``before`` was taken, once what read them is written
+    itself. Results not yet written must not hang on them."""
+    for path in set(_WRITTEN) - set(before) - set(keep):
+        drop_path(spark, path)
