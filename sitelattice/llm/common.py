@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelattice.plans.tables import new_path, persist_table, shared_dir  # noqa: F401
+from sitelattice.plans.tables import drop_path, drop_written, new_path, persist_table, shared_dir, written  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,13 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder through Hadoop's file system, wherever it lies."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
     """Arrow batches of whole texts for this session: bounded by bytes, since a text's
     length is not."""

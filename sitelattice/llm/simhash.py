@@ -184,8 +184,11 @@ def links(fps: DataFrame, blocks: int = BLOCKS, radius: int = RADIUS, large: int
     keyed = fps.select(
         "fp", F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(signed)])).alias("e")
     ).select(F.xxhash64("e.t", "e.k").alias("key"), "fp")
-    # At most 1 / large of the keyed rows: keys that one task should not hold.
-    crowded = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > large).select("key", F.lit(True).alias("crowded"))
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Keys that one task should not hold: at most 1 / large of the keyed rows, and mostly none.
+    crowded = common.persist_table(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > large).select("key", F.lit(True).alias("crowded")), "crowded")
+    if not crowded.take(1):
+        return keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda b: _link(b, radius, ["key"]), "a long, b long")
     dealt = keyed.join(crowded, "key", "left")
     cells = []
     for p in pivots(3):
@@ -194,7 +197,6 @@ def links(fps: DataFrame, blocks: int = BLOCKS, radius: int = RADIUS, large: int
     corner = [F.transform(F.array(F.lit(0), F.lit(1)), lambda s, c=c: c - s) for c in cells]
     spots = F.flatten(F.transform(corner[0], lambda x: F.flatten(F.transform(corner[1], lambda y: F.transform(corner[2], lambda z: x * 4096 + y * 64 + z)))))
     dealt = dealt.select("key", "fp", F.explode(F.when(F.col("crowded"), spots).otherwise(F.array(F.lit(0).cast("long")))).alias("cell"))
-    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         dealt.repartition(parts, "key", "cell").sortWithinPartitions("key", "cell")
         .mapInArrow(lambda b: _link(b, radius, ["key", "cell"]), "a long, b long")
