@@ -3,7 +3,8 @@
 Stages, in order: documents that the quality classifier rejects go; of each group of
 near-duplicates one document stays; documents contaminated with benchmark passages go;
 personal data get surrogates; what is left is packed. Each stage is written as Parquet
-and read back before the next.
+and read back before the next; then the tables it was made from are deleted, so no more
+than two copies of the documents stand at once.
 """
 
 from __future__ import annotations
@@ -52,7 +53,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order."""
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), common.written()
     for i, (_, stage) in enumerate(STAGES):
-        docs = common.persist_table(stage(spark, docs, sf_dir), f"stage-{i}")
+        path = common.new_path(spark, f"stage-{i}")
+        docs = common.persist_table(stage(spark, docs, sf_dir), f"stage-{i}", path)
+        common.drop_written(spark, before, (path,))
     return docs
