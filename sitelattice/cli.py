@@ -8,6 +8,7 @@ one another's results.
 from __future__ import annotations
 
 import argparse
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,15 +77,16 @@ def make_features(spark, a, table: DataFrame | None = None) -> None:
 
 def _model_outputs(spark, data: DataFrame, names: list[str], output: str, title: str, kind: str, trees: int) -> None:
     data = persist_table(data, "design")
-    found = models.linear_models(models.gather(data, names))
+    found = models.linear_models(data, names)
     found["random_forest"] = models.tree_model(data, models.forest(trees))
     if kind == "relative":
         found["gradient_boosting"] = models.tree_model(data, models.boosted(trees))
     metrics = models.metrics_table(spark, found)
     sinks.write_table(models.importances(spark, found, names), f"{output}/importances")
     sinks.write_table(sinks.chart_data(models.importances(spark, found, names)), f"{output}/importance_chart")
-    best = max((n for n in found if "beta" in found[n]), key=lambda n: found[n]["cv_r2"])
-    sinks.write_table(models.predictions(data, found[best]["beta"]), f"{output}/predictions")
+    best = max(found, key=lambda n: (not math.isnan(found[n]["cv_r2"]), found[n]["cv_r2"]))
+    made = models.predictions(data, found[best]["beta"]) if "beta" in found[best] else models.tree_predictions(data, found[best])
+    sinks.write_table(made, f"{output}/predictions")
     sinks.write_text(sinks.report(metrics, title, kind), metrics, f"{output}/report")
 
 

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 ALPHAS = (0.1, 1.0, 10.0, 100.0)
 FOLDS = 5
+#: Parts of the rows by which the lasso's penalty is chosen.
+THIRDS = 3
 
 
 def design(values: DataFrame, target: DataFrame, features: list[str], label: str = "expression") -> DataFrame:
@@ -25,14 +27,23 @@ def design(values: DataFrame, target: DataFrame, features: list[str], label: str
 
     ``values`` is long (gene_id, line, feature, value); ``features`` names the columns.
     """
-    place = F.create_map(*[F.lit(x) for i, f in enumerate(features) for x in (f, i)])
-    pairs = values.where(F.col("feature").isin(features)).groupBy("gene_id", "line").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.element_at(place, F.col("feature")).alias("k"), "value"))).alias("m")
-    )
-    x = F.transform(F.sequence(F.lit(0), F.lit(len(features) - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
-    empty = F.array_repeat(F.lit(0.0), len(features))
+    k, keys = len(features), {f: i for i, f in enumerate(features)}
     rows = target.where(F.col(label).isNotNull()).select("gene_id", "line", F.col(label).cast("double").alias("y"))
-    return rows.join(pairs, ["gene_id", "line"], "left").select("gene_id", "line", "y", F.when(F.col("m").isNull(), empty).otherwise(x).alias("x"))
+    named = values.sparkSession.createDataFrame([(f, i) for f, i in keys.items()], "feature string, k int")
+    # A row's features as sorted places and values; a task lays them out as a vector.
+    pairs = values.join(F.broadcast(named), "feature").groupBy("gene_id", "line").agg(F.sort_array(F.collect_list(F.struct("k", "value"))).alias("m"))
+
+    def laid(batches):
+        for b in batches:
+            x = []
+            for m in b["m"]:
+                v = np.zeros(k)
+                if m is not None and len(m):
+                    v[[e["k"] for e in m]] = [e["value"] or 0.0 for e in m]
+                x.append(v)
+            yield b.drop(columns="m").assign(x=x)
+
+    return rows.join(pairs, ["gene_id", "line"], "left").mapInPandas(laid, "gene_id string, line string, y double, x array<double>")
 
 
 def group_folds(data: DataFrame, folds: int = FOLDS, by: str = "gene_id") -> DataFrame:
@@ -53,36 +64,58 @@ def row_folds(data: DataFrame, folds: int = FOLDS, seed: int = 42) -> DataFrame:
 
 @dataclass
 class Sums:
-    """Of rows (1, x, y): products per fold."""
+    """Of rows (1, x, y): products per fold and third of the rows (a hash of their key)."""
 
-    products: dict[int, np.ndarray]
+    parts: dict[tuple[int, int], np.ndarray]
     features: list[str]
 
+    @property
+    def products(self) -> dict[int, np.ndarray]:
+        out: dict[int, np.ndarray] = {}
+        for (fold, _), p in sorted(self.parts.items()):
+            out[fold] = out.get(fold, 0) + p
+        return out
+
     def total(self, without: int | None = None) -> np.ndarray:
         return sum(p for f, p in self.products.items() if f != without)
 
+    def thirds(self, without: int | None = None) -> list[np.ndarray]:
+        """Products of each third of the rows outside a fold."""
+        held = [[p for (f, t), p in sorted(self.parts.items()) if f != without and t == third] for third in range(THIRDS)]
+        return [sum(h) for h in held if h]
+
 
 def gather(data: DataFrame, features: list[str]) -> Sums:
-    """One pass. Tasks send one product table a fold, added up before they are
-    collected; the result has (features + 2) squared numbers a fold."""
+    """One pass. Each task adds up one product table a fold and third and sends it as
+    bytes; tables meet in an aggregate's tasks, and the driver gets (features + 2) squared
+    numbers a fold and third."""
     k = len(features) + 2
 
     def run(batches):
-        held: dict[int, np.ndarray] = {}
+        held: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
             if len(b):
                 rows = np.column_stack((np.ones(len(b)), np.stack(b["x"].to_numpy()) if k > 2 else np.empty((len(b), 0)), b["y"].to_numpy()))
-                for fold in np.unique(b["fold"]):
-                    part = rows[(b["fold"] == fold).to_numpy()]
-                    held[int(fold)] = held.get(int(fold), 0) + part.T @ part
-        for fold, p in held.items():
-            yield pd.DataFrame({"fold": fold, "at": np.arange(k * k), "v": p.ravel()})
+                at = (b["fold"].to_numpy() * THIRDS + b["third"].to_numpy()).astype(int)
+                for key in np.unique(at):
+                    part = rows[at == key]
+                    held[key] = held.get(key, 0) + part.T @ part
+        if held:
+            yield pd.DataFrame({"key": list(held), "p": [p.astype("<f8").tobytes() for p in held.values()]})
+
+    def added(key, tables):
+        total = np.zeros(k * k)
+        for t in tables:
+            for p in t["p"]:
+                total += np.frombuffer(p, "<f8")
+        yield pd.DataFrame({"key": [key[0]], "p": [total.tobytes()]})
+
+    def meet(tables: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat(added((int(tables["key"].iloc[0]),), [tables]))
 
-    rows = data.select("fold", "x", "y").mapInPandas(run, "fold int, at int, v double").groupBy("fold", "at").agg(F.sum("v").alias("v")).collect()
-    products: dict[int, np.ndarray] = {}
-    for r in rows:
-        products.setdefault(r["fold"], np.zeros(k * k))[r["at"]] = r["v"]
-    return Sums({f: p.reshape(k, k) for f, p in sorted(products.items())}, list(features))
+    keyed = data.select("fold", F.pmod(F.xxhash64("gene_id", "line", F.lit(7)), F.lit(THIRDS)).alias("third"), "x", "y") if {"gene_id", "line"} <= set(data.columns) else data.select("fold", F.lit(0).alias("third"), "x", "y")
+    rows = keyed.mapInPandas(run, "key int, p binary").groupBy("key").applyInPandas(meet, "key int, p binary").collect()
+    return Sums({divmod(r["key"], THIRDS): np.frombuffer(bytes(r["p"]), "<f8").reshape(k, k) for r in rows}, list(features))
 
 
 def _centred(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
@@ -100,20 +133,46 @@ def ridge(p: np.ndarray, alpha: float) -> np.ndarray:
     return np.concatenate(([mean[-1] - mean[:-1] @ b], b))
 
 
-def lasso(p: np.ndarray, alpha: float, most: int = 10_000, tolerance: float = 1e-9) -> np.ndarray:
-    """Coordinate descent on 1 / (2 n) RSS + alpha |b|."""
-    mean, xx, xy, _ = _centred(p)
-    n, b = p[0, 0], np.zeros(len(xx))
-    for _ in range(most):
-        moved = 0.0
-        for j in range(len(b)):
-            if xx[j, j] > 1e-12:
-                r = xy[j] - xx[j] @ b + xx[j, j] * b[j]
-                new = np.sign(r) * max(0.0, abs(r) - n * alpha) / xx[j, j]
-                moved, b[j] = max(moved, abs(new - b[j])), new
-        if moved < tolerance:
-            break
-    return np.concatenate(([mean[-1] - mean[:-1] @ b], b))
+def lasso(p: np.ndarray, alpha: float) -> np.ndarray:
+    """Least of 1 / (2 n) RSS + alpha |b|."""
+    return lasso_paths([p], np.array([[alpha]]), 2000, 1e-6)[0, 0]
+
+
+def lasso_paths(tables: list[np.ndarray], alphas: np.ndarray, most: int = 200, tolerance: float = 1e-3) -> np.ndarray:
+    """(table, alpha, 1 + feature): intercepts and coefficients of each table at each of its
+    penalties, in falling order. All tables take their coordinate steps together, each
+    penalty from the one before, until no step moves the fit by more than ``tolerance`` of
+    the target's spread."""
+    centred = [_centred(p) for p in tables]
+    mean, xx, xy = (np.stack([c[i] for c in centred]) for i in range(3))
+    n, d = np.array([p[0, 0] for p in tables]), np.einsum("pjj->pj", xx)
+    flat = d <= 1e-12
+    b, g = np.zeros_like(xy), xy.copy()  # g: products with what is left over
+    spread = np.maximum(np.array([c[3] for c in centred]), 1e-300)
+    out = np.zeros((len(tables), alphas.shape[1], 1 + xy.shape[1]))
+    for a in range(alphas.shape[1]):
+        least, all_ = n * alphas[:, a], np.arange(xy.shape[1])
+        active = all_
+        for _ in range(most):
+            moved = 0.0
+            for j in active:
+                r = g[:, j] + d[:, j] * b[:, j]
+                new = np.where(flat[:, j], 0.0, np.sign(r) * np.maximum(0.0, np.abs(r) - least) / np.where(flat[:, j], 1.0, d[:, j]))
+                step = new - b[:, j]
+                if step.any():
+                    g -= xx[:, :, j] * step[:, None]
+                    b[:, j] = new
+                    moved = max(moved, float((step * step * d[:, j] / spread).max()))
+            if moved < tolerance * tolerance:
+                if len(active) == len(all_):
+                    break
+                active = all_  # settled among the active: look at all once more
+            else:
+                active = np.flatnonzero((b != 0).any(axis=0)) if len(active) == len(all_) else active
+                active = active if len(active) else all_
+        out[:, a, 1:] = b
+        out[:, a, 0] = mean[:, -1] - np.einsum("pj,pj->p", mean[:, :-1], b)
+    return out
 
 
 def score(p: np.ndarray, beta: np.ndarray) -> tuple[float, float]:
@@ -123,41 +182,76 @@ def score(p: np.ndarray, beta: np.ndarray) -> tuple[float, float]:
     return (1 - rss / tss if tss > 1e-12 else float("nan")), float(np.sqrt(rss / p[0, 0]))
 
 
-def lasso_path(p: np.ndarray, n: int = 20) -> list[float]:
+def lasso_alphas(p: np.ndarray, n: int = 100) -> np.ndarray:
+    """The usual path: from the least penalty that leaves nothing down to a thousandth."""
     _, _, xy, _ = _centred(p)
     top = float(np.abs(xy).max(initial=0)) / p[0, 0]
-    return [top * 10 ** (-3 * i / (n - 1)) for i in range(n)] if top > 0 else [1.0]
-
-
-def best_ridge(products: dict[int, np.ndarray], alphas=ALPHAS) -> float:
-    """Penalty with the best held-out squared error over the folds given."""
-    return min(alphas, key=lambda a: sum(_heldout(products, f, lambda p: ridge(p, a)) for f in products) if len(products) > 1 else a)
-
-
-def best_lasso(products: dict[int, np.ndarray]) -> float:
-    whole = sum(products.values())
-    return min(lasso_path(whole), key=lambda a: sum(_heldout(products, f, lambda p: lasso(p, a)) for f in products) if len(products) > 1 else a)
+    return np.array([top * 10 ** (-3 * i / (n - 1)) for i in range(n)]) if top > 0 else np.ones(n)
+
+
+def best_lasso(sums: Sums, folds: list[int | None]) -> dict[int | None, float]:
+    """Per training part (all but a fold; None: all) the penalty of the least squared error
+    over its thirds."""
+    tables, paths, tests = [], [], []
+    for f in folds:
+        thirds, path = sums.thirds(f), lasso_alphas(sums.total(f))
+        for t in range(len(thirds) if len(thirds) > 1 else 0):
+            tables.append(sum(thirds[:t] + thirds[t + 1 :]))
+            paths.append(path)
+            tests.append((f, thirds[t]))
+    errors: dict[int | None, np.ndarray] = {}
+    if tables:
+        fits = lasso_paths(tables, np.stack(paths))
+        for (f, test), fit in zip(tests, fits, strict=True):
+            v = np.concatenate((fit, -np.ones((len(fit), 1))), axis=1)
+            errors[f] = errors.get(f, 0) + np.einsum("ai,ij,aj->a", v, test, v) / test[0, 0]
+    return {f: float(lasso_alphas(sums.total(f))[int(np.argmin(errors[f])) if f in errors else 0]) for f in folds}
+
+
+def best_ridge(data: DataFrame, sums: Sums, folds: list[int | None], alphas=ALPHAS) -> dict[int | None, float]:
+    """Per training part the penalty of the least squared leave-one-out error: one pass,
+    in which each row's error is its residual over one less its leverage."""
+    fits = {}
+    for f in folds:
+        p = sums.total(f)
+        mean, xx, _, _ = _centred(p)
+        for a in alphas:
+            fits[-1 if f is None else f, a] = (ridge(p, a), mean[:-1], np.linalg.pinv(xx + a * np.eye(len(xx))), p[0, 0])
 
-
-def _heldout(products: dict[int, np.ndarray], fold: int, fit) -> float:
-    v = np.concatenate((fit(sum(p for f, p in products.items() if f != fold)), [-1.0]))
-    return float(v @ products[fold] @ v)
-
-
-def linear_models(sums: Sums) -> dict[str, dict]:
-    """Cross-validated least squares, ridge and lasso. Penalties are chosen inside each
-    training part, by its own folds."""
-    fits = {
-        "ols": lambda ps: ridge(sum(ps.values()), 0.0),
-        "ridge": lambda ps: ridge(sum(ps.values()), best_ridge(ps)),
-        "lasso": lambda ps: lasso(sum(ps.values()), best_lasso(ps)),
-    }
+    def run(batches):
+        held = dict.fromkeys(fits, 0.0)
+        for b in batches:
+            if not len(b):
+                continue
+            x, y, fold = np.stack(b["x"].to_numpy()), b["y"].to_numpy(), b["fold"].to_numpy()
+            for (f, a), (beta, mean, inverse, n) in fits.items():
+                z = x - mean
+                leverage = np.minimum(1 / n + np.einsum("ij,jk,ik->i", z, inverse, z, optimize=True), 1 - 1e-9)
+                error = (y - beta[0] - x @ beta[1:]) / (1 - leverage)
+                held[f, a] += float((error[fold != f] ** 2).sum())
+        yield pd.DataFrame([(f, a, v) for (f, a), v in held.items()], columns=["f", "a", "v"])
+
+    summed = data.select("fold", "x", "y").mapInPandas(run, "f int, a double, v double").groupBy("f", "a").agg(F.sum("v").alias("v")).collect()
+    errors = {(r["f"], r["a"]): r["v"] for r in summed}
+    return {f: min(alphas, key=lambda a: errors.get((-1 if f is None else f, a), float("inf"))) for f in folds}
+
+
+def linear_models(data: DataFrame, features: list[str]) -> dict[str, dict]:
+    """Cross-validated least squares, ridge and lasso over ``fold``. Penalties are chosen
+    inside each training part: the ridge's by leaving one row out, the lasso's by thirds."""
+    sums = gather(data, features)
+    products = sums.products
+    parts = [*(products if len(products) > 1 else []), None]
+    if not products:
+        return {}
+    chosen = {"ols": dict.fromkeys(parts, 0.0), "ridge": best_ridge(data, sums, parts) if features else dict.fromkeys(parts, 1.0), "lasso": best_lasso(sums, parts) if features else dict.fromkeys(parts, 1.0)}
     out = {}
-    for name, fit in fits.items():
-        held = [score(p, fit({f: q for f, q in sums.products.items() if f != fold}))[0] for fold, p in sums.products.items()] if len(sums.products) > 1 else [float("nan")]
-        beta = fit(sums.products)
-        r2, rmse = score(sums.total(), beta)
-        out[name] = {"cv_r2": float(np.mean(held)), "cv_std": float(np.std(held)), "r2": r2, "rmse": rmse, "beta": beta}
+    for name, penalties in chosen.items():
+        fit = lasso if name == "lasso" else ridge
+        betas = {f: fit(sums.total(f), penalties[f]) for f in parts}
+        held = [score(products[f], betas[f])[0] for f in parts if f is not None] or [float("nan")]
+        r2, rmse = score(sums.total(), betas[None])
+        out[name] = {"cv_r2": float(np.mean(held)), "cv_std": float(np.std(held)), "r2": r2, "rmse": rmse, "beta": betas[None], "alpha": penalties[None]}
     return out
 
 
@@ -187,10 +281,15 @@ def predictions(data: DataFrame, beta: np.ndarray) -> DataFrame:
 # ---- trees ----
 
 
+#: Full trees as far as pyspark.ml grows them.
+DEPTH = 30
+
+
 def forest(trees: int = 100, seed: int = 42):
+    """Full trees on all features."""
     from pyspark.ml.regression import RandomForestRegressor
 
-    return RandomForestRegressor(featuresCol="v", labelCol="y", numTrees=trees, seed=seed)
+    return RandomForestRegressor(featuresCol="v", labelCol="y", numTrees=trees, maxDepth=DEPTH, featureSubsetStrategy="all", seed=seed, maxMemoryInMB=512)
 
 
 def boosted(rounds: int = 100, seed: int = 42):
@@ -200,24 +299,39 @@ def boosted(rounds: int = 100, seed: int = 42):
 
 
 def tree_model(data: DataFrame, estimator, folds: int = FOLDS) -> dict:
-    """Cross-validated R2 over ``fold``, full fit, importances."""
+    """Cross-validated R2 over ``fold``, full fit, importances. The folds' fits run side by
+    side; each is a series of small jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.functions import array_to_vector
 
-    rows = data.select("y", "fold", array_to_vector("x").alias("v")).cache()
+    rows = data.select("y", "fold", array_to_vector("x").alias("v")).coalesce(max(1, data.sparkSession.sparkContext.defaultParallelism)).cache()
 
     def r2(scored: DataFrame) -> tuple[float, float]:
         s = scored.agg(F.count("*"), F.sum(F.pow(F.col("y") - F.col("prediction"), 2)), F.var_pop("y")).first()
         return (1 - s[1] / (s[0] * s[2]) if s[2] else float("nan")), float(np.sqrt(s[1] / s[0])) if s[0] else float("nan")
 
-    held = []
-    for f in range(folds):
+    def fitted(f: int | None):
+        if f is None:
+            return estimator.fit(rows)
         train, test = rows.where(F.col("fold") != f), rows.where(F.col("fold") == f)
-        if train.take(1) and test.take(1):
-            held.append(r2(estimator.fit(train).transform(test))[0])
-    model = estimator.fit(rows)
+        return r2(estimator.fit(train).transform(test))[0] if train.take(1) and test.take(1) else None
+
+    rows.count()
+    with ThreadPoolExecutor(folds + 1) as pool:
+        *held, model = pool.map(fitted, [*range(folds), None])
+    held = [h for h in held if h is not None]
     whole = r2(model.transform(rows))
     rows.unpersist()
-    return {"cv_r2": float(np.mean(held)) if held else float("nan"), "cv_std": float(np.std(held)) if held else float("nan"), "r2": whole[0], "rmse": whole[1], "importances": model.featureImportances.toArray()}
+    return {"cv_r2": float(np.mean(held)) if held else float("nan"), "cv_std": float(np.std(held)) if held else float("nan"), "r2": whole[0], "rmse": whole[1], "importances": model.featureImportances.toArray(), "model": model}
+
+
+def tree_predictions(data: DataFrame, found: dict) -> DataFrame:
+    """Predicted value and residual of each row by a fitted tree model."""
+    from pyspark.ml.functions import array_to_vector
+
+    scored = found["model"].transform(data.select("gene_id", "line", "y", array_to_vector("x").alias("v")))
+    return scored.select("gene_id", "line", F.col("y").alias("actual"), F.col("prediction").alias("predicted"), (F.col("y") - F.col("prediction")).alias("residual"))
 
 
 # ---- within-gene models ----

@@ -11,6 +11,8 @@ from sitelattice.functions import seq
 from sitelattice.plans.tables import persist_table
 
 GROUP = ["gene_id", "line", "strand", "consolidated_motif_id"]
+#: Closed intervals that the overlap merge holds in one list.
+CHUNK = 64
 COLUMNS = [
     "consolidated_motif_id", "original_motif_id", "motif_consensus", "original_streme_consensus", "line", "gene_id", "start_pos", "end_pos",
     "strand", "score", "sequence", "relative_position", "total_motifs_in_gene", "relative_position_fraction", "cluster_size", "merged_count", "length",
@@ -41,9 +43,10 @@ def merge_overlaps(sites: DataFrame, threshold: float = 0.5, keep: str = "longes
     (``keep="longest"``, the first of equals) or the better-scored (``"best_score"``).
 
     A hit that starts beyond every earlier end cannot overlap (for thresholds over 0), so
-    a window with a running maximum cuts each group into islands first. Only an island's
-    hits are folded as an array, on the window's partitioning, so one crowded group
-    is never one array.
+    a window with a running maximum cuts each group into islands first. An island's hits
+    are folded as one array, on the window's partitioning. The fold holds the open interval,
+    the last ``CHUNK`` closed ones, and lists of ``CHUNK`` before, so a step costs the same
+    however many hits touch; an island's hits must fit in a task's memory.
     """
     w = Window.partitionBy(*GROUP).orderBy("start_pos", order)
     before = F.max("end_pos").over(w.rowsBetween(Window.unboundedPreceding, -1))
@@ -53,7 +56,7 @@ def merge_overlaps(sites: DataFrame, threshold: float = 0.5, keep: str = "longes
     hit = F.struct("start_pos", order, "end_pos", "score", "sequence", F.struct(*rest).alias("rest"))
 
     def fold(acc: Column, h: Column) -> Column:
-        last = F.element_at(acc, -1)
+        last = acc["last"]
         size = lambda x: x["end_pos"] - x["start_pos"] + 1
         overlap = F.greatest(F.lit(0), F.least(last["end_pos"], h["end_pos"]) - F.greatest(last["start_pos"], h["start_pos"]) + 1)
         shorter = F.least(size(last), size(h))
@@ -65,11 +68,20 @@ def merge_overlaps(sites: DataFrame, threshold: float = 0.5, keep: str = "longes
             F.when(better, h["sequence"]).otherwise(last["sequence"]).alias("sequence"), last["rest"].alias("rest"),
             (last["merged_count"] + 1).alias("merged_count"), (end - start + 1).alias("length"),
         )
-        return F.when(share >= F.lit(float(threshold)), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, F.array(_opened(h, order))))
+        full = F.size(acc["few"]) >= CHUNK
+        closed = F.struct(
+            _opened(h, order).alias("last"), F.when(full, F.array(last)).otherwise(F.array_append(acc["few"], last)).alias("few"),
+            F.when(full, F.array_append(acc["many"], acc["few"])).otherwise(acc["many"]).alias("many"),
+        )
+        return F.when(share >= F.lit(float(threshold)), F.struct(joined.alias("last"), acc["few"], acc["many"])).otherwise(closed)
 
+    head = _opened(F.element_at("hits", 1), order)
+    none = F.filter(F.array(head), lambda x: F.lit(False))  # an empty list of intervals
+    zero = F.struct(head.alias("last"), none.alias("few"), F.filter(F.array(none), lambda x: F.lit(False)).alias("many"))
+    several = F.aggregate(F.slice("hits", 2, F.size("hits")), zero, fold, lambda a: F.concat(F.flatten(a["many"]), a["few"], F.array(a["last"])))
     folded = (
         cut.groupBy(*GROUP, "_island").agg(F.array_sort(F.collect_list(hit)).alias("hits"))
-        .select(*GROUP, F.aggregate(F.slice("hits", 2, F.size("hits")), F.array(_opened(F.element_at("hits", 1), order)), fold).alias("merged"))
+        .select(*GROUP, F.when(F.size("hits") == 1, F.array(head)).otherwise(several).alias("merged"))
         .select(*GROUP, F.inline("merged"))
     )
     return folded.select(*GROUP, "start_pos", "end_pos", "score", "sequence", order, *[F.col("rest")[c].alias(c) for c in rest], "merged_count", "length")

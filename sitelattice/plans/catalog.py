@@ -11,7 +11,7 @@ from sitelattice.functions import seq
 from sitelattice.operators import cluster, consensus, encode, expression, features, quality, sites
 
 from . import oracles as o
-from . import views
+from . import tables, views
 
 FLAGSHIP = "consolidate"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,8 +43,18 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.sites_raw(spark, sf_dir).withColumn("pattern", seq.strip_prefix(F.col("original_motif_id")))
 
 
+_CONSOLIDATED: dict[tuple, str] = {}
+
+
 def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sites.consolidate(views.sites_raw(spark, sf_dir))
+    """The consolidated table, made and written once a session and input; what is derived
+    from it reads the written table."""
+    key = (spark.sparkContext.applicationId, sf_dir, tables.stamp(spark, f"{sf_dir}/lineitem.parquet"))
+    path = _CONSOLIDATED.get(key)
+    if path is None or tables.stamp(spark, path) is None:
+        path = _CONSOLIDATED[key] = tables.new_path(spark, "consolidated")
+        tables.persist_table(sites.consolidate(views.sites_raw(spark, sf_dir)), "consolidated", path)
+    return spark.read.parquet(path)
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +150,7 @@ _SITE_SQL = "select * exclude (relative_position, total_motifs_in_gene, cluster_
 
 @query(o.over_sites(o.select(_SITE_COLUMNS, _SITE_SQL)))
 def consolidate(spark, sf_dir):
-    return consolidated(spark, sf_dir).select(*sites.COLUMNS)
+    return sites.consolidate(views.sites_raw(spark, sf_dir)).select(*sites.COLUMNS)
 
 
 @query(o.over_sites(f"select count(*) as n_sites, count(distinct {M}) as n_motifs, count(distinct line) as n_lines, count(distinct gene_id) as n_genes from sites"))

@@ -10,21 +10,19 @@ from sitelattice.operators import expression, features, models, sites
 from . import views
 from .catalog import M, OTHERS, REF, consolidated, query
 
-TOP = 8
-_FEATURES = ("presence_diff", "count_diff", "position_mean_diff")
+TOP = 100
+_FEATURES = (*features.DIFFERENCES, *features.IF_BOTH)
 
 
-def _relative(spark, sf_dir, folds: str = "genes"):
-    """Design table of the relative analysis over its best supported motifs."""
-    table = sites.persist_table(consolidated(spark, sf_dir), "sites")
-    motifs = [r[0] for r in features.top_by(features.gene_line_support(table), "n_pairs", TOP).select(M).collect()]
-    rel = features.relative_features(features.relative_inputs(table.where(F.col(M).isin(motifs))), REF, OTHERS)
+def _relative(spark, sf_dir):
+    """Design table of the relative analysis over the motifs whose presence varies most."""
+    table = consolidated(spark, sf_dir)
+    motifs = features.top_by(features.presence_variance(table, REF), "presence_variance", TOP).select(M)
+    rel = features.relative_features(features.relative_inputs(table.join(motifs, M, "left_semi")), REF, OTHERS)
     values = sites.persist_table(features.long_values(rel, list(_FEATURES)), "values")
-    keep = {r[0] for r in features.varying(values).select("feature").collect()}
-    names = [f"{m}_{c}" for m in sorted(motifs) for c in _FEATURES if f"{m}_{c}" in keep]
+    names = sorted(r[0] for r in features.varying(values).select("feature").collect())  # at most six a motif of ``TOP``
     target = expression.without_reference(views.expression_long(spark, sf_dir), REF)
-    data = models.design(values, target, names)
-    data = models.group_folds(data) if folds == "genes" else models.row_folds(data)
+    data = models.group_folds(models.design(values, target, names))
     return sites.persist_table(data, "design"), names, values, target
 
 
@@ -32,13 +30,13 @@ def _relative(spark, sf_dir, folds: str = "genes"):
 def linear_cv(spark, sf_dir):
     """Least squares, ridge and lasso under gene-wise folds."""
     data, names, _, _ = _relative(spark, sf_dir)
-    return models.metrics_table(spark, models.linear_models(models.gather(data, names)))
+    return models.metrics_table(spark, models.linear_models(data, names))
 
 
 @query()
 def linear_importances(spark, sf_dir):
     data, names, _, _ = _relative(spark, sf_dir)
-    found = models.importances(spark, models.linear_models(models.gather(data, names)), names)
+    found = models.importances(spark, models.linear_models(data, names), names)
     mean = found.groupBy("feature").agg(F.avg("importance").alias("mean_importance"))
     return mean.orderBy(F.desc("mean_importance"), "feature").limit(10)
 
@@ -46,16 +44,17 @@ def linear_importances(spark, sf_dir):
 @query()
 def top_importances(spark, sf_dir):
     data, names, _, _ = _relative(spark, sf_dir)
-    return models.top_importances(models.importances(spark, models.linear_models(models.gather(data, names)), names))
+    return models.top_importances(models.importances(spark, models.linear_models(data, names), names))
 
 
 @query()
 def best_predictions(spark, sf_dir):
-    """Predictions and residuals of the best linear model."""
+    """Predictions and residuals of the best model, linear or of trees."""
     data, names, _, _ = _relative(spark, sf_dir)
-    found = models.linear_models(models.gather(data, names))
+    found = models.linear_models(data, names) | {"random_forest": models.tree_model(data, models.forest())}
     best = models.best_model(models.metrics_table(spark, found)).first()
-    return models.predictions(data, found[best["model"] if best else "ols"]["beta"])
+    best = best["model"] if best else "ols"
+    return models.predictions(data, found[best]["beta"]) if "beta" in found[best] else models.tree_predictions(data, found[best])
 
 
 @query()
@@ -66,29 +65,29 @@ def forest_cv(spark, sf_dir):
 
 @query()
 def boosted_cv(spark, sf_dir):
-    """Twenty rounds; the operator's default is a hundred."""
     data, _, _, _ = _relative(spark, sf_dir)
-    return models.metrics_table(spark, {"gradient_boosting": models.tree_model(data, models.boosted(20), folds=2)})
+    return models.metrics_table(spark, {"gradient_boosting": models.tree_model(data, models.boosted())})
+
+
+#: Layers of features: how each is made, and its columns.
+LAYERS = {
+    "presence": (features.presence, ["present", "count"]),
+    "position": (features.position_layer, ["proximal_density", "core_density", "distal_density", "position_weighted_score", "spacing_regularity", "closest_hit_distance", "total_hits"]),
+    "variation": (features.variation_layer, ["consensus_similarity_mean", "consensus_similarity_std", "sequence_diversity", "gc_content_mean", "gc_content_std", "length_mean", "length_std", "unique_sequences"]),
+    "crossline": (features.crossline_layer, ["cross_line_diversity", "dominant_sequence_diversity", "line_has_unique_variant"]),
+}
+LAYER_FEATURES = 50
 
 
 @query()
 def layer_forests(spark, sf_dir):
-    """A forest for each feature layer."""
-    table = sites.persist_table(consolidated(spark, sf_dir), "sites")
-    top = [r[0] for r in sites.top_motifs(table, 5).select(M).collect()]
-    table = table.where(F.col(M).isin(top))
-    target = views.expression_long(spark, sf_dir)
-    layers = {
-        "presence": (features.presence(table), ["present", "count"]),
-        "position": (features.position_layer(table), ["proximal_density", "core_density", "distal_density", "position_weighted_score", "spacing_regularity", "closest_hit_distance"]),
-        "variation": (features.variation_layer(table), ["consensus_similarity_mean", "sequence_diversity", "gc_content_mean", "gc_content_std"]),
-        "crossline": (features.crossline_layer(table), ["cross_line_diversity", "dominant_sequence_diversity", "line_has_unique_variant"]),
-    }
-    found = {}
-    for name, (layer, columns) in layers.items():
-        names = [f"{m}_{c}" for m in sorted(top) for c in columns]
-        data = sites.persist_table(models.group_folds(models.design(features.long_values(layer, columns), target, names)), "design")
-        found[name] = models.tree_model(data, models.forest(20), folds=2)
+    """A forest for each layer, over its features of highest variance."""
+    table, target, found = consolidated(spark, sf_dir), views.expression_long(spark, sf_dir), {}
+    for name, (make, columns) in LAYERS.items():
+        values = sites.persist_table(features.long_values(make(table), columns), name)
+        top = features.varying(values).orderBy(F.desc("variance"), "feature").limit(LAYER_FEATURES)
+        names = sorted(r[0] for r in top.select("feature").collect())
+        found[name] = models.tree_model(sites.persist_table(models.group_folds(models.design(values, target, names)), "design"), models.forest())
     return models.metrics_table(spark, found)
 
 
@@ -100,15 +99,16 @@ def mixed_effects(spark, sf_dir):
 
 @query()
 def gene_by_gene(spark, sf_dir):
-    """Genes have few lines: as many features as leave a degree of freedom."""
+    """Four lines are too few rows for ten features and the lines: no gene can be fitted,
+    and the table is empty. A test fits genes of many lines."""
     data, names, _, _ = _relative(spark, sf_dir)
-    return models.gene_by_gene(data, names, most=0)
+    return models.gene_by_gene(data, names)
 
 
 @query()
 def approach_comparison(spark, sf_dir):
     data, names, _, _ = _relative(spark, sf_dir)
-    return models.compare_approaches(models.gene_by_gene(data, names, most=0), models.within_gene(data, names)[1])
+    return models.compare_approaches(models.gene_by_gene(data, names), models.within_gene(data, names)[1])
 
 
 @query()
@@ -127,10 +127,10 @@ def diagnostic_advice(spark, sf_dir):
 
 @query()
 def gene_specific_cv(spark, sf_dir):
-    """Differences of all gene features, for chosen genes."""
-    table = features.gene_features(consolidated(spark, sf_dir), ["G0001", "G0002", "G0003"])
-    values = features.long_values(features.gene_differences(table, REF), [f"{c}_diff" for c in features.GENE])
-    names = sorted(r[0] for r in values.select("feature").distinct().collect())[:6]
+    """Differences of all gene features."""
+    table = features.gene_features(consolidated(spark, sf_dir))
+    values = sites.persist_table(features.long_values(features.gene_differences(table, REF), [f"{c}_diff" for c in features.GENE]), "values")
+    names = sorted(r[0] for r in features.varying(values).select("feature").collect())
     target = expression.difference(views.expression_long(spark, sf_dir), REF)
-    data = sites.persist_table(models.row_folds(models.design(values, target.where(F.col("gene_id").isin("G0001", "G0002", "G0003")), names, "expression_difference")), "design")
-    return models.metrics_table(spark, models.linear_models(models.gather(data, names)))
+    data = sites.persist_table(models.row_folds(models.design(values, target, names, "expression_difference")), "design")
+    return models.metrics_table(spark, models.linear_models(data, names))

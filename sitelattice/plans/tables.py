@@ -58,3 +58,13 @@ def drop_written(spark: SparkSession, before: list[str] = (), keep: tuple[str, .
     itself. Results not yet written must not hang on them."""
     for path in set(_WRITTEN) - set(before) - set(keep):
         drop_path(spark, path)
+
+
+def stamp(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """When a file or folder was last changed, and its length; None if it is not there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return None
+    status = fs.getFileStatus(where)
+    return status.getModificationTime(), status.getLen()

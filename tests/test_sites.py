@@ -169,7 +169,7 @@ def test_linear_models(spark, regression):
     b = models.lasso(sums.total(), 0.05)[1:]
     slope = c.T @ (t - c @ b) / len(y)
     assert all(abs(s - 0.05 * np.sign(v)) < 1e-6 if v else abs(s) <= 0.05 + 1e-6 for s, v in zip(slope, b, strict=True))
-    found = models.linear_models(sums)
+    found = models.linear_models(data, list("abcd"))
     rows = data.collect()
     held = []
     for f in range(5):
@@ -203,6 +203,44 @@ def test_within_gene(spark, regression):
     assert np.allclose([r["coefficient"] for r in coefficients.collect()], beta[1:5])
 
 
+def test_penalties_plain(spark, regression):
+    """The ridge's by leaving each row out, the lasso's by thirds, against plain fits."""
+    data = models.group_folds(regression[2])
+    rows = data.select("gene_id", "line", "x", "y", "fold", F.pmod(F.xxhash64("gene_id", "line", F.lit(7)), F.lit(models.THIRDS)).alias("t")).collect()
+    x, y, fold, third = (np.array([r[c] for r in rows], dtype=float) for c in ("x", "y", "fold", "t"))
+    sums = models.gather(data, list("abcd"))
+    full = np.column_stack((np.ones(len(y)), x, y))
+    folds = [0, None]
+    ridges, lassos = models.best_ridge(data, sums, folds), models.best_lasso(sums, folds)
+    for f in folds:
+        own = fold != (-1 if f is None else f)
+        a, t = full[own], third[own]
+        assert np.allclose(sums.total(f), a.T @ a)
+        errors = []
+        for alpha in models.ALPHAS:
+            held = [models.ridge(np.delete(a, i, 0).T @ np.delete(a, i, 0), alpha) for i in range(len(a))]
+            errors.append(sum((r[-1] - b[0] - r[1:-1] @ b[1:]) ** 2 for r, b in zip(a, held, strict=True)))
+        assert ridges[f] == models.ALPHAS[int(np.argmin(errors))]
+        path = models.lasso_alphas(a.T @ a)
+        error = np.zeros(len(path))
+        for k in np.unique(t):
+            for i, alpha in enumerate(path):
+                b = models.lasso(a[t != k].T @ a[t != k], alpha)
+                error[i] += np.mean((a[t == k][:, -1] - b[0] - a[t == k][:, 1:-1] @ b[1:]) ** 2)
+        assert error[int(np.argmin(np.abs(path - lassos[f])))] <= error.min() * (1 + 1e-3)
+
+
+def test_gene_by_gene_of_many_lines(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(40, 12))
+    y = x[:, :10] @ rng.normal(size=10) + 0.1 * rng.normal(size=40)
+    rows = [("g", f"l{i // 8}", float(v), u.tolist()) for i, (u, v) in enumerate(zip(x, y, strict=True))]
+    r = models.gene_by_gene(spark.createDataFrame(rows, "gene_id string, line string, y double, x array<double>"), [f"f{i}" for i in range(12)]).first()
+    a = np.column_stack((np.ones(40), x[:, :10], *[(np.arange(40) // 8 == v).astype(float) for v in range(1, 5)]))
+    left = y - a @ np.linalg.lstsq(a, y, rcond=None)[0]
+    assert (r["n_obs"], r["n_lines"]) == (40, 5) and abs(r["r2"] - (1 - (left**2).sum() / ((y - y.mean()) ** 2).sum())) < 1e-9
+
+
 def test_gene_by_gene(spark):
     rows = [("a", f"l{i}", float(i), [float(i)]) for i in range(5)] + [("b", "l0", 1.0, [0.0]), ("b", "l1", 1.0, [1.0])]
     found = models.gene_by_gene(spark.createDataFrame(rows, "gene_id string, line string, y double, x array<double>"), ["f"], most=0).collect()
@@ -211,3 +249,31 @@ def test_gene_by_gene(spark):
     one = spark.createDataFrame([("a", f"l{i % 2}", float(2 * i), [float(i)]) for i in range(6)], "gene_id string, line string, y double, x array<double>")
     r = models.gene_by_gene(one, ["f"]).first()
     assert np.isclose(r["r2"], 1.0) and (r["n_obs"], r["n_lines"], r["important"]) == (6, 2, 1)
+
+
+def plain_merge(hits, threshold=0.5):
+    """Intervals of sorted (start, end, score, sequence): start, end, score, sequence, count."""
+    out = []
+    for s, e, score, seq in hits:
+        if out:
+            a, b, c, d, n = out[-1]
+            if max(0, min(b, e) - max(a, s) + 1) / min(b - a + 1, e - s + 1) >= threshold:
+                out[-1] = (min(a, s), max(b, e), max(c, score), seq if len(seq) > len(d) else d, n + 1)
+                continue
+        out.append((s, e, score, seq, 1))
+    return out
+
+
+def test_merge_long_island(spark):
+    """Chains of very many touching hits, in time that grows with their number."""
+    import time
+
+    rng = random.Random(3)
+    hits = sorted((i * 6 + rng.randint(0, 3), i * 6 + rng.randint(8, 14), float(rng.randint(0, 9)), "ACGT" * rng.randint(1, 4)) for i in range(100_000))
+    rows = [("g", "l", "+", "M1", s, e, score, seq, f"{i:08d}", "x") for i, (s, e, score, seq) in enumerate(hits)]
+    cols = "gene_id string, line string, strand string, consolidated_motif_id string, start_pos int, end_pos int, score double, sequence string, src_ord string, pattern string"
+    began = time.time()
+    got = sites.merge_overlaps(spark.createDataFrame(rows, cols)).orderBy("start_pos", F.col("src_ord")).collect()
+    assert time.time() - began < 60
+    want = sorted(plain_merge(hits))
+    assert sorted((r["start_pos"], r["end_pos"], r["score"], r["sequence"], r["merged_count"]) for r in got) == want and len(want) > 10_000
