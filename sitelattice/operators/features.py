@@ -266,6 +266,29 @@ def gene_differences(table: DataFrame, reference: str) -> DataFrame:
     return rows.select(*KEYS, *[(F.col(c) - F.coalesce(F.col("r")[c], F.lit(0))).alias(f"{c}_diff") for c in GENE])
 
 
+#: Endings of difference features, and the kind of change each stands for.
+CHANGES = {"presence_diff": "presence change", "count_diff": "count change", "position_mean_diff": "position shift", "proximal_density_diff": "proximal density change"}
+
+
+def labelled(table: DataFrame, feature: str = "feature") -> DataFrame:
+    """``table`` with the ``motif`` and the kind of ``change`` that a feature stands for."""
+    f, motif, change = F.col(feature), None, None
+    for end, word in CHANGES.items():
+        hit, own = f.endswith("_" + end), F.replace(f, F.lit("_" + end), F.lit(""))
+        motif = F.when(hit, own) if motif is None else motif.when(hit, own)
+        change = F.when(hit, word) if change is None else change.when(hit, word)
+    return table.withColumns({"motif": motif.otherwise(f), "change": change.otherwise("other")})
+
+
+def extremes(table: DataFrame, value: str, n: int = 10, key: str = "feature") -> DataFrame:
+    """The ``n`` rows of the largest and of the smallest values: (side, place, ...)."""
+    parts = [
+        table.orderBy(order, key).limit(n).select(F.lit(side).alias("side"), F.row_number().over(Window.orderBy(order, key)).alias("place"), key, value)
+        for side, order in (("top", F.desc_nulls_last(value)), ("bottom", F.asc_nulls_last(value)))
+    ]
+    return parts[0].unionAll(parts[1])
+
+
 def dummies(table: DataFrame, column: str, values: list[str]) -> DataFrame:
     """A 0 or 1 column for each value but the first in order."""
     return table.withColumns({f"{column}_{v}": (F.col(column) == v).cast("int") for v in sorted(values)[1:]})

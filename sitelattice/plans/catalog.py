@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,12 +102,13 @@ def _aligned_sql(a: str, b: str) -> str:
     return f"greatest({', '.join(options)})"
 
 
-@query(o.with_(o.RAW, o.select("a b similarity:d comparable aligned:d", f"select x.pattern as a, y.pattern as b, {o.similarity('x.pattern', 'y.pattern', o.masks('x.pattern'), o.masks('y.pattern'))} as similarity, cast(abs(length(x.pattern) - length(y.pattern)) <= 3 and length(x.pattern) >= 3 and length(y.pattern) >= 3 as int) as comparable, {_aligned_sql('x.pattern', 'y.pattern')} as aligned from (select distinct pattern from raw) x join (select distinct pattern from raw) y on substr(x.pattern, 1, 1) = substr(y.pattern, 1, 1)")))
+@query(o.with_(o.RAW, o.select("a b similarity:d comparable aligned:d", f"select x.pattern as a, y.pattern as b, {o.similarity('x.pattern', 'y.pattern', o.masks('x.pattern'), o.masks('y.pattern'))} as similarity, cast(abs(length(x.pattern) - length(y.pattern)) <= 3 and length(x.pattern) >= 3 and length(y.pattern) >= 3 as int) as comparable, {_aligned_sql('x.pattern', 'y.pattern')} as aligned from (select distinct pattern from raw) x join (select distinct pattern from raw) y on abs(length(x.pattern) - length(y.pattern)) <= 3")))
 def pattern_scores(spark, sf_dir):
-    """Similarities of patterns that begin alike."""
+    """Similarities of all patterns whose lengths differ by three at most."""
     p = raw(spark, sf_dir).select("pattern").distinct()
-    a = p.select(F.col("pattern").alias("a"), F.substring("pattern", 1, 1).alias("k"))
-    b = p.select(F.col("pattern").alias("b"), F.substring("pattern", 1, 1).alias("k"))
+    n = F.length("pattern")
+    a = p.select(F.col("pattern").alias("a"), F.explode(F.sequence(n - 3, n + 3)).alias("k"))
+    b = p.select(F.col("pattern").alias("b"), n.alias("k"))
     x, y = F.col("a"), F.col("b")
     return a.join(b, "k").select("a", "b", seq.similarity(x, y).alias("similarity"), seq.comparable(x, y).cast("int").alias("comparable"), seq.aligned_similarity(x, y).alias("aligned"))
 
@@ -196,9 +198,27 @@ def cluster_flags(spark, sf_dir):
     return quality.cluster_flags(_profile(spark, sf_dir))
 
 
-@query(o.over_sites(f"select {M}, n_sites, issues, {o.ADVICE} as recommendation from advised where suspicious = 1 order by n_sites desc, {M} limit 10", o.PROFILE))
+#: A threshold at which unlike patterns share clusters, so that there is something to flag.
+LOOSE = 0.3
+
+
+def _loose(sql: str) -> str:
+    return sql.replace("similarity >= 0.75e0", f"similarity >= {LOOSE}e0")
+
+
+def _loose_profile(spark, sf_dir):
+    return tables.persist_table(quality.cluster_profile(sites.consolidate(views.sites_raw(spark, sf_dir), LOOSE)), "profile")
+
+
+@query(_loose(o.over_sites(f"select {M}, n_sites, high_diversity, many_patterns, mixed_composition, mixed_length, issues, suspicious, {o.ADVICE} as recommendation from advised", o.PROFILE)))
+def loose_cluster_flags(spark, sf_dir):
+    return quality.cluster_flags(_loose_profile(spark, sf_dir))
+
+
+@query(_loose(o.over_sites(f"select {M}, n_sites, issues, {o.ADVICE} as recommendation from advised where suspicious = 1 order by n_sites desc, {M} limit 10", o.PROFILE)))
 def worst_clusters(spark, sf_dir):
-    return quality.worst_clusters(quality.cluster_flags(_profile(spark, sf_dir)))
+    """The largest flagged clusters of a loose clustering."""
+    return quality.worst_clusters(quality.cluster_flags(_loose_profile(spark, sf_dir)))
 
 
 @query(o.over_sites("select count(*) filter (n_sites = 1) as single, count(*) filter (n_sites between 2 and 10) as small, count(*) filter (n_sites between 11 and 100) as medium, count(*) filter (n_sites > 100) as large from profile", o.PROFILE))
@@ -258,21 +278,18 @@ def crossline_layer(spark, sf_dir):
     return features.crossline_layer(consolidated(spark, sf_dir))
 
 
-_GENES = ["G0001", "G0002", "G0003", "G0010", "G0050"]
-
-
-@query(o.over_sites(o.select("gene_id line consolidated_motif_id present count position_mean:d position_std:d position_min position_max score_mean:d score_max:d gc_content_mean:d", f"select c.*, coalesce(present, 0) as present, coalesce(count, 0) as count, coalesce(position_mean, 0) as position_mean, coalesce(position_std, 0) as position_std, coalesce(position_min, 0) as position_min, coalesce(position_max, 0) as position_max, coalesce(score_mean, 0) as score_mean, coalesce(score_max, 0) as score_max, coalesce(gc_content_mean, 0) as gc_content_mean from cells c left join found using (gene_id, line, {M})"), f"chosen as (select * from sites where gene_id in ({', '.join(repr(g) for g in _GENES)})), found as (select {o.K}, 1 as present, count(*) as count, avg(start_pos) as position_mean, stddev_pop(start_pos) as position_std, min(start_pos) as position_min, max(start_pos) as position_max, avg(score) as score_mean, max(score) as score_max, avg({o.gc('sequence')}) as gc_content_mean from chosen group by 1, 2, 3), cells as (select gene_id, line, {M} from (select distinct gene_id, {M} from found) a join (select distinct gene_id, line from found) b using (gene_id))"))
+@query(o.over_sites(o.select("gene_id line consolidated_motif_id present count position_mean:d position_std:d position_min position_max score_mean:d score_max:d gc_content_mean:d", f"select c.*, coalesce(present, 0) as present, coalesce(count, 0) as count, coalesce(position_mean, 0) as position_mean, coalesce(position_std, 0) as position_std, coalesce(position_min, 0) as position_min, coalesce(position_max, 0) as position_max, coalesce(score_mean, 0) as score_mean, coalesce(score_max, 0) as score_max, coalesce(gc_content_mean, 0) as gc_content_mean from cells c left join found using (gene_id, line, {M})"), f"chosen as (select * from sites), found as (select {o.K}, 1 as present, count(*) as count, avg(start_pos) as position_mean, stddev_pop(start_pos) as position_std, min(start_pos) as position_min, max(start_pos) as position_max, avg(score) as score_mean, max(score) as score_max, avg({o.gc('sequence')}) as gc_content_mean from chosen group by 1, 2, 3), cells as (select gene_id, line, {M} from (select distinct gene_id, {M} from found) a join (select distinct gene_id, line from found) b using (gene_id))"))
 def gene_features(spark, sf_dir):
-    return features.gene_features(consolidated(spark, sf_dir), _GENES)
+    return features.gene_features(consolidated(spark, sf_dir))
 
 
-_GENE_CTES = f"chosen as (select * from sites where gene_id in ({', '.join(repr(g) for g in _GENES)})), found as (select {o.K}, 1 as present, count(*) as count, avg(start_pos) as position_mean, stddev_pop(start_pos) as position_std, min(start_pos) as position_min, max(start_pos) as position_max, avg(score) as score_mean, max(score) as score_max, avg({o.gc('sequence')}) as gc_content_mean from chosen group by 1, 2, 3), cells as (select gene_id, line, {M} from (select distinct gene_id, {M} from found) a join (select distinct gene_id, line from found) b using (gene_id))"
+_GENE_CTES = f"chosen as (select * from sites), found as (select {o.K}, 1 as present, count(*) as count, avg(start_pos) as position_mean, stddev_pop(start_pos) as position_std, min(start_pos) as position_min, max(start_pos) as position_max, avg(score) as score_mean, max(score) as score_max, avg({o.gc('sequence')}) as gc_content_mean from chosen group by 1, 2, 3), cells as (select gene_id, line, {M} from (select distinct gene_id, {M} from found) a join (select distinct gene_id, line from found) b using (gene_id))"
 _GENE_INTS = ("present", "count", "position_min", "position_max")
 
 
 @query(o.over_sites(o.select("gene_id line consolidated_motif_id " + " ".join(f"{c}_diff" + ("" if c in _GENE_INTS else ":d") for c in features.GENE), f"select c.gene_id, c.line, c.{M}, " + ", ".join(f"coalesce(f.{c}, 0) - coalesce(r.{c}, 0) as {c}_diff" for c in features.GENE) + f" from cells c left join found f using (gene_id, line, {M}) left join found r on r.gene_id = c.gene_id and r.{M} = c.{M} and r.line = '{REF}' where c.line <> '{REF}'"), _GENE_CTES))
 def gene_differences(spark, sf_dir):
-    return features.gene_differences(features.gene_features(consolidated(spark, sf_dir), _GENES), REF)
+    return features.gene_differences(features.gene_features(consolidated(spark, sf_dir)), REF)
 
 
 def _dense(spark, sf_dir, table=None):
@@ -287,7 +304,8 @@ def dense_presence(spark, sf_dir):
     return _dense(spark, sf_dir)
 
 
-_MOTIF_LIST = ["MOTIF_001", "MOTIF_002", "MOTIF_003"]
+#: The view has sixty patterns, so clusters beyond these do not occur.
+_MOTIF_LIST = [f"MOTIF_{i:03d}" for i in range(1, 61)]
 
 
 @query(o.over_sites(o.select("gene_id line " + " ".join(f"{m}_{c}" for m in _MOTIF_LIST for c in ("present", "count")), "select gene_id, line, " + ", ".join(f"cast(max(case when {M} = '{m}' then 1 else 0 end) as int) as {m}_present, count(*) filter ({M} = '{m}') as {m}_count" for m in _MOTIF_LIST) + " from sites group by 1, 2")))
@@ -313,12 +331,12 @@ def presence_variance(spark, sf_dir):
     return features.presence_variance(consolidated(spark, sf_dir), REF)
 
 
-@query(o.over_sites(o.select(_REL, f"select * from relative where {M} in (select {M} from pvar order by round(presence_variance, 9) desc, {M} limit 5)"), o.INPUTS, o.RELATIVE, o.PVAR))
+@query(o.over_sites(o.select(_REL, f"select * from relative where {M} in (select {M} from pvar order by round(presence_variance, 9) desc, {M} limit 100)"), o.INPUTS, o.RELATIVE, o.PVAR))
 def relative_selected(spark, sf_dir):
     """Relative features of the motifs whose presence varies most between lines."""
     table = sites.persist_table(consolidated(spark, sf_dir), "sites")
     rank = features.presence_variance(table, REF).withColumn("presence_variance", F.round("presence_variance", 9))
-    chosen = features.top_by(rank, "presence_variance", 5).select(M)
+    chosen = features.top_by(rank, "presence_variance", 100).select(M)
     return features.relative_features(features.relative_inputs(table.join(chosen, M, "left_semi")), REF, OTHERS)
 
 
@@ -361,10 +379,13 @@ def within_gene_centering(spark, sf_dir):
     return features.centred(_values(spark, sf_dir))
 
 
-@query(o.over_sites(o.select("gene_id line motif_1 motif_2 presence_product score_product:d", f"select a.gene_id, a.line, a.{M} as motif_1, b.{M} as motif_2, 1 as presence_product, a.s as score_product from cell a join cell b on a.gene_id = b.gene_id and a.line = b.line and a.{M} < b.{M}"), f"cell as (select {o.K}, sum(exp(-cast(start_pos as double) / 1000)) as s from sites where {M} in ({', '.join(repr(m) for m in _MOTIF_LIST)}) group by 1, 2, 3)"))
+@query(o.over_sites(o.select("gene_id line motif_1 motif_2 presence_product score_product:d", f"select a.gene_id, a.line, a.{M} as motif_1, b.{M} as motif_2, 1 as presence_product, a.s as score_product from cell a join cell b on a.gene_id = b.gene_id and a.line = b.line and a.{M} < b.{M}"), o.PVAR, f"cell as (select {o.K}, sum(exp(-cast(start_pos as double) / 1000)) as s from sites where {M} in (select {M} from pvar order by round(presence_variance, 9) desc, {M} limit 10) group by 1, 2, 3)"))
 def interaction_pairs(spark, sf_dir):
+    """Pairs of the ten motifs whose presence varies most."""
     table = consolidated(spark, sf_dir)
-    return features.interactions(features.presence(table), features.position_layer(table), _MOTIF_LIST)
+    rank = features.presence_variance(table, REF).withColumn("presence_variance", F.round("presence_variance", 9))
+    motifs = sorted(r[0] for r in features.top_by(rank, "presence_variance", 10).select(M).collect())
+    return features.interactions(features.presence(table), features.position_layer(table), motifs)
 
 
 # ---- expression ----
@@ -457,7 +478,8 @@ def encoded_string(spark, sf_dir):
     return encode.encoded_string(_instances(spark, sf_dir), encode.vocabulary(records(spark, sf_dir)), "unit")
 
 
-_WORDS = ["GCGATGTC", "GGCCTCGATG", "GGTGTACCCG"]
+#: All words of the view, by its own rule.
+_WORDS = sorted({hashlib.md5(f"m{i % 25}".encode()).hexdigest()[: 8 + i % 4].translate(str.maketrans("0123456789abcdef", "ACGT" * 4)) for i in range(60)})
 
 
 @query(o.with_(f"{o.RAW},{o.RECORDS}", "select line, " + ", ".join(f"cast(max(case when consensus = '{w}' then 1 else 0 end) as int) as {w}" for w in _WORDS) + " from records group by 1"))
