@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelattice.operators import cluster, encode, expression, features, models, quality, sites
+from sitelattice.plans.model_queries import LAYERS
 from sitelattice.plans.tables import persist_table
 from sitelattice.sources import files, sinks
 
@@ -71,23 +72,34 @@ def make_features(spark, a, table: DataFrame | None = None) -> None:
     given = files.read_expression_lenient(spark, a.expression) if a.expression else None
     sinks.write_features(long, columns, motifs, f"{a.output}/features", given)
     names = [f"{m}_{c}" for m in motifs for c in columns]
-    sinks.write_text(names, table, f"{a.output}/feature_descriptions")
+    sinks.write_text(sinks.feature_descriptions(sites.supported(table, 0), columns), table, f"{a.output}/feature_descriptions")
     sinks.write_text(sinks.feature_summary(names, long.select("gene_id", "line").distinct().count()), table, f"{a.output}/feature_summary")
 
 
-def _model_outputs(spark, data: DataFrame, names: list[str], output: str, title: str, kind: str, trees: int) -> None:
+def _charts(metrics: DataFrame, importances: DataFrame, data: DataFrame, made: DataFrame, output: str) -> None:
+    """The data of the usual charts: bars of the models, heat map and bars of the features,
+    boxes and histogram of the target, predicted against actual."""
+    sinks.write_table(metrics.select("model", "cv_r2", "cv_std"), f"{output}/charts/models")
+    sinks.write_table(sinks.chart_data(importances), f"{output}/charts/importances")
+    sinks.write_table(sinks.box_data(data, "y", "line"), f"{output}/charts/target_by_line")
+    sinks.write_table(sinks.histogram(data, "y"), f"{output}/charts/target")
+    sinks.write_table(made.select("actual", "predicted"), f"{output}/charts/predicted")
+
+
+def _model_outputs(spark, data: DataFrame, names: list[str], output: str, title: str, kind: str, trees: int, reference: str | None = None) -> None:
     data = persist_table(data, "design")
     found = models.linear_models(data, names)
     found["random_forest"] = models.tree_model(data, models.forest(trees))
     if kind == "relative":
         found["gradient_boosting"] = models.tree_model(data, models.boosted(trees))
     metrics = models.metrics_table(spark, found)
-    sinks.write_table(models.importances(spark, found, names), f"{output}/importances")
-    sinks.write_table(sinks.chart_data(models.importances(spark, found, names)), f"{output}/importance_chart")
+    weights = models.importances(spark, found, names)
+    sinks.write_table(features.labelled(weights), f"{output}/importances")
     best = max(found, key=lambda n: (not math.isnan(found[n]["cv_r2"]), found[n]["cv_r2"]))
     made = models.predictions(data, found[best]["beta"]) if "beta" in found[best] else models.tree_predictions(data, found[best])
     sinks.write_table(made, f"{output}/predictions")
-    sinks.write_text(sinks.report(metrics, title, kind), metrics, f"{output}/report")
+    _charts(metrics, weights, data, made, output)
+    sinks.write_text(sinks.report(metrics, title, kind, weights, sinks.facts(data, reference)), metrics, f"{output}/report")
 
 
 def relative(spark, a, table: DataFrame | None = None) -> None:
@@ -104,7 +116,7 @@ def relative(spark, a, table: DataFrame | None = None) -> None:
     values = persist_table(features.long_values(rel, RELATIVE), "values")
     sinks.write_table(rel, f"{a.output}/relative_features")
     names = sorted(r[0] for r in features.varying(values).select("feature").collect())
-    _model_outputs(spark, models.group_folds(models.design(values, target, names)), names, a.output, "Relative analysis", "relative", a.trees)
+    _model_outputs(spark, models.group_folds(models.design(values, target, names)), names, a.output, "Relative analysis", "relative", a.trees, a.reference_line)
 
 
 def absolute(spark, a) -> None:
@@ -118,14 +130,6 @@ def absolute(spark, a) -> None:
     _model_outputs(spark, models.group_folds(models.design(values, target, names)), names, a.output, "Absolute analysis", "absolute", a.trees)
 
 
-LAYERS = {
-    "presence": (features.presence, ["present", "count"]),
-    "position": (features.position_layer, ["proximal_density", "core_density", "distal_density", "position_weighted_score", "spacing_regularity", "closest_hit_distance", "total_hits"]),
-    "variation": (features.variation_layer, ["consensus_similarity_mean", "consensus_similarity_std", "sequence_diversity", "gc_content_mean", "gc_content_std", "length_mean", "length_std", "unique_sequences"]),
-    "crossline": (features.crossline_layer, ["cross_line_diversity", "dominant_sequence_diversity", "line_has_unique_variant"]),
-}
-
-
 def comprehensive(spark, a) -> None:
     table = persist_table(files.read_consolidated(spark, a.sites), "sites")
     target = files.read_expression(spark, a.expression)
@@ -150,7 +154,8 @@ def comprehensive(spark, a) -> None:
     found["combined"] = models.tree_model(data, models.forest(2 * a.trees))
     sinks.write_table(models.importances(spark, {"combined": found["combined"]}, names), f"{a.output}/importances")
     metrics = models.metrics_table(spark, found)
-    sinks.write_text(sinks.report(metrics, "Layers", "absolute"), metrics, f"{a.output}/report")
+    weights = models.importances(spark, {"combined": found["combined"]}, names)
+    sinks.write_text(sinks.report(metrics, "Layers", "absolute", weights, sinks.facts(data)), metrics, f"{a.output}/report")
 
 
 def gene_specific(spark, a) -> None:
@@ -197,7 +202,8 @@ def diagnostic(spark, a) -> None:
     data = persist_table(models.group_folds(models.design(values, target, names)), "design")
     grid = models.diagnostic_grid(spark, models.gather(models.row_folds(data.drop("fold")), names), models.gather(data, names))
     found = features.correlations(values, target)
-    for name, t in (("grid", grid), ("correlations", found), ("variances", variances), ("nonzero", features.nonzero_counts(values)), ("expression", expression.profile(target)), ("motifs_per_gene", features.motifs_per_gene(table))):
+    extremes, counts = features.extremes(variances, "variance"), features.extremes(features.nonzero_counts(values), "nonzero").where("side = 'top'")
+    for name, t in (("grid", grid), ("variance_extremes", extremes), ("top_nonzero", counts), ("correlations", found), ("variances", variances), ("nonzero", features.nonzero_counts(values)), ("expression", expression.profile(target)), ("motifs_per_gene", features.motifs_per_gene(table))):
         sinks.write_table(t, f"{a.output}/{name}")
     sinks.write_text([r["advice"] for r in models.recommendations(spark, grid, found, variances).orderBy("n").collect()], table, f"{a.output}/advice")
 
@@ -210,7 +216,10 @@ def catalog(spark, a) -> None:
     found = encode.occurrences(placed)
     marked = placed.join(found.select("cluster_id", "is_common"), "cluster_id")
     sinks.write_catalog(found, encode.regulatory_map(marked), encode.cluster_strings(placed), f"{a.output}/maps")
-    sinks.write_pair_report(records, encode.similar_line_pairs(records), f"{a.output}/pairs")
+    pairs = persist_table(encode.similar_line_pairs(records), "pairs")
+    sinks.write_pair_report(records, pairs, f"{a.output}/pairs")
+    runs = records.groupBy("line").agg(F.count("*").alias("n_motifs"))
+    sinks.write_text(sinks.master_report(runs, found, pairs), records, f"{a.output}/report")
     sinks.write_fasta(encode.consensus_list(records), f"{a.output}/strings")
 
 

@@ -50,7 +50,7 @@ def _rounds(edges: DataFrame) -> DataFrame:
     """(member, leader) by rounds: whoever has no earlier open neighbour leads, and its
     neighbours leave."""
     nodes = edges.select(F.col("i").alias("n")).union(edges.select("j")).distinct().withColumn("state", F.lit(0))
-    nodes, edges = persist_table(nodes, "leaders"), persist_table(edges.select("i", "j"), "edges")
+    nodes = persist_table(nodes, "leaders")
     while nodes.where("state = 0").take(1):
         open_ = nodes.where("state = 0").select("n")
         blocked = edges.join(open_.withColumnRenamed("n", "i"), "i", "left_semi").select(F.col("j").alias("n")).distinct()
@@ -66,9 +66,10 @@ def _rounds(edges: DataFrame) -> DataFrame:
 def leaders_of(motifs: DataFrame, edges: DataFrame, driver_edges: int = DRIVER_EDGES) -> DataFrame:
     """``motifs`` with ``leader`` (an ord) and ``cluster_no`` (from 1, by leader)."""
     spark = motifs.sparkSession
-    found = edges.select("i", "j").limit(driver_edges + 1).collect()
-    if len(found) <= driver_edges:
-        pairs = list(_sweep([(r["i"], r["j"]) for r in found]).items())
+    edges = persist_table(edges.select("i", "j"), "edges")  # scored once
+    if edges.count() <= driver_edges:
+        found = edges.toArrow()  # two numbers an edge
+        pairs = list(_sweep(list(zip(found["i"].to_pylist(), found["j"].to_pylist(), strict=True))).items())
         mapping = spark.createDataFrame(pairs, "ord int, leader int")
     else:
         mapping = _rounds(edges)

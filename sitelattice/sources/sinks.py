@@ -69,12 +69,58 @@ def verdict(r2, kind: str):
     return out.otherwise("weak" if kind != "gene" else "none")
 
 
-def report(metrics: DataFrame, title: str, kind: str) -> list[str]:
-    """Markdown of a model comparison: at most a row a model."""
-    rows = metrics.withColumn("band", verdict(F.col("cv_r2"), kind)).orderBy(F.desc("cv_r2"), "model").collect()
+#: What a verdict means for the reader.
+MEANING = {
+    "strong": "Motif features explain much of the variation in expression.",
+    "moderate": "Motif features explain a part of the variation in expression.",
+    "weak": "Motif features explain little; other mechanisms, or the data, should be looked at.",
+    "none": "Motif features explain nothing that carries over to data not seen.",
+}
+
+
+def facts(data: DataFrame, reference: str | None = None) -> list[str]:
+    """What a model was fitted on, from one aggregate over its design (gene_id, line, y)."""
+    r = data.agg(F.count("*").alias("n"), F.countDistinct("gene_id").alias("genes"), F.array_sort(F.collect_set("line")).alias("lines"), F.min("y").alias("low"), F.max("y").alias("high")).first()
+    out = [f"- rows: {r['n']}", f"- genes: {r['genes']}", f"- lines: {', '.join(r['lines'])}"]
+    if reference:
+        out.append(f"- reference line: {reference}")
+    return out + ([f"- target: {r['low']:.3f} to {r['high']:.3f}"] if r["n"] else [])
+
+
+def report(metrics: DataFrame, title: str, kind: str, importances: DataFrame | None = None, about: list[str] = (), n: int = 10) -> list[str]:
+    """Markdown of a model comparison: what was fitted, a row a model, the ``n`` most
+    important features by motif and kind of change, and what the best R2 means."""
+    rows = metrics.withColumn("band", verdict(F.col("cv_r2"), kind)).orderBy(F.isnan("cv_r2"), F.desc("cv_r2"), "model").collect()
     out = [f"# {title}", "", "| model | cv R2 | sd | R2 | RMSE | verdict |", "| --- | --- | --- | --- | --- | --- |"]
     out += [f"| {r['model']} | {r['cv_r2']:.4f} | {r['cv_std']:.4f} | {r['r2']:.4f} | {r['rmse']:.4f} | {r['band']} |" for r in rows]
-    return [*out, "", f"Best: {rows[0]['model']}" if rows else "No model could be fitted."]
+    out += ["", f"Best: {rows[0]['model']}" if rows else "No model could be fitted."]
+    if about:
+        out += ["", "## Data", *about]
+    if importances is not None:
+        mean = importances.groupBy("feature").agg(F.avg("importance").alias("importance")).orderBy(F.desc("importance"), "feature").limit(n)
+        out += ["", "## Most important features", *[f"- {r['motif']} ({r['change']}): {r['importance']:.4f}" for r in features.labelled(mean).orderBy(F.desc("importance"), "feature").collect()]]
+    if rows:
+        out += ["", "## Reading", f"{MEANING[rows[0]['band']]} Held-out R2 of the best model: {100 * rows[0]['cv_r2']:.1f} %."]
+    return out
+
+
+#: What the columns of a feature matrix hold, by their ending.
+DESCRIBED = {
+    "motif_count": "hits of the motif", "position_mean": "mean position of the hits", "position_std": "spread of the positions", "position_min": "first position", "position_max": "last position",
+    "position_range": "distance from the first to the last hit", "density_proximal": "hits a 100 bases at 700 to 1000, next to the start of transcription", "density_core": "hits a 100 bases at 300 to 700",
+    "density_distal": "hits a 100 bases below 300", "spacing_regularity": "spread of the distances between hits over their mean", "seq_diversity": "different sequences a hit", "seq_length_mean": "mean length",
+    "seq_length_std": "spread of the lengths", "gc_content_mean": "mean share of G and C", "gc_content_std": "spread of the share of G and C", "mutation_load": "mean share of bases that differ from the consensus",
+    "consensus_similarity_mean": "mean likeness to the consensus", "consensus_similarity_std": "spread of the likeness to the consensus", "present": "1 if the motif has a hit, else 0",
+}
+
+
+def feature_descriptions(support: DataFrame, columns: list[str]) -> list[str]:
+    """What the matrix holds: its keys, each kind of column, and the hits of each motif.
+    ``support`` (motif, n_sites) is a row a motif chosen."""
+    rows = support.orderBy("consolidated_motif_id").collect()
+    out = ["# Feature matrix", "", "A row for each gene in each line; a motif without hits there has 0 in all its columns.", "", "## Keys", "- line", "- gene", "- gene_line_id: gene and line", "", "## Columns of each motif"]
+    out += [f"- <motif>_{c}: {DESCRIBED.get(c, c)}" for c in columns]
+    return [*out, "", "## Motifs", *[f"- {r['consolidated_motif_id']}: {r['n_sites']} hits" for r in rows]]
 
 
 def feature_summary(columns: list[str], n_rows: int) -> list[str]:
@@ -116,6 +162,18 @@ def write_pair_report(motifs: DataFrame, pairs: DataFrame, path: str) -> None:
     listed.unionByName(found).orderBy("part", "a", "b").select("value").write.mode("overwrite").text(path)
 
 
+def master_report(runs: DataFrame, catalog: DataFrame, pairs: DataFrame, n: int = 20) -> list[str]:
+    """Markdown over all runs: motifs of each, the pairs compared, the motifs that most
+    lines share. ``runs`` (line, n_motifs) and ``pairs`` are a row a run and a similar pair."""
+    listed = runs.orderBy("line").collect()
+    found = pairs.groupBy("pair_no", "line_1", "line_2").agg(F.count("*").alias("n")).orderBy("pair_no").collect()
+    shared = catalog.where("n_lines > 1")
+    out = ["# All runs", "", f"runs: {len(listed)}, motifs: {sum(r['n_motifs'] for r in listed)}, clusters: {catalog.count()}, in several lines: {shared.count()}", "", "| line | motifs |", "| --- | --- |"]
+    out += [f"| {r['line']} | {r['n_motifs']} |" for r in listed]
+    out += ["", "## Similar motifs by pair of lines", *[f"- pair {r['pair_no']}: {r['line_1']} and {r['line_2']}, {r['n']} pairs of motifs" for r in found]]
+    return [*out, "", "## Motifs of most lines", *[f"- {r['cluster_id']}: {r['occurrences']} in {r['n_lines']} lines ({r['lines']})" for r in shared.orderBy(F.desc("n_lines"), F.desc("occurrences"), "cluster_id").limit(n).collect()]]
+
+
 def write_group_report(pairs: DataFrame, path: str) -> None:
     """A text line for each pair of sequences, with its kind, GC contents and lengths."""
     number = lambda c: F.format_string("%.3f", F.col(c))

@@ -151,3 +151,22 @@ def test_split_files_keep_their_order(spark, folder):
     finally:
         spark.conf.unset(key)
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_reports(spark):
+    from sitelattice.operators import features, models
+
+    found = {"ols": {"cv_r2": 0.45, "cv_std": 0.1, "r2": 0.5, "rmse": 1.0}, "lasso": {"cv_r2": float("nan"), "cv_std": 0.0, "r2": 0.1, "rmse": 2.0}}
+    weights = spark.createDataFrame([("ols", "MOTIF_001_presence_diff", 0.5), ("ols", "MOTIF_002_gc_content_diff", 0.1)], "model string, feature string, importance double")
+    data = spark.createDataFrame([("g1", "IM62", 1.0), ("g2", "IM155", -1.0)], "gene_id string, line string, y double")
+    lines = sinks.report(models.metrics_table(spark, found), "t", "relative", weights, sinks.facts(data, "IM767"))
+    assert lines[0] == "# t" and "| ols |" in lines[4] and "strong" in lines[4] and "Best: ols" in lines
+    assert "- MOTIF_001 (presence change): 0.5000" in lines and "- MOTIF_002_gc_content_diff (other): 0.1000" in lines
+    assert "- lines: IM155, IM62" in lines and "- reference line: IM767" in lines and "45.0 %" in lines[-1]
+    described = sinks.feature_descriptions(spark.createDataFrame([("MOTIF_001", 7)], "consolidated_motif_id string, n_sites long"), ["present", *features.POSITION, *features.VARIATION])
+    assert "- MOTIF_001: 7 hits" in described and all(f"- <motif>_{c}: {sinks.DESCRIBED[c]}" in described for c in ("present", *features.POSITION, *features.VARIATION))
+    runs = spark.createDataFrame([("IM62", 3), ("IM155", 2)], "line string, n_motifs long")
+    catalog = spark.createDataFrame([("cluster_1", 2, 4, "IM155,IM62"), ("cluster_2", 1, 1, "IM62")], "cluster_id string, n_lines long, occurrences long, lines string")
+    pairs = spark.createDataFrame([(1, "IM155", "a", "IM62", "b")], "pair_no int, line_1 string, motif_1 string, line_2 string, motif_2 string")
+    lines = sinks.master_report(runs, catalog, pairs)
+    assert "runs: 2, motifs: 5, clusters: 2, in several lines: 1" in lines and "- pair 1: IM155 and IM62, 1 pairs of motifs" in lines and "- cluster_1: 4 in 2 lines (IM155,IM62)" in lines
