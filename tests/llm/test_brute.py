@@ -269,6 +269,88 @@ def heldout(spark, name, label):
     return auc, np.mean([p == y for _, y, p in pairs])
 
 
+def test_quality_plain(spark, texts):
+    """Word vectors and scores, word by word."""
+    import math
+
+    from sitelattice.llm import quality
+
+    rng = np.random.default_rng(3)
+    sequences = [rng.integers(0, 50, rng.integers(0, 30)) for _ in range(12)]
+    index, want = quality.index_vectors().astype(float), np.zeros((quality.BUCKETS, quality.DIMENSIONS))
+    for ids in sequences:
+        for i, w in enumerate(ids):
+            for j in range(max(0, i - quality.WINDOW), min(len(ids), i + quality.WINDOW + 1)):
+                if i != j:
+                    want[w] += index[ids[j]]
+    size = np.linalg.norm(want, axis=1, keepdims=True)
+    want = index / np.sqrt(8) + np.where(size > 0, want / np.where(size > 0, size, 1), 0)
+    assert np.allclose(quality.word_vectors(sequences), want / np.linalg.norm(want, axis=1, keepdims=True), atol=1e-5)
+    vectors, network = quality.fit(common.table(spark, SF, "documents"), common.table(spark, SF, "labels"))
+    for r in queries.QUERIES["op5_quality_classifier"](spark, SF).collect():
+        words = re.findall(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+", (texts[r["doc_id"]] or "").encode())
+        ids = [2 + zlib.crc32(w) % (quality.BUCKETS - 2) for w in words]
+        n = max(1, len(ids))
+        mean = sum((vectors[i].astype(float) for i in ids), np.zeros(quality.DIMENSIONS)) / n
+        capitals = sum(w.isupper() for w in words) / n
+        again = sum((ids[i] == ids[i - 1]) + (i > 1 and ids[i] == ids[i - 2]) for i in range(1, len(ids))) / n
+        x = [*(mean + capitals * vectors[0] + again * vectors[1]), capitals, again, math.sqrt(sum(v * v for v in mean))]
+        z = [min(4, max(-4, (v - m) / d)) for v, m, d in zip(x, network.mean, network.scale, strict=True)]
+        h = [math.tanh(sum(v * w for v, w in zip(z, column, strict=True)) + b) for column, b in zip(network.p[0].T, network.p[1], strict=True)]
+        logit = sum(v * w for v, w in zip(h, network.p[2], strict=True)) + network.p[3][0]
+        assert abs(r["score"] - 1 / (1 + math.exp(-logit / network.temperature))) < 1e-4
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and r["predicted"] == (r["score"] >= 0.7)
+
+
+def test_toxicity_plain(spark, texts):
+    """Hits by distances to every term, and the score from them."""
+    import math
+
+    lexicon, model = toxicity.fit(common.table(spark, SF, "documents"), common.table(spark, SF, "labels"))
+    own = lexicon.terms | lexicon.inflected
+
+    def last_row(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            new = [i + 1]
+            for j, y in enumerate(b):
+                new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+            row = new
+        return row
+
+    def find(w):
+        if w in lexicon.terms:
+            return 0, lexicon.terms[w]
+        for n in range(1, len(w) + 1):
+            if w[:n] in lexicon.stems:
+                return 1, lexicon.stems[w[:n]]
+        if len(w) < 3 or w in lexicon.clean:
+            return None
+        edits = lambda t: 0 if len(t) < 4 else 1 if len(t) < 12 else 2
+        near = [v for t, v in own.items() if abs(len(t) - len(w)) <= 2 and last_row(t, w)[-1] <= edits(t) and (len(t) >= 6 or w[0] == t[0] or w[0].isdigit())]
+        near += [v for t, v in lexicon.stems.items() if len(t) >= 6 and len(w) >= 5 and min(last_row(t, w[: len(t) + 2])) <= edits(t)]
+        return (2, max(near)) if near else None
+
+    known = {}
+    for r in queries.QUERIES["op10_toxicity"](spark, SF).collect():
+        low, out = (texts[r["doc_id"]] or "").lower(), [0.0] * 8
+        marks = [(m[0], m.start(), m.end()) for m in re.finditer(r"[^\W_]+", low)]
+        for i, (w, start, end) in enumerate(marks):
+            hit = known.setdefault(w, find(w)) if w not in known else known[w]
+            if hit:
+                around = {x for x, _, _ in marks[max(0, i - 6) : i] + marks[i + 1 : i + 7]}
+                before, after = low[marks[max(0, i - 6)][1] : start], low[end : marks[min(len(marks) - 1, i + 6)][2]]
+                quoted = bool((set(before) & set(toxicity.OPENS) and set(after) & set(toxicity.CLOSES)) or around & toxicity.REPORTS)
+                out[2 * hit[0] + quoted] += 1
+                out[6] += bool(around & toxicity.ADDRESS)
+                out[7] = max(out[7], hit[1] * (0.5 if quoted else 1))
+        assert r["n_hits"] == sum(out[:6]), (r, out)
+        x = [*(float(v > 0) for v in out[:7]), *(math.log1p(v) for v in out[:7]), out[7], 1.0]
+        want = model.share if model.constant else 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.w, strict=True))))
+        assert abs(r["score"] - want) < 1e-9
+    assert any(known.values())
+
+
 def test_quality_heldout(spark):
     auc, accuracy = heldout(spark, "op5_quality_classifier", "quality")
     assert auc > 0.97 and accuracy > 0.97
