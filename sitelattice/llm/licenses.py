@@ -188,9 +188,26 @@ def normalised(s: Column) -> Column:
 
 
 #: In a text of sentences "|" is a cut that a known sentence cannot span, "/" one that it can.
-#: Sentences by themselves come before wrapped ones, longer before shorter.
-_LONGEST = sorted(SENTENCES.values(), key=len, reverse=True)
-KNOWN = rf"(?<=[|/])(?:{'|'.join(_LONGEST)}|{'|'.join(s.replace(' ', '[ /]') for s in _LONGEST)})(?=[|/])"
+#: Sentences by themselves come before wrapped ones, longer before shorter (``KNOWN``).
+def _tree(sentences, gap: str) -> str:
+    """Pattern of all sentences, word by word; of those that match at a place the longest."""
+    root: dict = {}
+    for s in sentences:
+        node = root
+        for word in s.split(" "):
+            node = node.setdefault(word, {})
+        node[""] = {}
+
+    def after(node: dict) -> str:
+        parts = [gap + word + after(below) for word, below in node.items() if word]
+        if not parts:
+            return ""
+        return parts[0] if len(parts) == 1 and "" not in node else f"(?:{'|'.join(parts)}){'?' if '' in node else ''}"
+
+    return "|".join(word + after(below) for word, below in root.items())
+
+
+KNOWN = rf"(?<=[|/])(?:{_tree(SENTENCES.values(), ' ')}|{_tree(SENTENCES.values(), '[ /]')})(?=[|/])"
 
 
 def marked(text: Column) -> Column:
