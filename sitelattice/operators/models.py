@@ -20,6 +20,8 @@ ALPHAS = (0.1, 1.0, 10.0, 100.0)
 FOLDS = 5
 #: Parts of the rows by which the lasso's penalty is chosen.
 THIRDS = 3
+#: Groups in which tasks' product tables meet first.
+SIDES = 64
 
 
 def design(values: DataFrame, target: DataFrame, features: list[str], label: str = "expression") -> DataFrame:
@@ -87,8 +89,8 @@ class Sums:
 
 def gather(data: DataFrame, features: list[str]) -> Sums:
     """One pass. Each task adds up one product table a fold and third and sends it as
-    bytes; tables meet in an aggregate's tasks, and the driver gets (features + 2) squared
-    numbers a fold and third."""
+    bytes; tables meet in two steps, first of every ``SIDES``-th task,
+    then those; and the driver gets (features + 2) squared numbers of each."""
     k = len(features) + 2
 
     def run(batches):
@@ -114,7 +116,8 @@ def gather(data: DataFrame, features: list[str]) -> Sums:
         return pd.concat(added((int(tables["key"].iloc[0]),), [tables]))
 
     keyed = data.select("fold", F.pmod(F.xxhash64("gene_id", "line", F.lit(7)), F.lit(THIRDS)).alias("third"), "x", "y") if {"gene_id", "line"} <= set(data.columns) else data.select("fold", F.lit(0).alias("third"), "x", "y")
-    rows = keyed.mapInPandas(run, "key int, p binary").groupBy("key").applyInPandas(meet, "key int, p binary").collect()
+    tables = keyed.mapInPandas(run, "key int, p binary").withColumn("side", F.pmod(F.spark_partition_id(), F.lit(SIDES)))
+    rows = tables.groupBy("key", "side").applyInPandas(meet, "key int, p binary").groupBy("key").applyInPandas(meet, "key int, p binary").collect()
     return Sums({divmod(r["key"], THIRDS): np.frombuffer(bytes(r["p"]), "<f8").reshape(k, k) for r in rows}, list(features))
 
 

@@ -108,6 +108,59 @@ def test_leaders_by_sweep_and_by_rounds(spark):
             assert found == {i: (v, leaders.index(v) + 1) for i, v in of.items()}
 
 
+def greedy(n, similar):
+    """Leader of each of ``n`` things in order."""
+    leaders, of = [], {}
+    for j in range(n):
+        of[j] = next((i for i in leaders if similar(i, j)), j)
+        if of[j] == j:
+            leaders.append(j)
+    return of
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.3, 0.6, 0.75, 0.9, 1.0, 1.1])
+def test_similar_pairs_and_clusters_plain(spark, threshold):
+    rng = random.Random(11)
+    core = ["".join(rng.choice("ACGT") for _ in range(rng.randint(5, 14))) for _ in range(8)]
+    near = lambda w: "".join(rng.choice("ACGTRYSWKMBDHVNX") if rng.random() < 0.2 else c for c in w) + rng.choice(["", "", "A", "AC", "TTT"])
+    words = [near(rng.choice(core)) for _ in range(70)] + core * 3 + ["", "A", "AC", "AC", "ACG", "NNNNNNNN", "NNNNNNNN", "acgtacgt"]
+    rng.shuffle(words)
+    table = spark.createDataFrame(list(enumerate(words)), "ord int, true_consensus string")
+
+    def similar(i, j):
+        a, b = words[i], words[j]
+        return min(len(a), len(b)) >= 3 and abs(len(a) - len(b)) <= 3 and plain_similarity(a.upper(), b.upper()) >= threshold
+
+    found = {(r["i"], r["j"]): r["similarity"] for r in cluster.similar_pairs(table, threshold).collect()}
+    assert found == {(i, j): plain_similarity(words[i].upper(), words[j].upper()) for j in range(len(words)) for i in range(j) if similar(i, j)}
+    placed = {r["ord"]: r["leader"] for r in cluster.cluster(table, threshold).collect()}
+    assert placed == greedy(len(words), similar)
+
+
+def test_clusters_by_class_plain(spark):
+    """One motif a class is compared; the result is that of comparing all."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("ACGT") for _ in range(rng.randint(4, 7))) for _ in range(25)] * 2 + ["", ""]
+    rng.shuffle(words)
+    table = spark.createDataFrame(list(enumerate(words)), "ord int, consensus string")
+    a, b = table.select(F.col("ord").alias("i"), F.col("consensus").alias("a")), table.select(F.col("ord").alias("j"), F.col("consensus").alias("b"))
+    near = {(r["i"], r["j"]) for r in a.join(b, F.col("i") < F.col("j")).where(seq.aligned_similarity(F.col("a"), F.col("b")) >= 0.8).collect()}
+    assert {r["ord"]: r["leader"] for r in cluster.cluster_aligned(table, 0.8).collect()} == greedy(len(words), lambda i, j: (i, j) in near)
+
+    rows = [(i, rng.choice(["x", "y", "z", None]), rng.choice([6, 8, 13, 20, 25, None]), rng.choice([0.0001, 0.0005, 0.005, 0.02, 0.3, float("nan"), None])) for i in range(150)]
+    table = spark.createDataFrame(rows, "ord int, line string, width int, evalue double")
+
+    def band(i, j):
+        if None in rows[i][1:3] + rows[j][1:3] or rows[i][1] == rows[j][1] or abs(rows[i][2] - rows[j][2]) > 3:
+            return 0.0
+        e = [rows[i][3], rows[j][3]]
+        return 0.3 if None in e else next((v for top, v in ((0.001, 0.8), (0.01, 0.6), (0.05, 0.4)) if all(x < top for x in e)), 0.2)
+
+    for threshold in (0.2, 0.3, 0.5, 0.8):
+        placed = {r["ord"]: r["leader"] for r in cluster.cluster_across_lines(table, threshold).collect()}
+        assert placed == greedy(len(rows), lambda i, j: band(i, j) >= threshold)
+
+
 def test_order_of_rows_does_not_matter(spark):
     from sitelattice.plans import views
 
