@@ -25,12 +25,12 @@ def _parent(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 
 
-def _lines(spark: SparkSession, pattern: str) -> DataFrame:
+def _lines(spark: SparkSession, pattern: str, separator: str | None = None) -> DataFrame:
     """(path, n, text): lines with a key that orders them within their file: where the
     block they were read from begins, then their place among the rows read. Large files
     are split as usual."""
     place = F.concat_ws("-", F.lpad(F.col("_metadata.file_block_start").cast("string"), 15, "0"), F.lpad(F.monotonically_increasing_id().cast("string"), 19, "0"))
-    return spark.read.text(pattern).select(F.col("_metadata.file_path").alias("path"), place.alias("n"), F.col("value").alias("text"))
+    return spark.read.text(pattern, lineSep=separator).select(F.col("_metadata.file_path").alias("path"), place.alias("n"), F.col("value").alias("text"))
 
 
 def read_sites(spark: SparkSession, folder: str, lines: list[str] | None = None) -> DataFrame:
@@ -141,10 +141,20 @@ def read_expression_lenient(spark: SparkSession, path: str, sep: str = "\t") ->
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(ord, id, description, sequence): records of any number of lines."""
-    records = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"(?m)^>")).alias("ord", "r")).where("ord > 0")
+    """(ord, id, description, sequence): records of any number of lines, in files whose
+    lines end with a line feed. ``ord`` orders by file, then place. Files are split
+    between records; only a record is one string. What comes before a file's first
+    record is left out.
+    """
+    rows = _lines(spark, path, separator="\n>")
+    first = rows.groupBy("path").agg(F.min("n").alias("first"))
+    starts = F.col("n") == F.col("first")
+    records = rows.join(first, "path").where(~starts | F.col("text").startswith(">"))
+    record = F.when(starts, F.substr("text", F.lit(2))).otherwise(F.col("text"))
     head = F.trim(F.regexp_extract("r", r"^([^\r\n]*)", 1))
-    return records.select("ord", F.split(head, r"\s+")[0].alias("id"), head.alias("description"), F.regexp_replace(F.regexp_extract("r", r"(?s)^[^\n]*\n(.*)", 1), r"\s", "").alias("sequence"))
+    return records.select(F.concat_ws("|", "path", "n").alias("ord"), record.alias("r")).select(
+        "ord", F.split(head, r"\s+")[0].alias("id"), head.alias("description"), F.regexp_replace(F.regexp_extract("r", r"(?s)^[^\n]*\n(.*)", 1), r"\s", "").alias("sequence")
+    )
 
 
 def read_motif_list(spark: SparkSession, path: str) -> DataFrame:

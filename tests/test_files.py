@@ -98,6 +98,21 @@ def test_small_readers(spark, tmp_path):
     assert files.read_compiled(spark, str(tmp_path / "c.json")).first()["all_motifs"]["a"]["consensus"] == "ACG"
 
 
+def test_fasta_is_split_between_records(spark, tmp_path):
+    made = [(f"s{i}", "ACGT" * (i % 7) + "N>"[: i % 2]) for i in range(400)]
+    (tmp_path / "a.fa").write_text("; a note\n" + "".join(f">{n} of > one\r\n{s[:9]}\r\n{s[9:]}\r\n" for n, s in made))
+    (tmp_path / "b.fa").write_text(">>odd\nAC\n\n>last")
+    (tmp_path / "c.fa").write_text("")
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        table = files.read_fasta(spark, f"{tmp_path}/*.fa")
+        assert table.rdd.getNumPartitions() > 1
+        assert [(r["id"], r["sequence"]) for r in table.orderBy("ord").collect()] == [*made, (">odd", "AC"), ("last", "")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+
+
 def test_commands(spark, folder, tmp_path):
     out = str(tmp_path / "out")
     assert cli.main(["consolidate", folder, "--output", out, "--validate"]) == 0
