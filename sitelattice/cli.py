@@ -13,8 +13,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelattice.operators import cluster, encode, expression, features, models, quality, sites
-from sitelattice.plans.model_queries import LAYERS
+from sitelattice.operators import cluster, encode, expression, features, layers, models, quality, sites
+from sitelattice.plans.layer_queries import layer_fits
 from sitelattice.plans.tables import persist_table
 from sitelattice.sources import files, sinks
 
@@ -131,31 +131,28 @@ def absolute(spark, a) -> None:
 
 
 def comprehensive(spark, a) -> None:
+    """Forests over each layer, over the products of pairs if asked for, and over everything,
+    all for the motifs whose presence varies most."""
     table = persist_table(files.read_consolidated(spark, a.sites), "sites")
     target = files.read_expression(spark, a.expression)
-    found, parts, used = {}, [], {}
-    for layer in a.layers.split(","):
-        make, columns = LAYERS[layer]
-        values = persist_table(features.long_values(make(table), columns), layer)
-        top = features.varying(values).orderBy(F.desc("variance"), "feature").limit(a.top_motifs)
-        names = sorted(r[0] for r in top.select("feature").collect())
-        parts.append(values.where(F.col("feature").isin(names)))
-        used[layer] = names
-        found[layer] = models.tree_model(persist_table(models.group_folds(models.design(values, target, names)), "design"), models.forest(a.trees))
-    if a.interactions:
-        motifs = [r[0] for r in sites.top_motifs(table, 10).select(M).collect()]
-        pairs = features.interactions(features.presence(table), features.position_layer(table), motifs)
-        sinks.write_table(pairs, f"{a.output}/interactions")
-    everything = parts[0]
-    for p in parts[1:]:
-        everything = everything.unionByName(p)
-    names = sorted(n for ns in used.values() for n in ns)
-    data = persist_table(models.group_folds(models.design(everything, target, names)), "design")
-    found["combined"] = models.tree_model(data, models.forest(2 * a.trees))
-    sinks.write_table(models.importances(spark, {"combined": found["combined"]}, names), f"{a.output}/importances")
-    metrics = models.metrics_table(spark, found)
-    weights = models.importances(spark, {"combined": found["combined"]}, names)
-    sinks.write_text(sinks.report(metrics, "Layers", "absolute", weights, sinks.facts(data)), metrics, f"{a.output}/report")
+    chosen = a.layers.split(",")
+    rows = persist_table(layers.rows_of(table, target), "rows")
+    ranking = persist_table(layers.presence_ranking(table, rows), "ranking")
+    motifs = layers.top_motifs(ranking, a.top_motifs)
+    paired = motifs[: layers.PAIRED] if a.interactions else []
+    fits = layer_fits(spark, table, target, ranking, chosen, a.top_motifs, len(paired), a.trees)
+    metrics = models.metrics_table(spark, {layer: fit for layer, (fit, _) in fits.items()})
+    taken = spark.createDataFrame([(layer, len(names)) for layer, (_, names) in fits.items()], "model string, n_features long")
+    sinks.write_table(metrics.join(taken, "model"), f"{a.output}/layers")
+    sinks.write_table(ranking.drop("spread"), f"{a.output}/motifs")
+    if paired:
+        sinks.write_table(layers.pair_values(table, paired, "position" in chosen).drop("layer"), f"{a.output}/interactions")
+    fit, names = fits["combined"]
+    weights = models.importances(spark, {"combined": fit}, names)
+    kinds = layers.column_layers(spark, motifs, chosen, paired)
+    sinks.write_table(weights.join(F.broadcast(kinds), "feature"), f"{a.output}/importances")
+    about = [*sinks.facts(target.join(rows, layers.ROW, "left_semi").withColumnRenamed("expression", "y")), *[f"- features of {layer}: {len(own)}" for layer, (_, own) in fits.items()]]
+    sinks.write_text(sinks.report(metrics, "Layers", "absolute", weights, about, kinds=kinds, n=20), metrics, f"{a.output}/report")
 
 
 def gene_specific(spark, a) -> None:
@@ -275,9 +272,9 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--top-motifs", type=int)
     c = command("comprehensive", comprehensive, "sites", "expression")
     growing(c)
-    c.add_argument("--layers", default=",".join(LAYERS))
+    c.add_argument("--layers", default=",".join(layers.LAYERS))
     c.add_argument("--interactions", action="store_true")
-    c.add_argument("--top-motifs", type=int, default=50)
+    c.add_argument("--top-motifs", type=int, default=layers.TOP)
     c = command("gene-specific", gene_specific, "sites", "expression")
     growing(c)
     c.add_argument("--genes")

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,20 +33,21 @@ def design(values: DataFrame, target: DataFrame, features: list[str], label: str
     k, keys = len(features), {f: i for i, f in enumerate(features)}
     rows = target.where(F.col(label).isNotNull()).select("gene_id", "line", F.col(label).cast("double").alias("y"))
     named = values.sparkSession.createDataFrame([(f, i) for f, i in keys.items()], "feature string, k int")
-    # A row's features as sorted places and values; a task lays them out as a vector.
-    pairs = values.join(F.broadcast(named), "feature").groupBy("gene_id", "line").agg(F.sort_array(F.collect_list(F.struct("k", "value"))).alias("m"))
+    # A row's features as places and values; a task lays a batch of them out at once.
+    pairs = values.join(F.broadcast(named), "feature").groupBy("gene_id", "line").agg(F.collect_list(F.struct("k", F.coalesce("value", F.lit(0.0)).alias("value"))).alias("m"))
+    cells = F.coalesce("m", F.array().cast("array<struct<k:int,value:double>>"))
 
     def laid(batches):
         for b in batches:
-            x = []
-            for m in b["m"]:
-                v = np.zeros(k)
-                if m is not None and len(m):
-                    v[[e["k"] for e in m]] = [e["value"] or 0.0 for e in m]
-                x.append(v)
-            yield b.drop(columns="m").assign(x=x)
-
-    return rows.join(pairs, ["gene_id", "line"], "left").mapInPandas(laid, "gene_id string, line string, y double, x array<double>")
+            held = b.column(3)
+            row = np.repeat(np.arange(b.num_rows), held.value_lengths().to_numpy(zero_copy_only=False))
+            flat, x = held.flatten(), np.zeros((b.num_rows, k))
+            x[row, flat.field("k").to_numpy(zero_copy_only=False)] = flat.field("value").to_numpy(zero_copy_only=False)
+            ends = pa.array(np.arange(b.num_rows + 1) * k, pa.int32())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], ["gene_id", "line", "y", "x"])
+
+    # A batch is a dense table in a task: its rows are bounded by the session's batch size.
+    return rows.join(pairs, ["gene_id", "line"], "left").select("gene_id", "line", "y", cells.alias("m")).mapInArrow(laid, "gene_id string, line string, y double, x array<double>")
 
 
 def group_folds(data: DataFrame, folds: int = FOLDS, by: str = "gene_id") -> DataFrame:

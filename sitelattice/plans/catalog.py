@@ -263,17 +263,17 @@ def relative_inputs(spark, sf_dir):
     return features.relative_inputs(consolidated(spark, sf_dir))
 
 
-@query(o.over_sites(o.select("gene_id line consolidated_motif_id proximal_density:d core_density:d distal_density:d position_weighted_score:d spacing_regularity:d closest_hit_distance total_hits", f"select {o.K}, cast(count(*) filter (start_pos >= 0 and start_pos < 500) as double) / 5 as proximal_density, cast(count(*) filter (start_pos >= 500 and start_pos < 1000) as double) / 5 as core_density, cast(count(*) filter (start_pos >= 1000 and start_pos < 2000) as double) / 10 as distal_density, sum(exp(-cast(start_pos as double) / 1000)) as position_weighted_score, 1 / (1 + case when count(*) > 1 and avg(gap) > 0 then stddev_pop(gap) / avg(gap) else 0e0 end) as spacing_regularity, min(start_pos) as closest_hit_distance, count(*) as total_hits from gaps group by 1, 2, 3"), o.GAPS))
+@query(o.over_sites(o.select("gene_id line consolidated_motif_id proximal_density:d core_density:d distal_density:d position_weighted_score:d spacing_regularity:d closest_hit_distance total_hits", o.POSITION_LAYER), o.GAPS))
 def position_layer(spark, sf_dir):
     return features.position_layer(consolidated(spark, sf_dir))
 
 
-@query(o.over_sites(o.select("gene_id line consolidated_motif_id consensus_similarity_mean:d consensus_similarity_std:d sequence_diversity:d gc_content_mean:d gc_content_std:d length_mean:d length_std:d unique_sequences", f"select {o.K}, avg({o.positional('sequence', 'motif_consensus')}) as consensus_similarity_mean, stddev_pop({o.positional('sequence', 'motif_consensus')}) as consensus_similarity_std, cast(count(distinct sequence) as double) / count(*) as sequence_diversity, avg({o.gc('sequence')}) as gc_content_mean, stddev_pop({o.gc('sequence')}) as gc_content_std, avg(length(sequence)) as length_mean, stddev_pop(length(sequence)) as length_std, count(distinct sequence) as unique_sequences from sites group by 1, 2, 3")))
+@query(o.over_sites(o.select("gene_id line consolidated_motif_id consensus_similarity_mean:d consensus_similarity_std:d sequence_diversity:d gc_content_mean:d gc_content_std:d length_mean:d length_std:d unique_sequences", o.VARIATION_LAYER)))
 def variation_layer(spark, sf_dir):
     return features.variation_layer(consolidated(spark, sf_dir))
 
 
-@query(o.over_sites(o.select("gene_id line consolidated_motif_id cross_line_diversity:d dominant_sequence_diversity:d line_has_unique_variant", f"select {o.K}, w.v as cross_line_diversity, case when d2.n > 1 then cast(d2.u as double) / d2.n else 0e0 end as dominant_sequence_diversity, cast(count(*) over (partition by gene_id, {M}, dominant) = 1 as int) as line_has_unique_variant from dom join whole w using (gene_id, {M}) join d2 using (gene_id, {M})"), f"cnt as (select {o.K}, sequence, count(*) as n from sites group by 1, 2, 3, 4), dom as (select {o.K}, first(sequence order by n desc, sequence) as dominant from cnt group by 1, 2, 3), whole as (select gene_id, {M}, cast(count(distinct sequence) as double) / count(*) as v from sites group by 1, 2), d2 as (select gene_id, {M}, count(*) as n, count(distinct dominant) as u from dom group by 1, 2)"))
+@query(o.over_sites(o.select("gene_id line consolidated_motif_id cross_line_diversity:d dominant_sequence_diversity:d line_has_unique_variant", o.CROSSLINE_LAYER), o.DOMINANT))
 def crossline_layer(spark, sf_dir):
     return features.crossline_layer(consolidated(spark, sf_dir))
 
@@ -379,15 +379,6 @@ def within_gene_centering(spark, sf_dir):
     return features.centred(_values(spark, sf_dir))
 
 
-@query(o.over_sites(o.select("gene_id line motif_1 motif_2 presence_product score_product:d", f"select a.gene_id, a.line, a.{M} as motif_1, b.{M} as motif_2, 1 as presence_product, a.s as score_product from cell a join cell b on a.gene_id = b.gene_id and a.line = b.line and a.{M} < b.{M}"), o.PVAR, f"cell as (select {o.K}, sum(exp(-cast(start_pos as double) / 1000)) as s from sites where {M} in (select {M} from pvar order by round(presence_variance, 9) desc, {M} limit 10) group by 1, 2, 3)"))
-def interaction_pairs(spark, sf_dir):
-    """Pairs of the ten motifs whose presence varies most."""
-    table = consolidated(spark, sf_dir)
-    rank = features.presence_variance(table, REF).withColumn("presence_variance", F.round("presence_variance", 9))
-    motifs = sorted(r[0] for r in features.top_by(rank, "presence_variance", 10).select(M).collect())
-    return features.interactions(features.presence(table), features.position_layer(table), motifs)
-
-
 # ---- expression ----
 
 

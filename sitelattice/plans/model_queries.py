@@ -69,28 +69,6 @@ def boosted_cv(spark, sf_dir):
     return models.metrics_table(spark, {"gradient_boosting": models.tree_model(data, models.boosted())})
 
 
-#: Layers of features: how each is made, and its columns.
-LAYERS = {
-    "presence": (features.presence, ["present", "count"]),
-    "position": (features.position_layer, ["proximal_density", "core_density", "distal_density", "position_weighted_score", "spacing_regularity", "closest_hit_distance", "total_hits"]),
-    "variation": (features.variation_layer, ["consensus_similarity_mean", "consensus_similarity_std", "sequence_diversity", "gc_content_mean", "gc_content_std", "length_mean", "length_std", "unique_sequences"]),
-    "crossline": (features.crossline_layer, ["cross_line_diversity", "dominant_sequence_diversity", "line_has_unique_variant"]),
-}
-LAYER_FEATURES = 50
-
-
-@query()
-def layer_forests(spark, sf_dir):
-    """A forest for each layer, over its features of highest variance."""
-    table, target, found = consolidated(spark, sf_dir), views.expression_long(spark, sf_dir), {}
-    for name, (make, columns) in LAYERS.items():
-        values = sites.persist_table(features.long_values(make(table), columns), name)
-        top = features.varying(values).orderBy(F.desc("variance"), "feature").limit(LAYER_FEATURES)
-        names = sorted(r[0] for r in top.select("feature").collect())
-        found[name] = models.tree_model(sites.persist_table(models.group_folds(models.design(values, target, names)), "design"), models.forest())
-    return models.metrics_table(spark, found)
-
-
 @query()
 def mixed_effects(spark, sf_dir):
     data, names, _, _ = _relative(spark, sf_dir)

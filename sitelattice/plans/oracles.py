@@ -171,3 +171,33 @@ ngenes as (select line, count(distinct gene_id) as g from seen group by 1),
 grid as (select m.consolidated_motif_id, n.line, n.g from (select distinct consolidated_motif_id from seen) m, ngenes n),
 pvar as (select consolidated_motif_id, var_pop(cast(coalesce(k, 0) as double) / g) as presence_variance
   from grid left join (select line, consolidated_motif_id, count(*) as k from seen group by 1, 2) t using (line, consolidated_motif_id) group by 1)"""
+
+POSITION_LAYER = f"select {K}, cast(count(*) filter (start_pos >= 0 and start_pos < 500) as double) / 5 as proximal_density, cast(count(*) filter (start_pos >= 500 and start_pos < 1000) as double) / 5 as core_density, cast(count(*) filter (start_pos >= 1000 and start_pos < 2000) as double) / 10 as distal_density, sum(exp(-cast(start_pos as double) / 1000)) as position_weighted_score, 1 / (1 + case when count(*) > 1 and avg(gap) > 0 then stddev_pop(gap) / avg(gap) else 0e0 end) as spacing_regularity, min(start_pos) as closest_hit_distance, count(*) as total_hits from gaps group by 1, 2, 3"
+VARIATION_LAYER = f"select {K}, avg({positional('sequence', 'motif_consensus')}) as consensus_similarity_mean, stddev_pop({positional('sequence', 'motif_consensus')}) as consensus_similarity_std, cast(count(distinct sequence) as double) / count(*) as sequence_diversity, avg({gc('sequence')}) as gc_content_mean, stddev_pop({gc('sequence')}) as gc_content_std, avg(length(sequence)) as length_mean, stddev_pop(length(sequence)) as length_std, count(distinct sequence) as unique_sequences from sites group by 1, 2, 3"
+DOMINANT = f"cnt as (select {K}, sequence, count(*) as n from sites group by 1, 2, 3, 4), dom as (select {K}, first(sequence order by n desc, sequence) as dominant from cnt group by 1, 2, 3), whole as (select gene_id, consolidated_motif_id, cast(count(distinct sequence) as double) / count(*) as v from sites group by 1, 2), d2 as (select gene_id, consolidated_motif_id, count(*) as n, count(distinct dominant) as u from dom group by 1, 2)"
+CROSSLINE_LAYER = f"select {K}, w.v as cross_line_diversity, case when d2.n > 1 then cast(d2.u as double) / d2.n else 0e0 end as dominant_sequence_diversity, cast(count(*) over (partition by gene_id, consolidated_motif_id, dominant) = 1 as int) as line_has_unique_variant from dom join whole w using (gene_id, consolidated_motif_id) join d2 using (gene_id, consolidated_motif_id)"
+
+#: Rows of the regression design, presence counted over them, and the rank of its spread.
+RANKED = f"""
+design_rows as (select distinct gene_id, line from sites semi join (select * from expression where expression is not null) e using (gene_id, line)),
+present_counts as (select consolidated_motif_id, count(*) as n_present from (select distinct {K} from sites) t semi join design_rows using (gene_id, line) group by 1),
+ranked as (select consolidated_motif_id, n_present, (select count(*) from design_rows) as n_rows, n_present * ((select count(*) from design_rows) - n_present) as spread,
+             row_number() over (order by n_present * ((select count(*) from design_rows) - n_present) desc, consolidated_motif_id) as place from present_counts)"""
+
+
+def blocks(layers: dict[str, tuple[str, list[str]]], top: int) -> str:
+    """CTE ``block``: the values that are not 0 of the columns of the first ``top`` motifs."""
+    parts = [
+        f"select gene_id, line, '{name}' as layer, concat_ws('_', consolidated_motif_id, f) as feature, v as value from (select {K}, unnest({columns!r}) as f, "
+        f"unnest([{', '.join(f'cast({c} as double)' for c in columns)}]) as v from ({body}) made semi join (select * from ranked where place <= {top}) r using (consolidated_motif_id)) z where abs(v) > 1e-12"
+        for name, (body, columns) in layers.items()
+    ]
+    return f"block as ({' union all '.join(parts)})"
+
+
+def pairs(top: int) -> str:
+    """CTE ``products``: the products of pairs of the first ``top`` motifs, in rank order."""
+    return f"""
+paired as (select gene_id, line, consolidated_motif_id, place, sum(exp(-cast(start_pos as double) / 1000)) as score from sites join ranked using (consolidated_motif_id) where place <= {top} group by all),
+products as (select a.gene_id, a.line, a.consolidated_motif_id as motif_1, b.consolidated_motif_id as motif_2, 1 as presence_product, a.score as score_product
+             from paired a join paired b on a.gene_id = b.gene_id and a.line = b.line and a.place < b.place)"""

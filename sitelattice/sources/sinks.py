@@ -87,9 +87,10 @@ def facts(data: DataFrame, reference: str | None = None) -> list[str]:
     return out + ([f"- target: {r['low']:.3f} to {r['high']:.3f}"] if r["n"] else [])
 
 
-def report(metrics: DataFrame, title: str, kind: str, importances: DataFrame | None = None, about: list[str] = (), n: int = 10) -> list[str]:
+def report(metrics: DataFrame, title: str, kind: str, importances: DataFrame | None = None, about: list[str] = (), n: int = 10, kinds: DataFrame | None = None) -> list[str]:
     """Markdown of a model comparison: what was fitted, a row a model, the ``n`` most
-    important features by motif and kind of change, and what the best R2 means."""
+    important features by motif and kind of change (or by their layers, if ``kinds`` has
+    these), and what the best R2 means."""
     rows = metrics.withColumn("band", verdict(F.col("cv_r2"), kind)).orderBy(F.isnan("cv_r2"), F.desc("cv_r2"), "model").collect()
     out = [f"# {title}", "", "| model | cv R2 | sd | R2 | RMSE | verdict |", "| --- | --- | --- | --- | --- | --- |"]
     out += [f"| {r['model']} | {r['cv_r2']:.4f} | {r['cv_std']:.4f} | {r['r2']:.4f} | {r['rmse']:.4f} | {r['band']} |" for r in rows]
@@ -98,7 +99,8 @@ def report(metrics: DataFrame, title: str, kind: str, importances: DataFrame | N
         out += ["", "## Data", *about]
     if importances is not None:
         mean = importances.groupBy("feature").agg(F.avg("importance").alias("importance")).orderBy(F.desc("importance"), "feature").limit(n)
-        out += ["", "## Most important features", *[f"- {r['motif']} ({r['change']}): {r['importance']:.4f}" for r in features.labelled(mean).orderBy(F.desc("importance"), "feature").collect()]]
+        shown = features.labelled(mean) if kinds is None else mean.join(kinds, "feature").select("feature", "importance", F.col("feature").alias("motif"), F.col("layer").alias("change"))
+        out += ["", "## Most important features", *[f"- {r['motif']} ({r['change']}): {r['importance']:.4f}" for r in shown.orderBy(F.desc("importance"), "feature").collect()]]
     if rows:
         out += ["", "## Reading", f"{MEANING[rows[0]['band']]} Held-out R2 of the best model: {100 * rows[0]['cv_r2']:.1f} %."]
     return out
