@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from sitelattice.functions import seq
 
+from . import wide
+
 
 def _ordered(parts: Column, sep: str, order: list[str]) -> Column:
     """Join a group's parts in the given order."""
@@ -59,9 +61,9 @@ def encoded_string(instances: DataFrame, codes: DataFrame, by: str = "line") ->
     return instances.join(codes.select("consensus", "code"), "consensus").groupBy(by).agg(_ordered(_stranded(F.col("code")), "_", ORDER).alias("encoded"))
 
 
-def training_matrix(motifs: DataFrame, vocabulary_: list[str]) -> DataFrame:
-    """A row a line, a column a consensus, 1 where the line has it."""
-    return motifs.groupBy("line").pivot("consensus", vocabulary_).agg(F.lit(1)).na.fill(0)
+def training_matrix(motifs: DataFrame, vocabulary_: list[str] | None = None) -> DataFrame:
+    """A row a line, a column a consensus (all there are, if not given), 1 where the line has it."""
+    return wide.widen(motifs.select("line", "consensus", F.lit(1).alias("one")), ["line"], "consensus", ["one"], vocabulary_, bare=True)
 
 
 def occurrences(motifs: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from sitelattice.functions import seq
 
+from . import wide
+
 MOTIF = "consolidated_motif_id"
 KEYS = ["gene_id", "line", MOTIF]
 POSITION = ["motif_count", "position_mean", "position_std", "position_min", "position_max", "position_range", "density_proximal", "density_core", "density_distal", "spacing_regularity"]
@@ -134,13 +136,10 @@ def densify(features: DataFrame, genes: DataFrame, lines: DataFrame, motifs: Dat
     return cells.join(features, KEYS, "left").na.fill(0)
 
 
-def matrix(features: DataFrame, columns: list[str], motifs: list[str]) -> DataFrame:
-    """Wide: a row a gene and line, a column ``<motif>_<feature>``, missing as 0."""
-    wide = features.groupBy("gene_id", "line").pivot(MOTIF, motifs)
-    out = wide.agg(*[F.first(c).alias(c) for c in columns]) if len(columns) > 1 else wide.agg(F.first(columns[0]))
-    if len(columns) == 1:
-        out = out.withColumnsRenamed({m: f"{m}_{columns[0]}" for m in motifs})
-    return out.na.fill(0)
+def matrix(features: DataFrame, columns: list[str], motifs: list[str] | None = None) -> DataFrame:
+    """Wide: a row a gene and line, a column ``<motif>_<feature>``, missing as 0. Without a
+    list, all motifs that the table has."""
+    return wide.widen(features, ["gene_id", "line"], MOTIF, columns, motifs)
 
 
 DIFFERENCES = {"presence_diff": "present", "count_diff": "count"}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -304,13 +303,10 @@ def dense_presence(spark, sf_dir):
     return _dense(spark, sf_dir)
 
 
-#: The view has sixty patterns, so clusters beyond these do not occur.
-_MOTIF_LIST = [f"MOTIF_{i:03d}" for i in range(1, 61)]
-
-
-@query(o.over_sites(o.select("gene_id line " + " ".join(f"{m}_{c}" for m in _MOTIF_LIST for c in ("present", "count")), "select gene_id, line, " + ", ".join(f"cast(max(case when {M} = '{m}' then 1 else 0 end) as int) as {m}_present, count(*) filter ({M} = '{m}') as {m}_count" for m in _MOTIF_LIST) + " from sites group by 1, 2")))
+@query(o.over_sites(f"select * from (pivot (select {o.K}, 1 as present, count(*) as count from sites group by 1, 2, 3) on {M} using coalesce(max(present), 0) as present, coalesce(max(count), 0) as count group by gene_id, line)"))
 def feature_matrix_wide(spark, sf_dir):
-    return features.matrix(features.presence(consolidated(spark, sf_dir)), ["present", "count"], _MOTIF_LIST)
+    """A column for every motif there is."""
+    return features.matrix(sites.persist_table(features.presence(consolidated(spark, sf_dir)), "presence"), ["present", "count"])
 
 
 @query(o.over_sites(f"select {M}, count(*) as n_pairs from (select distinct {o.K} from sites) t group by 1 having count(*) >= 10"))
@@ -469,13 +465,9 @@ def encoded_string(spark, sf_dir):
     return encode.encoded_string(_instances(spark, sf_dir), encode.vocabulary(records(spark, sf_dir)), "unit")
 
 
-#: All words of the view, by its own rule.
-_WORDS = sorted({hashlib.md5(f"m{i % 25}".encode()).hexdigest()[: 8 + i % 4].translate(str.maketrans("0123456789abcdef", "ACGT" * 4)) for i in range(60)})
-
-
-@query(o.with_(f"{o.RAW},{o.RECORDS}", "select line, " + ", ".join(f"cast(max(case when consensus = '{w}' then 1 else 0 end) as int) as {w}" for w in _WORDS) + " from records group by 1"))
+@query(o.with_(f"{o.RAW},{o.RECORDS}", "select * from (pivot (select line, consensus, 1 as one from records) on consensus using coalesce(max(one), 0) group by line)"))
 def training_matrix(spark, sf_dir):
-    return encode.training_matrix(records(spark, sf_dir), _WORDS)
+    return encode.training_matrix(sites.persist_table(records(spark, sf_dir), "records"))
 
 
 _ACROSS = f"""rord as (select *, ord as k from records),

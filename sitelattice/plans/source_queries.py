@@ -12,7 +12,7 @@ from sitelattice.sources import files, sinks
 
 from . import oracles as o
 from . import tables, views
-from .catalog import _BY, _INST, _MOTIF_LIST, _SITE_COLUMNS, _SITE_SQL, M, _instances, consolidated, query, records
+from .catalog import _BY, _INST, _SITE_COLUMNS, _SITE_SQL, M, _instances, consolidated, query, records
 
 
 def _write_file(rows: DataFrame, path: str, head: list[str] = ()) -> None:
@@ -102,11 +102,11 @@ def source_expression_lenient(spark, sf_dir):
     return files.read_expression_lenient(spark, path)
 
 
-@query(o.over_sites(o.select("line gene_id gene_line_id " + " ".join(f"{m}_present:d" for m in _MOTIF_LIST), "select l.line, g.gene_id, g.gene_id || '_' || l.line as gene_line_id, " + ", ".join(f"coalesce(max(case when s.{M} = '{m}' then 1 else 0 end), 0) as {m}_present" for m in _MOTIF_LIST) + " from (select distinct gene_id from sites) g cross join (select distinct line from sites) l left join sites s on s.gene_id = g.gene_id and s.line = l.line group by 1, 2, 3")))
+@query(o.over_sites(f"select * from (pivot (select l.line, g.gene_id, g.gene_id || '_' || l.line as gene_line_id, s.{M}, case when s.{M} is null then 0 else 1 end as present from (select distinct gene_id from sites) g cross join (select distinct line from sites) l left join sites s on s.gene_id = g.gene_id and s.line = l.line) on {M} using cast(coalesce(max(present), 0) as double) as present group by line, gene_id, gene_line_id)"))
 def sink_features(spark, sf_dir):
     """The wide matrix of every gene in every line, written and read back."""
     path = tables.new_path(spark, "features")
-    sinks.write_features(features.presence(consolidated(spark, sf_dir)), ["present"], _MOTIF_LIST, path)
+    sinks.write_features(features.presence(consolidated(spark, sf_dir)), ["present"], None, path)
     return files.read_features(spark, path)
 
 

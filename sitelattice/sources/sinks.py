@@ -18,7 +18,7 @@ def write_sites(sites: DataFrame, path: str) -> None:
     ordered.select(*COLUMNS).write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", nullValue="")
 
 
-def write_features(long: DataFrame, columns: list[str], motifs: list[str], path: str, expression: DataFrame | None = None) -> None:
+def write_features(long: DataFrame, columns: list[str], motifs: list[str] | None, path: str, expression: DataFrame | None = None) -> None:
     """The wide matrix, a row for every gene in every line, columns sorted, missing features 0, missing expression empty."""
     lines = sorted(r[0] for r in long.select("line").distinct().collect())  # a row a line
     cells = long.select("gene_id").distinct().withColumn("line", F.explode(F.array(*[F.lit(x) for x in lines]) if lines else F.array().cast("array<string>")))
