@@ -2,10 +2,24 @@
 
 Entities are found by one Java pattern with an alternative per kind: e-mail
 addresses, telephone numbers, IPv4 addresses, account numbers (13 to 19 digits), IBANs,
-social security numbers, and names after a form of address (names that stand without
-one are not looked for). Each is replaced by a surrogate that a key, its kind and its
-normalised form determine, so the same entity gets the same surrogate in every document
-(coreference), whatever its case or spacing.
+social security numbers, and names after a form of address. Each is replaced by a surrogate
+that a key, its kind and its normalised form determine, so the same entity gets the same
+surrogate in every document (coreference), whatever its case or spacing.
+
+Forms of address that are ordinary words or initials too count only where they can be
+meant: "M." after a French word or at a sentence's start, "Sr." after a Spanish one, "Don",
+"Sir" and "Miss" before a known first name. No name begins with a word that begins
+sentences, so none reaches over a full stop. A genitive 's is not part of a name and stays.
+Version numbers are no addresses, ISBNs no accounts.
+
+A text that names someone by a form of address is read a second time for mentions without
+one: each capitalised word that is a part of such a name is replaced as it was there,
+unless the text also has it in lower case (then only beside another part of the name).
+Names that a text gives without any form of address are not looked for.
+
+The key comes from the session's setting ``spark.sitelattice.surrogateKey``. Where it is
+unset, one is drawn at random and kept in the shared folder, so that runs on one cluster
+agree and no surrogate can be undone by who has this code alone.
 
 Numbers and addresses pass through a keyed permutation of all values of their shape
 (``_permuted``): distinct entities of a shape have distinct surrogates by construction,
@@ -42,13 +56,16 @@ A mail domain has 126 labels and an ending at most, as the rules of the net say.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 from .native import between, let, matches
 
-KEY = "surrogate-key-1"
+#: The setting that holds the key, and the folder of the one drawn where it is unset.
+KEY_SETTING, KEY_FOLDER = "spark.sitelattice.surrogateKey", "surrogate-key"
 #: Draws again that keep the shape; later ones widen it.
 SAME_SHAPE = 3
 # Forms of address.
@@ -79,22 +96,44 @@ ENDINGS = {
 FEMALE_END = "[aаяαη]$"
 # Country codes of one and two digits; all others have three.
 COUNTRY = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+# Words that begin sentences, or offices, and are no names after a form of address.
+NO_NAMES = (
+    "The Then This That These Those There Here He She It They We You But And If In At For From With When While Where What Who Why How Only Not Yes As By To Of Our Their His Her My Your "
+    "Der Die Das Und Aber Er Sie Es Wir Ihr Ich Dann Wenn Ein Eine Nur Nicht Le La Les Un Une Et Mais Il Elle Ils Elles Nous Vous Je Puis Ce Cette On El Los Las Una Y Pero Él Ella Ellos Nosotros Yo Luego Este Esta "
+    "President Chairman Speaker Secretary Minister Chancellor Governor Ambassador Emeritus Universe World"
+).split()
+# Words before "M." in French and "Sr." in Spanish.
+FRENCH = "et à de par que chez pour avec selon entre dont où mais ou dit est cher Cher comme sur contre si quand".split()
+SPANISH = "el El del al Al y de estimado Estimado con por para que".split()
 BUCKETS = 1 << 20
 
 _WORDC = r"\p{L}\p{N}"
-NAME = rf"(?<![{_WORDC}])(?:{'|'.join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True))})\.?\x20\p{{Lu}}[\p{{L}}'’-]+(?:\x20\p{{Lu}}[\p{{L}}'’-]+){{0,2}}"
+#: A word of a name. A genitive is none of it.
+WORD = r"\p{Lu}(?:\p{L}++(?:['’-](?![sS](?!\p{L}))\p{L}++){0,3}|['’]\p{Lu}\p{L}++)"
+_WEAK = {"M", "Sr", "Don", "Sir", "Miss"}
+_CLEAR = "|".join(sorted({*MALE, *FEMALE, *NEUTRAL} - _WEAK, key=lambda t: (-len(t), t)))
+_AFTER = lambda words: rf"(?<=^|[\n(«“\"]|[.!?]\x20|(?<!\p{{L}})(?:{'|'.join(words)})\x20)"
+_KNOWN = "|".join(sorted({n for (_, script), pool in FIRST.items() if script == "latin" for n in pool}))
+_ADDRESS = rf"(?:(?:{_CLEAR})\.?|(?=M\.){_AFTER(FRENCH)}M\.|(?=Sr){_AFTER(SPANISH)}Sr\.?|(?:Don|Sir|Miss)(?=\x20(?:{_KNOWN})(?!\p{{L}})))"
+#: A form of address and one to three words, initials among them.
+NAME = rf"(?<![{_WORDC}]){_ADDRESS}\x20(?!(?:{'|'.join(NO_NAMES)})(?!\p{{L}})){WORD}(?:(?:\x20\p{{Lu}}\.){{0,2}}\x20{WORD}){{0,2}}"
 KINDS = {
     # A bounded number of labels: Java's matcher recurses once a label.
     "email": rf"(?<![{_WORDC}._%+-])[{_WORDC}._%+-]++@(?:[{_WORDC}-]++\.){{1,126}}\p{{L}}{{2,24}}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "account": r"(?<![0-9A-Za-z])[0-9](?:[\x20-]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "ip": r"(?=[0-9])(?<![0-9.]|[Vv]ersion\x20|[Vv]ersion:\x20|[Rr]elease\x20|[Bb]uild\x20|\b[Vv]\x20|\b[Vv]\.\x20)(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
+    "ssn": r"(?=[0-9])(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "account": r"(?=[0-9])(?<![0-9A-Za-z]|ISBN\x20|ISBN-|ISBN:\x20|ISBN-1[03]\x20|ISBN-1[03]:\x20)(?!97[89](?:[\x20-]?[0-9]){10}(?![\x20-]?[0-9]))[0-9](?:[\x20-]?[0-9]){12,18}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,5}\)|[0-9]{1,5})(?:[\x20.-]?[0-9]{2,5}){1,4}|\([0-9]{3}\)\x20?[0-9]{3}[\x20.-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])",
     "name": NAME,
 }
 #: An entity does not begin inside a word: most places are passed over by one test.
 ANY = rf"(?<![{_WORDC}])(?:{'|'.join(KINDS.values())})"
+#: One to four capitalised words in a row, none of them a form of address: where a name
+#: may be mentioned without one.
+_PLAIN = rf"{WORD}(?![\p{{L}}\p{{N}}@_%+]|[.-][\p{{L}}\p{{N}}@])"
+MENTION = rf"(?<![{_WORDC}.@_%+]){_PLAIN}(?:\x20(?!(?:{_CLEAR}|M|Sr|Don|Sir|Miss)\.?\x20){_PLAIN}){{0,3}}"
+ANY_OR_MENTION = rf"(?<![{_WORDC}])(?:{'|'.join(KINDS.values())}|{MENTION})"
 
 
 def kind_of(s: Column) -> Column:
@@ -103,7 +142,7 @@ def kind_of(s: Column) -> Column:
     for kind, pattern in KINDS.items():
         whole = s.rlike(f"^(?:{pattern})$")
         out = F.when(whole, kind) if out is None else out.when(whole, kind)
-    return out.otherwise("name")
+    return out.when(s.rlike(f"^(?:{MENTION})$"), "mention").otherwise("name")
 
 
 def normal_form(kind: Column, s: Column) -> Column:
@@ -292,24 +331,58 @@ def gendered(kind: Column, s: Column) -> Column:
 UNIT = "struct<kind:string,s:string>"
 
 
-def units(found: Column) -> Column:
+def _titled(words: Column) -> Column:
+    """Units of a name, from its words."""
+
+    def parts(w: Column) -> Column:
+        bare, n = F.regexp_replace(w[0], r"\.$", ""), F.size(w)
+        given = lambda x: F.when(bare.isin(*FEMALE), "given_f").when(bare.isin(*MALE), "given_m").otherwise(F.concat(F.lit("given_"), F.coalesce(_known(x), F.lit("n"))))
+        family = lambda x, i: (i == n - 1) & ((n > 2) | _known(x).isNull())
+        return F.transform(w, lambda x, i: F.struct(F.when((i == 0) | x.endswith("."), "title").when(family(x, i), "family").otherwise(given(x)).alias("kind"), x.alias("s")))
+
+    return let(words, parts)
+
+
+def units(found: Column, parts: Column | None = None) -> Column:
     """Per match its units: array<array<struct<kind, s>>>. A name gives its form of
-    address (kind ``title``, kept), then first names, then the family name."""
-    address = r"^(\S+)\x20"
+    address and initials (kind ``title``, kept), then first names, then the family name; a
+    single word is a first name if it is known as one. ``parts`` (of ``name_parts``) tells
+    which words of mentions are parts of names; all others are kept."""
+
+    def mentioned(x: Column) -> Column:
+        if parts is None:
+            return F.array(F.struct(F.lit("title").alias("kind"), x["s"].alias("s")))
+        part = lambda i: F.try_element_at(parts, F.get(x["w"], i))
+        beside = lambda i: part(i - 1).isNotNull() | part(i + 1).isNotNull()
+        kind = lambda i: F.when(part(i)["clear"] | beside(i), part(i)["kind"])
+        return F.transform(x["w"], lambda w, i: F.struct(F.coalesce(kind(i), F.lit("title")).alias("kind"), w.alias("s")))
 
     def of(s: Column) -> Column:
-        def parts(x: Column) -> Column:
-            bare = F.regexp_replace(F.regexp_extract(s, address, 1), r"\.$", "")
-            given = lambda w: F.when(bare.isin(*FEMALE), "given_f").when(bare.isin(*MALE), "given_m").otherwise(F.concat(F.lit("given_"), F.coalesce(_known(w), F.lit("n"))))
-            n = F.size(x["w"])
-            split = F.transform(x["w"], lambda w, i: F.struct(F.when(i == 0, "title").when(i == n - 1, "family").otherwise(given(w)).alias("kind"), w.alias("s")))
-            return F.when(x["k"] == "name", split).otherwise(F.array(F.struct(x["k"].alias("kind"), s.alias("s"))))
-
-        return let(F.struct(F.split(s, "\x20").alias("w"), kind_of(s).alias("k")), parts).cast(f"array<{UNIT}>")
+        other = lambda x: F.array(F.struct(x["k"].alias("kind"), x["s"].alias("s")))
+        split = lambda x: F.when(x["k"] == "name", _titled(x["w"])).when(x["k"] == "mention", mentioned(x)).otherwise(other(x))
+        return let(F.struct(F.split(s, "\x20").alias("w"), kind_of(s).alias("k"), s.alias("s")), split).cast(f"array<{UNIT}>")
 
     return F.transform(found, of)
 
 
+def name_parts(text: Column, names: Column) -> Column:
+    """The words of a text's names as map<word, struct<kind, clear>>; ``clear`` if the text
+    does not have the word in lower case."""
+    made = F.flatten(F.transform(names, lambda n: _titled(F.split(n, "\x20"))))
+    words = F.array_sort(F.array_distinct(F.transform(F.filter(made, lambda u: u["kind"] != "title"), lambda u: F.struct(u["s"].alias("s"), u["kind"].alias("kind")))))
+    once = let(words, lambda a: F.filter(a, lambda u, i: (i == 0) | (F.get(a, i - 1)["s"] != u["s"])))
+
+    def mapped(x: Column) -> Column:
+        lower = F.array_intersect(F.transform(x["once"], lambda u: F.lower(u["s"])), F.split(x["text"], r"[^\p{L}'’-]+"))
+        entry = lambda u, low: F.struct(u["s"].alias("key"), F.struct(u["kind"].alias("kind"), (~F.array_contains(low, F.lower(u["s"]))).alias("clear")).alias("value"))
+        return F.map_from_entries(let(lower, lambda low: F.transform(x["once"], lambda u: entry(u, low))))
+
+    return let(F.struct(once.alias("once"), text.alias("text")), mapped)
+
+
+PARTS = "map<string,struct<kind:string,clear:boolean>>"
+
+
 def _clashing(entities: DataFrame) -> DataFrame:
     """Entities (kind, norm) that must be drawn again: all but the first that share a
     surrogate, and those whose surrogate is an entity."""
@@ -365,9 +438,22 @@ def redraws(found: DataFrame, key: str) -> DataFrame | None:
     return other if other.take(1) else None
 
 
-def surrogates(docs: DataFrame, key: str = KEY, text_col: str = "text", entities_col: str | None = None) -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The key of the session's setting, else the one kept in the shared folder, which is
+    drawn at its first use there."""
+    named = spark.conf.get(KEY_SETTING, None)
+    if named:
+        return named
+    path = f"{common.shared_dir(spark)}/{KEY_FOLDER}"
+    drawn = spark.createDataFrame([(secrets.token_hex(32),)], "value string")
+    drawn.write.mode("ignore").text(path)
+    return min(r["value"] for r in spark.read.text(path).collect())
+
+
+def surrogates(docs: DataFrame, key: str | None = None, text_col: str = "text", entities_col: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text_col``; with ``entities_col``, that column is
-    added: the kinds of what was replaced, in order."""
+    added: the kinds of what was replaced, in order. ``key``: that of the session if not given."""
+    key = key or session_key(docs.sparkSession)
     names, text = docs.columns, F.col("_text")
     rows = docs.select(F.struct(*names).alias("_row"), F.col(text_col).alias("_text"))
     digest = F.unhex(F.sha2(text, 256))
@@ -388,15 +474,35 @@ def surrogates(docs: DataFrame, key: str = KEY, text_col: str = "text", entities
                 new = let(F.try_element_at(draws, name(u)), lambda d: surrogate(F.coalesce(d["as"], u["kind"]), u["s"], F.coalesce(d["attempt"], F.lit(0)), key))
             return F.when(u["kind"] == "title", u["s"]).otherwise(new)
 
-        def apply(f: Column) -> Column:
-            new = F.transform(units(f), lambda us: F.array_join(F.transform(us, unit), " "))
-            return F.array_join(F.zip_with(between(text, ANY), F.array_append(new, F.lit("")), lambda a, b: F.concat(a, b)), "")
+        def made(x: Column) -> Column:
+            """struct<text, kinds> of a text with entities: x has its matches, what stands
+            between them, and the parts of its names."""
+
+            def written(us: Column) -> Column:
+                new = F.transform(us, lambda u: F.array_join(F.transform(u, unit), " "))
+                done = F.array_join(F.zip_with(x["gaps"], F.array_append(new, F.lit("")), lambda a, b: F.concat(a, b)), "")
+                kind = lambda m, u: F.when(F.exists(u, lambda v: v["kind"] != "title"), F.when(F.size(u) > 1, "name").when(F.get(u, F.lit(0))["kind"].rlike("^(?:given|family)"), "name").otherwise(F.get(u, F.lit(0))["kind"]))
+                kinds = F.filter(F.zip_with(x["f"], us, kind), lambda k: k.isNotNull()) if entities_col else F.array().cast("array<string>")
+                return F.struct(done.alias("text"), kinds.alias("kinds"))
+
+            return let(units(x["f"], x["parts"]), written)
+
+        def read(x: Column) -> Column:
+            """The matches again, with mentions if there is a name."""
+            more = F.size(x["names"]) > 0
+            return F.struct(
+                F.when(more, matches(text, ANY_OR_MENTION)).otherwise(x["f"]).alias("f"), F.when(more, between(text, ANY_OR_MENTION)).otherwise(between(text, ANY)).alias("gaps"),
+                F.when(more, name_parts(text, x["names"])).otherwise(F.create_map().cast(PARTS)).alias("parts"),
+            )
 
+        named = lambda f: F.filter(f, lambda m: m.rlike(f"^(?:{NAME})$"))
         rows = rows.withColumn("_found", matches(text, ANY))
-        done = F.when(F.size("_found") > 0, let(F.col("_found"), apply)).otherwise(text)
-        own = [done.cast("string").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names]
+        done = let(let(F.struct(F.col("_found").alias("f"), named(F.col("_found")).alias("names")), read), made)
+        nothing = F.struct(text.alias("text"), F.array().cast("array<string>").alias("kinds"))
+        rows = rows.withColumn("_made", F.when(F.size("_found") > 0, done).otherwise(nothing))
+        own = [F.col("_made.text").cast("string").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names]
         if entities_col:
-            own.append(F.coalesce(F.transform("_found", kind_of), F.array().cast("array<string>")).alias(entities_col))
+            own.append(F.coalesce("_made.kinds", F.array().cast("array<string>")).alias(entities_col))
         return rows.select(*own)
 
     if again is None:

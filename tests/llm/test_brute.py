@@ -17,6 +17,14 @@ from sitelattice.llm import common, decontaminate, encoding, licenses, packing,
 
 SF = "/root/testdata/sf0.001"
 BIG = "/root/testdata/sf0.01"
+KEY = "key of the tests"
+
+
+@pytest.fixture(autouse=True, scope="module")
+def surrogate_key(spark):
+    spark.conf.set(pii.KEY_SETTING, KEY)
+    yield
+    spark.conf.unset(pii.KEY_SETTING)
 
 
 @pytest.fixture(scope="module")
@@ -601,7 +609,7 @@ def test_pii_full_shapes(spark):
     assert all(re.fullmatch(r"\+[0-9]{4,}", p) for p in new[:10]) and all(re.fullmatch(r"[a-z]+@[a-z]\.de", m) for m in new[10:])
 
 
-def plain_shaped(kind, s, attempt=0, key=pii.KEY):
+def plain_shaped(kind, s, attempt=0, key=KEY):
     """One number or address, place by place: the permutation in plain Python."""
     more = max(0, attempt - pii.SAME_SHAPE)
     sep = lambda c: c in " ().-\t\n"
@@ -675,7 +683,7 @@ def test_pii_permutation_plain(spark):
     made += [("ip", ".".join(str(rng.randint(0, 255)) for _ in range(4))) for _ in range(20)] + [("email", f"{word(9)}@{word(6)}.com") for _ in range(30)]
     made += [("account", " ".join(digits(4) for _ in range(4))) for _ in range(20)] + [("account", digits(13)), ("iban", "DE89 3704 0044 0532 0130 00"), ("iban", "GB82WEST12345698765432")]
     rows = spark.createDataFrame([(k, s, a) for k, s in made for a in (0, 2, 5)], "kind string, s string, a int")
-    for r in rows.withColumn("new", pii.surrogate(F.col("kind"), F.col("s"), F.col("a"), pii.KEY)).collect():
+    for r in rows.withColumn("new", pii.surrogate(F.col("kind"), F.col("s"), F.col("a"), KEY)).collect():
         assert r["new"] == plain_shaped(r["kind"], r["s"], r["a"]), r
         assert r["new"] != r["s"] or r["s"] == "0.255.0.255"
     spell = lambda t: int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97
