@@ -9,7 +9,12 @@ Such a sentence takes the place of its first line; lines that are known sentence
 themselves stay so. Licence rules are sequences of identifiers: a rule matches where its
 sentences stand in order with no other known sentence between them. Longer rules are
 tried first, and what one has matched is used up; then sentences that name a licence by
-themselves are looked up, and what is left is reported as fragments. "All rights
+themselves are looked up, and what is left is reported as fragments. Sentences
+that name someone have a hole there (``HOLES``): whoever they name, they are the same
+sentence, so a clause about endorsement always parts BSD-3-Clause from BSD-2-Clause.
+SPDX identifiers are read as expressions: AND, OR and parentheses part licences, a
+trailing + means "or later", what follows WITH is an exception and no licence.
+"All rights
 reserved" makes a text proprietary only where it names no licence.
 
 Only built-in expressions are used, in one pass without a shuffle. The sentence table
@@ -28,6 +33,8 @@ from pyspark.sql import functions as F
 from . import common
 from .native import between, let, matches, running
 
+#: Abbreviations and initials, whose full stop ends no sentence.
+ABBREVIATED = r"\b(Inc|INC|Ltd|LTD|Corp|CORP|Co|CO|[A-Z])\."
 SPLIT = r"[\r\n]+|[.!?;:]+(?:[ \t]+|$)"
 ANCHOR = r"(?i)licen[cs]e|rights reserved|copyright|permission|warrant|redistribution|free software|public domain|liab|provided by the|this software|this program|misrepresented|advertising materials|this (?:library|file)|[al]?gpl"
 
@@ -97,6 +104,14 @@ _DAMAGES = (
 _WHO = ("copyright holder or contributors", "copyright holders or contributors", "copyright owner or contributors", "author", "regents or contributors")
 DAMAGES = {110 + i: _DAMAGES.format(who) for i, who in enumerate(_WHO)}
 DISCLAIMED = {120 + i: SENTENCES[44].replace("copyright holders and contributors", who) for i, who in enumerate(("author", "regents and contributors", "copyright holder and contributors"))}
+#: Sentences that name someone, as patterns of normalised text, and the sentence each stands for.
+_END = "endorse or promote products derived from (?:[a-z0-9]+ ){1,6}without (?:specific |express |prior |written ){1,4}permission"
+HOLES = {
+    43: f"neither (?:the )?names? (?:[a-z0-9]+ ){{1,20}}may be used to {_END}",
+    45: f"(?:the )?names? (?:[a-z0-9]+ ){{1,20}}(?:may|must) not be used to {_END}",
+    44: SENTENCES[44].replace("the copyright holders and contributors", "(?:[a-z0-9]+ ){1,10}?[a-z0-9]+"),
+    110: _DAMAGES.replace("the {}", "(?:[a-z0-9]+ ){1,14}?[a-z0-9]+"),
+}
 #: The GNU licences, their short names and versions, and the heads of their full texts.
 GNU = (
     ("gnu general public license", "gpl", "GPL", (("2", "june 1991"), ("3", "29 june 2007"))),
@@ -107,7 +122,7 @@ GNU = (
 #: Names under which texts name other licences.
 NAMED = {
     "apache license version 2 0": "Apache-2.0", "apache license 2 0": "Apache-2.0", "mit license": "MIT", "bsd 2 clause license": "BSD-2-Clause", "bsd 3 clause license": "BSD-3-Clause",
-    "isc license": "ISC", "mozilla public license version 2 0": "MPL-2.0", "mozilla public license 2 0": "MPL-2.0", "eclipse public license 2 0": "EPL-2.0", "boost software license version 1 0": "BSL-1.0",
+    "apache license version 2 0 january 2004": "Apache-2.0", "isc license": "ISC", "mozilla public license version 2 0": "MPL-2.0", "mozilla public license 2 0": "MPL-2.0", "eclipse public license 2 0": "EPL-2.0", "boost software license version 1 0": "BSL-1.0",
 }
 CC = {"": "BY", " noncommercial": "BY-NC", " sharealike": "BY-SA", " noderivatives": "BY-ND", " noncommercial sharealike": "BY-NC-SA", " noncommercial noderivatives": "BY-NC-ND"}
 LEADS = ("licensed under the ", "released under the ", "distributed under the ", "this work is licensed under the ", "this software is licensed under the ", "this program is licensed under the ")
@@ -149,13 +164,17 @@ def _generated() -> tuple[dict[int, str], list[tuple[str, tuple[int, ...]]], dic
     for name, licence in NAMED.items():
         for lead in (*LEADS, "", "the "):
             add(lead + name, licence)
+    for short, licence in (("mit", "MIT"), ("apache 2 0", "Apache-2.0"), ("bsd 2 clause", "BSD-2-Clause"), ("bsd 3 clause", "BSD-3-Clause"), ("isc", "ISC"), ("mpl 2 0", "MPL-2.0")):
+        for said_as in (f"license {short}", f"licence {short}", f"licensed under {short}", f"{short} licensed", *(f"{what} is {short} licensed" for what in ("the code", "this code", "this project", "this software", "this package", "it"))):
+            add(said_as, licence)
+        for tail in ("see license", "see the license file", "see license for details", "see the license file for details"):
+            for lead in LEADS[:2]:
+                add(f"{lead}{short} license {tail}", licence)
     for rest, short in CC.items():
         for version, kind in (("4 0", "international"), ("3 0", "unported")):
             add(f"this work is licensed under a creative commons attribution{rest} {version} {kind} license", f"CC-{short}-{version.replace(' ', '.')}")
         for lead in ("", "this work is "):
             add(f"{lead}licensed under cc {short.lower().replace('-', ' ')} 4 0", f"CC-{short}-4.0")
-    for licence in sorted({*alone.values(), *_ALONE.values(), "0BSD", "Zlib", "CC0-1.0", "EPL-2.0", "BSD-2-Clause"} - {"Proprietary"}):
-        add("spdx license identifier " + licence.lower().replace("-", " ").replace(".", " "), licence)
     return said, rules, alone
 
 
@@ -207,7 +226,18 @@ def _tree(sentences, gap: str) -> str:
     return "|".join(word + after(below) for word, below in root.items())
 
 
-KNOWN = rf"(?<=[|/])(?:{_tree(SENTENCES.values(), ' ')}|{_tree(SENTENCES.values(), '[ /]')})(?=[|/])"
+_HOLED = "|".join(HOLES.values())
+KNOWN = rf"(?<=[|/])(?:{_tree(SENTENCES.values(), ' ')}|{_HOLED}|{_tree(SENTENCES.values(), '[ /]')}|{_HOLED.replace(' ', '[ /]')})(?=[|/])"
+#: An expression of SPDX identifiers, what parts it, and what in it is no licence.
+SPDX, SPDX_PARTS, SPDX_EXCEPTION = r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+() \t-]+)", r"[() \t]+(?:AND|OR|and|or)[() \t]+|[()]+", r"[ \t]+(?:WITH|with)[ \t]+[A-Za-z0-9.-]+"
+_SPDX_ID = r"^[A-Za-z0-9][A-Za-z0-9.-]*\+?$"
+
+
+def spdx(text: Column) -> Column:
+    """The licences of all SPDX expressions of a text, in order."""
+    parts = lambda e: F.split(F.regexp_replace(e, SPDX_EXCEPTION, ""), SPDX_PARTS)
+    ids = F.flatten(F.transform(matches(text, SPDX, 1), lambda e: F.transform(parts(e), lambda p: F.trim(p))))
+    return F.transform(F.filter(ids, lambda p: p.rlike(_SPDX_ID)), lambda p: F.regexp_replace(p, r"\+$", "-or-later"))
 
 
 def marked(text: Column) -> Column:
@@ -236,17 +266,25 @@ def known_sentences(text: Column) -> Column:
         gaps, sizes = F.transform(F.slice(x["gaps"], 1, F.size(x["found"])), cuts), F.transform(x["found"], cuts)
         both = F.struct(gaps.alias("g"), sizes.alias("n"), F.transform(F.zip_with(gaps, sizes, lambda g, n: (g + n).cast("bigint")), lambda c: c).alias("both"))
         at = let(both, lambda y: F.zip_with(running(y["both"]), y["n"], lambda end, n: end - n))  # cuts before the sentence
-        hit = lambda s, a: F.struct((a - 1).cast("int").alias("sentence"), F.try_element_at(table, F.translate(s, "/", " ")).alias("id"))
+
+        def identified(s: Column) -> Column:
+            holed = F.lit(None).cast("int")
+            for i, pattern in reversed(HOLES.items()):
+                holed = F.when(s.rlike(f"^(?:{pattern})$"), i).otherwise(holed)
+            return F.coalesce(F.try_element_at(table, s), holed)
+
+        hit = lambda s, a: F.struct((a - 1).cast("int").alias("sentence"), let(F.translate(s, "/", " "), identified).alias("id"))
         return F.when(F.size(x["found"]) > 0, F.zip_with(x["found"], at, hit)).otherwise(none)
 
-    found = let(marked(text), lambda m: let(F.struct(matches(m, KNOWN).alias("found"), between(m, KNOWN).alias("gaps")), placed))
+    found = let(marked(F.regexp_replace(text, ABBREVIATED, "$1 ")), lambda m: let(F.struct(matches(m, KNOWN).alias("found"), between(m, KNOWN).alias("gaps")), placed))
     return F.when(text.rlike(ANCHOR), found).otherwise(none)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, known, licences, fragments): known sentences in order, licences found
     (distinct, sorted), identifiers that no rule took."""
-    known = known_sentences(F.coalesce(F.col(text_col), F.lit("")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    known, named = known_sentences(text), F.when(F.contains(text, F.lit("SPDX-License-Identifier:")), spdx(text)).otherwise(F.array().cast("array<string>"))
 
     table = F.create_map(*[F.lit(x) for i, name in sorted(ALONE.items()) for x in (str(i), name)])
 
@@ -265,14 +303,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         def finished(e: Column) -> Column:
             left = F.regexp_extract_all(e["left"], F.lit("[0-9]+"), F.lit(0))
             own = F.filter(F.transform(left, lambda i: F.try_element_at(table, i)), lambda x: x.isNotNull())
-            every = F.array_sort(F.array_distinct(F.concat(e["licences"], own)))
+            every = F.array_sort(F.array_distinct(F.concat(e["licences"], own, F.col("_named"))))
             licences = F.when(F.size(every) > 1, F.array_remove(every, UNLESS)).otherwise(every)
             return F.struct(k.alias("known"), licences.alias("licences"), F.filter(left, lambda i: F.try_element_at(table, i).isNull()).alias("fragments"))
 
         end = F.when(F.size(k) > 1, F.aggregate(rules, state, step)).otherwise(state)
         return let(end, finished)
 
-    return docs.select(F.col(id_col).alias(id_col), let(known, judged).alias("r")).select(id_col, "r.known", "r.licences", "r.fragments")
+    rows = docs.select(F.col(id_col).alias(id_col), named.alias("_named"), known.alias("_known"))
+    return rows.select(id_col, let(F.col("_known"), judged).alias("r")).select(id_col, "r.known", "r.licences", "r.fragments")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,13 +330,16 @@ def oracle() -> str:
     table = ", ".join(f"({i}, '{s}')" for i, s in SENTENCES.items())
     alone = ", ".join(f"('{i}', '{name}')" for i, name in sorted(ALONE.items()))
     rules = ", ".join(f"({n}, '{name}', '{''.join(f'|{i}|' for i in ids)}')" for n, (name, ids) in enumerate(RULES))
+    holes = "case " + " ".join(f"when regexp_full_match(s, '{p}') then {i}" for i, p in HOLES.items()) + " end"
     return f"""
 with known(id, s) as (values {table}),
-d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+d as (select row_number() over () as r, doc_id, coalesce(text, '') as whole, regexp_replace(coalesce(text, ''), '{ABBREVIATED}', '\\1 ', 'g') as text from documents),
+spdx as (select r, list(regexp_replace(trim(u), '\\+$', '-or-later')) filter (regexp_matches(trim(u), '{_SPDX_ID}')) as names
+         from (select r, unnest(string_split_regex(regexp_replace(x, '{SPDX_EXCEPTION}', '', 'g'), '{SPDX_PARTS}')) as u from (select r, unnest(regexp_extract_all(whole, '{SPDX}', 1)) as x from d) y) z group by r),
 parts as (select r, p, trim(regexp_replace(translate(u, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')) as s
           from (select r, unnest(t) as u, unnest(range(len(t))) as p from (select r, string_split_regex(text, '{SPLIT}') as t from d) x) y),
 placed as (select r, s, row_number() over (partition by r order by p) - 1 as sentence from parts where s <> ''),
-hits as (select r, sentence, id from placed join known using (s)),
+hits as (select r, sentence, coalesce(known.id, hole) as id from (select *, {holes} as hole from placed) p left join known using (s) where coalesce(known.id, hole) is not null),
 seq as (select r, count(*) as n, string_agg(concat(sentence, ':', id), ',' order by sentence) as sentences,
           string_agg(concat('|', id, '|'), '' order by sentence) as joined from hits group by r),
 rules(n, name, ids) as (values {rules}),
@@ -309,7 +351,8 @@ eaten as (with recursive e(r, n, left_, names) as (
   select * from e where n = {len(RULES)}),
 rest as (select r, unnest(regexp_extract_all(left_, '[0-9]+')) as id, unnest(range(len(regexp_extract_all(left_, '[0-9]+')))) as p from eaten),
 own as (select r, list(alone.name) filter (alone.name is not null) as names, string_agg(rest.id, ',' order by p) filter (alone.name is null) as fragments from rest left join alone using (id) group by r),
-every as (select eaten.r, list_sort(list_distinct(list_concat(eaten.names, coalesce(own.names, [])))) as names, coalesce(own.fragments, '') as fragments from eaten left join own using (r))
+every as (select r, list_sort(list_distinct(list_concat(coalesce(eaten.names, []), coalesce(own.names, []), coalesce(spdx.names, [])))) as names, coalesce(own.fragments, '') as fragments
+  from eaten left join own using (r) full join spdx using (r))
 select doc_id, coalesce(n, 0) as n_sentences, coalesce(sentences, '') as sentences,
   coalesce(array_to_string(case when len(names) > 1 then list_filter(names, lambda x: x <> '{UNLESS}') else names end, ','), '') as licenses,
   coalesce(fragments, '') as fragments
