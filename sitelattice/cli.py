@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelattice.operators import cluster, encode, expression, features, layers, models, quality, sites
+from sitelattice.operators import cluster, encode, expression, features, layers, models, quality, sites, standing
 from sitelattice.plans.layer_queries import layer_fits
 from sitelattice.plans.tables import persist_table
 from sitelattice.sources import files, sinks
@@ -218,6 +218,10 @@ def catalog(spark, a) -> None:
     runs = records.groupBy("line").agg(F.count("*").alias("n_motifs"))
     sinks.write_text(sinks.master_report(runs, found, pairs), records, f"{a.output}/report")
     sinks.write_fasta(encode.consensus_list(records), f"{a.output}/strings")
+    if a.standing:  # each line is a run, in order
+        for line in sorted(r[0] for r in runs.select("line").collect()):
+            standing.append(records.where(F.col("line") == line), a.standing, line, a.threshold)
+        sinks.write_table(standing.members(spark, a.standing).select("run", "motif_id", "consensus", "cluster_no"), f"{a.output}/standing")
 
 
 def full(spark, a) -> int:
@@ -286,6 +290,7 @@ def parser() -> argparse.ArgumentParser:
     c = command("diagnostic", diagnostic, "sites", "expression")
     c.add_argument("--reference-line", default=REFERENCE)
     c = command("catalog", catalog, "folder")
+    c.add_argument("--standing", help="folder of a catalog that lasts: lines it does not have yet are added to it")
     c.add_argument("--threshold", type=float, default=0.75)
     c = command("full", full, "folder")
     growing(c)

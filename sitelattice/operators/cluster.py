@@ -52,8 +52,9 @@ def _keys(m: Column, length: Column, threshold: float, reach: int) -> Column:
     return F.concat(*as_shorter, *as_longer)
 
 
-def similar_pairs(motifs: DataFrame, threshold: float = THRESHOLD, text: str = "true_consensus") -> DataFrame:
-    """(i, j, similarity) of motifs i < j (by ``ord``) that are similar.
+def similar_pairs(motifs: DataFrame, threshold: float = THRESHOLD, text: str = "true_consensus", since: int | None = None) -> DataFrame:
+    """(i, j, similarity) of motifs i < j (by ``ord``) that are similar; with ``since``, only
+    those whose j is at least that (the others are compared with them, not with each other).
 
     Motifs under 3 letters are similar to none, nor are those whose lengths differ by
     over 3; a difference of d costs 0.2 d. Candidates meet in an equi-join on the parts
@@ -63,7 +64,8 @@ def similar_pairs(motifs: DataFrame, threshold: float = THRESHOLD, text: str = "
     m = motifs.where(F.length(text) >= 3).select("ord", F.col(text).alias("s"), seq.masks(F.col(text)).alias("m"))
     keyed = m.withColumn("key", F.explode(_keys(F.col("m"), F.length("s"), threshold, reach)))
     left = keyed.select(F.col("ord").alias("i"), F.col("s").alias("a"), F.col("m").alias("ma"), "key")
-    right = keyed.select(F.col("ord").alias("j"), F.col("s").alias("b"), F.col("m").alias("mb"), "key")
+    later = keyed if since is None else keyed.where(F.col("ord") >= since)
+    right = later.select(F.col("ord").alias("j"), F.col("s").alias("b"), F.col("m").alias("mb"), "key")
     met = left.join(right, "key").where((F.col("i") < F.col("j")) & (F.abs(F.length("a") - F.length("b")) == F.col("key.d")))
     score = seq.similarity(F.col("a"), F.col("b"), F.col("ma"), F.col("mb"))
     return met.select("i", "j", score.alias("similarity")).where(F.col("similarity") >= threshold).distinct()

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelattice.operators import encode, expression, features, models
+from sitelattice.operators import encode, expression, features, models, standing
 from sitelattice.sources import files, sinks
 
 from . import oracles as o
@@ -199,3 +199,18 @@ def one_feature_fit(spark, sf_dir):
     p = models.gather(data, names).total()
     beta = models.ridge(p, 0.0)
     return spark.createDataFrame([(float(beta[1]), float(beta[0]), models.score(p, beta)[0], int(p[0, 0]))], "slope double, intercept double, r2 double, n long")
+
+
+_STANDING = f"""
+standing_rec as (select ord, line, consensus, {o.masks('consensus')} as m from records),
+standing_close as (select a.ord as i, b.ord as j from standing_rec a join standing_rec b on a.ord < b.ord and abs(length(a.consensus) - length(b.consensus)) <= 3 and length(a.consensus) >= 3 and length(b.consensus) >= 3
+  where {o.similarity('a.consensus', 'b.consensus', 'a.m', 'b.m')} >= 0.75e0), {o.leaders('standing_close', 'standing_rec', 'standing_all')}"""
+
+
+@query(o.with_(f"{o.RAW},{o.RECORDS},{_STANDING}", "select line as run, ord, cast(cluster_no as int) as cluster_no from standing_all"))
+def standing_catalog(spark, sf_dir):
+    """Line after line added to a catalog on disk; the oracle sweeps all at once."""
+    path, found = tables.new_path(spark, "standing"), tables.persist_table(records(spark, sf_dir), "records")
+    for line in sorted(r[0] for r in found.select("line").distinct().collect()):
+        standing.append(found.where(F.col("line") == line), path, line)
+    return standing.members(spark, path).select("run", "ord", "cluster_no")
