@@ -125,7 +125,9 @@ def test_commands(spark, folder, tmp_path):
     assert cli.main(["relative", "--trees", "3", f"{out}/sites", f"{folder}/wide.tsv", "--min-sites", "1", "--output", f"{out}/rel"]) == 0
     assert "Best: " in "\n".join(r[0] for r in spark.read.text(f"{out}/rel/report").collect())
     assert cli.main(["gene-specific", "--trees", "3", f"{out}/sites", f"{folder}/wide.tsv", "--genes", "g1,g2", "--output", f"{out}/gene"]) == 0
-    assert cli.main(["catalog", folder, "--output", f"{out}/cat"]) == 0
+    for _ in range(2):  # what the standing catalog has is not added again
+        assert cli.main(["catalog", folder, "--standing", f"{out}/standing", "--output", f"{out}/cat"]) == 0
+    assert spark.read.csv(f"{out}/cat/standing", sep="\t", header=True).count() == spark.read.csv(f"{out}/cat/line_map", sep="\t", header=True).count()
     assert spark.read.csv(f"{out}/cat/catalog", sep="\t", header=True).count() == 6  # consensus under 3 letters never matches
     assert cli.main(["diagnostic", f"{out}/sites", f"{folder}/wide.tsv", "--output", f"{out}/diag"]) == 0
     assert cli.main(["mixed", f"{out}/features", f"{folder}/wide.tsv", "--output", f"{out}/mixed"]) == 0
