@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -119,6 +121,84 @@ def mutation_share(s: Column, consensus: Column) -> Column:
     return F.when((F.length(s) == F.length(consensus)) & (F.length(s) > 0), F.size(F.filter(off, lambda x: x)) / F.length(s))
 
 
+#: From this length on, letters that are frequent in the second text begin no block.
+LONG_TEXT = 200
+
+
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _agreeing(a: Column, b: Column) -> Column:
+    """How many letters the beginnings of two texts share."""
+    n = F.least(F.length(a), F.length(b))
+    longer = lambda k, p: F.when((k == p - 1) & (F.substring(a, p, F.lit(1)) == F.substring(b, p, F.lit(1))), p).otherwise(k)
+    return F.when(n > 0, F.aggregate(F.sequence(F.lit(1), n), F.lit(0), longer)).otherwise(F.lit(0))
+
+
+def _longest_block(a: Column, b: Column, frequent: Column) -> Column:
+    """struct<n, i, j>: the longest text that ``a`` and ``b`` share and where it begins (from 1)
+    in each; of equally long ones the first in ``a``, and there the first in ``b``.
+
+    What ends at a place of ``a`` is at most a letter longer than the longest that ends
+    before, so one look for one text a place finds it. ``frequent`` letters begin no block
+    but lengthen one to both sides.
+    """
+    hidden = lambda s, mark: F.when(frequent == "", s).otherwise(F.call_function("translate", s, frequent, F.repeat(F.lit(mark), F.length(frequent))))
+
+    def longest(t: Column) -> Column:
+        def step(best: Column, p: Column) -> Column:
+            longer = F.call_function("instr", t["b"], F.substring(t["a"], p - best["n"], best["n"] + 1)) > 0
+            return F.when(longer, F.struct((best["n"] + 1).alias("n"), (p - best["n"]).alias("i"))).otherwise(best)
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(a)), F.struct(F.lit(0).alias("n"), F.lit(1).alias("i")), step)
+
+    def placed(t: Column) -> Column:
+        at = lambda x: F.when(x["n"] > 0, F.call_function("instr", t["b"], F.substring(t["a"], x["i"], x["n"]))).otherwise(F.lit(1))
+        return _bind(longest(t), lambda x: F.struct(x["n"].alias("n"), x["i"].alias("i"), at(x).alias("j")))
+
+    def lengthened(x: Column) -> Column:
+        before = _agreeing(F.reverse(F.substring(a, F.lit(1), x["i"] - 1)), F.reverse(F.substring(b, F.lit(1), x["j"] - 1)))
+        after = _agreeing(F.substring(a, x["i"] + x["n"], F.length(a)), F.substring(b, x["j"] + x["n"], F.length(b)))
+        more = _bind(before, lambda k: F.struct((x["n"] + k + after).alias("n"), (x["i"] - k).alias("i"), (x["j"] - k).alias("j")))
+        return F.when(frequent == "", x).otherwise(more)
+
+    return _bind(_bind(F.struct(hidden(a, "\ue001").alias("a"), hidden(b, "\ue002").alias("b")), placed), lengthened)
+
+
+def matching_ratio(a: Column, b: Column) -> Column:
+    """Ratcliff-Obershelp: twice the letters in shared blocks over all letters, capitals and
+    small letters alike; 0 if either text is empty or null.
+
+    The longest shared block splits both texts in two, and each pair of rests is split
+    again; the rests wait in a list. From ``LONG_TEXT`` letters on, those that make up over
+    a hundredth of ``b`` begin no block, as is usual for this measure.
+    """
+    a, b = F.upper(a), F.upper(b)
+    often = lambda c: (F.length(b) - F.length(F.replace(b, c))) > F.floor(F.length(b) / 100) + 1
+    frequent = F.when(F.length(b) >= LONG_TEXT, F.array_join(F.filter(F.array_distinct(F.split(b, "")), often), "")).otherwise(F.lit(""))
+
+    def split(acc: Column, t: Column, common: Column) -> Column:
+        def rests(x: Column) -> Column:
+            left = F.struct(F.substring(t["a"], F.lit(1), x["i"] - 1).alias("a"), F.substring(t["b"], F.lit(1), x["j"] - 1).alias("b"))
+            right = F.struct(F.substring(t["a"], x["i"] + x["n"], F.length(t["a"])).alias("a"), F.substring(t["b"], x["j"] + x["n"], F.length(t["b"])).alias("b"))
+            open_ = F.filter(F.array(left, right), lambda r: (x["n"] > 0) & (F.length(r["a"]) > 0) & (F.length(r["b"]) > 0))
+            waiting = F.concat(F.slice(acc["rests"], F.lit(1), F.size(acc["rests"]) - 1), open_)
+            return F.struct(waiting.alias("rests"), (acc["n"] + x["n"]).alias("n"))
+
+        return _bind(_longest_block(t["a"], t["b"], common), rests)
+
+    def shared(common: Column) -> Column:
+        # A block of one letter or more opens two rests at most.
+        turns = F.sequence(F.lit(0), 2 * F.least(F.length(a), F.length(b)))
+        start = F.struct(F.array(F.struct(a.alias("a"), b.alias("b"))).alias("rests"), F.lit(0).alias("n"))
+        turn = lambda acc, _: F.when(F.size(acc["rests"]) == 0, acc).otherwise(_bind(F.element_at(acc["rests"], -1), lambda t: split(acc, t, common)))
+        return F.aggregate(turns, start, turn, lambda acc: acc["n"])
+
+    return F.when((F.length(a) > 0) & (F.length(b) > 0), 2.0 * _bind(frequent, shared) / (F.length(a) + F.length(b))).otherwise(F.lit(0.0))
+
+
 def parse_evalue(s: Column) -> Column:
     return F.regexp_extract(s, r"([0-9.]+(?:[eE][-+]?[0-9]+)?)", 1).try_cast("double")
 

@@ -55,19 +55,8 @@ def variation_features(sites: DataFrame) -> DataFrame:
 
 def matcher_similarity(sites: DataFrame) -> DataFrame:
     """Mean and spread of the Ratcliff-Obershelp ratio of sequences to their consensus.
-
-    No built-in expression has it: an Arrow function scores the distinct pairs, a few
-    thousand however many the hits.
-    """
-    import pandas as pd
-
-    def score(a, b):
-        from difflib import SequenceMatcher
-
-        return pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)])
-
-    ratio = F.pandas_udf(score, "double")
-    pairs = sites.select("sequence", "motif_consensus").distinct().withColumn("ratio", ratio("sequence", "motif_consensus"))
+    Different pairs are scored once, however many hits have them."""
+    pairs = sites.select("sequence", "motif_consensus").distinct().withColumn("ratio", seq.matching_ratio(F.col("sequence"), F.col("motif_consensus")))
     return sites.join(pairs, ["sequence", "motif_consensus"]).groupBy(*KEYS).agg(F.avg("ratio").alias("consensus_similarity_mean"), F.stddev_pop("ratio").alias("consensus_similarity_std"))
 
 

@@ -248,9 +248,8 @@ def variation_features(spark, sf_dir):
     return features.variation_features(consolidated(spark, sf_dir))
 
 
-@query()
+@query(o.over_sites(o.select("gene_id line consolidated_motif_id consensus_similarity_mean:d consensus_similarity_std:d", f"select {o.K}, avg(coalesce(ratio, 0)) as consensus_similarity_mean, stddev_pop(coalesce(ratio, 0)) as consensus_similarity_std from sites left join ratios using (sequence, motif_consensus) group by 1, 2, 3"), o.RATIOS))
 def matcher_similarity(spark, sf_dir):
-    """The sequence matcher's ratio has no SQL form; tests hold it against difflib."""
     return features.matcher_similarity(consolidated(spark, sf_dir))
 
 

@@ -172,6 +172,21 @@ grid as (select m.consolidated_motif_id, n.line, n.g from (select distinct conso
 pvar as (select consolidated_motif_id, var_pop(cast(coalesce(k, 0) as double) / g) as presence_variance
   from grid left join (select line, consolidated_motif_id, count(*) as k from seen group by 1, 2) t using (line, consolidated_motif_id) group by 1)"""
 
+#: Ratios of shared blocks: a row a pair of rests, whose longest block is sought among all substrings.
+_BLOCK = ("list_max(list_filter(flatten(list_transform(range(1, length(x) + 1), lambda i: list_transform(range(1, length(x) - i + 2), lambda k: {'n': k, 'i': -i}))), "
+          "lambda c: contains(y, substr(x, -c.i, c.n))))")
+RATIOS = f"""
+matched as (select distinct sequence, motif_consensus, upper(sequence) as a, upper(motif_consensus) as b from sites where sequence <> '' and motif_consensus <> ''),
+rests(a, b, x, y) as (
+  select distinct a, b, a, b from matched
+  union all
+  select a, b, rest.x, rest.y from (
+    select a, b, unnest([{{'x': substr(x, 1, i - 1), 'y': substr(y, 1, j - 1)}}, {{'x': substr(x, i + n), 'y': substr(y, j + n)}}]) as rest
+    from (select *, strpos(y, substr(x, i, n)) as j from (select a, b, x, y, best.n as n, -best.i as i from (select *, {_BLOCK} as best from rests) q where best is not null) q) q) q
+  where rest.x <> '' and rest.y <> ''),
+ratios as (select sequence, motif_consensus, 2 * cast(coalesce(n, 0) as double) / (length(a) + length(b)) as ratio
+           from matched left join (select a, b, sum(best.n) as n from (select *, {_BLOCK} as best from rests) q group by 1, 2) t using (a, b))"""
+
 POSITION_LAYER = f"select {K}, cast(count(*) filter (start_pos >= 0 and start_pos < 500) as double) / 5 as proximal_density, cast(count(*) filter (start_pos >= 500 and start_pos < 1000) as double) / 5 as core_density, cast(count(*) filter (start_pos >= 1000 and start_pos < 2000) as double) / 10 as distal_density, sum(exp(-cast(start_pos as double) / 1000)) as position_weighted_score, 1 / (1 + case when count(*) > 1 and avg(gap) > 0 then stddev_pop(gap) / avg(gap) else 0e0 end) as spacing_regularity, min(start_pos) as closest_hit_distance, count(*) as total_hits from gaps group by 1, 2, 3"
 VARIATION_LAYER = f"select {K}, avg({positional('sequence', 'motif_consensus')}) as consensus_similarity_mean, stddev_pop({positional('sequence', 'motif_consensus')}) as consensus_similarity_std, cast(count(distinct sequence) as double) / count(*) as sequence_diversity, avg({gc('sequence')}) as gc_content_mean, stddev_pop({gc('sequence')}) as gc_content_std, avg(length(sequence)) as length_mean, stddev_pop(length(sequence)) as length_std, count(distinct sequence) as unique_sequences from sites group by 1, 2, 3"
 DOMINANT = f"cnt as (select {K}, sequence, count(*) as n from sites group by 1, 2, 3, 4), dom as (select {K}, first(sequence order by n desc, sequence) as dominant from cnt group by 1, 2, 3), whole as (select gene_id, consolidated_motif_id, cast(count(distinct sequence) as double) / count(*) as v from sites group by 1, 2), d2 as (select gene_id, consolidated_motif_id, count(*) as n, count(distinct dominant) as u from dom group by 1, 2)"

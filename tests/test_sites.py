@@ -193,9 +193,28 @@ def test_matcher_similarity(spark):
     rows = [("g", "l", "M", "ACGTAC", "ACGGAC"), ("g", "l", "M", "", "ACG"), ("g", "l", "M", "TTTT", "ATTA")]
     r = features.matcher_similarity(spark.createDataFrame(rows, "gene_id string, line string, consolidated_motif_id string, sequence string, motif_consensus string")).first()
     want = [SequenceMatcher(None, a, b).ratio() if a and b else 0.0 for *_, a, b in rows]
+    assert "Python" not in features.matcher_similarity(spark.createDataFrame(rows, "gene_id string, line string, consolidated_motif_id string, sequence string, motif_consensus string").limit(3))._jdf.queryExecution().executedPlan().toString()
     assert abs(r["consensus_similarity_mean"] - np.mean(want)) < 1e-9 and abs(r["consensus_similarity_std"] - np.std(want)) < 1e-9
 
 
+def test_matching_ratio_is_the_usual_one(spark):
+    """10,000 pairs of random texts over small alphabets, long texts with frequent letters, and edges."""
+    rng = np.random.default_rng(3)
+    text = lambda letters, most: "".join(rng.choice(list(letters), int(rng.integers(0, most))))
+    pairs = [(text("ACGT", 16), text("ACGTRYN", 16)) for _ in range(6000)] + [(text("AC", 24), text("AcC", 24)) for _ in range(3980)]
+    for n in range(20):
+        a = text("ACGTXYZ", 60) + "".join(chr(0x400 + i) for i in rng.permutation(50)) + text("ACGT", 260)
+        pairs.append((a[: 120 + 10 * n], text("ACGT", 130) + a[20:140] + text("ACGTXYZ", 120)))
+    pairs += [("", ""), ("A", ""), ("", "A"), ("A", "A"), ("acgt", "ACGT"), ("A" * 250, "A" * 250), ("AC" * 110, "AC" * 110)]
+    rows = [(i, a, b) for i, (a, b) in enumerate(pairs)]
+    table = spark.createDataFrame([*rows, (-1, None, "A")], "i int, a string, b string").repartition(8)
+    got = {r["i"]: r["ratio"] for r in table.select("i", seq.matching_ratio(F.col("a"), F.col("b")).alias("ratio")).collect()}
+    assert got.pop(-1) == 0.0 and sum(len(b) >= seq.LONG_TEXT for _, b in pairs) >= 10
+    for i, a, b in rows:
+        want = SequenceMatcher(None, a.upper(), b.upper()).ratio() if a and b else 0.0
+        assert abs(got[i] - want) < 1e-12, (a, b, got[i], want)
+
+
 def test_number_rows(spark):
     table = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
     assert all(r["n"] == r["k"] for r in encode.number_rows(table, "k").collect())
