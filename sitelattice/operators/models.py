@@ -21,7 +21,12 @@ ALPHAS = (0.1, 1.0, 10.0, 100.0)
 FOLDS = 5
 #: Parts of the rows by which the lasso's penalty is chosen.
 THIRDS = 3
-#: Groups in which tasks' product tables meet first.
+#: Columns of a block of the product table, numbers of rows laid out at once, and numbers of
+#: blocks that a task holds (64 MB).
+BLOCK = 256
+SLICE = 4_000_000
+HELD = 8_000_000
+#: Groups in which tasks' blocks meet first.
 SIDES = 64
 
 
@@ -59,8 +64,9 @@ def group_folds(data: DataFrame, folds: int = FOLDS, by: str = "gene_id") -> Dat
 
 
 def row_folds(data: DataFrame, folds: int = FOLDS, seed: int = 42) -> DataFrame:
-    """``fold`` by a hash of the row's key, the same in every run."""
-    return data.withColumn("fold", F.pmod(F.xxhash64("gene_id", "line", F.lit(seed)), F.lit(folds)).cast("int"))
+    """``fold`` by a digest of the row's key, the same in every run and engine."""
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", "gene_id", "line", F.lit(str(seed)))), 1, 8), 16, 10).cast("long")
+    return data.withColumn("fold", (digest % folds).cast("int"))
 
 
 # ---- sums of products ----
@@ -90,37 +96,57 @@ class Sums:
 
 
 def gather(data: DataFrame, features: list[str]) -> Sums:
-    """One pass. Each task adds up one product table a fold and third and sends it as
-    bytes; tables meet in two steps, first of every ``SIDES``-th task,
-    then those; and the driver gets (features + 2) squared numbers of each."""
+    """One pass over the rows, with the product table in blocks of ``BLOCK`` by ``BLOCK``
+    columns. A task adds up the blocks on and over the diagonal for each fold and third,
+    takes rows ``SLICE`` numbers at a time, and hands its blocks on whenever they come to
+    ``HELD`` numbers, so its memory does not grow with the features or the rows. Blocks are
+    shuffled by place and meet in two steps, first of every ``SIDES``-th task, then those.
+    The driver, which solves for the coefficients, gets (features + 2) squared numbers a
+    fold and third.
+    """
     k = len(features) + 2
+    edges = [(a, min(a + BLOCK, k)) for a in range(0, k, BLOCK)]
+    keys = ["key", "a", "b"]
+
+    def handed(held: dict[tuple[int, int, int], np.ndarray]) -> pd.DataFrame:
+        return pd.DataFrame([(*at, p.astype("<f8").tobytes()) for at, p in held.items()], columns=[*keys, "p"]).astype({c: "int32" for c in keys})
 
     def run(batches):
-        held: dict[tuple[int, int], np.ndarray] = {}
-        for b in batches:
-            if len(b):
+        held: dict[tuple[int, int, int], np.ndarray] = {}
+        size = 0
+        for batch in batches:
+            step = max(1, SLICE // k)
+            for b in (batch.iloc[i : i + step] for i in range(0, len(batch), step)):
                 rows = np.column_stack((np.ones(len(b)), np.stack(b["x"].to_numpy()) if k > 2 else np.empty((len(b), 0)), b["y"].to_numpy()))
-                at = (b["fold"].to_numpy() * THIRDS + b["third"].to_numpy()).astype(int)
-                for key in np.unique(at):
-                    part = rows[at == key]
-                    held[key] = held.get(key, 0) + part.T @ part
+                part_of = (b["fold"].to_numpy() * THIRDS + b["third"].to_numpy()).astype(int)
+                for key in np.unique(part_of):
+                    part = rows[part_of == key]
+                    for a, (a0, a1) in enumerate(edges):
+                        for c, (c0, c1) in enumerate(edges[a:], a):
+                            at = (int(key), a, c)
+                            size += 0 if at in held else (a1 - a0) * (c1 - c0)
+                            held[at] = held.get(at, 0) + part[:, a0:a1].T @ part[:, c0:c1]
+                            if size > HELD:
+                                yield handed(held)
+                                held, size = {}, 0
         if held:
-            yield pd.DataFrame({"key": list(held), "p": [p.astype("<f8").tobytes() for p in held.values()]})
-
-    def added(key, tables):
-        total = np.zeros(k * k)
-        for t in tables:
-            for p in t["p"]:
-                total += np.frombuffer(p, "<f8")
-        yield pd.DataFrame({"key": [key[0]], "p": [total.tobytes()]})
+            yield handed(held)
 
     def meet(tables: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat(added((int(tables["key"].iloc[0]),), [tables]))
+        total = np.sum([np.frombuffer(p, "<f8") for p in tables["p"]], axis=0)
+        return tables.iloc[:1][keys].assign(p=[total.tobytes()])
 
     keyed = data.select("fold", F.pmod(F.xxhash64("gene_id", "line", F.lit(7)), F.lit(THIRDS)).alias("third"), "x", "y") if {"gene_id", "line"} <= set(data.columns) else data.select("fold", F.lit(0).alias("third"), "x", "y")
-    tables = keyed.mapInPandas(run, "key int, p binary").withColumn("side", F.pmod(F.spark_partition_id(), F.lit(SIDES)))
-    rows = tables.groupBy("key", "side").applyInPandas(meet, "key int, p binary").groupBy("key").applyInPandas(meet, "key int, p binary").collect()
-    return Sums({divmod(r["key"], THIRDS): np.frombuffer(bytes(r["p"]), "<f8").reshape(k, k) for r in rows}, list(features))
+    shape = "key int, a int, b int, p binary"
+    blocks = keyed.mapInPandas(run, shape).withColumn("side", F.pmod(F.spark_partition_id(), F.lit(SIDES)))
+    out: dict[tuple[int, int], np.ndarray] = {}
+    for r in blocks.groupBy(*keys, "side").applyInPandas(meet, shape).groupBy(*keys).applyInPandas(meet, shape).collect():
+        (a0, a1), (b0, b1) = edges[r["a"]], edges[r["b"]]
+        p = np.frombuffer(bytes(r["p"]), "<f8").reshape(a1 - a0, b1 - b0)
+        table = out.setdefault(divmod(r["key"], THIRDS), np.zeros((k, k)))
+        table[a0:a1, b0:b1] = p
+        table[b0:b1, a0:a1] = p.T
+    return Sums(out, list(features))
 
 
 def _centred(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
@@ -134,10 +160,35 @@ def ridge(p: np.ndarray, alpha: float) -> np.ndarray:
     """(intercept, coefficients); the intercept is not penalised. alpha 0 is least
     squares of least norm."""
     mean, xx, xy, _ = _centred(p)
-    b = np.linalg.lstsq(xx + alpha * np.eye(len(xx)), xy, rcond=1e-10)[0] if len(xx) else np.empty(0)
+    if not len(xx):
+        b = np.empty(0)
+    elif alpha:
+        b = np.linalg.lstsq(xx + alpha * np.eye(len(xx)), xy, rcond=1e-10)[0]
+    else:
+        b = _least_squares(xx, xy)
     return np.concatenate(([mean[-1] - mean[:-1] @ b], b))
 
 
+def _least_squares(xx: np.ndarray, xy: np.ndarray) -> np.ndarray:
+    """Coefficients of least norm. What depends on what is told on scaled columns, so that
+    columns in large units do not hide small ones; what the rows leave open is taken out
+    in the raw scale."""
+    sd = np.sqrt(np.maximum(np.diag(xx), 0))
+    sd[sd < 1e-12] = 1.0
+    size, axes = np.linalg.eigh(xx / np.outer(sd, sd))
+    settled = size > 1e-10 * max(size.max(), 1e-300)
+    b = axes[:, settled] @ ((axes[:, settled].T @ (xy / sd)) / size[settled]) / sd
+    if not settled.all():
+        open_ = np.linalg.qr(axes[:, ~settled] / sd[:, None])[0]
+        b = b - open_ @ (open_.T @ b)
+    return b
+
+
+def penalised(p: np.ndarray, alpha: float, scaling: str = "raw") -> np.ndarray:
+    """``ridge`` on raw or on standardised features, told in the raw scale."""
+    return _scaled_ridge(p, alpha) if scaling == "standardised" else ridge(p, alpha)
+
+
 def lasso(p: np.ndarray, alpha: float) -> np.ndarray:
     """Least of 1 / (2 n) RSS + alpha |b|."""
     return lasso_paths([p], np.array([[alpha]]), 2000, 1e-6)[0, 0]
@@ -409,7 +460,7 @@ def diagnostic_grid(spark, plain: Sums, grouped: Sums) -> DataFrame:
                     p = sums.total(without=fold)
                     if not isinstance(p, np.ndarray):
                         continue
-                    held.append(score(test, _scaled_ridge(p, alpha) if scaling == "standardised" else ridge(p, alpha))[0])
+                    held.append(score(test, penalised(p, alpha, scaling))[0])
                 rows.append((scaling, name, strategy, float(np.mean(held)) if held else float("nan"), float(np.std(held)) if held else float("nan")))
     return spark.createDataFrame(rows, "approach string, model string, cv_strategy string, cv_r2 double, cv_std double")
 

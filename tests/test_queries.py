@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from sitelattice.plans import catalog, layer_queries, model_queries, source_queries  # noqa: F401
+from sitelattice.plans import catalog, layer_queries, linear_queries, model_queries, source_queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

@@ -349,3 +349,33 @@ def test_merge_long_island(spark):
     assert time.time() - began < 60
     want = sorted(plain_merge(hits))
     assert sorted((r["start_pos"], r["end_pos"], r["score"], r["sequence"], r["merged_count"]) for r in got) == want and len(want) > 10_000
+
+
+def test_gather_in_blocks(spark, monkeypatch):
+    """Blocks that do not divide the columns, handed on every few rows, give the plain products."""
+    rng = np.random.default_rng(5)
+    rows = [(f"g{i % 23}", f"l{i}", float(rng.normal()), [float(v) for v in rng.integers(-3, 4, 11)], int(i % 3)) for i in range(200)]
+    data = spark.createDataFrame(rows, "gene_id string, line string, y double, x array<double>, fold int").repartition(5)
+    monkeypatch.setattr(models, "BLOCK", 4)
+    monkeypatch.setattr(models, "SLICE", 60)
+    monkeypatch.setattr(models, "HELD", 50)
+    sums = models.gather(data, [f"f{i}" for i in range(11)])
+    for fold in range(3):
+        a = np.array([[1.0, *x, y] for _, _, y, x, f in rows if f == fold])
+        assert np.allclose(sums.products[fold], a.T @ a, atol=1e-9)
+    assert len(sums.thirds()) == models.THIRDS
+    empty = models.gather(data.where("fold > 9"), [f"f{i}" for i in range(11)])
+    assert empty.parts == {}
+
+
+def test_least_squares_of_columns_in_any_unit():
+    """Columns in units from 1e-4 to 1e4, some of them made up of others or constant."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(90, 8)) * 10.0 ** np.arange(-4, 4)
+    x = np.column_stack((x, x[:, 6] + 100 * x[:, 5], np.full(90, 3.0), np.zeros(90)))
+    y = 2 + x[:, :8] @ (rng.normal(size=8) / 10.0 ** np.arange(-4, 4)) + rng.normal(scale=0.1, size=90)
+    full = np.column_stack((np.ones(90), x, y))
+    beta = models.ridge(full.T @ full, 0.0)
+    want = np.linalg.lstsq(x - x.mean(axis=0), y - y.mean(), rcond=1e-12)[0]
+    assert np.allclose(beta[0] + x @ beta[1:], y.mean() + (x - x.mean(axis=0)) @ want, atol=1e-6)
+    assert np.linalg.norm(beta[1:]) <= np.linalg.norm(want) * (1 + 1e-6)
