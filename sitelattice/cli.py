@@ -29,7 +29,7 @@ def session() -> SparkSession:
 
 def consolidate(spark, a) -> DataFrame:
     raw = files.read_sites(spark, a.folder, a.lines.split(",") if a.lines else None)
-    table = persist_table(sites.consolidate(raw, a.threshold, not a.no_merge_overlaps, a.overlap_threshold), "sites")
+    table = persist_table(sites.consolidate(raw, a.threshold, not a.no_merge_overlaps, a.overlap_threshold, a.stream_overlaps), "sites")
     sinks.write_sites(table, f"{a.output}/sites")
     sinks.write_table(sites.line_summary(table), f"{a.output}/summary")
     if a.validate:
@@ -249,6 +249,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--threshold", type=float, default=0.75)
         c.add_argument("--lines")
         c.add_argument("--no-merge-overlaps", action="store_true")
+        c.add_argument("--stream-overlaps", action="store_true", help="merge in constant memory, for hits that touch by the million")
         c.add_argument("--overlap-threshold", type=float, default=0.5)
         c.add_argument("--validate", action="store_true")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +47,8 @@ def merge_overlaps(sites: DataFrame, threshold: float = 0.5, keep: str = "longes
     a window with a running maximum cuts each group into islands first. An island's hits
     are folded as one array, on the window's partitioning. The fold holds the open interval,
     the last ``CHUNK`` closed ones, and lists of ``CHUNK`` before, so a step costs the same
-    however many hits touch; an island's hits must fit in a task's memory.
+    however many hits touch; an island's hits must fit in a task's memory
+    (``merge_overlaps_streamed`` is for those that do not).
     """
     w = Window.partitionBy(*GROUP).orderBy("start_pos", order)
     before = F.max("end_pos").over(w.rowsBetween(Window.unboundedPreceding, -1))
@@ -87,6 +89,75 @@ def merge_overlaps(sites: DataFrame, threshold: float = 0.5, keep: str = "longes
     return folded.select(*GROUP, "start_pos", "end_pos", "score", "sequence", order, *[F.col("rest")[c].alias(c) for c in rest], "merged_count", "length")
 
 
+def merge_overlaps_streamed(sites: DataFrame, threshold: float = 0.5, keep: str = "longest", order: str = "src_ord") -> DataFrame:
+    """``merge_overlaps`` for hits that touch by the million: the same rows, in memory that
+    does not grow with an island.
+
+    Hits are dealt by group and sorted in their partition (which spills), and a task reads
+    them in batches with one open interval, which it carries over the ends of batches.
+    What follows by gene and line is shuffled once more, which the arrays are not.
+    """
+    sorted_ = sites.repartition(*GROUP).sortWithinPartitions(*GROUP, "start_pos", order, "end_pos", "score", "sequence")
+    changed = ["start_pos", "end_pos", "score", "sequence", "merged_count", "length"]
+    longest = keep == "longest"
+
+    def joins(last: list, start, end) -> bool:
+        if None in (last[0], last[1], start, end):
+            return False
+        shorter = min(last[1] - last[0], end - start) + 1
+        overlap = max(0, min(last[1], end) - max(last[0], start) + 1)
+        return (overlap / shorter if shorter > 0 else 0.0) >= threshold
+
+    def join(last: list, start, end, score, text) -> None:
+        if longest:
+            better = text is not None and last[3] is not None and len(text) > len(last[3])
+        else:
+            better = score is not None and last[2] is not None and score > last[2]
+        last[0], last[1] = min(last[0], start), max(last[1], end)
+        last[2] = score if last[2] is None else last[2] if score is None else max(last[2], score)
+        last[3] = text if better else last[3]
+        last[4] += 1
+        last[5] = last[1] - last[0] + 1
+
+    def done(rows: pa.Table, firsts: list[int], intervals: list[list]) -> pa.RecordBatch:
+        kept = rows.take(pa.array(firsts, pa.int64()))
+        for name, values in zip(changed, zip(*intervals, strict=True), strict=True):
+            if name in rows.column_names:
+                kept = kept.set_column(kept.column_names.index(name), name, pa.array(values, rows.schema.field(name).type))
+            else:
+                kept = kept.append_column(name, pa.array(values, pa.int32()))
+        return kept.combine_chunks().to_batches()[0]
+
+    def run(batches):
+        open_row, last, group = None, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            skip = 0 if open_row is None else 1
+            if skip:
+                rows = pa.concat_tables([open_row, rows])
+            firsts, intervals = ([0], [last]) if skip else ([], [])
+            keys = zip(*[batch.column(c).to_pylist() for c in GROUP], strict=True)
+            hits = zip(keys, *[batch.column(c).to_pylist() for c in changed[:4]], strict=True)
+            for i, (key, start, end, score, text) in enumerate(hits, skip):
+                if key == group and joins(last, start, end):
+                    join(last, start, end, score, text)
+                else:
+                    last, group = [start, end, score, text, 1, None if text is None else len(text)], key
+                    firsts.append(i)
+                    intervals.append(last)
+            open_row = rows.slice(firsts[-1], 1).take(pa.array([0]))  # a copy, so that its batch can go
+            if len(firsts) > 1:
+                yield done(rows, firsts[:-1], intervals[:-1])
+        if open_row is not None:
+            yield done(open_row, [0], [last])
+
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sorted_.schema.fields) + ", merged_count int, length int"
+    rest = [c for c in sites.columns if c not in (*GROUP, "start_pos", "end_pos", "score", "sequence", order)]
+    return sorted_.mapInArrow(run, shape).select(*GROUP, "start_pos", "end_pos", "score", "sequence", order, *rest, "merged_count", "length")
+
+
 def _opened(h: Column, order: str) -> Column:
     return F.struct(
         h["start_pos"].alias("start_pos"), h[order].alias(order), h["end_pos"].alias("end_pos"), h["score"].alias("score"), h["sequence"].alias("sequence"),
@@ -105,14 +176,16 @@ def rank_in_gene(sites: DataFrame, order: str = "src_ord") -> DataFrame:
     )
 
 
-def consolidate(sites: DataFrame, threshold: float = clustering.THRESHOLD, merge: bool = True, overlap: float = 0.5) -> DataFrame:
+def consolidate(sites: DataFrame, threshold: float = clustering.THRESHOLD, merge: bool = True, overlap: float = 0.5, streamed: bool = False) -> DataFrame:
     """Raw hits to the consolidated site table (17 columns, and ``src_ord``).
 
     The hits are dealt by gene and line once; the merge and the rank both reuse that.
+    ``streamed`` merges in constant memory, for one more shuffle of what is left.
     """
-    placed = assign_clusters(sites, threshold).repartition("gene_id", "line")
+    placed = assign_clusters(sites, threshold)
+    placed = placed if merge and streamed else placed.repartition("gene_id", "line")
     if merge:
-        placed = merge_overlaps(placed, overlap)
+        placed = (merge_overlaps_streamed if streamed else merge_overlaps)(placed, overlap)
     else:
         placed = placed.withColumn("merged_count", F.lit(None).cast("int")).withColumn("length", F.length("sequence"))
     return rank_in_gene(placed).select(*COLUMNS, "src_ord")

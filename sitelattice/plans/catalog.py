@@ -134,12 +134,22 @@ def motif_clusters(spark, sf_dir):
     return sites.motif_clusters(raw(spark, sf_dir)).select("pattern", "true_consensus", M, "motif_consensus", "cluster_size")
 
 
-@query(o.over_sites(o.select(f"gene_id line strand {M} start_pos end_pos:i score:d sequence merged_count length", "select * exclude (merged_count, length), cast(merged_count as int) as merged_count, cast(length as int) as length from merged")))
+_MERGED = o.over_sites(o.select(f"gene_id line strand {M} start_pos end_pos:i score:d sequence merged_count length", "select * exclude (merged_count, length), cast(merged_count as int) as merged_count, cast(length as int) as length from merged"))
+
+
+@query(_MERGED)
 def overlap_merge(spark, sf_dir):
     placed = sites.assign_clusters(views.sites_raw(spark, sf_dir))
     return sites.merge_overlaps(placed).select(*sites.GROUP, "start_pos", "end_pos", "score", "sequence", "merged_count", "length")
 
 
+@query(_MERGED)
+def overlap_merge_streamed(spark, sf_dir):
+    """The same in memory that does not grow with the hits that touch."""
+    placed = sites.assign_clusters(views.sites_raw(spark, sf_dir))
+    return sites.merge_overlaps_streamed(placed).select(*sites.GROUP, "start_pos", "end_pos", "score", "sequence", "merged_count", "length")
+
+
 @query(o.with_(o.RAW, o.select("src_ord gene_id line relative_position total_motifs_in_gene relative_position_fraction:d", "select src_ord, gene_id, line, cast(row_number() over w as int) as relative_position, cast(count(*) over (partition by gene_id, line) as int) as total_motifs_in_gene, cast(row_number() over w as double) / count(*) over (partition by gene_id, line) as relative_position_fraction from raw window w as (partition by gene_id, line order by start_pos, original_motif_id, strand, end_pos, src_ord)")))
 def rank_in_gene(spark, sf_dir):
     return sites.rank_in_gene(views.sites_raw(spark, sf_dir)).select("src_ord", "gene_id", "line", "relative_position", "total_motifs_in_gene", "relative_position_fraction")
