@@ -40,3 +40,15 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0 and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_pairs_of_odd_texts(spark, tmp_path):
+    """Ratios that end in a five (41/640), missing and empty texts: as in SQL."""
+    texts = ["G" * 41 + "A" * 599, "C" * 5 + "A" * 635, None, "ACG", "G", "", None, None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    result = c.execute(catalog.ORACLES["adjacent_pairs"])
+    names = [d[0] for d in result.description]
+    want = sorted(result.fetchall())
+    assert sorted(map(tuple, catalog.QUERIES["adjacent_pairs"](spark, str(tmp_path)).select(*names).collect())) == want
