@@ -86,6 +86,46 @@ def test_merge(spark, threshold):
     assert sites.merge_overlaps_streamed(table.where("start_pos < 0")).count() == 0
 
 
+HIT = "gene_id string, line string, strand string, consolidated_motif_id string, start_pos int, src_ord string, end_pos int, score double, sequence string, original_motif_id string"
+
+
+def test_merge_sums_up_dense_hits(spark):
+    """Hits that are sure to join are summed up before the fold, so it grows with the places, not the hits."""
+    rng = random.Random(11)
+    hits = [(rng.randint(1, 300), f"{k:05d}", n, float(rng.randint(1, 50)), "".join(rng.choice("ACGT") for _ in range(n))) for k, n in enumerate(rng.choices((3, 8, 11, 40), k=6000))]
+    rows = [("g", "l", "+", "M", s, o, s + n - 1, v, t, o) for s, o, n, v, t in hits]
+    table = spark.createDataFrame(rows, HIT)
+    for threshold in (0.5, 0.95, 1.0):
+        want = fold([(s, s + n - 1, v, t) for s, o, n, v, t in sorted(hits)], threshold)
+        found = sites.merge_overlaps(table, threshold).select("start_pos", "end_pos", "score", "sequence", "merged_count").collect()
+        assert sorted(map(tuple, found)) == sorted(map(tuple, want))
+        assert sites._runs(table, threshold, "longest", "src_ord").count() <= 300
+
+
+def test_merge_odd_hits(spark):
+    """Reversed hits, hits of no length, missing sequences and scores: as the streamed merge has them."""
+    rng = random.Random(12)
+    rows = []
+    for g in range(40):
+        for k in range(25):
+            start, n = rng.randint(1, 60), rng.randint(1, 14)
+            odd = rng.random()
+            end = start - rng.randint(0, 3) if odd < 0.03 else start + n - 1
+            score = None if 0.03 < odd < 0.06 else float("inf") if odd > 0.98 else float(rng.randint(1, 9))
+            rows.append((f"g{g}", "l", "+", "M", start, f"{k:03d}", end, score, None if 0.06 < odd < 0.09 else "A" * n, "id"))
+    table = spark.createDataFrame(rows, HIT)
+    for threshold in (0.0, 0.5, 1.0, 1.5):
+        for keep in ("longest", "best_score"):
+            a, b = sites.merge_overlaps(table, threshold, keep), sites.merge_overlaps_streamed(table, threshold, keep)
+            assert sorted(map(repr, a.collect())) == sorted(map(repr, b.select(*a.columns).collect()))
+
+
+def test_consensus_scans_the_hits_once(spark):
+    table = spark.createDataFrame([("p", "A", "1")], "pattern string, sequence string, src_ord string")
+    plan = consensus.pattern_consensus(table)._jdf.queryExecution().toString()
+    assert "sequences-" in plan and "ExistingRDD" not in plan and "LogicalRDD" not in plan
+
+
 def test_merge_documented_example(spark):
     rows = [("g", "l", "+", "M", s, str(i), e, 1.0, "A" * 15, "x") for i, (s, e) in enumerate([(786, 800), (787, 801), (788, 802), (789, 803), (791, 805)])]
     table = spark.createDataFrame(rows, "gene_id string, line string, strand string, consolidated_motif_id string, start_pos int, src_ord string, end_pos int, score double, sequence string, original_motif_id string")
