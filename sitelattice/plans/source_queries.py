@@ -4,6 +4,7 @@ written from."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +17,8 @@ from .catalog import _BY, _INST, _SITE_COLUMNS, _SITE_SQL, M, _instances, consol
 
 
 def _write_file(rows: DataFrame, path: str, head: list[str] = ()) -> None:
-    """One file of the given name: ``head``, then the rows (key, value) in order of key. The
-    tools' own files are single ones."""
+    """One file of the given name: ``head``, then the rows (key, value) in order of key, for
+    tables of few rows (motifs, genes and lines)."""
     spark, part = rows.sparkSession, path + ".parts"
     body = rows.select(F.lit(1).alias("p"), "key", "value")
     if head:
@@ -31,20 +32,37 @@ def _write_file(rows: DataFrame, path: str, head: list[str] = ()) -> None:
     fs.delete(Path(part), True)
 
 
-def _runs(spark: SparkSession, sf_dir: str) -> str:
-    """A folder of runs: hit tables and motif files, one of each a line."""
+def _write_parts(rows: DataFrame, path: str, head: list[str]) -> None:
+    """A folder of files that follow each other in order of key, each with the ``head``."""
+
+    def headed(batches):
+        yield pa.RecordBatch.from_pydict({"value": head})
+        yield from (pa.RecordBatch.from_arrays(b.columns, ["value"]) for b in batches)  # the head's schema
+
+    rows.orderBy("key").select("value").mapInArrow(headed, "value string").write.text(path)
+
+
+def _hits(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of runs with their hit tables, one a line."""
     folder = tables.new_path(spark, "runs")
-    raw = tables.persist_table(views.sites_raw(spark, sf_dir), "raw")
-    found = tables.persist_table(records(spark, sf_dir), "records")
+    raw = tables.persist_table(views.sites_raw(spark, sf_dir), "raw", by=("line",))
     head = ["# hits", "\t".join(files.REQUIRED)]
     row = F.concat_ws("\t", "original_motif_id", "gene_id", F.col("start_pos").cast("string"), F.col("end_pos").cast("string"), "strand", F.col("score").cast("string"), F.lower("sequence"))
+    for line in views.LINES:
+        _write_parts(raw.where(F.col("line") == line).select(F.col("src_ord").alias("key"), row.alias("value")), f"{folder}/streme_{line}/sites.tsv", head)
+    return folder
+
+
+def _motif_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of runs with their motif files, one a line: a block a motif, counted over all hits."""
+    folder = tables.new_path(spark, "runs")
+    found = tables.persist_table(records(spark, sf_dir), "records")
     block = F.concat_ws(
         "\n", F.concat(F.lit("MOTIF "), "motif_id", F.lit(" STREME")),
         F.concat(F.lit("letter-probability matrix: alength= 4 w= "), F.col("width").cast("string"), F.lit(" nsites= "), F.col("n_sites").cast("string"), F.lit(" E= "), F.col("evalue").cast("string")),
         F.lit(" 0.25 0.25 0.25 0.25\n"),
     )
     for line in views.LINES:
-        _write_file(raw.where(F.col("line") == line).select(F.col("src_ord").alias("key"), row.alias("value")), f"{folder}/streme_{line}/sites.tsv", head)
         _write_file(found.where(F.col("line") == line).select(F.format_string("%06d", "ord").alias("key"), block.alias("value")), f"{folder}/streme_{line}/streme.txt", ["MEME version 5", ""])
     return folder
 
@@ -52,22 +70,22 @@ def _runs(spark: SparkSession, sf_dir: str) -> str:
 @query(o.with_(o.RAW, o.select("gene_id line original_motif_id start_pos end_pos:i strand score:d sequence", "select * from sites_raw")))
 def source_sites(spark, sf_dir):
     """Hit tables of all runs, found by folder, columns by name."""
-    return files.read_sites(spark, _runs(spark, sf_dir)).drop("src_ord")
+    return files.read_sites(spark, _hits(spark, sf_dir)).drop("src_ord")
 
 
 @query(o.with_(o.RAW, o.select("gene_id line original_motif_id start_pos end_pos:i strand score:d sequence", "select * from sites_raw where line in ('IM62', 'IM767')")))
 def source_sites_of_lines(spark, sf_dir):
-    return files.read_sites(spark, _runs(spark, sf_dir), ["IM62", "IM767"]).drop("src_ord")
+    return files.read_sites(spark, _hits(spark, sf_dir), ["IM62", "IM767"]).drop("src_ord")
 
 
 @query(o.with_(f"{o.RAW},{o.RECORDS}", o.select("line motif_id consensus width n_sites ord evalue:d", "select line, motif_id, consensus, width, cast(n_sites as int) as n_sites, cast(row_number() over (order by 'streme_' || line, ord) as int) as ord, evalue from records")))
 def source_motifs(spark, sf_dir):
-    return files.read_motifs(spark, f"{_runs(spark, sf_dir)}/streme_*/streme.txt", iupac_only=True)
+    return files.read_motifs(spark, f"{_motif_files(spark, sf_dir)}/streme_*/streme.txt", iupac_only=True)
 
 
 @query(o.with_(f"{o.RAW},{o.RECORDS}", "select 'streme_' || line as run, count(*) as n_motifs from records group by 1"))
 def source_motif_counts(spark, sf_dir):
-    return files.motif_counts(spark, f"{_runs(spark, sf_dir)}/streme_*/streme.txt")
+    return files.motif_counts(spark, f"{_motif_files(spark, sf_dir)}/streme_*/streme.txt")
 
 
 @query(o.over_sites(o.select(_SITE_COLUMNS, _SITE_SQL)))

@@ -34,13 +34,16 @@ def _lines(spark: SparkSession, pattern: str, separator: str | None = None) -> D
 
 
 def read_sites(spark: SparkSession, folder: str, lines: list[str] | None = None) -> DataFrame:
-    """All runs' hits below ``folder``: children ``streme_*`` that hold ``sites.tsv``.
+    """All runs' hits below ``folder``: children ``streme_*`` that hold ``sites.tsv``, which is
+    a file or, for tables too large for one task, a folder of files in order of name.
 
     Columns are found by name in each file's header; a file that lacks one is left out.
     Blank and ``#`` lines go, as do rows with too few fields, a missing value or a
-    number that is none. ``src_ord`` orders by directory, then line.
+    number that is none. ``src_ord`` orders by directory, then file and line.
     """
-    text = _lines(spark, f"{folder.rstrip('/')}/streme_*/sites.tsv").withColumn("dir", _parent(F.col("path"))).withColumn("line", line_name(F.col("dir")))
+    text = _lines(spark, f"{folder.rstrip('/')}/streme_*/sites.tsv")
+    in_folder = F.regexp_extract("path", r"/sites\.tsv/([^/]+)$", 1)
+    text = text.withColumn("part", F.when(in_folder != "", in_folder)).withColumn("dir", F.regexp_extract("path", r"([^/]+)/sites\.tsv(?:/[^/]+)?$", 1)).withColumn("line", line_name(F.col("dir")))
     if lines:
         text = text.where(F.col("line").isin(lines))
     text = text.where((F.trim("text") != "") & ~F.col("text").startswith("#"))
@@ -48,9 +51,10 @@ def read_sites(spark: SparkSession, folder: str, lines: list[str] | None = None)
     first = text.groupBy("path").agg(F.min_by("text", "n").alias("header"), F.min("n").alias("header_n"))
     header = F.transform(F.split("header", "\t"), F.trim)
     good = first.where(F.forall(F.array(*[F.lit(c) for c in REQUIRED]), lambda c: F.array_contains(header, c)))
-    rows = text.join(good.select("path", "header_n", *[(F.array_position(header, F.lit(c)) - 1).cast("int").alias(f"at_{c}") for c in REQUIRED]), "path").where(F.col("n") > F.col("header_n"))
+    # A row a file: small beside the hits, which would else meet by file, a file a task.
+    rows = text.join(F.broadcast(good.select("path", "header_n", *[(F.array_position(header, F.lit(c)) - 1).cast("int").alias(f"at_{c}") for c in REQUIRED])), "path").where(F.col("n") > F.col("header_n"))
     value = lambda c: F.trim(F.get(fields, F.col(f"at_{c}")))
-    rows = rows.where(F.size(fields) >= len(REQUIRED)).select("line", F.concat_ws("|", "dir", "n").alias("src_ord"), *[value(c).alias(c) for c in REQUIRED])
+    rows = rows.where(F.size(fields) >= len(REQUIRED)).select("line", F.concat_ws("|", "dir", "part", "n").alias("src_ord"), *[value(c).alias(c) for c in REQUIRED])
     kept = rows.where(F.forall(F.array("site_Start", "site_End", "site_Score", "site_Sequence", "motif_ID"), lambda v: v.isNotNull() & ~v.isin(*MISSING)))
     whole = lambda c: F.expr(f"try_cast(try_cast({c} as double) as int)")
     return kept.select(

@@ -187,3 +187,25 @@ def test_reports(spark):
     pairs = spark.createDataFrame([(1, "IM155", "a", "IM62", "b")], "pair_no int, line_1 string, motif_1 string, line_2 string, motif_2 string")
     lines = sinks.master_report(runs, catalog, pairs)
     assert "runs: 2, motifs: 5, clusters: 2, in several lines: 1" in lines and "- pair 1: IM155 and IM62, 1 pairs of motifs" in lines and "- cluster_1: 4 in 2 lines (IM155,IM62)" in lines
+
+
+def test_hit_tables_in_parts(spark):
+    """A run's hit table may be a folder of files, each with its header; none is written by one task."""
+    from pathlib import Path
+
+    from sitelattice.plans import source_queries, views
+
+    sf = "/root/testdata/sf0.001"
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        folder = source_queries._hits(spark, sf)
+    finally:
+        spark.conf.unset(key)
+    for line in views.LINES:
+        assert len(list(Path(folder.removeprefix("file://")).glob(f"streme_{line}/sites.tsv/part-*"))) > 1
+    columns = ["gene_id", "line", "original_motif_id", "start_pos", "end_pos", "strand", "score", "sequence"]
+    raw, found = views.sites_raw(spark, sf), files.read_sites(spark, folder)
+    for line in views.LINES:  # the same hits in the same order
+        rows = lambda df: [tuple(r) for r in df.where(F.col("line") == line).orderBy("src_ord").select(*columns).collect()]  # noqa: B023, E731
+        assert rows(found) == rows(raw)
