@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from sitelattice.operators import expression, features, models, sites
 
 from . import oracles as o
-from . import views
-from .catalog import M, OTHERS, REF, consolidated, query
+from .catalog import M, OTHERS, REF, consolidated, expression_table, query
 
 TOP = 100
 _FEATURES = (*features.DIFFERENCES, *features.IF_BOTH)
@@ -28,7 +27,7 @@ def _design(spark, sf_dir):
     values = sites.persist_table(features.long_values(rel, list(_FEATURES)), "values")
     steady = features.varying(values).where(F.col("variance").isNull() | (F.round("variance", 9) != 0))
     names = sorted(r[0] for r in steady.select("feature").collect())  # at most six a motif of ``TOP``
-    target = expression.without_reference(views.expression_long(spark, sf_dir), REF)
+    target = expression.without_reference(expression_table(spark, sf_dir), REF)
     return sites.persist_table(models.group_folds(models.design(values, target, names)), "design"), names
 
 

@@ -93,3 +93,20 @@ def test_design_lays_out_missing_and_null_values_as_zero(spark):
     assert sorted((r["gene_id"], r["line"], r["y"], list(r["x"])) for r in models.design(values, target, ["f1", "f2"]).collect()) == [("g", "a", 1.0, [0.0, 2.0]), ("g", "b", 3.0, [0.0, 0.0])]
     assert [list(r["x"]) for r in models.design(values, target, []).collect()] == [[], []]
     assert features.long_values(spark.createDataFrame([("g", "a", "M", 1)], f"gene_id string, line string, {M} string, present int"), ["present"]).first()["feature"] == "M_present"
+
+
+def test_forests_read_the_expression_once(spark):
+    """Every layer's design joins the target; it is a small written table, not the orders again."""
+    from sitelattice.plans import layer_queries
+
+    _, target, rows, _ = layer_queries._ranked(spark, "/root/testdata/sf0.001")
+    plan = target._jdf.queryExecution().toString()
+    assert "expression-" in plan and "lineitem" not in plan and target.join(rows, ["gene_id", "line"], "left_semi").count() == rows.count()
+
+
+def test_loose_profile_reads_written_sites(spark):
+    """The profile's two passes do not consolidate twice."""
+    from sitelattice.plans import catalog
+
+    plan = catalog._loose_profile(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "consolidated-" in plan and "lineitem" not in plan
