@@ -42,19 +42,22 @@ def read_sites(spark: SparkSession, folder: str, lines: list[str] | None = None)
     number that is none. ``src_ord`` orders by directory, then file and line.
     """
     text = _lines(spark, f"{folder.rstrip('/')}/streme_*/sites.tsv")
-    in_folder = F.regexp_extract("path", r"/sites\.tsv/([^/]+)$", 1)
-    text = text.withColumn("part", F.when(in_folder != "", in_folder)).withColumn("dir", F.regexp_extract("path", r"([^/]+)/sites\.tsv(?:/[^/]+)?$", 1)).withColumn("line", line_name(F.col("dir")))
-    if lines:
-        text = text.where(F.col("line").isin(lines))
     text = text.where((F.trim("text") != "") & ~F.col("text").startswith("#"))
     fields = F.split("text", "\t")
     first = text.groupBy("path").agg(F.min_by("text", "n").alias("header"), F.min("n").alias("header_n"))
+    # What the path tells is found once a file, not once a row.
+    in_folder = F.regexp_extract("path", r"/sites\.tsv/([^/]+)$", 1)
+    first = first.withColumn("part", F.when(in_folder != "", in_folder)).withColumn("dir", F.regexp_extract("path", r"([^/]+)/sites\.tsv(?:/[^/]+)?$", 1)).withColumn("line", line_name(F.col("dir")))
+    if lines:
+        first = first.where(F.col("line").isin(lines))
     header = F.transform(F.split("header", "\t"), F.trim)
     good = first.where(F.forall(F.array(*[F.lit(c) for c in REQUIRED]), lambda c: F.array_contains(header, c)))
     # A row a file: small beside the hits, which would else meet by file, a file a task.
-    rows = text.join(F.broadcast(good.select("path", "header_n", *[(F.array_position(header, F.lit(c)) - 1).cast("int").alias(f"at_{c}") for c in REQUIRED])), "path").where(F.col("n") > F.col("header_n"))
-    value = lambda c: F.trim(F.get(fields, F.col(f"at_{c}")))
-    rows = rows.where(F.size(fields) >= len(REQUIRED)).select("line", F.concat_ws("|", "dir", "part", "n").alias("src_ord"), *[value(c).alias(c) for c in REQUIRED])
+    rows = text.join(F.broadcast(good.select("path", "header_n", "dir", "part", "line", *[(F.array_position(header, F.lit(c)) - 1).cast("int").alias(f"at_{c}") for c in REQUIRED])), "path").where(F.col("n") > F.col("header_n"))
+    value = lambda c: F.trim(F.get("fields", F.col(f"at_{c}")))
+    # An array of one, taken apart: the text is split once, not again for each field that is read.
+    rows = rows.withColumn("fields", F.explode(F.array(fields)))
+    rows = rows.where(F.size("fields") >= len(REQUIRED)).select("line", F.concat_ws("|", "dir", "part", "n").alias("src_ord"), *[value(c).alias(c) for c in REQUIRED])
     kept = rows.where(F.forall(F.array("site_Start", "site_End", "site_Score", "site_Sequence", "motif_ID"), lambda v: v.isNotNull() & ~v.isin(*MISSING)))
     whole = lambda c: F.expr(f"try_cast(try_cast({c} as double) as int)")
     return kept.select(
