@@ -120,6 +120,31 @@ def test_merge_odd_hits(spark):
             assert sorted(map(repr, a.collect())) == sorted(map(repr, b.select(*a.columns).collect()))
 
 
+def test_merge_sums_up_hits_of_one_start_first(spark):
+    """With the sizes of a motif's hits known, hits of one start are one row before the windows;
+    motifs whose sizes differ too much, or that lack whole values, stay as they are."""
+    rng, rows = random.Random(13), []
+    for motif, sizes in (("M", (6, 8, 11)), ("W", (3, 8, 40)), ("O", (6, 8, 11))):
+        for k in range(1500):
+            start, n = rng.randint(1, 120), rng.choice(sizes)
+            score = None if motif == "O" and rng.random() < 0.05 else float(rng.randint(1, 9))
+            rows.append(("g", "l", "+", motif, start, f"{k:05d}", start + n - 1, score, "".join(rng.choice("ACGT") for _ in range(n)), "id", *{"M": (6, 11), "W": (3, 40), "O": (0, 11)}[motif]))
+    table = spark.createDataFrame(rows, HIT + ", least_size int, most_size int")
+    for keep in ("longest", "best_score"):
+        a, b = sites.merge_overlaps(table, 0.5, keep), sites.merge_overlaps_streamed(table, 0.5, keep)
+        assert a.columns == b.columns and sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    left = dict(map(tuple, sites._starts(table, 0.5, "longest", "src_ord").groupBy("consolidated_motif_id").count().collect()))
+    assert left["M"] <= 120 and left["W"] == left["O"] == 1500
+
+
+def test_clusters_tell_the_sizes_of_their_hits(spark):
+    cols = "original_motif_id string, sequence string, src_ord string, start_pos int, end_pos int, score double"
+    rows = [("1-ACGTACGT", "ACGTACGT", "1", 5, 12, 1.0), ("7-ACGTACGT", "ACGTACGTA", "2", 5, 13, 1.0), ("TTTTTTTT", "TTTTTTTT", "3", 5, 12, None), ("TTTTTTTT", "TTTTTTTT", "4", 5, 12, 1.0)]
+    table = spark.createDataFrame(rows, cols).withColumn("pattern", seq.strip_prefix(F.col("original_motif_id")))
+    found = {r["pattern"]: (sorted(r["ids"]), r["least_size"], r["most_size"]) for r in sites.motif_clusters(table).collect()}
+    assert found == {"ACGTACGT": (["1-ACGTACGT", "7-ACGTACGT"], 8, 9), "TTTTTTTT": (["TTTTTTTT"], 0, 8)}
+
+
 def test_consensus_scans_the_hits_once(spark):
     table = spark.createDataFrame([("p", "A", "1")], "pattern string, sequence string, src_ord string")
     plan = consensus.pattern_consensus(table)._jdf.queryExecution().toString()
