@@ -178,8 +178,8 @@ def master_report(runs: DataFrame, catalog: DataFrame, pairs: DataFrame, n: int
 
 def write_group_report(pairs: DataFrame, path: str) -> None:
     """A text line for each pair of sequences, with its kind, GC contents and lengths."""
-    number = lambda c: F.format_string("%.3f", F.col(c))
-    line = F.concat_ws("\t", F.concat(F.lit("pair_"), F.col("pair_no").cast("string")), "kind", F.col("first_id").cast("string"), F.col("second_id").cast("string"), number("gc_first"), F.when(F.col("gc_second").isNotNull(), number("gc_second")), F.col("length_first").cast("string"), F.col("length_second").cast("string"))
+    number = lambda c: F.when(F.col(c).isNotNull(), F.format_string("%.3f", F.col(c)))
+    line = F.concat_ws("\t", F.concat(F.lit("pair_"), F.col("pair_no").cast("string")), "kind", F.col("first_id").cast("string"), F.col("second_id").cast("string"), number("gc_first"), number("gc_second"), F.col("length_first").cast("string"), F.col("length_second").cast("string"))
     pairs.orderBy("pair_no").select(line.alias("value")).write.mode("overwrite").text(path)
 
 

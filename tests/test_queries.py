@@ -52,3 +52,16 @@ def test_pairs_of_odd_texts(spark, tmp_path):
     names = [d[0] for d in result.description]
     want = sorted(result.fetchall())
     assert sorted(map(tuple, catalog.QUERIES["adjacent_pairs"](spark, str(tmp_path)).select(*names).collect())) == want
+
+
+@pytest.mark.parametrize("rows", [[(1, "GC"), (2, "A"), (3, "")], [(None, "GGG"), (3, "A"), (1, None), (2, "AGT"), (5, "AAA"), (4, None)], [(7, None)]])
+@pytest.mark.parametrize("name", ["adjacent_pairs", "pair_groups"])
+def test_odd_count_and_missing_ids(spark, tmp_path, name, rows):
+    """An odd last row has no second GC content; missing ids come last; a missing text is like none: as in SQL."""
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    result = c.execute(catalog.ORACLES[name])
+    names = [d[0] for d in result.description]
+    want = sorted(result.fetchall(), key=repr)
+    assert sorted(map(tuple, catalog.QUERIES[name](spark, str(tmp_path)).select(*names).collect()), key=repr) == want
