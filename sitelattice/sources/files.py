@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,12 +29,22 @@ def _parent(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 
 
-def _lines(spark: SparkSession, pattern: str, separator: str | None = None) -> DataFrame:
-    """(path, n, text): lines with a key that orders them within their file: where the
-    block they were read from begins, then their place among the rows read. Large files
-    are split as usual."""
-    place = F.concat_ws("-", F.lpad(F.col("_metadata.file_block_start").cast("string"), 15, "0"), F.lpad(F.monotonically_increasing_id().cast("string"), 19, "0"))
-    return spark.read.text(pattern, lineSep=separator).select(F.col("_metadata.file_path").alias("path"), place.alias("n"), F.col("value").alias("text"))
+def _lines(spark: SparkSession, paths: str | list[str], separator: str | None = None) -> DataFrame:
+    """(path, start, at, n, text): lines with a key that orders them within their file: where the
+    block they were read from begins (start), then their place among the rows read (at); ``n`` is
+    both as text. Large files are split as usual."""
+    start, at = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    place = F.concat_ws("-", F.lpad(start.cast("string"), 15, "0"), F.lpad(at.cast("string"), 19, "0"))
+    return spark.read.text(paths, lineSep=separator).select(F.col("_metadata.file_path").alias("path"), start.alias("start"), at.alias("at"), place.alias("n"), F.col("value").alias("text"))
+
+
+def _tables_of(spark: SparkSession, pattern: str, lines: list[str]) -> list[str]:
+    """The hit tables under the pattern that are of these lines. Runs are chosen here, by their
+    directories: a test of the path beside the hits is made again for each hit."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found = Path(pattern).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(Path(pattern))
+    runs = spark.range(1).select(F.explode(F.array(*[F.lit(f.getPath().toString()) for f in found or []]).cast("array<string>")).alias("path"))
+    return [re.sub(r"([\\{}\[\]*?])", r"\\\1", r[0]) for r in runs.where(line_name(_parent(F.col("path"))).isin(lines)).collect()]  # names, not patterns
 
 
 def read_sites(spark: SparkSession, folder: str, lines: list[str] | None = None) -> DataFrame:
@@ -41,24 +55,25 @@ def read_sites(spark: SparkSession, folder: str, lines: list[str] | None = None)
     Blank and ``#`` lines go, as do rows with too few fields, a missing value or a
     number that is none. ``src_ord`` orders by directory, then file and line.
     """
-    text = _lines(spark, f"{folder.rstrip('/')}/streme_*/sites.tsv")
-    text = text.where((F.trim("text") != "") & ~F.col("text").startswith("#"))
-    fields = F.split("text", "\t")
-    first = text.groupBy("path").agg(F.min_by("text", "n").alias("header"), F.min("n").alias("header_n"))
+    pattern = f"{folder.rstrip('/')}/streme_*/sites.tsv"
+    chosen = _tables_of(spark, pattern, lines) if lines else [pattern]
+    text = _lines(spark, chosen or pattern).where(F.lit(bool(chosen)) & (F.trim("text") != "") & ~F.col("text").startswith("#"))
+    # The first line of each block as numbers, which need no sort; text only where it can be a header.
+    named = F.when(reduce(and_, [F.col("text").contains(c) for c in REQUIRED]), F.col("text"))
+    first = text.groupBy("path", "start", named.alias("header")).agg(F.min("at").alias("at")).groupBy("path").agg(F.min_by("header", F.struct("start", "at")).alias("header"))
     # What the path tells is found once a file, not once a row.
     in_folder = F.regexp_extract("path", r"/sites\.tsv/([^/]+)$", 1)
     first = first.withColumn("part", F.when(in_folder != "", in_folder)).withColumn("dir", F.regexp_extract("path", r"([^/]+)/sites\.tsv(?:/[^/]+)?$", 1)).withColumn("line", line_name(F.col("dir")))
-    if lines:
-        first = first.where(F.col("line").isin(lines))
-    header = F.transform(F.split("header", "\t"), F.trim)
+    header = F.transform(F.split("header", "\t"), lambda c: F.trim(c))  # F.trim itself would be given the place too, as letters to trim
     good = first.where(F.forall(F.array(*[F.lit(c) for c in REQUIRED]), lambda c: F.array_contains(header, c)))
     # A row a file: small beside the hits, which would else meet by file, a file a task.
-    rows = text.join(F.broadcast(good.select("path", "header_n", "dir", "part", "line", *[(F.array_position(header, F.lit(c)) - 1).cast("int").alias(f"at_{c}") for c in REQUIRED])), "path").where(F.col("n") > F.col("header_n"))
+    rows = text.join(F.broadcast(good.select("path", "dir", "part", "line", *[(F.array_position(header, F.lit(c)) - 1).cast("int").alias(f"at_{c}") for c in REQUIRED])), "path")
     value = lambda c: F.trim(F.get("fields", F.col(f"at_{c}")))
     # An array of one, taken apart: the text is split once, not again for each field that is read.
-    rows = rows.withColumn("fields", F.explode(F.array(fields)))
+    rows = rows.withColumn("fields", F.explode(F.array(F.split("text", "\t"))))
     rows = rows.where(F.size("fields") >= len(REQUIRED)).select("line", F.concat_ws("|", "dir", "part", "n").alias("src_ord"), *[value(c).alias(c) for c in REQUIRED])
-    kept = rows.where(F.forall(F.array("site_Start", "site_End", "site_Score", "site_Sequence", "motif_ID"), lambda v: v.isNotNull() & ~v.isin(*MISSING)))
+    # The header goes with the rows whose numbers are none.
+    kept = rows.where(reduce(and_, [F.col(c).isNotNull() & ~F.col(c).isin(*MISSING) for c in ("site_Start", "site_End", "site_Score", "site_Sequence", "motif_ID")]))
     whole = lambda c: F.expr(f"try_cast(try_cast({c} as double) as int)")
     return kept.select(
         F.col("seq_ID").alias("gene_id"), "line", F.col("motif_ID").alias("original_motif_id"), whole("site_Start").alias("start_pos"), whole("site_End").alias("end_pos"),

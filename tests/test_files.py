@@ -209,3 +209,23 @@ def test_hit_tables_in_parts(spark):
     for line in views.LINES:  # the same hits in the same order
         rows = lambda df: [tuple(r) for r in df.where(F.col("line") == line).orderBy("src_ord").select(*columns).collect()]  # noqa: B023, E731
         assert rows(found) == rows(raw)
+
+
+def test_sites_of_lines_reads_their_files_alone(spark, tmp_path):
+    """Runs are chosen by directory, before their hits are read; a directory's name is no pattern."""
+    head = "\t".join(files.REQUIRED)
+    hit = "1-ACGT\tg1\t{}\t9\t+\t1.5\tacgt"
+    for name, start in (("streme_IM1", 1), ("streme_b [x]*_IM2", 2), ("streme_c", 3), ("streme_late_IM2", 4)):
+        (tmp_path / name).mkdir()
+        lines = [hit.format(start), head] if "late" in name else ["", "# note", f" {head} ".replace("\t", " \t "), hit.format(start), head, hit.format(start + 10)]
+        (tmp_path / name / "sites.tsv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "streme_IM3" / "sites.tsv").mkdir(parents=True)
+    for part in "ab":
+        (tmp_path / "streme_IM3" / "sites.tsv" / part).write_text(f"{head}\n{hit.format(ord(part))}\n")
+    starts = lambda *x: sorted((r["line"], r["start_pos"]) for r in files.read_sites(spark, str(tmp_path), *x).collect())
+    want = [("IM1", 1), ("IM1", 11), ("IM2", 2), ("IM2", 12), ("IM3", 97), ("IM3", 98), ("c", 3), ("c", 13)]  # a file that begins with a hit has no header
+    assert starts() == want
+    for lines in (["IM2"], ["IM3", "c"], ["IM"]):
+        assert starts(lines) == [x for x in want if x[0] in lines]
+    read = files.read_sites(spark, str(tmp_path), ["IM2", "IM3"]).inputFiles()
+    assert len(read) == 4 and all("IM2" in f or "IM3" in f for f in read)
